@@ -1,11 +1,35 @@
-"""The registered queries and their SQL."""
+"""The registered queries and their SQL, by operator of the inventory."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a function of (spark, sf_dir) under name, with the SQL that gives the same rows."""
+
+    def put(f):
+        if name in QUERIES:
+            raise ValueError(f"{name} is registered twice")
+        QUERIES[name] = f
+        if sql is not None:
+            SQL[name] = sql
+        return f
+
+    return put
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import q_aggregate, q_bias, q_calendar, q_catalog, q_indicators, q_qc, q_regrid, q_select, q_windows  # noqa: F401
+
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    queries()
+    return dict(SQL)
