@@ -12,16 +12,17 @@ the most letters in its spans; the score is its share of letters times the mean
 from __future__ import annotations
 
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Runs of letters.
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: First and last code point of script ranges, by name; letters outside them are script "other".
 SCRIPTS = [
@@ -32,52 +33,74 @@ SCRIPTS = [
 ]
 
 
-def script(word: str) -> str:
-    code = ord(word[0])
-    return next((name for name, low, high in SCRIPTS if low <= code <= high), "other")
+_NAMES = ["other", *dict.fromkeys(name for name, _, _ in SCRIPTS)]
+_FIRST = np.array([low for _, low, _ in sorted(SCRIPTS, key=lambda s: s[1])])
+_LAST = np.array([high for _, _, high in sorted(SCRIPTS, key=lambda s: s[1])])
+_WHICH = np.array([_NAMES.index(name) for name, _, _ in sorted(SCRIPTS, key=lambda s: s[1])])
 
 
-def grams(word: str, buckets: int) -> list[int]:
-    """Hashed n-grams of a lower-case word, edges marked."""
-    marked = f"^{word}$".encode("utf-8", "surrogatepass") if word.isascii() else f"^{word}$"
-    if isinstance(marked, bytes):
-        parts = [marked[i : i + n] for n in (1, 2, 3) for i in range(len(marked) - n + 1)]
-    else:
-        parts = [marked[i : i + n].encode("utf-8", "surrogatepass") for n in (1, 2, 3) for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(p) % buckets for p in parts]
+def scripts_of(codes: np.ndarray) -> np.ndarray:
+    """Script numbers (places in _NAMES) of code points."""
+    at = np.maximum(np.searchsorted(_FIRST, codes, side="right") - 1, 0)
+    return np.where((codes >= _FIRST[at]) & (codes <= _LAST[at]), _WHICH[at], 0)
+
+
+def grams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed 1- to 3-grams of lower-case words with marked edges: word numbers in order, buckets, and the words' script numbers."""
+    codes = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    first = codes == ord("^")
+    word = np.cumsum(first) - 1
+    owners, found, hashed = [], [], codes
+    for n in (1, 2, 3):
+        if n > 1:
+            hashed = hashed[:-1] * np.uint64(1_000_003) + codes[n - 1 :]
+        whole = word[: len(hashed)] == word[n - 1 :] if n > 1 else ~first & (codes != ord("$"))
+        owners.append(word[: len(hashed)][whole])
+        found.append(((hashed[whole] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64))
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return owner[order], np.concatenate(found)[order], scripts_of(codes[np.flatnonzero(first) + 1])
 
 
 class Model:
-    """Languages, log-odds of the hashed n-grams (buckets x languages) and the scripts that each language uses."""
-
-    def __init__(self, languages: list[str], counts: np.ndarray, scripts: list[set[str]], keep: int = 300_000):
-        self.languages, self.keep, self.buckets = languages, keep, counts.shape[0] if counts.size else 1
-        counts = counts if counts.size else np.zeros((1, 1))
-        share = (counts + 0.5) / (counts.sum(axis=0) + 0.5 * self.buckets)
-        self.odds = (np.log(share) - np.log(share.mean(axis=1, keepdims=True))).astype(np.float32)
-        self.allowed = {s: np.array([s in own for own in scripts]) for s in set().union(*scripts)} if scripts else {}
+    """Languages, log-odds of the hashed n-grams (buckets x languages) and which scripts each language uses."""
+
+    def __init__(self, languages: list[str], odds: np.ndarray, allowed: np.ndarray, keep: int = 400_000):
+        self.languages, self.odds, self.allowed, self.keep = languages, odds, allowed, keep
         self.known: dict[str, int] = {}
-        self.table, self.used = np.zeros((1024, max(1, len(languages))), np.float32), 0
+        self.table, self.sizes, self.used = np.zeros((1024, max(1, len(languages))), np.float32), np.zeros(1024, np.int32), 0
+
+    @classmethod
+    def fit(cls, languages: list[str], counts: np.ndarray, letters: np.ndarray) -> Model:
+        """counts: buckets x languages; letters: scripts x languages."""
+        share = (counts + 0.5) / (counts.sum(axis=0) + 0.5 * len(counts))
+        odds = np.log(share) - np.log(share.mean(axis=1, keepdims=True))
+        return cls(languages, odds.astype(np.float32), letters >= 0.05 * np.maximum(1, letters.sum(axis=0)))
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Score rows of words, not kept."""
+        owner, bucket, script = grams([w.lower() for w in words], len(self.odds))
+        start = np.searchsorted(owner, np.arange(len(words)))
+        mean = np.add.reduceat(self.odds[bucket], start, axis=0) / np.diff(start, append=len(owner))[:, None]
+        can = self.allowed[script]
+        can |= ~can.any(axis=1, keepdims=True)
+        return np.where(can, 3 * mean, np.float32(-50))
 
     def rows(self, found: list[str]) -> np.ndarray:
-        """Score rows of the words, computed once while they are kept."""
+        """Places of the words in the table of scores, which are made once while they are kept."""
         known = self.known
-        new = {w for w in found if w not in known}
-        if new:
-            if len(known) + len(new) > self.keep:
-                known.clear()
-                new, self.used = set(found), 0
-            while self.used + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            for w in new:
-                low = w.lower()
-                score = self.odds[grams(low, self.buckets)].mean(axis=0) * 3.0
-                can = self.allowed.get(script(low))
-                if can is not None:
-                    score = np.where(can, score, np.float32(-50.0))
-                self.table[self.used] = score
-                known[w] = self.used
-                self.used += 1
+        new = list(set(found).difference(known))
+        if new and len(known) + len(new) > self.keep:
+            known.clear()
+            new, self.used = list(set(found)), 0
+        for at in range(0, len(new), 100_000):
+            part = new[at : at + 100_000]
+            while self.used + len(part) > len(self.table):
+                self.table, self.sizes = np.concatenate([self.table, np.zeros_like(self.table)]), np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+            self.table[self.used : self.used + len(part)] = self.scores(part)
+            self.sizes[self.used : self.used + len(part)] = np.fromiter(map(len, part), np.int32, len(part))
+            known.update(zip(part, range(self.used, self.used + len(part))))
+            self.used += len(part)
         return np.fromiter(map(known.__getitem__, found), np.int32, len(found))
 
 
@@ -109,16 +132,47 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, penalty
     return labels
 
 
-def spans_of(text: str, model: Model, penalty: float = 2.0) -> list[tuple[int, int, str]]:
+def steady(scores: np.ndarray, penalty: float) -> int:
+    """The language that Viterbi gives every word of a sequence, or -1 if that isn't plain from sums.
+
+    A stay elsewhere costs two switches inside the sequence and one at its ends. If no stretch of words gains that much by leaving
+    the language with the greatest sum, even with free choice of languages for each word, nothing leaves it.
+    """
+    k = int(scores.sum(axis=0, dtype=np.float64).argmax())
+    if scores.shape[1] == 1:
+        return k
+    gain = np.cumsum(np.delete(scores, k, axis=1).max(axis=1) - scores[:, k], dtype=np.float64)
+    before = np.concatenate([np.zeros(1), gain[:-1]])
+    inside = (gain - np.minimum.accumulate(before)).max() < 2 * penalty
+    return k if inside and gain.max() < penalty and (gain[-1] - before).max() < penalty else -1
+
+
+def label(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
+    """viterbi(), with steady sequences settled beforehand."""
+    labels, moving = np.zeros(len(scores), np.uint8), []
+    for i, (s, n) in enumerate(zip(starts.tolist(), lengths.tolist())):
+        k = steady(scores[s : s + n], penalty)
+        if k < 0:
+            moving.append(i)
+        else:
+            labels[s : s + n] = k
+    if moving:
+        own = np.array(moving)
+        at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts[own].tolist(), lengths[own].tolist())])
+        labels[at] = viterbi(scores[at], np.cumsum(lengths[own]) - lengths[own], lengths[own], penalty)
+    return labels
+
+
+def spans_of(text: str, model: Model, penalty: float = 4.0) -> list[tuple[int, int, str]]:
     """(start, stop, language) of the single-language spans of a text, in code points."""
     found = list(_LETTERS.finditer(text))
     if not found or not model.languages:
         return []
     rows = model.rows([m[0] for m in found])
-    labels = viterbi(model.table[rows], np.array([0]), np.array([len(rows)]), penalty)
+    labels = label(model.table[rows], np.array([0]), np.array([len(rows)]), penalty)
     out: list[tuple[int, int, str]] = []
-    for m, label in zip(found, labels.tolist()):
-        name = model.languages[label]
+    for m, k in zip(found, labels.tolist()):
+        name = model.languages[k]
         if out and out[-1][2] == name:
             out[-1] = (out[-1][0], m.end(), name)
         else:
@@ -126,22 +180,21 @@ def spans_of(text: str, model: Model, penalty: float = 2.0) -> list[tuple[int, i
     return out
 
 
-def predict(texts: list[str | None], model: Model, penalty: float = 2.0) -> tuple[list[str], list[float]]:
+def predict(texts: list[str | None], model: Model, penalty: float = 4.0) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
     found = [_LETTERS.findall(t) if t else [] for t in texts]
     lengths = np.array([len(f) for f in found], np.int64)
     if not model.languages or not lengths.sum():
         return ["und"] * len(texts), [0.0] * len(texts)
-    rows = model.rows([w for f in found for w in f])
-    scores = model.table[rows]
-    size = np.fromiter((len(w) for f in found for w in f), np.float64, len(rows))
-    starts = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)[:-1]])
+    rows = model.rows(list(chain.from_iterable(found)))
+    scores, size = model.table[rows], model.sizes[rows].astype(np.float64)
     full = np.flatnonzero(lengths)
-    labels = viterbi(scores, starts[full], lengths[full], penalty)
+    starts = (np.cumsum(lengths) - lengths)[full]
+    labels = label(scores, starts, lengths[full], penalty)
     odds = np.exp(scores - scores.max(axis=1, keepdims=True))
     sure = odds[np.arange(len(rows)), labels] / odds.sum(axis=1)
-    mass = np.stack([np.add.reduceat(np.where(labels == k, size, 0.0), starts[full]) for k in range(len(model.languages))], axis=1)
-    trust = np.stack([np.add.reduceat(np.where(labels == k, size * sure, 0.0), starts[full]) for k in range(len(model.languages))], axis=1)
+    mass = np.stack([np.add.reduceat(np.where(labels == k, size, 0.0), starts) for k in range(len(model.languages))], axis=1)
+    trust = np.stack([np.add.reduceat(np.where(labels == k, size * sure, 0.0), starts) for k in range(len(model.languages))], axis=1)
     best = mass.argmax(axis=1)
     score = trust[np.arange(len(full)), best] / mass.sum(axis=1)
     names, values = ["und"] * len(texts), [0.0] * len(texts)
@@ -150,7 +203,7 @@ def predict(texts: list[str | None], model: Model, penalty: float = 2.0) -> tupl
     return names, values
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 20_000, buckets: int = 1 << 15, most_languages: int = 200, seed: int = 5) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 20_000, buckets: int = 1 << 15, most_languages: int = 64, seed: int = 5) -> Model:
     """Fit on a seeded sample of at most about train_rows rows with text and language.
 
     The sample keeps rows whose hashed id falls under train_rows / (labelled rows). Counters are summed by (language, bucket); the driver
@@ -161,47 +214,45 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     languages = sorted(r["lang"] for r in by)
     total = sum(r["n"] for r in by)
     if not total:
-        return Model([], np.zeros((0, 0)), [])
+        return Model([], np.zeros((1, 1), np.float32), np.ones((len(_NAMES), 1), bool))
     share = min(1.0, train_rows / total)
     sample = rows.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     place = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, scripts = np.zeros((buckets, len(languages)), np.int64), {}
+        held, letters = np.zeros((buckets, len(languages)), np.int64), np.zeros((len(_NAMES), len(languages)), np.int64)
         for b in batches:
-            words: dict[tuple[int, str], int] = {}
+            words: dict[int, Counter] = {}
             for text, lang in zip(b.column(0), b.column(1).to_pylist()):
                 if (k := place.get(lang)) is not None:
-                    for w in _LETTERS.findall(text.as_py().lower()):
-                        words[k, w] = words.get((k, w), 0) + 1
-            for (k, w), n in words.items():
-                np.add.at(held[:, k], grams(w, buckets), n)
-                scripts[k, script(w)] = scripts.get((k, script(w)), 0) + n * len(w)
-        at, k = np.nonzero(held)
-        if len(at):
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array([""] * len(at)), pa.array(held[at, k])], names=["k", "bucket", "script", "n"])
-        if scripts:
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in scripts], pa.int32()), pa.array([-1] * len(scripts), pa.int32()), pa.array([s for _, s in scripts]), pa.array(list(scripts.values()), pa.int64())], names=["k", "bucket", "script", "n"])
-
-    sums = sample.select("text", "lang").mapInArrow(count, "k int, bucket int, script string, n long").groupBy("k", "bucket", "script").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros((buckets, len(languages)))
-    own: list[set[str]] = [set() for _ in languages]
-    plain = sums[sums["bucket"] >= 0]
-    counts[plain["bucket"], plain["k"]] = plain["n"]
-    letters: pd.DataFrame = sums[sums["bucket"] < 0]
-    for k, part in letters.groupby("k"):
-        own[k] = set(part["script"][part["n"] >= 0.05 * part["n"].sum()])
-    return Model(languages, counts, own)
-
-
-def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 2.0, with_spans: bool = False) -> DataFrame:
+                    words.setdefault(k, Counter()).update(_LETTERS.findall(text.as_py().lower()))
+            for k, own in words.items():
+                every, n = list(own), np.fromiter(own.values(), np.int64, len(own))
+                for at in range(0, len(every), 100_000):
+                    part = slice(at, at + 100_000)
+                    owner, bucket, script = grams(every[part], buckets)
+                    held[:, k] += np.bincount(bucket, n[part][owner], buckets).astype(np.int64)
+                    letters[:, k] += np.bincount(script, n[part] * np.fromiter(map(len, every[part]), np.int64), len(_NAMES)).astype(np.int64)
+        for table, which in ((held, 0), (letters, 1)):
+            at, k = np.nonzero(table)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), which, np.int32)), pa.array(k.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(table[at, k])], names=["which", "k", "at", "n"])
+
+    sums = sample.select("text", "lang").mapInArrow(count, "which int, k int, at int, n long").groupBy("which", "k", "at").agg(F.sum("n").alias("n")).toPandas()
+    counts, letters = np.zeros((buckets, len(languages))), np.zeros((len(_NAMES), len(languages)))
+    for table, which in ((counts, 0), (letters, 1)):
+        own = sums[sums["which"] == which]
+        table[own["at"], own["k"]] = own["n"]
+    return Model.fit(languages, counts, letters)
+
+
+def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 4.0, with_spans: bool = False) -> DataFrame:
     """docs with lang_pred and score (and spans, if asked); input columns of those names are replaced.
 
     lang_pred is 'und', score 0, where the text is null or has no letter, or the model knows no language. All other texts, however short or long, get a
     language of the model. Only the text is looked at.
     """
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((model.languages, model.odds, model.allowed, model.buckets))
+    shared = sc.broadcast((model.languages, model.odds, model.allowed))
     names = ["lang_pred", "score"] + ["spans"] * with_spans
     kept = [c for c in docs.columns if c.lower() not in names]
     out_schema = docs.select(*(docs[f"`{c}`"] for c in kept)).schema.add("lang_pred", "string").add("score", "double")
@@ -211,10 +262,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
     at = [docs.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        languages, odds, allowed, buckets = shared.value
-        own = Model([], np.zeros((0, 0)), [])
-        own.languages, own.odds, own.allowed, own.buckets = languages, odds, allowed, buckets
-        own.table = np.zeros((1024, max(1, len(languages))), np.float32)
+        own = Model(*shared.value)
         for whole in batches:
             for b in _by_size(whole, place):
                 texts = b.column(place).to_pylist()

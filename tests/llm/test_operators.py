@@ -467,6 +467,20 @@ def test_viterbi():
         assert got[s : s + n].tolist() == viterbi_expected(scores[s : s + n].astype(float), 1.5)
 
 
+def test_steady_sequences_are_what_viterbi_gives():
+    rng = np.random.default_rng(1)
+    settled = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 40))
+        scores = (rng.normal(size=(n, 3)) * 0.7 + [0.9, 0, 0]).astype(np.float32)
+        k = langid.steady(scores, 1.5)
+        full = langid.viterbi(scores, np.array([0]), np.array([n]), 1.5)
+        settled += k >= 0
+        assert k < 0 or set(full.tolist()) == {k}
+        assert langid.label(scores, np.array([0]), np.array([n]), 1.5).tolist() == full.tolist()
+    assert 50 < settled < 400
+
+
 def test_languages(spark, docs, hard, none):
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
     got = rows(langid.identify(docs, model).withColumn("held_out", langid.held_out(F.col("doc_id"))))
@@ -491,5 +505,8 @@ def test_language_spans(spark, docs):
     for start, stop, k in spans:
         share[k, start >= len(own["en"])] += stop - start
     assert share["en", False] > 300 and share["de", True] > 300
-    scripts = langid.Model(["a", "b"], np.ones((64, 2)), [{"latin"}, {"greek"}])
-    assert langid.predict(["abc", "αβγ"], scripts)[0] == ["a", "b"]
+    letters = np.zeros((len(langid._NAMES), 2))
+    letters[langid._NAMES.index("latin"), 0] = letters[langid._NAMES.index("greek"), 1] = 9
+    scripts = langid.Model.fit(["a", "b"], np.ones((64, 2)), letters)
+    assert langid.predict(["abc", "αβγ", "кир"], scripts)[0] == ["a", "b", "a"]
+    assert langid.spans_of("abc αβγ", scripts) == [(0, 3, "a"), (4, 7, "b")]
