@@ -11,6 +11,7 @@ document ends u32, document ids i64, document nulls u8, then per plane zeros u32
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -158,7 +159,17 @@ class Encoder:
     white space, one after the other; each new piece goes through the tokenizers library once while it is kept.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    _made: dict[str, Encoder] = {}
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """The process's encoder for a vocabulary: what it knows serves all tasks that the worker runs."""
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
+
+    def __init__(self, path: str, keep: int = 800_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core already
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
@@ -167,7 +178,7 @@ class Encoder:
     def encode(self, text: str) -> np.ndarray:
         pieces = text.encode("utf-8").split()
         known = self.known
-        new = list({p for p in pieces if p not in known})
+        new = list(set(pieces).difference(known))
         if new:
             if len(known) + len(new) > self.keep:
                 known.clear()
@@ -203,7 +214,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
 
         for batch in batches:
             if encoder is None:
-                encoder = Encoder(vocabulary)
+                encoder = Encoder.of(vocabulary)
                 end = np.array([end_id], encoder.dtype)
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 new = encoder.encode(text.as_py())
