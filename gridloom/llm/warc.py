@@ -1,31 +1,45 @@
 """Content-addressed WARC archive.
 
-An archive is two tables in a folder. `payloads` has the bytes of each distinct payload once, under its SHA-256; lengths and a second
-hash of all copies are compared while it is built, so two payloads under one digest stop the job. `headers` has a row per record: the
+An archive is two tables in a folder. `payloads` has the bytes of each distinct payload once, compressed, under its SHA-256; lengths and
+a second hash of all copies are compared while it is built, so two payloads under one digest stop the job. Payloads are compressed
+before they are shuffled, and what is grouped and joined otherwise is digests. `headers` has a row per record: the
 exact WARC and HTTP header bytes and the digest of its payload. A join of the two gives the original records back, byte for byte.
 Revisit records carry no payload in WARC form; theirs comes from the record they refer to, by the same join.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n"
+_FACTS = "id long, url string, strong string, digest string, bytes long, second long"
 
 
-def base32_sha1(payload: Column) -> Column:
-    """SHA-1 in upper-case base32: each five hexadecimal digits are four base32 digits."""
-    digest = F.sha1(payload)
-    out = []
-    for part in range(8):
-        number = F.conv(F.substring(digest, 5 * part + 1, 5), 16, 10).cast("int")
-        out += [F.substring(F.lit(_ALPHABET), F.shiftright(number, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for shift in (15, 10, 5, 0)]
-    return F.concat(*out)
+def _digested(pages: DataFrame, pack: bool) -> DataFrame:
+    """_FACTS of each row of pages(id, url, payload); with pack also the compressed payload, and less else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            bodies = [x.as_py() for x in b.column(2)]
+            strong = pa.array([hashlib.sha256(x).hexdigest() for x in bodies], pa.string())
+            if pack:
+                yield pa.RecordBatch.from_arrays([b.column(0), strong, pa.array([packer.compress(x) for x in bodies], pa.binary())], names=["id", "strong", "packed"])
+            else:
+                digest = [base64.b32encode(hashlib.sha1(x).digest()).decode() for x in bodies]
+                second = [xxhash.xxh64_intdigest(x) - (1 << 63) for x in bodies]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), strong, pa.array(digest, pa.string()), pa.array(map(len, bodies), pa.int64()), pa.array(second, pa.int64())], names=["id", "url", "strong", "digest", "bytes", "second"])
+
+    return pages.mapInArrow(run, "id long, strong string, packed binary" if pack else _FACTS)
 
 
 def _uuid(*parts: Column) -> Column:
@@ -48,14 +62,14 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     """
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit("").cast("binary"))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("strong", F.sha2("payload", 256))
-    facts = rows.select("id", "url", "strong", F.octet_length("payload").cast("long").alias("bytes"), base32_sha1(F.col("payload")).alias("digest"), F.xxhash64("payload").alias("second"))
+    facts = _digested(rows, False)
     one = facts.groupBy("strong").agg(F.max(F.struct("id", "url")).alias("first"), F.min("bytes").alias("b0"), F.max("bytes").alias("b1"), F.min("second").alias("s0"), F.max("second").alias("s1"))
     clash = F.when((F.col("b0") != F.col("b1")) | (F.col("s0") != F.col("s1")), F.raise_error(F.lit("two payloads have one digest")).cast("string"))
     one = one.select("strong", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"), clash.alias("clash"))
 
-    stored = rows.join(one.select("strong", "first_id"), (rows["strong"] == one["strong"]) & rows["id"].eqNullSafe(one["first_id"]), "left_semi")
-    stored.select("strong", "id", "payload").dropDuplicates(["strong", "id"]).select("strong", "payload").write.parquet(f"{path}/payloads")
+    packed = _digested(rows, True)
+    stored = packed.join(one.select("strong", "first_id"), (packed["strong"] == one["strong"]) & packed["id"].eqNullSafe(one["first_id"]), "left_semi")
+    stored.dropDuplicates(["strong", "id"]).select("strong", "packed").write.option("compression", "uncompressed").parquet(f"{path}/payloads")
 
     named = facts.join(one, "strong").where(F.col("clash").isNull())
     response = F.col("id").eqNullSafe(F.col("first_id")) | (F.col("bytes") < least_bytes)
@@ -92,9 +106,13 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     Length and digest are taken from the stored payload, which must match the digest that it is stored under.
     """
-    held = spark.read.parquet(f"{path}/payloads")
-    intact = F.when(F.sha2("payload", 256) == F.col("strong"), F.octet_length("payload").cast("long")).otherwise(F.raise_error(F.lit("a stored payload does not match its digest")).cast("long"))
-    held = held.select("strong", intact.alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bodies = list(_unpacked(b.column(0).to_pylist(), b.column(1)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, bodies), pa.int64()), pa.array([base64.b32encode(hashlib.sha1(x).digest()).decode() for x in bodies], pa.string())], names=["strong", "payload_bytes", "payload_digest"])
+
+    held = spark.read.parquet(f"{path}/payloads").select("strong", "packed").mapInArrow(run, "strong string, payload_bytes long, payload_digest string")
     heads = spark.read.parquet(f"{path}/headers").select(
         "strong",
         _header("WARC-Page-ID").cast("long").alias("page_id"),
@@ -105,10 +123,28 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return heads.join(held, "strong").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
 
 
+def _unpacked(strong: list[str], packed: pa.Array) -> Iterator[bytes]:
+    import zstandard
+
+    opener = zstandard.ZstdDecompressor()
+    for digest, x in zip(strong, packed):
+        body = opener.decompress(x.as_py())
+        if hashlib.sha256(body).hexdigest() != digest:
+            raise ValueError("a stored payload does not match its digest")
+        yield body
+
+
 def reconstruct(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload and record: the exact bytes of each WARC record, headers, block and closing blank lines."""
     heads = spark.read.parquet(f"{path}/headers")
-    whole = heads.join(spark.read.parquet(f"{path}/payloads"), "strong")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bodies = list(_unpacked(b.column(1).to_pylist(), b.column(2)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bodies, pa.binary())], names=["header", "payload"])
+
+    packed = heads.join(spark.read.parquet(f"{path}/payloads"), "strong")
+    whole = packed.select("header", "strong", "packed").mapInArrow(run, "header binary, payload binary")
     empty = F.lit("").cast("binary")
     block = F.when(_header("WARC-Type") == "response", F.col("payload")).otherwise(empty)
     return whole.select(_header("WARC-Page-ID").cast("long").alias("page_id"), "payload", F.concat("header", block, F.lit(END * 2).cast("binary")).alias("record"))
