@@ -97,7 +97,7 @@ def _(spark, sf):
     return joins.temporal_containment(dates, files, ["model", "variable"])
 
 
-@query("j7_time_nearest", sql('WITH w AS (SELECT DISTINCT cell_id, date AS "at" FROM simulated) SELECT cell_id, "at", arg_min(date, (abs(date - "at"), date)) AS date, arg_min(pr, (abs(date - "at"), date)) AS value FROM w JOIN daily USING (cell_id) GROUP BY 1, 2', "daily", "simulated"))
+@query("j7_time_nearest", sql('WITH w AS (SELECT DISTINCT cell_id, date AS "at" FROM simulated) SELECT cell_id, "at", arg_min(date, (abs(date - "at"), date)) AS date, arg_min(pr, (abs(date - "at"), date)) AS value FROM w LEFT JOIN daily USING (cell_id) GROUP BY 1, 2', "daily", "simulated"))
 def _(spark, sf):
     wanted = simulated(spark, sf).select("cell_id", F.col("date").alias("at")).distinct()
     return joins.time_nearest(series(spark, sf, "pr"), wanted, ["cell_id"])
