@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat, decontaminate, langid, line_dedup, mixing, quality, sharding, simhash, token_store, warc
 from .common import new_path
+from .sql import SQL  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,4 +72,4 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_simhash, op4_line_dedup, op5_quality, op6_tokens, op7_chat, op8_decontaminate, op9_sharding, op10_langid)}
-SQL: dict[str, str] = {}
+
