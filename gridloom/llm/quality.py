@@ -25,7 +25,7 @@ RULES = [
     ("word length", "chars_per_word", 2.0, 12.0),
     ("symbols", "symbols_per_word", None, 0.1),
     ("stop words", "stop_ratio", 0.06, None),
-    ("repeated lines", "dup_line_ratio", None, 0.3),
+    ("repeated lines", "dup_line_ratio", None, 0.6),
 ]
 OUT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines", "base_failed", "kept"]
 
@@ -55,12 +55,14 @@ def counts(docs: DataFrame, text_col: str = "text", window: int = 5) -> DataFram
     )
 
 
+#: Ratios by name: the count above, what is added to it, and the count below (None: 1). The one more stop word keeps very short texts
+#: from failing for want of a single word.
 MEASURES = {
-    "n_words": ("n_words", None),
-    "chars_per_word": ("word_chars", "n_words"),
-    "symbols_per_word": ("n_symbols", "n_words"),
-    "stop_ratio": ("n_stop_words", "n_words"),
-    "dup_line_ratio": ("n_dup_lines", "n_lines"),
+    "n_words": ("n_words", 0, None),
+    "chars_per_word": ("word_chars", 0, "n_words"),
+    "symbols_per_word": ("n_symbols", 0, "n_words"),
+    "stop_ratio": ("n_stop_words", 1, "n_words"),
+    "dup_line_ratio": ("n_dup_lines", 0, "n_lines"),
 }
 
 
@@ -68,8 +70,9 @@ def verdict(rules: list[tuple]) -> Column:
     """The threshold table as one boolean column; a ratio of nothing is 0."""
     passes = F.lit(True)
     for _, measure, least, most in rules:
-        above, below = MEASURES[measure]
-        value = F.col(above).cast("double") if below is None else F.coalesce(F.try_divide(F.col(above).cast("double"), F.col(below)), F.lit(0.0))
+        above, more, below = MEASURES[measure]
+        count = (F.col(above) + more).cast("double")
+        value = count if below is None else F.coalesce(F.try_divide(count, F.col(below)), F.lit(0.0))
         passes = passes & (value >= least if least is not None else F.lit(True)) & (value <= most if most is not None else F.lit(True))
     return passes
 

@@ -61,7 +61,7 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_equal, 0) AS n_equal,
 
 def op5(window: int = 5) -> str:
     stops = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
-    measures = {name: above if below is None else f"coalesce({above}::DOUBLE / nullif({below}, 0), 0)" for name, (above, below) in quality.MEASURES.items()}
+    measures = {name: f"({above} + {more})" if below is None else f"coalesce(({above} + {more})::DOUBLE / nullif({below}, 0), 0)" for name, (above, more, below) in quality.MEASURES.items()}
     rules = " AND ".join(f"{measures[m]} {op} {bound!r}" for _, m, least, most in quality.RULES for op, bound in ((">=", least), ("<=", most)) if bound is not None)
     return f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, length(coalesce(text, '')) - length(translate(coalesce(text, ''), '{quality.SYMBOLS}', '')) AS n_symbols FROM documents),
