@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import calendar, joins
 from .catalogue import query
-from .inputs import catalog, daily, field, hourly, series, simulated, sql
+from .inputs import catalog, daily, field, grid, hourly, series, simulated, sql
 from .q_select import six
 
 
@@ -128,3 +128,14 @@ def _(spark, sf):
 def _(spark, sf):
     c = catalog(spark, sf)
     return joins.triplets(c.where("variable = 'tasmax'"), c.where("variable = 'tasmin' and grid_type = 'gn'"), c.where("variable = 'pr' and table_id = 'Amon'"), ["model", "scenario"], ["tasmax", "tasmin", "pr"])
+
+
+_KM = "2 * 6371e0 * asin(sqrt(pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2)))"
+
+
+@query("j5_nearest_point_join", sql(f"WITH c AS (SELECT name, arg_min(cell_id, (round({_KM}, 9), cell_id)) AS cell_id FROM grid, (VALUES ('fairbanks', 64.8e0, -147.7e0), ('juneau', 58.3e0, -134.4e0)) p(name, plat, plon) GROUP BY name) SELECT name, date, pr FROM c JOIN daily USING (cell_id)", "daily", "grid"))
+def _(spark, sf):
+    from ..operators.select import sel_nearest
+
+    points = spark.createDataFrame([("fairbanks", 64.8, -147.7), ("juneau", 58.3, -134.4)], "name string, plat double, plon double")
+    return daily(spark, sf).join(sel_nearest(grid(spark, sf), points).select("name", "cell_id"), "cell_id").select("name", "date", "pr")
