@@ -11,7 +11,9 @@ sums make all variants of a line in time linear in its length. Groups link to th
 all to all, and each link's edit distance is verified on the words.
 
 Most lines have no near line. Two near lines share their first or last p words, where p is the largest power of two up to half
-their length, so only lines that share such an end with another distinct line emit variants; this leaves no pair out.
+their length, so only lines that share such an end with another distinct line emit variants, and only for the words outside a
+shared end; this leaves no pair out. Shared ends are marked in a bit table of fixed size, which is broadcast: it may let lines through that
+share nothing, but none that do are lost, and only the lines let through are shuffled with their words.
 """
 
 from __future__ import annotations
@@ -22,9 +24,17 @@ from pyspark.sql import functions as F
 from .common import SPACE, written
 
 
+#: Rows of the broadcast bit table, 63 bits each: at most 2**18 rows whatever the corpus.
+_MARKS = 1 << 18
+_BLANKS = " \t\r\x0b\x0c"
+
+
 def normal(line: Column) -> Column:
     """The words of a line in lower case, one blank between them."""
-    return F.lower(F.regexp_replace(F.regexp_replace(line, SPACE, " "), "^ | $", ""))
+    odd = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    for c in "\t\r\x0b\x0c":
+        odd = odd | line.contains(c)
+    return F.lower(F.when(odd, F.regexp_replace(F.regexp_replace(line, SPACE, " "), "^ | $", "")).otherwise(line))
 
 
 def _part(*of: Column) -> Column:
@@ -32,54 +42,69 @@ def _part(*of: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*of), 24)
 
 
-def _ends(docs: DataFrame, least_words: int) -> DataFrame:
-    """A row per non-blank line: id, no, two hashes of the line, its number of words and keys of its ends."""
-    lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("no", "raw")).select("id", "no", normal(F.col("raw")).alias("line")).where("line <> ''")
-    count = F.length("line") - F.length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
+def _lines(docs: DataFrame, least_words: int) -> DataFrame:
+    """A row per non-blank line: id, no, line, two hashes of it, its number of words n, p, and ends: keys of its first and last p
+    words, and of twice as many if a line with a word more would take those."""
+    # The outer form of explode: the plain one makes Spark test the array beforehand, which computes it twice.
+    lines = docs.select("id", F.posexplode_outer(F.split("text", "\n")).alias("no", "raw")).where(F.btrim("raw", F.lit(_BLANKS)) != "").select("id", "no", normal(F.col("raw")).alias("line"))
+    count = F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
     lines = lines.select("id", "no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"), count.cast("int").alias("n"))
-    half = F.expr("cast(shiftleft(1, cast(floor(log2(n / 2)) as int)) as int)")
+    lines = lines.withColumn("p", F.expr("cast(shiftleft(1, cast(floor(log2(greatest(n, 2) / 2)) as int)) as int)"))
 
     def keys(p: Column) -> list[Column]:
         front = F.call_function("substring_index", F.col("line"), F.lit(" "), p)
         rear = F.call_function("substring_index", F.col("line"), F.lit(" "), -p)
         return [F.xxhash64(F.lit("front"), p, front), F.xxhash64(F.lit("rear"), p, rear)]
 
-    doubled = half * 2
+    p = F.col("p")
     crossing = F.col("n").bitwiseAND(F.col("n") + 1) == 0
-    ends = F.when(F.col("n") < least_words, F.array().cast("array<bigint>")).when(crossing, F.array(*keys(half), *keys(doubled))).otherwise(F.array(*keys(half)))
-    return lines.select("id", "no", "h1", "h2", "n", ends.alias("ends"))
-
-
-def near_links(docs: DataFrame, first: DataFrame) -> DataFrame:
-    """first(h1, h2, id, no, n, ends), distinct lines: places (id, no) of those that have an earlier near line."""
-    keyed = first.select("h1", "h2", F.explode("ends").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
-    found = first.where(F.size("ends") > 0).join(keyed.join(shared, "key", "left_semi").select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
-    places = found.groupBy("id").agg(F.sort_array(F.collect_list("no")).alias("nos"))
-    own = docs.join(places, "id").dropDuplicates(["id"]).select("id", F.explode("nos").alias("no"), "text")
-    own = own.select("id", "no", F.split(normal(F.get(F.split("text", "\n"), F.col("no"))), " ").alias("words"))
-    own = own.select(F.struct("id", "no").alias("place"), "words", F.size("words").alias("n"))
-
-    placed = own.select("place", "n", F.posexplode("words").alias("at", "word"))
-    placed = placed.select("place", "n", "at", _part(F.col("word"), F.col("at")).alias("here"), _part(F.col("word"), F.col("at") - 1).alias("left"))
-    line = Window.partitionBy("place")
-    along = line.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    behind = line.orderBy("at").rowsBetween(1, Window.unboundedFollowing)
+    ends = F.when(F.col("n") < least_words, F.array().cast("array<bigint>")).when(crossing, F.array(*keys(p), *keys(p * 2))).otherwise(F.array(*keys(p)))
+    return lines.withColumn("ends", ends)
+
+
+def _marks(keys: DataFrame) -> DataFrame:
+    """The bit table of keys(key): mark, bits."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("key", 32), F.lit(63)).cast("int"))
+    return F.broadcast(keys.groupBy(F.pmod("key", F.lit(_MARKS)).alias("mark")).agg(F.bit_or(bit).alias("bits")))
+
+
+def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows whose key may be in the table."""
+    bit = F.pmod(F.shiftright("key", 32), F.lit(63)).cast("int")
+    hit = F.call_function("shiftright", F.col("bits"), bit).bitwiseAND(F.lit(1).cast("long")) == 1
+    return rows.withColumn("mark", F.pmod("key", F.lit(_MARKS))).join(marks, "mark").where(hit).drop("mark", "bits")
+
+
+def near_places(docs: DataFrame, first: DataFrame, least_words: int) -> DataFrame:
+    """first(id, no, ends), distinct lines: places (id, no) of those that have an earlier near line."""
+    shared = first.select(F.explode("ends").alias("key")).groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
+    ends = _lines(docs, least_words).select("id", "no", "line", "h1", "h2", "n", "p", F.posexplode_outer("ends").alias("end", "key"))
+    own = _marked(ends, _marks(shared)).groupBy("h1", "h2").agg(
+        F.min(F.struct("id", "no")).alias("place"), F.first("line").alias("line"), F.first("n").alias("n"), F.first("p").alias("p"), F.max(F.col("end") == 0).alias("front"), F.max(F.col("end") == 1).alias("rear")
+    )
+    own = written(own.select("place.id", "place.no", "n", "p", "front", "rear", F.split("line", " ").alias("words")), "candidates")
+
+    placed = own.repartition("id", "no").select("id", "no", "n", "p", "front", "rear", F.posexplode("words").alias("at", "word"))
+    placed = placed.select("id", "no", "n", "at", ((F.col("front") & (F.col("at") >= F.col("p"))) | (F.col("rear") & (F.col("at") < F.col("n") - F.col("p")))).alias("open"), _part(F.col("word"), F.col("at")).alias("here"), _part(F.col("word"), F.col("at") - 1).alias("left"))
+    line = Window.partitionBy("id", "no").orderBy("at")
+    along, behind = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
     zero = F.lit(0).cast("long")
-    sums = placed.select("place", "n", "at", (F.coalesce(F.sum("here").over(along), zero) + F.coalesce(F.sum("left").over(behind), zero)).alias("sum"))
-    whole = placed.groupBy("place", "n").agg(F.sum("here").alias("sum")).select("place", F.lit(-1).alias("at"), F.xxhash64(F.lit("in"), "n", "sum").alias("key"))
-    swapped = sums.select("place", "at", F.xxhash64(F.lit("swap"), "n", "at", "sum").alias("key"))
-    longer = sums.select("place", "at", F.xxhash64(F.lit("in"), F.col("n") - 1, F.col("sum")).alias("key"))
-
-    centre = swapped.groupBy("key").agg(F.min("place").alias("with"), F.count("*").alias("m")).where("m > 1").select("key", "with")
-    swaps = swapped.join(centre, "key").where("place > with").select("place", "with", "at", F.lit(True).alias("swap"))
-    inserted = longer.join(whole.select("key", F.col("place").alias("with")), "key").select("place", "with", "at", F.lit(False).alias("swap"))
-    links = swaps.union(inserted).distinct()
-    a, b = own.select("place", F.col("words").alias("a")), own.select(F.col("place").alias("with"), F.col("words").alias("b"))
-    both = links.join(a, "place").join(b, "with")
+    sums = placed.select("id", "no", "n", "at", "open", (F.coalesce(F.sum("here").over(along), zero) + F.coalesce(F.sum("left").over(behind), zero)).alias("sum")).where("open")
+    sums = written(sums.select("id", "no", "at", F.xxhash64(F.lit("swap"), "n", "at", "sum").alias("swap"), F.xxhash64(F.lit("in"), F.col("n") - 1, F.col("sum")).alias("in")), "variants")
+    whole_sum = F.aggregate(F.transform("words", lambda w, i: _part(w, i)), zero, lambda s, x: s + x)
+    whole = own.select(F.col("id").alias("wid"), F.col("no").alias("wno"), F.xxhash64(F.lit("in"), "n", whole_sum).alias("key"))
+
+    swapped = sums.select("id", "no", "at", F.col("swap").alias("key"))
+    centre = swapped.groupBy("key").agg(F.min(F.struct("id", "no")).alias("with"), F.count("*").alias("m")).where("m > 1").select("key", F.col("with.id").alias("wid"), F.col("with.no").alias("wno"))
+    swaps = _marked(swapped, _marks(centre.select("key"))).join(centre, "key").where("id <> wid or no <> wno").withColumn("swap", F.lit(True))
+    inserted = _marked(sums.select("id", "no", "at", F.col("in").alias("key")), _marks(whole.select("key"))).join(whole, "key").withColumn("swap", F.lit(False))
+    links = swaps.unionByName(inserted).drop("key").distinct()
+    a, b = own.select("id", "no", F.col("words").alias("a")), own.select(F.col("id").alias("wid"), F.col("no").alias("wno"), F.col("words").alias("b"))
+    both = links.join(a, ["id", "no"]).join(b, ["wid", "wno"])
     cut = lambda w: F.concat(F.slice(w, F.lit(1), F.col("at")), F.slice(w, F.col("at") + 2, F.size(w)))
     within = F.when(F.col("swap"), cut("a") == cut("b")).otherwise(cut("a") == F.col("b"))
-    return both.where(within).select(F.greatest("place", "with").alias("place")).distinct().select("place.id", "place.no")
+    later = F.greatest(F.struct("id", "no"), F.struct(F.col("wid").alias("id"), F.col("wno").alias("no")))
+    return both.where(within).select(later.alias("place")).distinct().select("place.id", "place.no")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 8) -> DataFrame:
@@ -91,14 +116,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     least = F.lit(-(1 << 63)).cast("long")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), least).alias("id"), F.col(text_col).alias("text"))
-    first = _ends(rows.where(F.col("text").isNotNull()), least_words).groupBy("h1", "h2").agg(F.min(F.struct("id", "no")).alias("place"), F.first("n").alias("n"), F.first("ends").alias("ends"))
-    first = written(first.select("h1", "h2", "place.id", "place.no", "n", "ends"), "lines")
-    near = near_links(rows, first).withColumn("near", F.lit(True))
+    texts = rows.where(F.col("text").isNotNull())
+    first = _lines(texts, least_words).groupBy("h1", "h2").agg(F.min(F.struct("id", "no")).alias("place"), F.first("ends").alias("ends"))
+    first = written(first.select("place.id", "place.no", "ends"), "lines")
+    near = near_places(texts, first, least_words).withColumn("near", F.lit(True))
     stay = first.select("id", "no").join(near, ["id", "no"], "left")
     by_doc = stay.groupBy("id").agg(F.collect_list(F.when(F.col("near").isNull(), F.col("no"))).alias("stay"), F.count("near").alias("n_near"))
     whole = rows.join(by_doc, "id", "left").withColumn("lines", F.split("text", "\n"))
     none = F.array().cast("array<int>")
-    blank = F.filter(F.transform("lines", lambda x, i: F.when(x.rlike(r"[^\x20\x09-\x0D]"), -1).otherwise(i)), lambda i: i >= 0)
+    blank = F.filter(F.transform("lines", lambda x, i: F.when(F.btrim(x, F.lit(_BLANKS)) != "", -1).otherwise(i)), lambda i: i >= 0)
     places = F.array_intersect(F.sequence(F.lit(0), F.size("lines") - 1), F.concat(F.coalesce("stay", none), blank))
     whole = whole.withColumn("kept", F.transform(places, lambda i: F.get("lines", i)))
     dropped = F.size("lines") - F.size("kept")
