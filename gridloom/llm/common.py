@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +49,14 @@ def without(df: DataFrame, names: list[str]) -> list[Column]:
     """Columns of df, less those whose names the caller is about to add (compared without case, as Spark does)."""
     taken = {n.lower() for n in names}
     return [df[f"`{c}`"] for c in df.columns if c.lower() not in taken]
+
+
+def by_size(batch: pa.RecordBatch, place: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `most` bytes of text, so that memory doesn't follow the batch."""
+    size = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in batch.column(place)])
+    cut = (np.cumsum(size) // most).tolist()
+    start = 0
+    for i in range(1, len(cut) + 1):
+        if i == len(cut) or cut[i] != cut[start]:
+            yield batch.slice(start, i - start)
+            start = i

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import by_size
+
 #: Runs of letters.
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: First and last code point of script ranges, by name; letters outside them are script "other".
@@ -264,7 +266,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for whole in batches:
-            for b in _by_size(whole, place):
+            for b in by_size(whole, place):
                 texts = b.column(place).to_pylist()
                 lang, score = predict(texts, own, penalty)
                 columns = [b.column(i) for i in at] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
@@ -277,16 +279,5 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
     return docs.mapInArrow(run, out_schema)
 
 
-def _by_size(batch: pa.RecordBatch, place: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `most` bytes of text, so that memory doesn't follow the batch."""
-    size = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in batch.column(place)])
-    cut = (np.cumsum(size) // most).tolist()
-    start = 0
-    for i in range(1, len(cut) + 1):
-        if i == len(cut) or cut[i] != cut[start]:
-            yield batch.slice(start, i - start)
-            start = i
-
-
 def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 3 == 1

@@ -14,13 +14,17 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import by_size
+
 MAGIC = b"WMX1"
 _BLOCK = 512
 
@@ -156,7 +160,8 @@ class Encoder:
     """Ids of whole texts, kept by word.
 
     This vocabulary's pre-tokenizer never joins across white space, so the ids of a text are those of its pieces between ASCII
-    white space, one after the other; each new piece goes through the tokenizers library once while it is kept.
+    white space, one after the other; each new piece goes through the tokenizers library once while it is kept. A piece of letters up
+    to U+00FF alone is one word in normal form, which the library's model takes directly; others take the whole way.
     """
 
     _made: dict[str, Encoder] = {}
@@ -168,32 +173,75 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def __init__(self, path: str, keep: int = 800_000):
+    def __init__(self, path: str, keep: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core already
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
+        self.model = self.tokenizer.model
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
 
-    def encode(self, text: str) -> np.ndarray:
-        pieces = text.encode("utf-8").split()
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has. Each distinct piece is looked up once."""
+        lists = pc.ascii_split_whitespace(texts)
+        pieces = lists.flatten().dictionary_encode()
+        every, place = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
         known = self.known
-        new = list(set(pieces).difference(known))
-        if new:
-            if len(known) + len(new) > self.keep:
-                known.clear()
-                new = list(set(pieces))
-            for at in range(0, len(new), 4096):
-                part = new[at : at + 4096]
-                for p, e in zip(part, self.tokenizer.encode_batch_fast([x.decode("utf-8") for x in part], add_special_tokens=False)):
-                    known[p] = np.array(e.ids, self.dtype).tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, pieces)), self.dtype)
+        new = [p for p in every if p not in known]
+        if len(known) + 2 * len(new) > self.keep:
+            known.clear()
+            new = every
+        parts = [(p, *_parted(p)) for p in new]
+        plain = []
+        for core in {x for _, core, tail in parts for x in (core, tail)}.difference(known):
+            if core.isalpha() and max(core) <= "\u00ff":
+                low = core if core.isascii() else core.encode("utf-8").decode("latin-1").translate(_BYTE_LEVEL)
+                known[core] = array(self.code, [t.id for t in self.model.tokenize(low)]).tobytes()
+            else:
+                plain.append(core)
+        for at in range(0, len(plain), 4096):
+            some = plain[at : at + 4096]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[p] = array(self.code, e.ids).tobytes()
+        for p, core, tail in parts:
+            known[p] = known[core] + known[tail]
+        held = list(map(known.__getitem__, every))
+        flat = np.frombuffer(b"".join(held), self.dtype)
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // self.dtype.itemsize
+        own = sizes[place]
+        ends = np.cumsum(own)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[place] - (ends - own), own) + np.arange(total)]
+        bounds = np.concatenate([np.zeros(1, np.int64), ends])[np.concatenate([np.zeros(1, np.int64), np.cumsum(lists.value_lengths().to_numpy())])]
+        return ids, np.diff(bounds)
+
+
+def _byte_level() -> dict[int, int]:
+    """The byte-level alphabet: bytes that print stand for themselves, the others for 256, 257 and so on in order."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in prints)}
+
+
+_BYTE_LEVEL = _byte_level()
+
+
+def _parted(piece: str) -> tuple[str, str]:
+    """A piece as two with the same ids: letters up to U+00FF in lower case (as the vocabulary has it), and full stops and commas after
+    a last letter apart, since the pre-tokenizer ends a word where its letters end. Pieces that may hold a special token stay whole."""
+    if "<|" in piece:
+        return piece, ""
+    simple = max(piece, default="") <= "\u00ff"
+    core = piece.rstrip(".,")
+    if simple and core != piece and core and core[-1].isalpha():
+        return core.lower(), piece[len(core) :]
+    return piece.lower() if simple else piece, ""
 
 
 STORE = "first_doc long, seq int, n_docs long, n_tokens long, data binary"
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, shard_tokens: int = 1 << 21, partition_bytes: int = 32 << 20) -> None:
+def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, shard_tokens: int = 1 << 19, partition_bytes: int = 32 << 20) -> None:
     """Write token shards of all docs in ascending id order (null ids first, ties by text) under path.
 
     The end id follows each document; null and empty texts are the end id alone. A shard holds whole documents, so one longer than
@@ -216,15 +264,18 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
             if encoder is None:
                 encoder = Encoder.of(vocabulary)
                 end = np.array([end_id], encoder.dtype)
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                new = encoder.encode(text.as_py())
-                if ids and total + len(new) + 1 > shard_tokens:
-                    yield shard()
-                    ids, ends, names, total, seq = [], [], [], 0, seq + 1
-                ids += [new, end]
-                total += len(new) + 1
-                ends.append(total)
-                names.append(doc)
+            for part in by_size(batch, 1):
+                found, counts = encoder.encode(part.column(1))
+                at = 0
+                for doc, n in zip(part.column(0).to_pylist(), counts.tolist()):
+                    if ids and total + n + 1 > shard_tokens:
+                        yield shard()
+                        ids, ends, names, total, seq = [], [], [], 0, seq + 1
+                    ids += [found[at : at + n], end]
+                    at += n
+                    total += n + 1
+                    ends.append(total)
+                    names.append(doc)
         if ids:
             yield shard()
 

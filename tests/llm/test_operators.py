@@ -304,7 +304,7 @@ def test_tokens(spark, docs, hard, none):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    odd = spark.createDataFrame([(-3, "it's I'LL <|endoftext|>a b<|startoftext|> e\u0301 \u0301x ΣΑΣ Σ 1234 a\u2003b \x1c x"), (-2, "<|endoftext|>")], "doc_id long, text string")
+    odd = spark.createDataFrame([(-3, "it's I'LL <|endoftext|>a b<|startoftext|> e\u0301 \u0301x ΣΑΣ Σ 1234 a\u2003b \x1c x"), (-2, "<|endoftext|>"), (-1, "The. the, THE., é.. É., e\u0301. İ. a.b. 1. '. it's. IT'S., <|ENDOFTEXT|>. <|endoftext|>. ... , ß. x.")], "doc_id long, text string")
     for table, most in ((docs, 1 << 21), (docs, 3000), (hard, 100), (none, 100), (odd, 5)):
         to = new_path(spark, "tokens")
         token_store.write_tokens(table, to, path, shard_tokens=most, partition_bytes=100_000)
