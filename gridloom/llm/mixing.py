@@ -64,7 +64,7 @@ def _overlap(low: Column, high: Column) -> Column:
     return F.struct(F.greatest("start", low).alias("from"), F.least("stop", high).alias("to"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block_words: int = 16, shard_words: int = 1 << 24, seed: int = 11, keep_row: bool = False) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block_words: int = 16, shard_words: int = 1 << 20, seed: int = 11, keep_row: bool = False) -> DataFrame:
     """doc_id, size, source_size, target, taken, shard, passes and spans for every row of docs (and `row`, a struct of it, if asked).
 
     size: words of the text, null none. passes: whole times the document is taken; spans: word ranges taken once more. taken is
