@@ -54,7 +54,7 @@ def time_nearest(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame
     known = df.where("value is not null").select(*keys, F.col("date").alias("t"), F.struct(F.col("date"), F.col("value")).alias("point"), F.lit(False).alias("asked"))
     both = known.unionByName(wanted.select(*keys, F.col("at").alias("t"), F.lit(None).alias("point"), F.lit(True).alias("asked")))
     by = Window.partitionBy(*keys).orderBy("t")
-    both = both.withColumn("b", F.last("point", True).over(by.rangeBetween(Window.unboundedPreceding, 0))).withColumn("a", F.first("point", True).over(by.rangeBetween(0, Window.unboundedFollowing)))
+    both = both.withColumn("b", F.last("point", True).over(by.rangeBetween(Window.unboundedPreceding, 0))).withColumn("a", F.last("point", True).over(Window.partitionBy(*keys).orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, 0)))
     near = F.when(F.col("a").isNull() | (F.datediff("t", "b.date") <= F.datediff("a.date", "t")), F.col("b")).otherwise(F.col("a"))
     return both.where("asked").select(*keys, F.col("t").alias("at"), near.alias("p")).select(*keys, "at", F.col("p.date").alias("date"), F.col("p.value").alias("value"))
 
