@@ -7,6 +7,9 @@ the driver receives only the counters. A language's scripts are those that hold
 Prediction. A word's script narrows the languages (none with that script: all stay), its score is the mean log-odds of its n-grams,
 and Viterbi with a penalty for each switch labels the words, which gives spans of one language. The document's language has
 the most letters in its spans; the score is its share of letters times the mean posterior of those words.
+
+Evidence. The score only compares languages. What can tell a text of none of them is absolute: the share of letters in words whose
+script no language uses, and how far the log likelihood of the n-grams lies under that of the languages' own training texts.
 """
 
 from __future__ import annotations
@@ -67,9 +70,11 @@ def grams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.nd
 class Model:
     """Languages, log-odds of the hashed n-grams (buckets x languages) and which scripts each language uses."""
 
-    def __init__(self, languages: list[str], odds: np.ndarray, allowed: np.ndarray, keep: int = 400_000):
+    def __init__(self, languages: list[str], odds: np.ndarray, allowed: np.ndarray, keep: int = 400_000, level: np.ndarray | None = None, spread: np.ndarray | None = None):
+        self.level, self.spread = level, spread  # log likelihoods less each language's mean (buckets x languages), and their deviations
         self.languages, self.odds, self.allowed, self.keep = languages, odds, allowed, keep
         self.known: dict[str, int] = {}
+        self.depth, self.native = np.zeros((1024, max(1, len(languages))), np.float32), np.zeros(1024, bool)
         self.table, self.sizes, self.used = np.zeros((1024, max(1, len(languages))), np.float32), np.zeros(1024, np.int32), 0
 
     @classmethod
@@ -77,7 +82,10 @@ class Model:
         """counts: buckets x languages; letters: scripts x languages."""
         share = (counts + 0.5) / (counts.sum(axis=0) + 0.5 * len(counts))
         odds = np.log(share) - np.log(share.mean(axis=1, keepdims=True))
-        return cls(languages, odds.astype(np.float32), letters >= 0.05 * np.maximum(1, letters.sum(axis=0)))
+        level, own = np.log(share), counts / np.maximum(1, counts.sum(axis=0))
+        level -= (own * level).sum(axis=0)
+        spread = np.sqrt((own * level**2).sum(axis=0))
+        return cls(languages, odds.astype(np.float32), letters >= 0.05 * np.maximum(1, letters.sum(axis=0)), level=level.astype(np.float32), spread=spread)
 
     def scores(self, words: list[str]) -> np.ndarray:
         """Score rows of words, not kept."""
@@ -88,6 +96,11 @@ class Model:
         can |= ~can.any(axis=1, keepdims=True)
         return np.where(can, 3 * mean, np.float32(-50))
 
+    def depths(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the n-grams' log likelihoods, and whether a language uses the word's script."""
+        owner, bucket, script = grams([w.lower() for w in words], len(self.odds))
+        return np.add.reduceat(self.level[bucket], np.searchsorted(owner, np.arange(len(words))), axis=0), self.allowed[script].any(axis=1)
+
     def rows(self, found: list[str]) -> np.ndarray:
         """Places of the words in the table of scores, which are made once while they are kept."""
         known = self.known
@@ -100,6 +113,10 @@ class Model:
             while self.used + len(part) > len(self.table):
                 self.table, self.sizes = np.concatenate([self.table, np.zeros_like(self.table)]), np.concatenate([self.sizes, np.zeros_like(self.sizes)])
             self.table[self.used : self.used + len(part)] = self.scores(part)
+            if self.level is not None:
+                while self.used + len(part) > len(self.native):
+                    self.depth, self.native = np.concatenate([self.depth, np.zeros_like(self.depth)]), np.concatenate([self.native, np.zeros_like(self.native)])
+                self.depth[self.used : self.used + len(part)], self.native[self.used : self.used + len(part)] = self.depths(part)
             self.sizes[self.used : self.used + len(part)] = np.fromiter(map(len, part), np.int32, len(part))
             known.update(zip(part, range(self.used, self.used + len(part))))
             self.used += len(part)
@@ -205,6 +222,28 @@ def predict(texts: list[str | None], model: Model, penalty: float = 4.0) -> tupl
     return names, values
 
 
+def evidence(texts: list[str | None], model: Model, penalty: float = 4.0) -> tuple[list[float], list[float]]:
+    """foreign and level of each text. foreign: the share of its letters in words of a script that no language of the model uses.
+    level: the mean log likelihood of the n-grams of its other words, in the languages that they are labelled with, less that of those
+    languages' training texts, and three standard errors more, as short texts vary. Without such words 0."""
+    foreign, level = np.zeros(len(texts)), np.zeros(len(texts))
+    found = [_LETTERS.findall(t) if t else [] for t in texts]
+    lengths = np.array([len(f) for f in found], np.int64)
+    if not model.languages or not lengths.sum():
+        return foreign.tolist(), level.tolist()
+    rows = model.rows(list(chain.from_iterable(found)))
+    full = np.flatnonzero(lengths)
+    starts = (np.cumsum(lengths) - lengths)[full]
+    labels = label(model.table[rows], starts, lengths[full], penalty)
+    size, native = model.sizes[rows].astype(np.float64), model.native[rows]
+    n = np.where(native, 3 * size + 1, 0.0)  # n-grams of a word with its edges
+    total = lambda x: np.add.reduceat(x, starts)
+    foreign[full] = total(np.where(native, 0.0, size)) / total(size)
+    depth = np.where(native, model.depth[rows, labels], 0.0)
+    level[full] = (total(depth) + 3 * np.sqrt(total(n * model.spread[labels] ** 2))) / np.maximum(1.0, total(n))
+    return foreign.tolist(), level.tolist()
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 20_000, buckets: int = 1 << 15, most_languages: int = 64, seed: int = 5) -> Model:
     """Fit on a seeded sample of at most about train_rows rows with text and language.
 
@@ -247,19 +286,21 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Model.fit(languages, counts, letters)
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 4.0, with_spans: bool = False) -> DataFrame:
-    """docs with lang_pred and score (and spans, if asked); input columns of those names are replaced.
+def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 4.0, with_spans: bool = False, with_evidence: bool = False) -> DataFrame:
+    """docs with lang_pred and score (and spans, or foreign and level, if asked); input columns of those names are replaced.
 
     lang_pred is 'und', score 0, where the text is null or has no letter, or the model knows no language. All other texts, however short or long, get a
     language of the model. Only the text is looked at.
     """
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((model.languages, model.odds, model.allowed))
-    names = ["lang_pred", "score"] + ["spans"] * with_spans
+    shared = sc.broadcast((model.languages, model.odds, model.allowed, model.keep, *((model.level, model.spread) if with_evidence else ())))
+    names = ["lang_pred", "score"] + ["spans"] * with_spans + ["foreign", "level"] * with_evidence
     kept = [c for c in docs.columns if c.lower() not in names]
     out_schema = docs.select(*(docs[f"`{c}`"] for c in kept)).schema.add("lang_pred", "string").add("score", "double")
     if with_spans:
         out_schema = out_schema.add("spans", T.ArrayType(T.StructType().add("start", "integer").add("stop", "integer").add("lang", "string")))
+    if with_evidence:
+        out_schema = out_schema.add("foreign", "double").add("level", "double")
     place = docs.columns.index(text_col)
     at = [docs.columns.index(c) for c in kept]
 
@@ -273,6 +314,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
                 if with_spans:
                     found = [[{"start": s, "stop": e, "lang": x} for s, e, x in spans_of(t, own, penalty)] if t else [] for t in texts]
                     columns.append(pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("lang", pa.string())]))))
+                if with_evidence:
+                    columns += [pa.array(x, pa.float64()) for x in evidence(texts, own, penalty)]
                 yield pa.RecordBatch.from_arrays(columns, names=out_names)
 
     out_names = out_schema.names
