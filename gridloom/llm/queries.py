@@ -61,7 +61,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    docs, path = table(spark, sf_dir, "documents"), new_path(spark, "shards")
+    sharding.write_shards(docs, path)
+    out = sharding.read_shards(spark, path, docs.schema)
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 

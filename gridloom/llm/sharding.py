@@ -9,8 +9,9 @@ chunk, and running sums over buckets give gapless slots. All draws are hashes: a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import without
 
@@ -69,3 +70,16 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     placed = ranked.join(chunks, ["shard", "bucket", "chunk"])
     slot = F.col("first") + F.get("perm", (F.col("rank") % bucket_rows).cast("int"))
     return placed.select(*(F.col("row")[c].alias(c) for c in kept), "size", "text_crc32", F.lit("key").alias("law"), "shard", slot.alias("slot"), "grown_shard")
+
+
+def write_shards(docs: DataFrame, path: str, **how) -> None:
+    """Whole rows of shard_documents as files: a folder a shard, rows of a file in slot order. size and text_crc32 are left to the reader."""
+    placed = shard_documents(docs, **how).drop("size", "text_crc32")
+    placed.repartition("shard", F.floor(F.col("slot") / 4096)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema, text_col: str = "text") -> DataFrame:
+    """Rows of written shards, with size and text_crc32 of the text as stored; schema: that of the documents."""
+    placed = T.StructType([f for f in schema.fields if f.name.lower() not in OUT]).add("law", "string").add("slot", "long").add("grown_shard", "integer").add("shard", "integer")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return spark.read.schema(placed).parquet(path).withColumns({"size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text.cast("binary"))})
