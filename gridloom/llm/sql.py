@@ -86,22 +86,23 @@ ov AS (SELECT doc_id, item_id, s, any_value(m) AS m, any_value(n) AS n, any_valu
 sim AS (SELECT doc_id, item_id, s, any_value(least(m, n)) AS words, sum(o) / (any_value(k) + any_value(m - g + 1) - sum(o)) AS similarity FROM ov GROUP BY doc_id, item_id, s)
 SELECT doc_id, item_id, max(similarity) AS similarity, min_by(s, (-similarity, s))::INT AS start, any_value(words)::INT AS words FROM sim WHERE similarity >= 0.8 - 1e-12 GROUP BY 1, 2"""
 
-def op9(shards: int = 8, seed: int = 7, rows: int = 128) -> str:
+def op9(shards: int = 8, seed: int = 7, size: int = 32 << 20, rows: int = 1 << 14) -> str:
     draw = lambda x: f"('0x' || md5({x})[1:15])::BIGINT"
     shard = lambda n: "list_reverse_sort([" + ", ".join(f"({draw(f"'{seed}:' || doc_id || ':{s}'")}, {s})" for s in range(n)) + "])[1][2]"
+    chunk = 2 * rows
     return f"""
 WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
 h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 d AS (SELECT doc_id, (len(h) // 2 + 1)::BIGINT AS size, xor(list_reduce(list_transform(range(len(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32 FROM h, tab),
-k AS (SELECT greatest(1, ceil(count(*) / {shards * rows}.0))::BIGINT AS buckets FROM d),
-o AS (SELECT *, {shard(shards)}::INT AS shard, {shard(shards + 1)}::INT AS grown_shard, {draw(f"'{seed}:order:' || doc_id || ':' || size || ':' || text_crc32")} AS o FROM d),
-r AS (SELECT *, o % buckets AS bucket, row_number() OVER (PARTITION BY shard, o % buckets ORDER BY o, doc_id, size, text_crc32) - 1 AS rank, count(*) OVER (PARTITION BY shard, o % buckets) AS n FROM o, k),
+k AS (SELECT greatest(1, ceil(sum(size) / {shards * size}.0), ceil(count(*) / {shards * rows}.0))::BIGINT AS buckets FROM d),
+o AS (SELECT *, {shard(shards)}::INT AS shard, {shard(shards + 1)}::INT AS grown_shard, {draw(f"'{seed}:bucket:' || doc_id || ':' || size || ':' || text_crc32")} % buckets AS bucket FROM d, k),
+r AS (SELECT *, row_number() OVER (PARTITION BY shard, bucket ORDER BY doc_id, size, text_crc32) - 1 AS rank, count(*) OVER (PARTITION BY shard, bucket) AS n FROM o),
 b AS (SELECT shard, bucket, n, sum(n) OVER (PARTITION BY shard ORDER BY bucket) - n AS base FROM (SELECT DISTINCT shard, bucket, n FROM r)),
-c AS (SELECT shard, bucket, base, unnest(range((n - 1) // {rows} + 1)) AS chunk, n FROM b),
-f AS (SELECT *, least({rows}, n - chunk * {rows}) - 1 AS i, range(least({rows}, n - chunk * {rows})) AS perm FROM c
+c AS (SELECT shard, bucket, base, unnest(range((n - 1) // {chunk} + 1)) AS chunk, n FROM b),
+f AS (SELECT *, least({chunk}, n - chunk * {chunk}) - 1 AS i, range(least({chunk}, n - chunk * {chunk})) AS perm FROM c
     UNION ALL SELECT shard, bucket, base, chunk, n, i - 1, list_transform(perm, lambda x, place: CASE place - 1 WHEN i THEN perm[j + 1] WHEN j THEN perm[i + 1] ELSE x END) FROM (SELECT *, {draw(f"'{seed}:' || shard || ':' || bucket || ':' || chunk || ':' || i")} % (i + 1) AS j FROM f WHERE i > 0))
-SELECT doc_id, size, text_crc32, 'key' AS law, r.shard, (base + r.rank // {rows} * {rows} + perm[r.rank % {rows} + 1])::BIGINT AS slot, grown_shard
-FROM r JOIN f ON f.shard = r.shard AND f.bucket = r.bucket AND f.chunk = r.rank // {rows} AND f.i = 0"""
+SELECT doc_id, size, text_crc32, 'key' AS law, r.shard, (base + r.rank // {chunk} * {chunk} + perm[r.rank % {chunk} + 1])::BIGINT AS slot, grown_shard
+FROM r JOIN f ON f.shard = r.shard AND f.bucket = r.bucket AND f.chunk = r.rank // {chunk} AND f.i = 0"""
 
 
 SQL = {"op1_warc": OP1, "op2_mixing": op2(), "op4_line_dedup": OP4, "op5_quality": op5(), "op8_decontaminate": OP8, "op9_sharding": op9()}

@@ -419,7 +419,7 @@ def test_block_index():
 # 9: shards
 
 
-@pytest.mark.parametrize("chunk", [128, 4])
+@pytest.mark.parametrize("chunk", [1 << 14, 4])
 def test_shards(spark, docs, hard, none, chunk):
     for table in (docs, hard, none):
         got = rows(sharding.shard_documents(table, bucket_rows=chunk))
@@ -431,15 +431,22 @@ def test_shards(spark, docs, hard, none, chunk):
             assert r["grown_shard"] in (r["shard"], 8) and r["law"] == "key" and 0 <= r["shard"] < 8
             assert where.setdefault(r["doc_id"], r["shard"]) == r["shard"]
         assert all(sorted(s) == list(range(len(s))) for s in by.values())
-        again = sharding.shard_documents(table.repartition(3), bucket_rows=chunk, keep_text=False)
+        again = sharding.shard_documents(table.repartition(3), bucket_rows=chunk)
         assert Counter((r["doc_id"], r["shard"], r["slot"]) for r in rows(again)) == Counter((r["doc_id"], r["shard"], r["slot"]) for r in got)
-    assert "text" not in again.columns
+        assert "BroadcastExchange" not in again._jdf.queryExecution().toString()
 
 
 def test_permutation_is_fisher_yates(spark):
     perm = rows(spark.range(40).select(F.col("id"), sharding._permutation((F.col("id") + 1).cast("int"), F.lit(3)).alias("p")))
     assert all(sorted(r["p"]) == list(range(r["id"] + 1)) for r in perm)
     assert sum(r["p"] == list(range(r["id"] + 1)) for r in perm) < 5
+    for r in perm:
+        n = r["id"] + 1
+        want = list(range(n))
+        for i in range(n - 1, 0, -1):
+            j = int(hashlib.md5(f"3:{i}".encode()).hexdigest()[:15], 16) % (i + 1)
+            want[i], want[j] = want[j], want[i]
+        assert r["p"] == want
 
 
 # 10: languages
