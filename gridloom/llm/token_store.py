@@ -11,6 +11,7 @@ document ends u32, document ids i64, document nulls u8, then per plane zeros u32
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -156,12 +157,36 @@ def from_bytes(data: bytes) -> tuple[WaveletMatrix, np.ndarray, list[int | None]
     return WaveletMatrix(n, alphabet, planes), ends, [None if x else int(d) for d, x in zip(ids, nulls)]
 
 
+#: The steps of the vocabularies whose texts can be encoded piece by piece: words are runs of letters, single digits or runs of other signs.
+_BY_PIECE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
+
+
+def _by_piece(spec: dict) -> bool:
+    """Whether a vocabulary is of this kind: its special tokens hold "<|" and no upper case, and its model takes words by themselves."""
+    model, special = spec["model"], [t["content"] for t in spec["added_tokens"]]
+    steps = all(spec[k] == v for k, v in _BY_PIECE.items()) and spec["post_processor"] is None
+    return steps and model["type"] == "BPE" and not model["dropout"] and all("<|" in t and t == t.lower() and not t.split()[1:] for t in special)
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of flat from each start, one after the other."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class Encoder:
-    """Ids of whole texts, kept by word.
+    """Ids of whole texts.
 
-    This vocabulary's pre-tokenizer never joins across white space, so the ids of a text are those of its pieces between ASCII
+    A vocabulary of the kind above never joins across white space, so the ids of a text are those of its pieces between ASCII
     white space, one after the other; each new piece goes through the tokenizers library once while it is kept. A piece of letters up
-    to U+00FF alone is one word in normal form, which the library's model takes directly; others take the whole way.
+    to U+00FF alone is one word in normal form, which the library's model takes directly; others take the whole way. Texts are encoded
+    whole with any other vocabulary.
     """
 
     _made: dict[str, Encoder] = {}
@@ -178,43 +203,65 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
-        self.model = self.tokenizer.model
+        self.model, self.by_piece = self.tokenizer.model, _by_piece(json.loads(self.tokenizer.to_str()))
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has. Each distinct piece is looked up once."""
+        if not self.by_piece:
+            found = [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, self.dtype), *found]), np.fromiter(map(len, found), np.int64, len(found))
         lists = pc.ascii_split_whitespace(texts)
         pieces = lists.flatten().dictionary_encode()
-        every, place = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
-        known = self.known
-        new = [p for p in every if p not in known]
-        if len(known) + 2 * len(new) > self.keep:
+        place = pieces.indices.to_numpy()
+        cores, tails, ends = _cut(pieces.dictionary)
+        parts = pa.concat_arrays([cores, tails]).dictionary_encode()
+        every, at = parts.dictionary, parts.indices.to_numpy()
+        held = self._held(every)
+        flat = np.frombuffer(b"".join(held), self.dtype)
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        # A piece is its core, and its tail if it has one.
+        start, size = np.zeros((len(cores), 2), np.int64), np.zeros((len(cores), 2), np.int64)
+        start[:, 0], size[:, 0] = starts[at[: len(cores)]], sizes[at[: len(cores)]]
+        start[ends, 1], size[ends, 1] = starts[at[len(cores) :]], sizes[at[len(cores) :]]
+        flat = _gather(flat, start.ravel(), size.ravel())
+        sizes = size.sum(axis=1)
+        own = sizes[place]
+        ids = _gather(flat, (np.cumsum(sizes) - sizes)[place], own)
+        bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum(own)])[np.concatenate([np.zeros(1, np.int64), np.cumsum(lists.value_lengths().to_numpy())])]
+        return ids, np.diff(bounds)
+
+    def _held(self, every: pa.Array) -> list[bytes]:
+        """The ids of each of the distinct parts, as bytes; new ones are encoded first."""
+        known, names = self.known, every.to_numpy(zero_copy_only=False).tolist()
+        new = [p for p in names if p not in known]
+        if len(known) + len(new) > self.keep:
             known.clear()
-            new = every
-        parts = [(p, *_parted(p)) for p in new]
-        plain = []
-        for core in {x for _, core, tail in parts for x in (core, tail)}.difference(known):
-            if core.isalpha() and max(core) <= "\u00ff":
-                low = core if core.isascii() else core.encode("utf-8").decode("latin-1").translate(_BYTE_LEVEL)
-                known[core] = array(self.code, [t.id for t in self.model.tokenize(low)]).tobytes()
+            new = names
+        plain, model, code = [], self.model.tokenize, self.code
+        for p in new:
+            if p.isalpha() and (p.isascii() or max(p) <= "\u00ff"):
+                known[p] = array(code, [t.id for t in model(p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(_BYTE_LEVEL))]).tobytes()
             else:
-                plain.append(core)
+                plain.append(p)
         for at in range(0, len(plain), 4096):
             some = plain[at : at + 4096]
             for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[p] = array(self.code, e.ids).tobytes()
-        for p, core, tail in parts:
-            known[p] = known[core] + known[tail]
-        held = list(map(known.__getitem__, every))
-        flat = np.frombuffer(b"".join(held), self.dtype)
-        sizes = np.fromiter(map(len, held), np.int64, len(held)) // self.dtype.itemsize
-        own = sizes[place]
-        ends = np.cumsum(own)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[place] - (ends - own), own) + np.arange(total)]
-        bounds = np.concatenate([np.zeros(1, np.int64), ends])[np.concatenate([np.zeros(1, np.int64), np.cumsum(lists.value_lengths().to_numpy())])]
-        return ids, np.diff(bounds)
+                known[p] = array(code, e.ids).tobytes()
+        return list(map(known.__getitem__, names))
+
+
+def _cut(pieces: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """Cores of all pieces, tails of some, and which have one: with the same ids, characters up to U+00FF are in lower case (as the vocabulary
+    has it), and full stops and commas after a last letter apart, since the pre-tokenizer ends a word where its letters end. Pieces that may
+    hold a special token, and those with other characters, stay as they are."""
+    simple = pc.and_not(pc.match_substring_regex(pieces, "^[\\x00-\\x{FF}]*$"), pc.match_substring(pieces, "<|"))
+    low = pc.if_else(simple, pc.utf8_lower(pieces), pieces)
+    short = pc.ascii_rtrim(low, ".,")
+    has = pc.and_(pc.and_(simple, pc.not_equal(short, low)), pc.match_substring_regex(short, "[a-z\\x{AA}\\x{B5}\\x{BA}\\x{DF}-\\x{F6}\\x{F8}-\\x{FF}]$"))
+    return pc.if_else(has, short, low), pc.replace_substring_regex(low.filter(has), "^.*[^.,]", ""), has.to_numpy(zero_copy_only=False)
 
 
 def _byte_level() -> dict[int, int]:
@@ -226,18 +273,6 @@ def _byte_level() -> dict[int, int]:
 _BYTE_LEVEL = _byte_level()
 
 
-def _parted(piece: str) -> tuple[str, str]:
-    """A piece as two with the same ids: letters up to U+00FF in lower case (as the vocabulary has it), and full stops and commas after
-    a last letter apart, since the pre-tokenizer ends a word where its letters end. Pieces that may hold a special token stay whole."""
-    if "<|" in piece:
-        return piece, ""
-    simple = max(piece, default="") <= "\u00ff"
-    core = piece.rstrip(".,")
-    if simple and core != piece and core and core[-1].isalpha():
-        return core.lower(), piece[len(core) :]
-    return piece.lower() if simple else piece, ""
-
-
 STORE = "first_doc long, seq int, n_docs long, n_tokens long, data binary"
 
 
