@@ -6,24 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .select import COMPARE
+from .windows import series_keys
 
 
-def doy_stats(df: DataFrame, keys: list[str] = ("cell_id",)) -> DataFrame:
-    return df.where("doy is not null").groupBy(*keys, "doy").agg(F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max"))
+def doy_stats(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    return df.where("doy is not null").groupBy(*(keys or series_keys(df)), "doy").agg(F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max"))
 
 
 def monthly_climatology(df: DataFrame) -> DataFrame:
-    return df.groupBy("cell_id", "month").agg(F.avg("value").alias("mean"))
+    return df.groupBy(*series_keys(df), "month").agg(F.avg("value").alias("mean"))
 
 
-def period_mean(df: DataFrame, first: int, last: int, keys: list[str] = ("cell_id",)) -> DataFrame:
-    return df.where(F.col("year").between(first, last)).groupBy(*keys).agg(F.avg("value").alias("mean"))
+def period_mean(df: DataFrame, first: int, last: int, keys: list[str] | None = None) -> DataFrame:
+    return df.where(F.col("year").between(first, last)).groupBy(*(keys or series_keys(df))).agg(F.avg("value").alias("mean"))
 
 
 def doy_deltas(adjusted: DataFrame, simulated: DataFrame) -> DataFrame:
-    """cell_id, doy, delta and proportion of two DOY means."""
-    a, s = (doy_stats(d).select("cell_id", "doy", F.col("mean").alias(n)) for d, n in ((adjusted, "a"), (simulated, "s")))
-    return a.join(s, ["cell_id", "doy"]).select("cell_id", "doy", (F.col("a") - F.col("s")).alias("delta"), F.try_divide(F.col("a") - F.col("s"), F.col("s")).alias("proportion"))
+    """Series keys, doy, delta and proportion of two DOY means."""
+    keys = series_keys(adjusted)
+    a, s = (doy_stats(d, keys).withColumnRenamed("mean", n) for d, n in ((adjusted, "a"), (simulated, "s")))
+    return a.join(s, [*keys, "doy"]).select(*keys, "doy", (F.col("a") - F.col("s")).alias("delta"), F.try_divide(F.col("a") - F.col("s"), F.col("s")).alias("proportion"))
 
 
 def domain_summary(deltas: DataFrame) -> DataFrame:

@@ -1,7 +1,11 @@
 """Bias adjustment by quantile mapping in day-of-year windows.
 
-Training makes a quantile table (cell_id, doy, q_idx, q, ref_q, hist_q, af); adjusting joins a simulation to it by rank. kind "+" maps
+Training makes a quantile table (series keys, doy, q_idx, q, ref_q, hist_q, af); adjusting joins a simulation to it by rank. kind "+" maps
 by differences, "*" by ratios. Missing quantiles stay null and adjust to null.
+
+A map belongs to a model (and variable) and cell, if the simulation has models: its scenario column is left out of training, as maps of the historical
+scenario adjust all others, and simulations are ranked series by series. A reference without models serves them all. Windows of days are taken from a series
+in one Arrow group, so the shuffle moves each value once.
 """
 
 from __future__ import annotations
@@ -15,8 +19,8 @@ from pyspark.sql import functions as F
 
 from . import windows
 from .aggregate import doy_stats
-from .calendar import noleap_doy
 from .units import clamp
+from .windows import common_keys, day_numbers, series_keys
 
 #: Mapping kind, jitter threshold and dry-day threshold by variable.
 KIND = {"tasmax": "+", "tasmin": "+", "pr": "*", "dtr": "*", "snw": "*"}
@@ -32,12 +36,21 @@ def adjusted(value: Column, af: Column, kind: str) -> Column:
     return value + af if kind == "+" else value * af
 
 
+def _of_model(df: DataFrame) -> DataFrame:
+    return df.drop("scenario")
+
+
+def _joined(df: DataFrame, table: DataFrame, *on: str, how: str = "left") -> DataFrame:
+    """df with a table of maps, on the series keys of both and more."""
+    return df.join(table, [*common_keys(df, table), *on], how)
+
+
 def qdm_train(ref: DataFrame, hist: DataFrame, kind: str = "+", nq: int = 100, window: int = 31, per_cell: bool = True) -> DataFrame:
-    """The quantile table. per_cell: one Arrow group a cell, which moves each value once; else pooled rows and built-in percentiles."""
+    """The quantile table. per_cell: one Arrow group a series, which moves each value once; else pooled rows and built-in percentiles."""
     quantiles: Callable = windows.doy_window_quantiles_per_cell if per_cell else windows.doy_window_quantiles
-    r, h = (quantiles(d, nq, window).select("cell_id", "doy", "q_idx", "q", F.col("value").alias(n)) for d, n in ((ref, "ref_q"), (hist, "hist_q")))
-    both = r.join(h.drop("q"), ["cell_id", "doy", "q_idx"])
-    return both.withColumn("af", factor(F.col("ref_q"), F.col("hist_q"), kind))
+    r, h = (quantiles(_of_model(d), nq, window).withColumnRenamed("value", n) for d, n in ((ref, "ref_q"), (hist, "hist_q")))
+    both = _joined(h, r.drop("q"), "doy", "q_idx", how="inner")
+    return both.select(*series_keys(h), "doy", "q_idx", "q", "ref_q", "hist_q", factor(F.col("ref_q"), F.col("hist_q"), kind).alias("af"))
 
 
 def nearest_node(q: Column, nq: int) -> Column:
@@ -45,61 +58,60 @@ def nearest_node(q: Column, nq: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(nq - 1), F.ceil(q * nq - 1))).cast("int")
 
 
+def _by_rank(ranked: DataFrame, qmap: DataFrame, kind: str, nq: int) -> DataFrame:
+    """Rows with a rank q, adjusted by the factor of the nearest trained quantile."""
+    factors = qmap.select(*series_keys(qmap), "doy", "q_idx", "af")
+    out = _joined(ranked.withColumn("q_idx", nearest_node(F.col("q"), nq)), factors, "doy", "q_idx")
+    return out.withColumn("value", adjusted(F.col("value"), F.col("af"), kind))
+
+
 def qdm_adjust(qmap: DataFrame, sim: DataFrame, kind: str = "+", nq: int = 100, window: int = 31) -> DataFrame:
     """sim with value adjusted by the factor of its rank in its own day-of-year pool."""
-    ranked = windows.rank_in_doy_window(sim, window).withColumn("q_idx", nearest_node(F.col("q"), nq))
-    out = ranked.join(qmap.select("cell_id", "doy", "q_idx", "af"), ["cell_id", "doy", "q_idx"], "left")
-    return out.withColumn("value", adjusted(F.col("value"), F.col("af"), kind)).select(*sim.columns)
+    return _by_rank(windows.rank_in_doy_window(sim, window), qmap, kind, nq).select(*sim.columns)
 
 
 def eqm_adjust(qmap: DataFrame, sim: DataFrame, kind: str = "+") -> DataFrame:
     """sim adjusted by the factor of the trained quantile whose value is nearest (the lower of two)."""
-    arrays = qmap.groupBy("cell_id", "doy").agg(F.array_sort(F.collect_list(F.struct("q_idx", "hist_q", "af"))).alias("map"))
+    arrays = qmap.groupBy(*series_keys(qmap), "doy").agg(F.array_sort(F.collect_list(F.struct("q_idx", "hist_q", "af"))).alias("map"))
     near = F.array_min(F.transform("map", lambda m: F.struct(F.abs(m["hist_q"] - F.col("value")).alias("d"), m["q_idx"].alias("i"), m["af"].alias("af"))))["af"]
-    return sim.join(arrays, ["cell_id", "doy"], "left").withColumn("value", adjusted(F.col("value"), near, kind)).select(*sim.columns)
-
-
-def group_mean(df: DataFrame, window: int = 31) -> DataFrame:
-    """cell_id, doy, mean of the pooled window."""
-    return windows.pooled(df, window // 2).groupBy("cell_id", "doy").agg(F.avg("value").alias("mean"))
+    return _joined(sim, arrays, "doy").withColumn("value", adjusted(F.col("value"), near, kind)).select(*sim.columns)
 
 
 def detrend_linear(df: DataFrame, degree: int = 1) -> DataFrame:
-    """Adds trend: the mean (degree 0) or the least-squares line over years of each cell and day of the year."""
-    y = F.col("year").cast("double")
-    v = F.when(F.col("value").isNotNull(), F.col("value"))
-    fit = df.groupBy("cell_id", "doy").agg(F.avg(v).alias("__m"), F.regr_slope("value", y).alias("__b"), F.regr_intercept("value", y).alias("__a"))
+    """Adds trend: the mean (degree 0) or the least-squares line over years of each series and day of the year."""
+    keys, y, v = series_keys(df), F.col("year").cast("double"), F.col("value")
+    fit = df.groupBy(*keys, "doy").agg(F.avg(v).alias("__m"), F.regr_slope(v, y).alias("__b"), F.regr_intercept(v, y).alias("__a"))
     line = F.coalesce(F.col("__a") + F.col("__b") * y, F.col("__m")) if degree else F.col("__m")
-    return df.join(fit, ["cell_id", "doy"]).withColumn("trend", line).drop("__m", "__a", "__b")
+    return df.join(fit, [*keys, "doy"]).withColumn("trend", line).drop("__m", "__a", "__b")
+
+
+def smooth(x: np.ndarray, v: np.ndarray, how: str, share: float) -> np.ndarray:
+    """The cubic or the LOESS curve of v over x at each x; values that are missing don't count."""
+    ok = ~np.isnan(v)
+    if not ok.any():
+        return np.full(len(v), np.nan)
+    if how == "poly3":
+        degree = min(3, len(np.unique(x[ok])) - 1)
+        centre = x[ok].mean()
+        return np.polyval(np.polyfit(x[ok] - centre, v[ok], degree), x - centre)
+    k = max(2, int(np.ceil(share * ok.sum())))
+    d = np.abs(x[:, None] - x[ok][None, :])
+    reach = np.sort(d, axis=1)[:, min(k, d.shape[1]) - 1 : min(k, d.shape[1])]
+    w = np.clip(1 - (d / np.maximum(reach * (1 + 1e-9), 1e-9)) ** 3, 0, None) ** 3
+    return (w * v[ok]).sum(axis=1) / w.sum(axis=1)
 
 
 def detrend_series(df: DataFrame, how: str = "poly3", share: float = 0.2) -> DataFrame:
-    """Adds trend per cell and day of the year by a cubic ("poly3") or by LOESS of degree 0 with tricube weights ("loess")."""
-
-    def smooth(x: np.ndarray, v: np.ndarray) -> np.ndarray:
-        ok = ~np.isnan(v)
-        if not ok.any():
-            return np.full(len(v), np.nan)
-        if how == "poly3":
-            degree = min(3, len(np.unique(x[ok])) - 1)
-            centre = x[ok].mean()
-            return np.polyval(np.polyfit(x[ok] - centre, v[ok], degree), x - centre)
-        k = max(2, int(np.ceil(share * ok.sum())))
-        d = np.abs(x[:, None] - x[ok][None, :])
-        reach = np.sort(d, axis=1)[:, min(k, d.shape[1]) - 1 : min(k, d.shape[1])]
-        w = np.clip(1 - (d / np.maximum(reach * (1 + 1e-9), 1e-9)) ** 3, 0, None) ** 3
-        return (w * v[ok]).sum(axis=1) / w.sum(axis=1)
-
-    def run(table: pa.Table) -> pa.Table:
+    """Adds trend per series and day of the year by a cubic ("poly3") or by LOESS of degree 0 with tricube weights ("loess")."""
+
+    def make(table: pa.Table) -> np.ndarray:
         doy, year, value = (table[c].to_numpy() for c in ("doy", "year", "value"))
-        trend = np.full(len(value), np.nan)
-        for d in np.unique(doy):
-            at = np.flatnonzero(doy == d)
-            trend[at] = smooth(year[at].astype(float), value[at])
-        return table.append_column("trend", pa.array(trend, from_pandas=True))
+        trend, order = np.full(len(value), np.nan), np.argsort(doy, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(doy[order])) + 1):
+            trend[at] = smooth(year[at].astype(float), value[at], how, share)
+        return trend
 
-    rows = df.where("doy is not null").select("cell_id", "date", "year", "doy", "value")
-    return rows.groupBy("cell_id").applyInArrow(run, "cell_id long, date date, year int, doy int, value double, trend double")
+    return windows.with_series_column(df.where("doy is not null"), make, "trend")
 
 
 def detrend(df: DataFrame, kind: str) -> DataFrame:
@@ -109,63 +121,97 @@ def detrend(df: DataFrame, kind: str) -> DataFrame:
 
 def dqm_adjust(ref: DataFrame, hist: DataFrame, sim: DataFrame, kind: str = "+", nq: int = 20, window: int = 31, trend: str = "mean") -> DataFrame:
     """Detrended quantile mapping: quantiles of values normalised by their group mean, means scaled apart, the trend put back."""
-    inverse = "-" if kind == "+" else "/"
-    off = lambda v, m: v - m if inverse == "-" else F.try_divide(v, m)
-    norm = lambda d: d.join(group_mean(d, window), ["cell_id", "doy"]).withColumn("value", off(F.col("value"), F.col("mean"))).drop("mean")
-    qmap = qdm_train(norm(ref), norm(hist), kind, nq, window)
-    rm, hm = (group_mean(d, window).withColumnRenamed("mean", n) for d, n in ((ref, "rm"), (hist, "hm")))
-    scaling = rm.join(hm, ["cell_id", "doy"]).select("cell_id", "doy", factor(F.col("rm"), F.col("hm"), kind).alias("scale"))
-    scaled = sim.join(scaling, ["cell_id", "doy"]).withColumn("value", adjusted(F.col("value"), F.col("scale"), kind)).drop("scale")
-    trended = detrend(scaled.select("cell_id", "date", "year", "doy", "value"), trend)
-    flat = trended.withColumn("value", off(F.col("value"), F.col("trend")))
-    out = eqm_adjust(qmap, flat, kind)
-    return out.withColumn("value", adjusted(F.col("value"), F.col("trend"), kind)).drop("trend")
+    off = lambda v, m: v - m if kind == "+" else F.try_divide(v, m)
+    ref, hist = _of_model(ref), _of_model(hist)
+    rm, hm = (windows.doy_window_means(d, window) for d in (ref, hist))
+    norm = lambda d, m: _joined(d, m, "doy", how="inner").withColumn("value", off(F.col("value"), F.col("mean"))).drop("mean")
+    qmap = qdm_train(norm(ref, rm), norm(hist, hm), kind, nq, window)
+    both = _joined(hm.withColumnRenamed("mean", "hm"), rm.withColumnRenamed("mean", "rm"), "doy", how="inner")
+    scaling = both.select(*series_keys(hm), "doy", factor(F.col("rm"), F.col("hm"), kind).alias("scale"))
+    scaled = _joined(sim, scaling, "doy", how="inner").withColumn("value", adjusted(F.col("value"), F.col("scale"), kind)).drop("scale")
+    trended = detrend(scaled, trend)
+    out = eqm_adjust(qmap, trended.withColumn("value", off(F.col("value"), F.col("trend"))), kind)
+    return out.withColumn("value", adjusted(F.col("value"), F.col("trend"), kind)).select(*sim.columns)
+
+
+def dry_excess(ref: DataFrame, hist: DataFrame, threshold: float, window: int = 31) -> DataFrame:
+    """Series keys of hist, doy, rd, hd and top where more of hist's pool (hd) than of ref's (rd) is under the threshold; top: ref's value at
+    hist's dry share, the threshold at least. Both series of a cell are one pair of Arrow groups."""
+    hist = _of_model(hist)
+    keys, common = series_keys(hist), common_keys(hist, ref)
+    # Aliased, so that the two sides have no column in common.
+    ref = ref.join(hist.select(*(F.col(k).alias(k) for k in keys)).distinct(), common)
+    schema = hist.select(*keys).schema.add("doy", "integer").add("rd", "double").add("hd", "double").add("top", "double")
+
+    def run(of_ref: pa.Table, of_hist: pa.Table) -> pa.Table:
+        pools = []
+        for t in (of_ref, of_hist):
+            t = t.sort_by("date")
+            pools.append(dict(windows.doy_pools(day_numbers(t), t["value"].to_numpy(), window // 2)) if len(t) else {})
+        rows = []
+        for d in sorted(pools[0].keys() & pools[1].keys()):
+            r, h = pools[0][d], pools[1][d]
+            rd, hd = (r < threshold).mean(), (h < threshold).mean()
+            if hd > rd:
+                rows.append((d, rd, hd, max(threshold, r[min(len(r) - 1, int(hd * len(r)))])))
+        own = of_hist.select(keys).take(pa.array(np.zeros(len(rows), np.int64)))
+        columns = [pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int32(), pa.float64(), pa.float64(), pa.float64()))]
+        return pa.table([*own.columns, *columns], names=schema.names)
+
+    sides = [d.select(*(F.col(k).alias(k) for k in [*keys, "date", "value"])).groupBy(*keys) for d in (ref, hist)]
+    return sides[0].cogroup(sides[1]).applyInArrow(run, schema)
+
+
+def _uniform(seed: int, keys: list[str]) -> Column:
+    return (F.pmod(F.xxhash64(F.lit(seed), *keys, "date"), F.lit(1 << 40)).cast("double") + 0.5) / float(1 << 40)
 
 
 def adapt_freq(ref: DataFrame, hist: DataFrame, threshold: float, window: int = 31, seed: int = 0) -> DataFrame:
-    """hist with its excess of dry days made wet: where more of its pool than of ref's is under the threshold, days whose rank lies
-    between the two shares get a value drawn between the threshold and ref's quantile at hist's dry share."""
-    half = window // 2
-    dry = lambda d, n: windows.pooled(d, half).groupBy("cell_id", "doy").agg(F.avg((F.col("value") < threshold).cast("double")).alias(n))
-    shares = dry(ref, "rd").join(dry(hist, "hd"), ["cell_id", "doy"]).where("hd > rd")
-    pool = windows.pooled(ref, half).groupBy("cell_id", "doy").agg(F.array_sort(F.collect_list("value")).alias("pool"))
-    top = F.get("pool", F.least(F.size("pool") - 1, F.floor(F.col("hd") * F.size("pool")).cast("int")))
-    shares = shares.join(pool, ["cell_id", "doy"]).select("cell_id", "doy", "rd", "hd", F.greatest(top, F.lit(threshold)).alias("top"))
-    ranked = windows.rank_in_doy_window(hist, window).join(shares, ["cell_id", "doy"], "left")
-    u = (F.pmod(F.xxhash64(F.lit(seed), "cell_id", "date"), F.lit(1 << 40)).cast("double") + 0.5) / float(1 << 40)
-    # Ties share a rank, so the draw says which of the dry days are in the excess.
-    excess = (F.col("value") < threshold) & (u < (F.col("hd") - F.col("rd")) / F.col("hd"))
-    v = (F.pmod(F.xxhash64(F.lit(seed + 1), "cell_id", "date"), F.lit(1 << 40)).cast("double") + 0.5) / float(1 << 40)
-    return ranked.withColumn("value", F.when(excess, threshold + v * (F.col("top") - threshold)).otherwise(F.col("value"))).select(*hist.columns)
+    """hist with its excess of dry days made wet: where more of its pool than of ref's is under the threshold, as large a share of its dry days
+    gets values drawn between the threshold and ref's quantile at hist's dry share. Ties share a rank, so a draw says which of the dry days."""
+    keys = series_keys(hist)
+    out = _joined(hist, dry_excess(ref, hist, threshold, window), "doy")
+    excess = (F.col("value") < threshold) & (_uniform(seed, keys) < (F.col("hd") - F.col("rd")) / F.col("hd"))
+    wet = threshold + _uniform(seed + 1, keys) * (F.col("top") - threshold)
+    return out.withColumn("value", F.when(excess, wet).otherwise(F.col("value"))).select(*hist.columns)
 
 
 def qplad_train(fine: DataFrame, coarse: DataFrame, window: int = 31) -> DataFrame:
-    """cell_id, doy, rank, n, af: fine - coarse for the day at each rank of the coarse pool of a day of the year (experimental)."""
-    both = fine.select("cell_id", "date", F.col("value").alias("f")).join(coarse.select("cell_id", "date", F.col("value").alias("c")), ["cell_id", "date"])
-    ends = both.groupBy("cell_id").agg(F.min("date").alias("__a"), F.max("date").alias("__b"))
-    at = F.explode(F.sequence(F.date_add("date", -(window // 2)), F.date_add("date", window // 2)))
-    pools = both.join(ends, "cell_id").withColumn("__at", at).where("__at between __a and __b").withColumn("doy", noleap_doy(F.col("__at"))).where("doy is not null")
-    order = windows.Window.partitionBy("cell_id", "doy").orderBy("c", "date", "__at")
-    n = F.count("*").over(windows.Window.partitionBy("cell_id", "doy"))
-    return pools.select("cell_id", "doy", (F.row_number().over(order) - 1).alias("rank"), n.alias("n"), (F.col("f") - F.col("c")).alias("af"))
+    """Series keys, doy, rank, n, af: for each rank of the coarse pool of a day of the year, fine - coarse on the day that holds it (the
+    earlier of equals). Every day of a pool is a quantile of its own, as the method asks."""
+    fine, coarse = _of_model(fine), _of_model(coarse)
+    both = coarse.select(*series_keys(coarse), "date", F.col("value").alias("c")).join(fine.select(*common_keys(fine, coarse), "date", F.col("value").alias("f")), [*common_keys(fine, coarse), "date"])
+
+    def make(table: pa.Table) -> dict[str, np.ndarray]:
+        days = day_numbers(table)
+        c, f = windows.on_every_day(days, table["c"].to_numpy(), table["f"].to_numpy())
+        out: dict[str, list] = {"doy": [], "rank": [], "n": [], "af": []}
+        for d, span in windows.doy_spans(int(days[0]), int(days[-1]), window // 2):
+            span = np.sort(span[~np.isnan(c[span]) & ~np.isnan(f[span])])
+            order = span[np.argsort(c[span], kind="stable")]
+            for name, column in (("doy", np.full(len(span), d, np.int32)), ("rank", np.arange(len(span), dtype=np.int32)), ("n", np.full(len(span), len(span), np.int32)), ("af", f[order] - c[order])):
+                out[name].append(column)
+        return {k: np.concatenate(v) for k, v in out.items()}
+
+    return windows.per_series(both, make, "doy int, rank int, n int, af double", series_keys(coarse))
 
 
 def qplad_adjust(analogs: DataFrame, sim: DataFrame, window: int = 31) -> DataFrame:
     """sim plus the analog difference at its rank in its day-of-year pool."""
-    n = analogs.groupBy("cell_id", "doy").agg(F.max("n").alias("n"))
-    ranked = windows.rank_in_doy_window(sim, window).join(n, ["cell_id", "doy"], "left").withColumn("rank", F.least(F.col("n") - 1, F.greatest(F.lit(0), F.round(F.col("q") * (F.col("n") - 1)))).cast("int"))
-    out = ranked.join(analogs.select("cell_id", "doy", "rank", "af"), ["cell_id", "doy", "rank"], "left")
+    n = analogs.groupBy(*series_keys(analogs), "doy").agg(F.max("n").alias("n"))
+    ranked = _joined(windows.rank_in_doy_window(sim, window), n, "doy")
+    ranked = ranked.withColumn("rank", F.least(F.col("n") - 1, F.greatest(F.lit(0), F.round(F.col("q") * (F.col("n") - 1)))).cast("int"))
+    out = _joined(ranked, analogs.drop("n"), "doy", "rank")
     return out.withColumn("value", F.col("value") + F.col("af")).select(*sim.columns)
 
 
 def adjust_methods(ref: DataFrame, hist: DataFrame, sim: DataFrame, kind: str = "+", nq: int = 20, window: int = 31, trends: tuple[str, ...] = ("mean", "poly1", "poly3", "loess")) -> DataFrame:
     """Detrended mapping with each trend, delta mapping and plain mapping of one simulation, stacked under method."""
     qmap = qdm_train(ref, hist, kind, nq, window)
-    cols = ["cell_id", "date", "year", "doy", "value"]
     made = {f"dqm_{t}": dqm_adjust(ref, hist, sim, kind, nq, window, t) for t in trends} | {"qdm": qdm_adjust(qmap, sim, kind, nq, window), "qm": eqm_adjust(qmap, sim, kind)}
     out = None
     for name, df in made.items():
-        one = df.select(F.lit(name).alias("method"), *cols)
+        one = df.select(F.lit(name).alias("method"), *sim.columns)
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -175,31 +221,34 @@ def param_sweep(ref: DataFrame, hist: DataFrame, sim: DataFrame, kind: str, wind
     out = None
     for w in windows_:
         for nq in nqs:
-            one = qdm_adjust(qdm_train(ref, hist, kind, nq, w), sim, kind, nq, w).select(F.lit(w).alias("window"), F.lit(nq).alias("nq"), "cell_id", "date", "year", "doy", "value")
+            one = qdm_adjust(qdm_train(ref, hist, kind, nq, w), sim, kind, nq, w).select(F.lit(w).alias("window"), F.lit(nq).alias("nq"), *sim.columns)
             out = one if out is None else out.unionByName(one)
     return out
 
 
 def sweep_matrix(ref: DataFrame, runs: DataFrame, row: str, column: str, values: list) -> DataFrame:
     """Greatest absolute difference of DOY means from the reference, row parameter by column parameter."""
-    means = doy_stats(runs, ["cell_id", row, column]).select("cell_id", "doy", row, column, F.col("mean").alias("m"))
-    both = means.join(doy_stats(ref).select("cell_id", "doy", F.col("mean").alias("r")), ["cell_id", "doy"])
+    keys = common_keys(runs, ref)
+    means = doy_stats(runs, [*keys, row, column]).select(*keys, "doy", row, column, F.col("mean").alias("m"))
+    both = means.join(doy_stats(ref, keys).select(*keys, "doy", F.col("mean").alias("r")), [*keys, "doy"])
     return both.withColumn("d", F.abs(F.col("m") - F.col("r"))).groupBy(row).pivot(column, values).agg(F.max("d"))
 
 
+def sliding_ranks(days: np.ndarray, values: np.ndarray, half: int, years: int) -> np.ndarray:
+    """Each year's days ranked in the pools of the frame of years - years .. + years around it, widened by half a window."""
+    q, year = np.full(len(values), np.nan), (np.datetime64("1970-01-01") + days.astype(int)).astype("datetime64[Y]").astype(int) + 1970
+    for y in np.unique(year):
+        low, high = (int((np.datetime64(f"{e}-01-01") - np.datetime64("1970-01-01")).astype(int)) for e in (y - years, y + years + 1))
+        frame = slice(np.searchsorted(days, low - half), np.searchsorted(days, high + half))
+        own = year[frame] == y
+        q[np.flatnonzero(year == y)] = windows.doy_ranks(days[frame], values[frame], half)[own]
+    return q
+
+
 def sliding_year_adjust(qmap: DataFrame, sim: DataFrame, kind: str = "+", nq: int = 100, window: int = 31, years: int = 10) -> DataFrame:
-    """Each year ranked among the years - years .. + years around it, and only itself kept. Rows repeat 2 * years + 1 times."""
-    span = sim.agg(F.min("year").alias("a"), F.max("year").alias("b"))
-    first, last = F.col("a"), F.col("b")
-    targets = F.filter(F.sequence(F.col("year") - years - 1, F.col("year") + years + 1), lambda y: (y >= first) & (y <= last))
-    wide = sim.join(F.broadcast(span), how="cross").withColumn("__year", F.explode(targets)).drop("a", "b")
-    start, stop = F.make_date(F.col("__year") - years, F.lit(1), F.lit(1)), F.make_date(F.col("__year") + years, F.lit(12), F.lit(31))
-    wide = wide.where(F.col("date").between(F.date_add(start, -(window // 2)), F.date_add(stop, window // 2)))
-    # A cell in the frame of a target year is a cell of its own.
-    own = wide.withColumn("cell_id", F.col("cell_id") * 10_000 + F.col("__year"))
-    ranked = windows.rank_in_doy_window(own, window).where("year = __year").withColumn("cell_id", F.floor(F.col("cell_id") / 10_000).cast("long"))
-    out = ranked.withColumn("q_idx", nearest_node(F.col("q"), nq)).join(qmap.select("cell_id", "doy", "q_idx", "af"), ["cell_id", "doy", "q_idx"], "left")
-    return out.withColumn("value", adjusted(F.col("value"), F.col("af"), kind)).select(*sim.columns)
+    """Each year ranked among the years - years .. + years around it."""
+    ranked = windows.with_series_column(sim, lambda t: sliding_ranks(day_numbers(t), t["value"].to_numpy(), window // 2, years), "q")
+    return _by_rank(ranked, qmap, kind, nq).select(*sim.columns)
 
 
 def adjust_pipeline(qmap: DataFrame, sim: DataFrame, kind: str, low: float | None, high: float | None, nq: int = 100, window: int = 31) -> DataFrame:
@@ -208,5 +257,5 @@ def adjust_pipeline(qmap: DataFrame, sim: DataFrame, kind: str, low: float | Non
 
 
 def validate_qmap(qmap: DataFrame) -> DataFrame:
-    """cell_id, n_quantiles, ok: it has quantiles and they aren't all null."""
-    return qmap.groupBy("cell_id").agg(F.count("*").alias("n_quantiles"), (F.count("af") > 0).alias("ok"))
+    """Series keys, n_quantiles, ok: it has quantiles and they aren't all null."""
+    return qmap.groupBy(*series_keys(qmap)).agg(F.count("*").alias("n_quantiles"), (F.count("af") > 0).alias("ok"))

@@ -27,18 +27,19 @@ def inserted_days(years: list[int]) -> list[tuple[int, int, int]]:
     for year in years:
         rng = random.Random(year)
         for i in range(5):
-            r = rng.choice(range(72 * i, 72 * (i + 1)))
+            r = rng.randrange(72 * i, 72 * (i + 1))
             out.append((year, i, min(r, 358)))
     return out
 
 
 def cal360_to_noleap(df: DataFrame, first_year: int, last_year: int, keys: list[str] = ("cell_id",)) -> DataFrame:
-    """keys, year, doy360 (1..360), value to 365 days: five days a year are inserted with the mean of their neighbours."""
+    """keys, year, doy360 (1..360), value to 365 days: five days a year are inserted with the mean of their neighbours, or the one of the two that
+    has data; null if neither has."""
     spark = df.sparkSession
     days = F.broadcast(spark.createDataFrame(inserted_days(list(range(first_year, last_year + 1))), "year int, i int, r int"))
-    by = Window.partitionBy(*keys, "year").orderBy("doy360")
-    own = df.withColumn("after", F.lead("value").over(by))
-    added = own.join(days, (own["year"] == days["year"]) & (own["doy360"] - 1 == days["r"])).select(*keys, own["year"], (F.col("r") + F.col("i") + 1).alias("doy"), ((F.col("value") + F.col("after")) / 2).alias("value"))
+    # Each day is a neighbour of the days inserted after it (r = its 0-based place) and before it (r = the place before).
+    beside = df.select(*keys, "year", "value", F.explode(F.array(F.col("doy360") - 1, F.col("doy360") - 2)).alias("r"))
+    added = beside.join(days, ["year", "r"]).groupBy(*keys, "year", "r", "i").agg(F.avg("value").alias("value")).select(*keys, "year", (F.col("r") + F.col("i") + 1).alias("doy"), "value")
     rs = days.groupBy("year").agg(F.array_sort(F.collect_list("r")).alias("rs"))
     moved = df.join(F.broadcast(rs), "year").withColumn("doy", (F.col("doy360") + F.size(F.filter("rs", lambda r: r <= F.col("doy360") - 1))).cast("int"))
     return moved.select(*keys, "year", "doy", "value").unionByName(added.withColumn("doy", F.col("doy").cast("int")))

@@ -10,10 +10,11 @@ FREQUENCIES = {"6hrLev": "6hr", "6hrPlev": "6hr", "6hrPlevPt": "6hr", "3hr": "3h
 
 
 def expand_requests(models: DataFrame, variables: DataFrame, scenarios: list[str]) -> DataFrame:
-    """Every model with its variants, each scenario and each (table, variable): models(model, variants), variables(table_id, variable)."""
+    """Every model with its variants, each scenario and each (table, variable): models(model, variants), variables(table_id, variable).
+    The product is what is asked for, so the tables are crossed."""
     runs = models.select("model", F.explode("variants").alias("variant")).withColumn("scenario", F.explode(F.array(*map(F.lit, scenarios))))
     activity = F.when(F.col("scenario") == "historical", "CMIP").otherwise("ScenarioMIP")
-    return runs.withColumn("activity", activity).crossJoin(F.broadcast(variables.limit(10_000)))
+    return runs.withColumn("activity", activity).crossJoin(variables)
 
 
 def parse_path(paths: DataFrame, col: str = "path") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import common_keys
+
 
 def align_inner(a: DataFrame, b: DataFrame, keys: list[str], names: tuple[str, str]) -> DataFrame:
     """keys and both values, on common keys."""
@@ -23,8 +25,8 @@ def merge_variables(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def doy_threshold_join(df: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Each day with its cell's threshold for the day of the year: thresholds(cell_id, doy, threshold)."""
-    return df.join(thresholds, ["cell_id", "doy"])
+    """Each day with its series' threshold for the day of the year: thresholds(series keys, doy, threshold), joined on the keys of both."""
+    return df.join(thresholds, [*common_keys(df, thresholds), "doy"])
 
 
 def temporal_containment(dates: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,10 +61,9 @@ def time_nearest(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame
     return both.where("asked").select(*keys, F.col("t").alias("at"), near.alias("p")).select(*keys, "at", F.col("p.date").alias("date"), F.col("p.value").alias("value"))
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: list[str], most_rows: int = 100_000) -> DataFrame:
-    """Left join with a dimension table, broadcast if it has at most most_rows rows."""
-    small = dim.limit(most_rows + 1).count() <= most_rows
-    return df.join(F.broadcast(dim) if small else dim, on, "left")
+def lookup(df: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:
+    """Left join with a dimension table. Spark broadcasts it if its measured bytes are under its own threshold, and shuffles otherwise."""
+    return df.join(dim, on, "left")
 
 
 def institution(model: Column, activity: Column, names: Column) -> Column:
@@ -71,10 +72,10 @@ def institution(model: Column, activity: Column, names: Column) -> Column:
 
 
 def expected_vs_existing(dims: list[DataFrame], existing: DataFrame) -> DataFrame:
-    """Combinations of the dimensions that aren't in existing."""
+    """Combinations of the dimensions that aren't in existing. The combinations are what is asked for, so the dimensions are crossed."""
     wanted = dims[0]
     for d in dims[1:]:
-        wanted = wanted.crossJoin(F.broadcast(d.limit(10_000)))
+        wanted = wanted.crossJoin(d)
     return wanted.join(existing.select(*wanted.columns).distinct(), wanted.columns, "left_anti")
 
 

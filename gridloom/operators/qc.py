@@ -11,7 +11,7 @@ from .joins import align_inner
 
 def qc_ranges(df: DataFrame, ranges: DataFrame, nodata: float = -9999) -> DataFrame:
     """indicator, least, most, n_outside against ranges(indicator, min, max)."""
-    own = df.where(F.col("value") != nodata).join(F.broadcast(ranges.limit(10_000)), "indicator")
+    own = df.where(F.col("value") != nodata).join(ranges.select("indicator", "min", "max"), "indicator")
     v = F.col("value")
     return own.groupBy("indicator").agg(F.min(v).alias("least"), F.max(v).alias("most"), F.count_if((v < F.col("min")) | (v > F.col("max"))).alias("n_outside"))
 
@@ -19,7 +19,7 @@ def qc_ranges(df: DataFrame, ranges: DataFrame, nodata: float = -9999) -> DataFr
 def qc_units(df: DataFrame, expected: DataFrame) -> DataFrame:
     """indicator, units and whether they are the expected ones: nulls never are, unless nothing is expected."""
     e = expected.select("indicator", F.col("units").alias("expected"))
-    return df.select("indicator", "units").distinct().join(F.broadcast(e.limit(10_000)), "indicator", "left").withColumn("ok", F.col("units").eqNullSafe(F.col("expected")))
+    return df.select("indicator", "units").distinct().join(e, "indicator", "left").withColumn("ok", F.col("units").eqNullSafe(F.col("expected")))
 
 
 def qc_nodata_match(out: DataFrame, source: DataFrame) -> DataFrame:

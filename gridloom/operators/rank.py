@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,23 +36,26 @@ def n_per_batch(df: DataFrame, by: list[str], order: list[str], n: int) -> DataF
 
 
 def pack_batches(files: DataFrame, by: list[str], name: str = "path", size: str = "bytes", max_bytes: int = 50_000_000_000, max_n: int = 200) -> DataFrame:
-    """Adds batch: files in order of name fill a batch until either limit would be passed. A file over the limit is a batch of its own.
+    """by, name and batch: files in order of name (then size) fill a batch until either limit would be passed. A file over the limit is a batch of its own.
 
-    The fold is sequential within a group, and a group is one series' files.
+    Each file's batch depends on the ones before it, so a group is passed through in order by one task, which keeps only the open batch.
     """
-    item = F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), F.col(size).cast("long").alias("size"))))
-    state = F.struct(F.lit(0).cast("long").alias("batch"), F.lit(0).cast("long").alias("bytes"), F.lit(0).cast("long").alias("n"), F.array().cast("array<struct<name:string,batch:bigint>>").alias("out"))
-
-    def step(s, x):
-        full = (s["n"] > 0) & ((s["bytes"] + x["size"] > max_bytes) | (s["n"] >= max_n))
-        batch = s["batch"] + F.when(full, 1).otherwise(0)
-        return F.struct(
-            batch.cast("long").alias("batch"), (F.when(full, F.lit(0).cast("long")).otherwise(s["bytes"]) + x["size"]).alias("bytes"),
-            (F.when(full, F.lit(0).cast("long")).otherwise(s["n"]) + 1).cast("long").alias("n"), F.concat(s["out"], F.array(F.struct(x["name"].alias("name"), batch.cast("long").alias("batch")))).alias("out"),
-        )
-
-    packed = files.groupBy(*by).agg(F.aggregate(item, state, step, lambda s: s["out"]).alias("out"))
-    return packed.select(*by, F.explode("out").alias("o")).select(*by, F.col("o.name").alias(name), F.col("o.batch").alias("batch"))
+    rows = files.select(*by, name, F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("__size")).repartition(*by).sortWithinPartitions(*by, name, "__size")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, batch, total, held = None, 0, 0, 0
+        for b in batches:
+            out = []
+            for *now, bytes_ in zip(*(b.column(c).to_pylist() for c in [*by, "__size"])):
+                if now != group:
+                    group, batch, total, held = now, 0, 0, 0
+                elif total + bytes_ > max_bytes or held >= max_n:
+                    batch, total, held = batch + 1, 0, 0
+                total, held = total + bytes_, held + 1
+                out.append(batch)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in [*by, name]), pa.array(out, pa.int64())], names=[*by, name, "batch"])
+
+    return rows.mapInArrow(run, rows.select(*by, name).schema.add("batch", "long"))
 
 
 def sort_variants(files: DataFrame, scenarios: list[str]) -> DataFrame:

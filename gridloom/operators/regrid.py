@@ -2,7 +2,7 @@
 
 A weight table (src_cell, dst_cell, w) is made once for a pair of grids and joined to any number of fields. Weights of rectilinear
 grids are products of one-dimensional ones, so the joins that make them run over axes, not over cells. Nearest neighbours of
-any grids meet in latitude-longitude bins.
+any grids come from `nearest`.
 """
 
 from __future__ import annotations
@@ -10,35 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import Albers, haversine_km, polar_xy
+from ..functions.scalar import Albers, polar_xy
+from .nearest import nearest_cells
 from .units import shift_longitude
 
 
-def _bins(lat: Column, lon: Column, step: float) -> tuple[Column, Column]:
-    return F.floor(lat / step), F.floor(F.pmod(lon, F.lit(360.0)) / step)
+def weights_nearest(src: DataFrame, dst: DataFrame) -> DataFrame:
+    """The nearest source cell by great circle for each destination cell, however far; ties go to the smaller cell."""
+    near = nearest_cells(src, dst.select(F.col("cell_id").alias("dst_cell"), "lat", "lon"), "dst_cell")
+    return near.select(F.col("cell_id").alias("src_cell"), "dst_cell", F.lit(1.0).alias("w"))
 
 
-def weights_nearest(src: DataFrame, dst: DataFrame, step: float = 15.0, rings: int = 1) -> DataFrame:
-    """The nearest source cell by great circle for each destination cell; ties go to the smaller cell.
-
-    A pair meets if its bins of `step` degrees are at most `rings` apart in latitude and, since meridians close up towards the
-    poles, in longitude by more bins the higher the latitude. Destinations farther than a bin from any source stay unmapped.
-    """
-    around = int(360 // step)
-    by, bx = _bins(F.col("lat"), F.col("lon"), step)
-    s = src.select(F.col("cell_id").alias("src_cell"), F.col("lat").alias("slat"), F.col("lon").alias("slon"), by.alias("by"), bx.alias("bx"))
-    spread = F.least(F.lit(around // 2), F.ceil(rings / F.greatest(F.lit(0.02), F.cos(F.radians(F.least(F.lit(89.0), F.abs("lat") + step)))))).cast("int")
-    last = F.when(2 * spread >= around, spread - 1).otherwise(spread) if around % 2 == 0 else spread
-    d = dst.select(F.col("cell_id").alias("dst_cell"), F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), by.alias("by0"), bx.alias("bx0"), spread.alias("spread"), last.alias("last"))
-    d = d.withColumn("by", F.explode(F.array(*(F.col("by0") + k for k in range(-rings, rings + 1))))).withColumn("bx", F.explode(F.transform(F.sequence(-F.col("spread"), F.col("last")), lambda k: F.pmod(F.col("bx0") + k, F.lit(around)))))
-    km = haversine_km(F.col("dlat"), F.col("dlon"), F.col("slat"), F.col("slon"))
-    best = d.join(s, ["by", "bx"]).groupBy("dst_cell").agg(F.min_by("src_cell", F.struct(F.round(km, 9).alias("km"), "src_cell")).alias("src_cell"))
-    return best.select("src_cell", "dst_cell", F.lit(1.0).alias("w"))
-
-
-def weights_nearest_d2s(src: DataFrame, dst: DataFrame, step: float = 15.0, rings: int = 1) -> DataFrame:
+def weights_nearest_d2s(src: DataFrame, dst: DataFrame) -> DataFrame:
     """Each source cell goes to its nearest destination; a destination takes the mean of those it gets."""
-    back = weights_nearest(dst, src, step, rings).select(F.col("dst_cell").alias("src_cell"), F.col("src_cell").alias("dst_cell"))
+    back = weights_nearest(dst, src).select(F.col("dst_cell").alias("src_cell"), F.col("src_cell").alias("dst_cell"))
     n = back.groupBy("dst_cell").agg(F.count("*").alias("n"))
     return back.join(n, "dst_cell").select("src_cell", "dst_cell", (1.0 / F.col("n")).alias("w"))
 
@@ -102,18 +87,31 @@ def weights_conservative(src: DataFrame, dst: DataFrame) -> DataFrame:
     return d.join(src.select(F.col("cell_id").alias("src_cell"), "iy", "ix"), ["iy", "ix"]).select("src_cell", "dst_cell", (F.col("wy") * F.col("wx")).alias("w"))
 
 
+def _weighted(field: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
+    """What each source adds: dst_cell, keys, need (cells of the stencil), have and part."""
+    whole = weights.withColumn("need", F.count("*").over(Window.partitionBy("dst_cell")))
+    both = field.select(F.col("cell_id").alias("src_cell"), *keys, "value").join(whole, "src_cell")
+    return both.select("dst_cell", *keys, "need", F.col("value").isNotNull().cast("int").alias("have"), (F.col("w") * F.col("value")).alias("part"))
+
+
+def _summed(parts: DataFrame, keys: list[str]) -> DataFrame:
+    out = parts.groupBy("dst_cell", *keys).agg(F.max("need").alias("need"), F.sum("have").alias("have"), F.sum("part").alias("sum"))
+    return out.select(F.col("dst_cell").alias("cell_id"), *keys, F.when(F.col("have") == F.col("need"), F.col("sum")).alias("value"))
+
+
 def apply_weights(field: DataFrame, weights: DataFrame, keys: list[str] = ("date",)) -> DataFrame:
     """cell_id (of the destination), keys and value: the weighted sum, null if any source of the stencil is null or missing."""
-    need = weights.groupBy("dst_cell").agg(F.count("*").alias("need"))
-    both = field.select(F.col("cell_id").alias("src_cell"), *keys, "value").join(weights, "src_cell")
-    got = both.groupBy("dst_cell", *keys).agg(F.count("value").alias("have"), F.sum(F.col("w") * F.col("value")).alias("sum"))
-    return got.join(need, "dst_cell").select(F.col("dst_cell").alias("cell_id"), *keys, F.when(F.col("have") == F.col("need"), F.col("sum")).alias("value"))
+    return _summed(_weighted(field, weights, keys), keys)
 
 
 def apply_regrid(field: DataFrame, weights: DataFrame, dst: DataFrame, keys: list[str] = ("date",)) -> DataFrame:
-    """apply_weights with a row for every destination cell at every time; unmapped cells are null."""
-    times = field.select(*keys).distinct()
-    return dst.select("cell_id").crossJoin(times).join(apply_weights(field, weights, keys), ["cell_id", *keys], "left")
+    """apply_weights with a row for every destination cell at every time; unmapped cells are null. Every cell's empty row at each time is
+    summed with what the sources add, so there is one shuffle."""
+    empty = dst.select(F.col("cell_id").alias("dst_cell")).crossJoin(field.select(*keys).distinct())
+    empty = empty.select("dst_cell", *keys, F.lit(None).cast("long").alias("need"), F.lit(0).alias("have"), F.lit(None).cast("double").alias("part"))
+    # Weights may map to cells that dst doesn't ask for.
+    own = weights.join(dst.select(F.col("cell_id").alias("dst_cell")), "dst_cell", "left_semi")
+    return _summed(_weighted(field, own, keys).unionByName(empty), keys)
 
 
 def cascade(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import operator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .nearest import nearest_cells
+
 COMPARE = {">": operator.gt, "<": operator.lt, ">=": operator.ge, "<=": operator.le, "==": operator.eq, "!=": operator.ne}
 
 
@@ -87,9 +89,13 @@ def mask_first_slice(df: DataFrame, keys: list[str] = ("cell_id",)) -> DataFrame
 
 
 def sel_regions(df: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Rows of grid cells in named x/y boxes: boxes(region, x1, x2, y1, y2), a few rows."""
-    b = F.broadcast(boxes.limit(10_000))
-    return df.join(b, F.col("x").between(F.col("x1"), F.col("x2")) & F.col("y").between(F.col("y1"), F.col("y2"))).drop("x1", "x2", "y1", "y2")
+    """Rows of grid cells in named x/y boxes: boxes(region, x1, x2, y1, y2). Cells and boxes meet in squares of the boxes' mean side."""
+    side = F.broadcast(boxes.agg(F.greatest(F.avg((F.col("x2") - F.col("x1") + F.col("y2") - F.col("y1")) / 2), F.lit(1e-9)).alias("__side")))
+    at = lambda c: F.floor(F.col(c) / F.col("__side"))
+    b = boxes.where("x1 <= x2 and y1 <= y2").join(side, how="cross").withColumn("__bx", F.explode(F.sequence(at("x1"), at("x2")))).withColumn("__by", F.explode(F.sequence(at("y1"), at("y2")))).drop("__side")
+    d = df.join(side, how="cross").withColumns({"__bx": at("x"), "__by": at("y")}).drop("__side")
+    inside = F.col("x").between(F.col("x1"), F.col("x2")) & F.col("y").between(F.col("y1"), F.col("y2"))
+    return d.join(b, ["__bx", "__by"]).where(inside).drop("x1", "x2", "y1", "y2", "__bx", "__by")
 
 
 def crop_domain(df: DataFrame, south: float = 50.0) -> DataFrame:
@@ -107,13 +113,5 @@ def sel_version(df: DataFrame, version: int = 1, col: str = "expver") -> DataFra
 
 
 def sel_nearest(grid: DataFrame, points: DataFrame) -> DataFrame:
-    """The nearest cell to each named point: points(name, plat, plon).
-
-    Cells and points meet in five-degree bins of latitude, three of them for each point; a point farther than that from every cell has none.
-    """
-    from ..functions.scalar import haversine_km
-
-    cells = grid.select("cell_id", "lat", "lon", F.floor(F.col("lat") / 5).alias("bin"))
-    near = points.withColumn("bin", F.explode(F.array(*(F.floor(F.col("plat") / 5) + k for k in (-1, 0, 1)))))
-    both = near.join(cells, "bin").withColumn("km", haversine_km(F.col("plat"), F.col("plon"), F.col("lat"), F.col("lon")))
-    return both.groupBy("name").agg(F.min_by("cell_id", F.struct("km", "cell_id")).alias("cell_id"), F.min("km").alias("km"))
+    """The nearest cell to each named point, and how far it is: points(name, plat, plon)."""
+    return nearest_cells(grid, points.select("name", F.col("plat").alias("lat"), F.col("plon").alias("lon")), "name")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import days_in_month
+from ..functions.scalar import days_in_month, haversine_km
+from .windows import series_keys
 
 #: What a negative temperature range becomes: just above no range at all.
 LEAST_DTR = 0.0000999
@@ -27,23 +28,32 @@ def flux_units(v: Column) -> Column:
     return v / 86400.0
 
 
-def daily_share(df: DataFrame, key: str = "cell_id") -> DataFrame:
-    """key, share: how many of the steps between consecutive dates are one day."""
-    gap = F.datediff("date", F.lag("date").over(Window.partitionBy(key).orderBy("date")))
-    return df.select(key, gap.alias("gap")).where("gap is not null").groupBy(key).agg(F.avg((F.col("gap") == 1).cast("double")).alias("share"))
+def daily_share(df: DataFrame) -> DataFrame:
+    """Series keys, share: how many of the steps between consecutive dates are one day."""
+    keys = series_keys(df)
+    gap = F.datediff("date", F.lag("date").over(Window.partitionBy(*keys).orderBy("date")))
+    return df.select(*keys, gap.alias("gap")).where("gap is not null").groupBy(*keys).agg(F.avg((F.col("gap") == 1).cast("double")).alias("share"))
 
 
 def relabel_units(df: DataFrame, names: dict[str, str] = {"mm": "mm/day", "m": "m/day"}, least: float = 0.9) -> DataFrame:
     """Per-day unit labels without touching values, for series that are daily (over `least` of their steps); others keep null."""
-    daily = daily_share(df).where(F.col("share") > least).select("cell_id", F.lit(True).alias("daily"))
+    keys = series_keys(df)
+    daily = daily_share(df).where(F.col("share") > least).select(*keys, F.lit(True).alias("daily"))
     pairs = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
-    return df.join(daily, "cell_id", "left").withColumn("unit", F.when(F.col("daily"), pairs[F.col("unit")])).drop("daily")
+    return df.join(daily, keys, "left").withColumn("unit", F.when(F.col("daily"), pairs[F.col("unit")])).drop("daily")
 
 
 def difference(a: DataFrame, b: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """a - b on common keys, named; units must agree where both have them."""
-    both = a.select(*keys, F.col("value").alias("__a")).join(b.select(*keys, F.col("value").alias("__b")), keys)
-    return both.select(*keys, F.lit(name).alias("variable"), (F.col("__a") - F.col("__b")).alias("value"))
+    """a - b on common keys, named. Where both tables have a unit column the units must be the same: a row whose units differ stops the job;
+    the result keeps the unit."""
+    with_unit = ["unit"] if "unit" in a.columns and "unit" in b.columns else []
+    own = lambda d, x: d.select(*keys, *(F.col(c).alias(f"__{x}_{c}") for c in ["value", *with_unit]))
+    both = own(a, "a").join(own(b, "b"), keys)
+    value = F.col("__a_value") - F.col("__b_value")
+    if not with_unit:
+        return both.select(*keys, F.lit(name).alias("variable"), value.alias("value"))
+    wrong = F.raise_error(F.concat(F.lit("units differ: "), F.coalesce("__a_unit", F.lit("none")), F.lit(" and "), F.coalesce("__b_unit", F.lit("none")))).cast("double")
+    return both.select(*keys, F.lit(name).alias("variable"), F.when(F.col("__a_unit").eqNullSafe(F.col("__b_unit")), value).otherwise(wrong).alias("value"), F.col("__a_unit").alias("unit"))
 
 
 def common_attrs(a: Column, b: Column) -> Column:
@@ -126,3 +136,8 @@ def ratio(a: Column, b: Column) -> Column:
 def resolution_km(lat_step: Column, lon_step: Column) -> tuple[Column, Column]:
     """Rounded kilometres of a grid step, longitude at 65 degrees."""
     return F.round(lat_step * 110), F.round(lon_step * 111.32 * F.cos(F.radians(F.lit(65.0))))
+
+
+def step_width_km(lon_step: Column, lat: Column) -> Column:
+    """Great-circle kilometres of a longitude step at a latitude."""
+    return haversine_km(lat, F.lit(0.0), lat, lon_step)

@@ -3,58 +3,87 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import quantile_type8
 
 
-def rolling_sum(df: DataFrame, days: int, keys: list[str] = ("cell_id",)) -> DataFrame:
+#: What tells one daily series of a field table from another, as far as the table has it.
+SERIES = ["model", "scenario", "variable", "cell_id"]
+
+
+def series_keys(df: DataFrame) -> list[str]:
+    """The series columns that the table has: no operator pools two models, scenarios or variables."""
+    return [k for k in SERIES if k in df.columns]
+
+
+def common_keys(a: DataFrame, b: DataFrame) -> list[str]:
+    return [k for k in series_keys(a) if k in b.columns]
+
+
+def rolling_sum(df: DataFrame, days: int, keys: list[str] | None = None) -> DataFrame:
     """Adds rolled: the sum of a row and the days - 1 before it, null unless all have data."""
-    w = Window.partitionBy(*keys).orderBy("date").rowsBetween(-(days - 1), 0)
+    w = Window.partitionBy(*(keys or series_keys(df))).orderBy("date").rowsBetween(-(days - 1), 0)
     return df.withColumn("rolled", F.when(F.count("value").over(w) == days, F.sum("value").over(w)))
 
 
 def runs(df: DataFrame, flag: Column, by: list[str]) -> DataFrame:
     """by and length: each run of consecutive rows (by date) with the flag."""
-    order = Window.partitionBy(*by).orderBy("date")
-    marked = df.select(*by, "date", F.coalesce(flag, F.lit(False)).alias("__on")).withColumn("__n", F.row_number().over(order))
-    same = Window.partitionBy(*by, "__on").orderBy("date")
-    return marked.withColumn("__island", F.col("__n") - F.row_number().over(same)).where("__on").groupBy(*by, "__island").agg(F.count("*").alias("length")).drop("__island")
+    along = Window.partitionBy(*by).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    marked = df.select(*by, "date", F.coalesce(flag, F.lit(False)).alias("__on"))
+    return marked.withColumn("__breaks", F.count_if(~F.col("__on")).over(along)).where("__on").groupBy(*by, "__breaks").agg(F.count("*").alias("length")).drop("__breaks")
+
+
+def with_run_lengths(df: DataFrame, flags: dict[str, Column], by: list[str], counts: Column | None = None) -> DataFrame:
+    """Adds a column for each flag: how many rows in a row have it by then, 0 without it. All flags share one sorted window. Rows that
+    don't count (`counts`) are passed over: they neither break a run nor lengthen it."""
+    counts = F.lit(True) if counts is None else F.coalesce(counts, F.lit(False))
+    along = Window.partitionBy(*by).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    on = {n: F.coalesce(f, F.lit(False)) for n, f in flags.items()}
+    out = df.withColumn("__at", F.count_if(counts).over(along))
+    out = out.withColumns({f"__last_{n}": F.max(F.when(counts & ~f, F.col("__at"))).over(along) for n, f in on.items()})
+    lengths = {n: F.when(counts & f, F.col("__at") - F.coalesce(f"__last_{n}", F.lit(0))).otherwise(0) for n, f in on.items()}
+    return out.withColumns(lengths).drop("__at", *(f"__last_{n}" for n in on))
+
+
+def days_of_runs(length: Column, least: int) -> Column:
+    """Aggregate of with_run_lengths: the days in runs of at least `least` days."""
+    return F.coalesce(F.sum(F.when(length == least, least).when(length > least, 1)), F.lit(0)).cast("long")
 
 
 def longest_run(df: DataFrame, flag: Column, by: list[str], name: str = "longest") -> DataFrame:
     """by and the longest run of the flag; groups without one have 0."""
-    every = df.select(*by).distinct()
-    return every.join(runs(df, flag, by).groupBy(*by).agg(F.max("length").alias("__m")), by, "left").select(*by, F.coalesce("__m", F.lit(0).cast("long")).alias(name))
+    return with_run_lengths(df, {"__run": flag}, by).groupBy(*by).agg(F.max("__run").cast("long").alias(name))
 
 
 def days_in_runs(df: DataFrame, flag: Column, by: list[str], least: int, name: str) -> DataFrame:
     """by and the number of days in runs of at least `least` days."""
-    every = df.select(*by).distinct()
-    long_ = runs(df, flag, by).where(F.col("length") >= least).groupBy(*by).agg(F.sum("length").alias("__m"))
-    return every.join(long_, by, "left").select(*by, F.coalesce("__m", F.lit(0).cast("long")).alias(name))
+    return with_run_lengths(df, {"__run": flag}, by).groupBy(*by).agg(days_of_runs(F.col("__run"), least).alias(name))
 
 
 def pooled(df: DataFrame, half: int) -> DataFrame:
-    """cell_id, doy, value: each value in the pools of the days within `half` days of its own, across year ends but not past the
-    ends of the series. Every row is repeated 2 * half + 1 times; `per_cell` is the form for long windows."""
-    ends = df.groupBy("cell_id").agg(F.min("date").alias("__a"), F.max("date").alias("__b"))
-    offsets = df.where("value is not null").join(ends, "cell_id").withColumn("__at", F.explode(F.sequence(F.date_add("date", -half), F.date_add("date", half))))
+    """Series keys, doy, value: each value in the pools of the days within `half` days of its own, across year ends but not past the
+    ends of the series. Every row is repeated 2 * half + 1 times, which suits windows of few days; `per_series` is the form for long ones."""
     from ..functions.scalar import noleap_doy
 
+    keys = series_keys(df)
+    ends = df.groupBy(*keys).agg(F.min("date").alias("__a"), F.max("date").alias("__b"))
+    offsets = df.where("value is not null").join(ends, keys).withColumn("__at", F.explode(F.sequence(F.date_add("date", -half), F.date_add("date", half))))
     inside = offsets.where(F.col("__at").between(F.col("__a"), F.col("__b")))
-    return inside.select("cell_id", noleap_doy(F.col("__at")).alias("doy"), "value").where("doy is not null")
+    return inside.select(*keys, noleap_doy(F.col("__at")).alias("doy"), "value").where("doy is not null")
 
 
 def percentile_doy(df: DataFrame, p: float, window: int = 5) -> DataFrame:
-    """cell_id, doy, threshold: type 8 percentile of the pooled window."""
+    """Series keys, doy, threshold: type 8 percentile of the pooled window."""
     values = F.array_sort(F.collect_list("value"))
-    return pooled(df, window // 2).groupBy("cell_id", "doy").agg(values.alias("v")).select("cell_id", "doy", quantile_type8(F.col("v"), p).alias("threshold"))
+    keys = series_keys(df)
+    return pooled(df, window // 2).groupBy(*keys, "doy").agg(values.alias("v")).select(*keys, "doy", quantile_type8(F.col("v"), p).alias("threshold"))
 
 
 def nodes(n: int) -> list[float]:
@@ -62,62 +91,133 @@ def nodes(n: int) -> list[float]:
 
 
 def doy_window_quantiles(df: DataFrame, n: int, window: int = 31) -> DataFrame:
-    """cell_id, doy, q_idx, q, value: linear (type 7) quantiles of the pooled window at (k + 0.5) / n."""
-    q = nodes(n)
-    out = pooled(df, window // 2).groupBy("cell_id", "doy").agg(F.percentile("value", F.array(*map(F.lit, q))).alias("v"))
-    return out.select("cell_id", "doy", F.posexplode("v").alias("q_idx", "value")).withColumn("q", (F.col("q_idx") + 0.5) / n)
-
-
-def _doy_pools(ordinals: np.ndarray, values: np.ndarray, half: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(doy, sorted pool) of a cell. ordinals: day numbers in order. A day's pool is made of the values around each of its dates."""
-    first, last = int(ordinals[0]), int(ordinals[-1])
-    dense = np.full(last - first + 1, np.nan)
-    dense[ordinals - first] = values
-    days = np.arange(np.datetime64("1970-01-01") + first, np.datetime64("1970-01-01") + last + 1)
+    """Series keys, doy, q_idx, q, value: linear (type 7) quantiles of the pooled window at (k + 0.5) / n."""
+    q, keys = nodes(n), series_keys(df)
+    out = pooled(df, window // 2).groupBy(*keys, "doy").agg(F.percentile("value", F.array(*map(F.lit, q))).alias("v"))
+    return out.select(*keys, "doy", F.posexplode("v").alias("q_idx", "value")).withColumn("q", (F.col("q_idx") + 0.5) / n)
+
+
+def noleap_days(days: np.ndarray) -> np.ndarray:
+    """Day of the year, 1 to 365, of day numbers since 1970; 0 on 29 February."""
+    days = np.datetime64("1970-01-01") + days.astype(int)
     years = days.astype("datetime64[Y]")
     doy = (days - years.astype("datetime64[D]")).astype(int) + 1
     y = years.astype(int) + 1970
     leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
-    doy = np.where(leap & (doy == 60), 0, np.where(leap & (doy > 60), doy - 1, doy))
+    return np.where(leap & (doy == 60), 0, np.where(leap & (doy > 60), doy - 1, doy))
+
+
+def doy_spans(first: int, last: int, half: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each day of the year in first..last (day numbers), the places, counted from first, of the days within `half` days of its dates."""
+    doy = noleap_days(np.arange(first, last + 1))
     order = np.argsort(doy, kind="stable")
     at = np.searchsorted(doy[order], np.arange(1, 367))
     for d in range(1, 366):
         centres = order[at[d - 1] : at[d]]
         if len(centres):
             span = (centres[:, None] + np.arange(-half, half + 1)).ravel()
-            pool = dense[span[(span >= 0) & (span < len(dense))]]
-            pool = np.sort(pool[~np.isnan(pool)])
-            if len(pool):
-                yield d, pool
+            yield d, span[(span >= 0) & (span < len(doy))]
+
+
+def on_every_day(days: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """The values on all days from the first to the last, NaN where there are none."""
+    out = []
+    for v in values:
+        dense = np.full(int(days[-1] - days[0]) + 1, np.nan)
+        dense[days - days[0]] = v
+        out.append(dense)
+    return out
+
+
+def doy_pools(days: np.ndarray, values: np.ndarray, half: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(doy, sorted pool) of a series. days: day numbers in order. A day's pool is made of the values around each of its dates."""
+    (dense,) = on_every_day(days, values)
+    for d, span in doy_spans(int(days[0]), int(days[-1]), half):
+        pool = dense[span]
+        pool = np.sort(pool[~np.isnan(pool)])
+        if len(pool):
+            yield d, pool
+
+
+def rank_in(pool: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Ranks of values in a sorted pool that holds them, average ties, scaled to 0..1."""
+    rank = (np.searchsorted(pool, values, "left") + np.searchsorted(pool, values, "right") + 1) / 2
+    return (rank - 1) / (len(pool) - 1) if len(pool) > 1 else np.zeros(len(values))
+
+
+def doy_ranks(days: np.ndarray, values: np.ndarray, half: int) -> np.ndarray:
+    """The rank of each day in the pool of its own day of the year, NaN without data."""
+    q = np.full(len(values), np.nan)
+    doy = np.where(np.isnan(values), 0, noleap_days(days))
+    order = np.argsort(doy, kind="stable")
+    at = np.searchsorted(doy[order], np.arange(1, 367))
+    for d, pool in doy_pools(days, values, half):
+        own = order[at[d - 1] : at[d]]
+        q[own] = rank_in(pool, values[own])
+    return q
+
+
+def day_numbers(table: pa.Table) -> np.ndarray:
+    return table["date"].cast(pa.int32()).to_numpy()
+
+
+def per_series(df: DataFrame, make: Callable[[pa.Table], dict[str, np.ndarray]], columns: str, keys: list[str] | None = None) -> DataFrame:
+    """Series keys and what `make` gives for each series, its rows in order of date, as an Arrow table; columns: the schema of that.
+
+    The shuffle moves each value once. A series is bounded by the calendar; it has one row a day and every row has a date.
+    """
+    keys = keys or series_keys(df)
+    schema = df.select(*keys).schema
+    for f in T.StructType.fromDDL(columns):
+        schema = schema.add(f)
+
+    def run(table: pa.Table) -> pa.Table:
+        made = make(table.sort_by("date"))
+        n = len(next(iter(made.values())))
+        own = table.select(keys).take(pa.array(np.zeros(n, np.int64)))
+        return pa.table([*own.columns, *(pa.array(v, from_pandas=True) for v in made.values())], names=[*keys, *made])
+
+    return df.groupBy(*keys).applyInArrow(run, schema)
+
+
+def with_series_column(df: DataFrame, make: Callable[[pa.Table], np.ndarray], name: str) -> DataFrame:
+    """df with a column of doubles that `make` finds for each series, its rows in order of date."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("date")
+        return table.append_column(name, pa.array(make(table), pa.float64(), from_pandas=True))
+
+    return df.groupBy(*series_keys(df)).applyInArrow(run, df.select("*").schema.add(name, "double"))
 
 
 def doy_window_quantiles_per_cell(df: DataFrame, n: int, window: int = 31) -> DataFrame:
-    """doy_window_quantiles for long windows: the shuffle moves each value once and a cell's series is one Arrow group."""
+    """doy_window_quantiles for long windows: one Arrow group a series."""
     q = np.array(nodes(n))
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("day")
-        day, value = table["day"].to_numpy(), table["value"].to_numpy()
+    def make(table: pa.Table) -> dict[str, np.ndarray]:
         doys, out = [], []
-        for d, pool in _doy_pools(day, value, window // 2):
+        for d, pool in doy_pools(day_numbers(table), table["value"].to_numpy(), window // 2):
             doys.append(d)
             out.append(np.quantile(pool, q))
         k = np.tile(np.arange(n, dtype=np.int32), len(doys))
-        return pa.table({"cell_id": pa.array([table["cell_id"][0].as_py()] * len(k), pa.int64()), "doy": np.repeat(np.array(doys, np.int32), n), "q_idx": k, "value": np.concatenate(out) if out else np.zeros(0), "q": q[k]})
+        return {"doy": np.repeat(np.array(doys, np.int32), n), "q_idx": k, "value": np.concatenate([np.zeros(0), *out]), "q": q[k]}
+
+    return per_series(df.select(*series_keys(df), "date", "value"), make, "doy int, q_idx int, value double, q double")
+
+
+def doy_window_means(df: DataFrame, window: int = 31) -> DataFrame:
+    """Series keys, doy and mean of the pooled window."""
+
+    def make(table: pa.Table) -> dict[str, np.ndarray]:
+        found = [(d, pool.mean()) for d, pool in doy_pools(day_numbers(table), table["value"].to_numpy(), window // 2)]
+        return {"doy": np.array([d for d, _ in found], np.int32), "mean": np.array([m for _, m in found], np.float64)}
 
-    rows = df.select("cell_id", F.unix_date("date").alias("day"), "value")
-    return rows.groupBy("cell_id").applyInArrow(run, "cell_id long, doy int, q_idx int, value double, q double")
+    return per_series(df.select(*series_keys(df), "date", "value"), make, "doy int, mean double")
 
 
 def rank_in_doy_window(df: DataFrame, window: int = 31) -> DataFrame:
-    """Adds q: the rank of a day in the pool of its own day of the year, average ties, scaled to 0..1; null without data."""
-    pool = pooled(df, window // 2).groupBy("cell_id", "doy", "value").agg(F.count("*").alias("k"))
-    order = Window.partitionBy("cell_id", "doy")
-    below = order.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = pool.select("cell_id", "doy", "value", "k", F.coalesce(F.sum("k").over(below), F.lit(0)).alias("less"), F.sum("k").over(order).alias("n"))
-    rank = F.col("less") + (F.col("k") + 1) / 2
-    scaled = F.when(F.col("n") > 1, (rank - 1) / (F.col("n") - 1)).otherwise(F.lit(0.0))
-    return df.join(ranked.select("cell_id", "doy", "value", scaled.alias("q")), ["cell_id", "doy", "value"], "left")
+    """Adds q: the rank of a day in the pool of its own day of the year, average ties, scaled to 0..1; null without data and on 29 February."""
+    return with_series_column(df, lambda t: doy_ranks(day_numbers(t), t["value"].to_numpy(), window // 2), "q")
 
 
 def ecdf(df: DataFrame, by: list[str]) -> DataFrame:
@@ -125,30 +225,34 @@ def ecdf(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def argmax_doy(df: DataFrame) -> DataFrame:
-    """cell_id and centre: the day of the year of the maximum, the earliest date of equals."""
-    return df.where("value is not null and doy is not null").groupBy("cell_id").agg(F.max_by("doy", F.struct("value", (-F.unix_date("date")).alias("d"))).alias("centre"))
+    """Series keys and centre: the day of the year of the maximum, the earliest date of equals."""
+    return df.where("value is not null and doy is not null").groupBy(*series_keys(df)).agg(F.max_by("doy", F.struct("value", (-F.unix_date("date")).alias("d"))).alias("centre"))
 
 
 def extreme_cells(df: DataFrame) -> DataFrame:
-    """statistic, cell with the greatest and the least of the time max, min, mean and total of the cells; ties to the smaller cell."""
-    s = df.groupBy("cell_id").agg(F.max("value").alias("max"), F.min("value").alias("min"), F.avg("value").alias("mean"), F.sum("value").alias("total"))
-    tall = s.unpivot(["cell_id"], ["max", "min", "mean", "total"], "statistic", "v")
+    """By model, scenario and variable as far as the table has them: statistic, cell with the greatest and the least of the time max, min,
+    mean and total of the cells; ties to the smaller cell."""
+    keys = series_keys(df)
+    s = df.groupBy(*keys).agg(F.max("value").alias("max"), F.min("value").alias("min"), F.avg("value").alias("mean"), F.sum("value").alias("total"))
+    tall = s.unpivot(keys, ["max", "min", "mean", "total"], "statistic", "v")
     top = F.max_by("cell_id", F.struct("v", (-F.col("cell_id")).alias("c")))
-    return tall.groupBy("statistic").agg(top.alias("most_cell"), F.max("v").alias("most"), F.min_by("cell_id", F.struct("v", "cell_id")).alias("least_cell"), F.min("v").alias("least"))
+    return tall.groupBy(*(k for k in keys if k != "cell_id"), "statistic").agg(top.alias("most_cell"), F.max("v").alias("most"), F.min_by("cell_id", F.struct("v", "cell_id")).alias("least_cell"), F.min("v").alias("least"))
 
 
 def cvm_statistic(a: DataFrame, b: DataFrame) -> DataFrame:
-    """cell_id, n, m, statistic: two-sample Cramer-von Mises T from mid ranks."""
-    both = a.select("cell_id", "value", F.lit(1).alias("s")).unionByName(b.select("cell_id", "value", F.lit(2).alias("s"))).where("value is not null")
-    cell = Window.partitionBy("cell_id")
-    mid = F.rank().over(cell.orderBy("value")) + (F.count("*").over(Window.partitionBy("cell_id", "value")) - 1) / 2
-    own = Window.partitionBy("cell_id", "s").orderBy("value")
-    i = F.rank().over(own) + (F.count("*").over(Window.partitionBy("cell_id", "s", "value")) - 1) / 2
-    d = both.select("cell_id", "s", F.pow(mid - i, F.lit(2)).alias("d"))
-    g = d.groupBy("cell_id").agg(F.count_if(F.col("s") == 1).cast("double").alias("n"), F.count_if(F.col("s") == 2).cast("double").alias("m"), F.sum(F.when(F.col("s") == 1, F.col("d"))).alias("d1"), F.sum(F.when(F.col("s") == 2, F.col("d"))).alias("d2"))
+    """Series keys, n, m, statistic: two-sample Cramer-von Mises T from mid ranks. Keys that only b has (a model's, where a is observed) give a comparison each."""
+    keys, common = series_keys(b), common_keys(a, b)
+    a = a.join(b.select(*keys).distinct(), common) if len(common) < len(keys) else a
+    both = a.select(*keys, "value", F.lit(1).alias("s")).unionByName(b.select(*keys, "value", F.lit(2).alias("s"))).where("value is not null")
+    series = Window.partitionBy(*keys)
+    mid = F.rank().over(series.orderBy("value")) + (F.count("*").over(Window.partitionBy(*keys, "value")) - 1) / 2
+    own = Window.partitionBy(*keys, "s").orderBy("value")
+    i = F.rank().over(own) + (F.count("*").over(Window.partitionBy(*keys, "s", "value")) - 1) / 2
+    d = both.select(*keys, "s", F.pow(mid - i, F.lit(2)).alias("d"))
+    g = d.groupBy(*keys).agg(F.count_if(F.col("s") == 1).cast("double").alias("n"), F.count_if(F.col("s") == 2).cast("double").alias("m"), F.sum(F.when(F.col("s") == 1, F.col("d"))).alias("d1"), F.sum(F.when(F.col("s") == 2, F.col("d"))).alias("d2"))
     u = F.col("n") * F.col("d1") + F.col("m") * F.col("d2")
     n, m = F.col("n"), F.col("m")
-    return g.where("n > 0 and m > 0").select("cell_id", "n", "m", (u / (n * m * (n + m)) - (4 * n * m - 1) / (6 * (n + m))).alias("statistic"))
+    return g.where("n > 0 and m > 0").select(*keys, "n", "m", (u / (n * m * (n + m)) - (4 * n * m - 1) / (6 * (n + m))).alias("statistic"))
 
 
 def _cvm_tail(t: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -174,17 +278,18 @@ def _k14(y: np.ndarray) -> np.ndarray:
 
 def cvm_2samp(a: DataFrame, b: DataFrame) -> DataFrame:
     """cvm_statistic with its asymptotic pvalue."""
+    found = cvm_statistic(a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m, t = (batch.column(c).to_numpy() for c in ("n", "m", "statistic"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_cvm_tail(t, n, m))], names=[*batch.schema.names, "pvalue"])
 
-    return cvm_statistic(a, b).mapInArrow(run, "cell_id long, n double, m double, statistic double, pvalue double")
+    return found.mapInArrow(run, found.select("*").schema.add("pvalue", "double"))
 
 
 def q_ratio(ref: DataFrame, hist: DataFrame, doy: int, q: float, half: int = 15) -> DataFrame:
-    """cell_id and ratio of the two series' quantiles over the days around one day of the year, without wrapping."""
+    """Series keys of hist and ratio of the two series' quantiles over the days around one day of the year, without wrapping."""
     near = F.col("doy").between(doy - half, doy + half)
-    r, h = (d.where(near).groupBy("cell_id").agg(F.percentile("value", F.lit(q)).alias(n)) for d, n in ((ref, "r"), (hist, "h")))
-    return r.join(h, "cell_id").select("cell_id", F.try_divide("r", "h").alias("ratio"))
+    r, h = (d.where(near).groupBy(*series_keys(d)).agg(F.percentile("value", F.lit(q)).alias(n)) for d, n in ((ref, "r"), (hist, "h")))
+    return r.join(h, common_keys(ref, hist)).select(*series_keys(hist), F.try_divide("r", "h").alias("ratio"))

@@ -88,12 +88,12 @@ def _(spark, sf):
 _FILES = "f AS (SELECT model, variable, filename, min(strptime(regexp_extract(filename, '(\\d{6})-(\\d{6})\\.nc$', 1), '%Y%m'))::DATE AS start, last_day(min(strptime(regexp_extract(filename, '(\\d{6})-(\\d{6})\\.nc$', 2), '%Y%m'))::DATE) AS stop FROM catalog WHERE variable <> 'sftlf' GROUP BY 1, 2, 3)"
 
 
-@query("j6_temporal_containment", sql(f"WITH {_FILES}, d AS (SELECT DISTINCT model, variable, day AS date FROM catalog WHERE variable <> 'sftlf' AND file_no % 50 = 0) SELECT d.model, d.variable, d.date, count(f.filename) AS n_matches, min(f.filename) AS filename FROM d LEFT JOIN f ON d.model = f.model AND d.variable = f.variable AND d.date BETWEEN f.start AND f.stop GROUP BY 1, 2, 3", "catalog"))
+@query("j6_temporal_containment", sql(f"WITH {_FILES}, d AS (SELECT DISTINCT model, variable, day AS date FROM catalog WHERE variable <> 'sftlf') SELECT d.model, d.variable, d.date, count(f.filename) AS n_matches, min(f.filename) AS filename FROM d LEFT JOIN f ON d.model = f.model AND d.variable = f.variable AND d.date BETWEEN f.start AND f.stop GROUP BY 1, 2, 3", "catalog"))
 def _(spark, sf):
     c = catalog(spark, sf).where("variable <> 'sftlf'")
     a, b = joins.file_span(F.col("filename"))
     files = c.select("model", "variable", "filename", a.alias("start"), b.alias("stop")).distinct()
-    dates = c.where("file_no % 50 = 0").select("model", "variable", F.col("day").alias("date")).distinct()
+    dates = c.select("model", "variable", F.col("day").alias("date")).distinct()
     return joins.temporal_containment(dates, files, ["model", "variable"])
 
 

@@ -1,127 +1,103 @@
-"""Queries of indicators."""
+"""Queries of indicators, over two models and two scenarios of each cell; some cells have no precipitation on their first day."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import indicators, windows
+from ..operators import indicators
 from .catalogue import query
-from .inputs import NOLEAP, daily, dated, sql
+from .inputs import NOLEAP, members, sql
 from .q_select import six
 
-KEYS = "cell_id, year"
-_RUN = "r AS (SELECT {by}, date, flag, row_number() OVER (PARTITION BY {by} ORDER BY date) - row_number() OVER (PARTITION BY {by}, flag ORDER BY date) AS island FROM ({src})), l AS (SELECT {by}, island, count(*) AS n FROM r WHERE flag GROUP BY ALL)"
+S = "model, scenario, cell_id"
+KEYS = f"{S}, year"
 
 
-def _days(spark, sf):
-    return dated(daily(spark, sf))
-
-
-def _longest(flag: str, name: str) -> str:
-    runs = _RUN.format(by=KEYS, src=f"SELECT {KEYS}, date, coalesce({flag}, false) AS flag FROM dated")
-    return sql(f"WITH {runs}, k AS (SELECT DISTINCT {KEYS} FROM dated) SELECT k.cell_id, k.year, coalesce(max(n), 0) AS {name} FROM k LEFT JOIN l USING (cell_id, year) GROUP BY 1, 2", "dated")
-
-
-def pool_sql(source: str, column: str, half: int) -> str:
-    """A CTE `pool` of cell_id, doy, value: values in the pools of the days around them, within the series."""
+def pool_sql(source: str, column: str, half: int, keys: str = "cell_id") -> str:
+    """A CTE `pool` of keys, doy, value: values in the pools of the days around them, within the series."""
     doy = NOLEAP.format("moved")
-    return f"e AS (SELECT cell_id, min(date) AS a, max(date) AS b FROM {source} GROUP BY 1), o AS (SELECT s.cell_id, (s.date + k.k)::DATE AS moved, {column} AS value, a, b FROM {source} s JOIN e USING (cell_id), (SELECT unnest(range({-half}, {half + 1}))::INT AS k) k), pool AS (SELECT cell_id, {doy} AS doy, value FROM o WHERE moved BETWEEN a AND b AND {doy} IS NOT NULL AND value IS NOT NULL)"
+    own = ", ".join(f"s.{k}" for k in keys.split(", "))
+    return f"e AS (SELECT {keys}, min(date) AS a, max(date) AS b FROM {source} GROUP BY ALL), o AS (SELECT {own}, (s.date + k.k)::DATE AS moved, {column} AS value, a, b FROM {source} s JOIN e USING ({keys}), (SELECT unnest(range({-half}, {half + 1}))::INT AS k) k), pool AS (SELECT {keys}, {doy} AS doy, value FROM o WHERE moved BETWEEN a AND b AND {doy} IS NOT NULL AND value IS NOT NULL)"
 
 
-def limits_sql(column: str, p: float) -> str:
+def limits_sql(column: str, p: float, source: str = "dated", keys: str = "cell_id") -> str:
     """CTEs that end in `lim`: the type 8 percentile of a five-day pool."""
-    return pool_sql("dated", column, 2) + f", s8 AS (SELECT cell_id, doy, list_sort(list(value)) AS v, (len(list(value)) + 1e0 / 3) * {p}e0 + 1e0 / 3 AS h FROM pool GROUP BY 1, 2), i8 AS (SELECT *, greatest(1, least(len(v), floor(h)))::INT AS lo FROM s8), lim AS (SELECT cell_id, doy, v[lo] + greatest(0e0, least(1e0, h - lo)) * (v[least(len(v), lo + 1)] - v[lo]) AS threshold FROM i8)"
+    return pool_sql(source, column, 2, keys) + f", s8 AS (SELECT {keys}, doy, list_sort(list(value)) AS v, (len(list(value)) + 1e0 / 3) * {p}e0 + 1e0 / 3 AS h FROM pool GROUP BY ALL), i8 AS (SELECT *, greatest(1, least(len(v), floor(h)))::INT AS lo FROM s8), lim AS (SELECT {keys}, doy, v[lo] + greatest(0e0, least(1e0, h - lo)) * (v[least(len(v), lo + 1)] - v[lo]) AS threshold FROM i8)"
 
 
-def _spell(column: str, p: float, op: str, name: str, least: int) -> str:
-    runs = _RUN.format(by=KEYS, src=f"SELECT d.cell_id, d.year, d.date, d.{column} {op} lim.threshold AS flag FROM dated d JOIN lim USING (cell_id, doy)")
-    return sql(f"WITH {limits_sql(column, p)}, {runs}, k AS (SELECT DISTINCT d.cell_id, d.year FROM dated d JOIN lim USING (cell_id, doy)) SELECT k.cell_id, k.year, coalesce(sum(n), 0)::BIGINT AS {name} FROM k LEFT JOIN (SELECT * FROM l WHERE n >= {least}) l USING (cell_id, year) GROUP BY 1, 2", "dated")
+def _named(ctes: str, suffix: str) -> str:
+    """CTEs under names of their own."""
+    import re
 
+    for name in ("e", "o", "pool", "s8", "i8", "lim"):
+        ctes = re.sub(rf"(?<![\w.']){name}(?=( AS \(| USING|\)| WHERE| GROUP|$| JOIN))", f"{name}_{suffix}", ctes)
+    return ctes
 
+
+FIRST = f"first_day AS (SELECT {S}, arg_min((pr IS NULL)::INT, date) = 1 AS no_pr, arg_min((tasmax IS NULL)::INT, date) = 1 AS no_tasmax, arg_min((tasmin IS NULL)::INT, date) = 1 AS no_tasmin FROM members GROUP BY ALL)"
+HISTORY = "history AS (SELECT model, cell_id, date, doy, tasmax, tasmin FROM members WHERE scenario = 'historical')"
 _SIMPLE = {
     "rx1day": "max(pr)", "su": "count(CASE WHEN tasmax > 25 THEN 1 END)", "dw": "count(CASE WHEN tasmin < -30 THEN 1 END)", "r10mm": "count(CASE WHEN pr > 10 THEN 1 END)",
     "ice_days": "count(CASE WHEN tasmax < 0 THEN 1 END)", "summer_days_20": "count(CASE WHEN tasmax > 20 THEN 1 END)", "dpi": "round(avg(CASE WHEN pr >= 1 THEN pr END), 6)",
-    "dw_30": "count(CASE WHEN tasmax < -30 THEN 1 END)", "dry_days": "count(CASE WHEN pr < 0.2 THEN 1 END)",
+    "dw_30": "count(CASE WHEN tasmax < -30 THEN 1 END)", "dry_days": "count(CASE WHEN pr < 0.2 THEN 1 END)", "hd": "list_sort(list(tasmax) FILTER (tasmax IS NOT NULL), 'DESC')[6]", "cd": "list_sort(list(tasmin) FILTER (tasmin IS NOT NULL))[6]",
+    "ftc": "CASE WHEN count(CASE WHEN tasmax IS NOT NULL AND tasmin IS NOT NULL THEN 1 END) >= dayofyear(make_date(year, 12, 31)) THEN count(CASE WHEN tasmax > 0 AND tasmin <= 0 THEN 1 END) END",
 }
-_NUMBERS = {"rx1day": "i1", "su": "i3", "dw": "i4", "r10mm": "i8", "ice_days": "i13", "summer_days_20": "i14", "dpi": "i16", "dw_30": "i17", "dry_days": "i18"}
-
-
-def _simple(name: str):
-    def run(spark, sf):
-        out = indicators.run_indicators(_days(spark, sf), [name])
-        return six(out, name) if name == "dpi" else out
-
-    return run
-
-
-for _name, _expr in _SIMPLE.items():
-    query(f"{_NUMBERS[_name]}_{_name}", sql(f"SELECT {KEYS}, {_expr} AS {_name} FROM dated GROUP BY 1, 2", "dated"))(_simple(_name))
-
-
-@query("i2_rx5day", sql("SELECT cell_id, year, max(s) AS rx5day FROM (SELECT cell_id, year, CASE WHEN count(pr) OVER w = 5 THEN sum(pr) OVER w END AS s FROM dated WINDOW w AS (PARTITION BY cell_id ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) GROUP BY 1, 2", "dated"))
-def _(spark, sf):
-    return indicators.rx5day(_days(spark, sf))
-
+_RUNS = {"cwd": "pr > 1", "cdd": "pr < 1", "max_consecutive_warm_days": "tasmax > 25"}
+_SPELLS = {"wsdi": ("tasmax", 0.9, ">"), "csdi": ("tasmin", 0.1, "<")}
+_NUMBERS = {"rx1day": "i1", "rx5day": "i2", "su": "i3", "dw": "i4", "ftc": "i5", "hd": "i6", "cd": "i7", "r10mm": "i8", "cwd": "i9", "cdd": "i10", "wsdi": "i11", "csdi": "i12", "ice_days": "i13", "summer_days_20": "i14", "dpi": "i16", "dw_30": "i17", "dry_days": "i18", "max_consecutive_warm_days": "i19"}
 
-@query("i5_ftc", sql("SELECT cell_id, year, CASE WHEN count(*) >= dayofyear(make_date(year, 12, 31)) THEN count(CASE WHEN tasmax > 0 AND tasmin <= 0 THEN 1 END) END AS ftc FROM dated GROUP BY 1, 2", "dated"))
-def _(spark, sf):
-    return indicators.ftc(_days(spark, sf))
-
-
-@query("i6_hd", sql("SELECT cell_id, year, list_sort(list(tasmax), 'DESC')[6] AS hd FROM dated GROUP BY 1, 2", "dated"))
-def _(spark, sf):
-    return indicators.BUILT["hd"](_days(spark, sf), None)
 
+def _islands(source: str, n: str) -> str:
+    """CTEs that end in `l_<n>`: the lengths of the runs of a flag."""
+    return f"r_{n} AS (SELECT {KEYS}, date, flag, row_number() OVER (PARTITION BY {KEYS} ORDER BY date) - row_number() OVER (PARTITION BY {KEYS}, flag ORDER BY date) AS island FROM ({source})), l_{n} AS (SELECT {KEYS}, island, count(*) AS n FROM r_{n} WHERE flag GROUP BY ALL)"
 
-@query("i7_cd", sql("SELECT cell_id, year, list_sort(list(tasmin))[6] AS cd FROM dated GROUP BY 1, 2", "dated"))
-def _(spark, sf):
-    return indicators.BUILT["cd"](_days(spark, sf), None)
 
+def table_sql(name: str) -> str:
+    """CTEs that end in `t_<name>`: the indicator by series and year, without the mask."""
+    if name in _SIMPLE:
+        return f"t_{name} AS (SELECT {KEYS}, {_SIMPLE[name]} AS {name} FROM members GROUP BY {KEYS})"
+    if name == "rx5day":
+        return f"t_rx5day AS (SELECT {KEYS}, max(s) AS rx5day FROM (SELECT {KEYS}, CASE WHEN count(pr) OVER w = 5 THEN sum(pr) OVER w END AS s FROM members WINDOW w AS (PARTITION BY {S} ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) GROUP BY {KEYS})"
+    every = f"(SELECT DISTINCT {KEYS} FROM members)"
+    if name in _RUNS:
+        return _islands(f"SELECT {KEYS}, date, coalesce({_RUNS[name]}, false) AS flag FROM members", name) + f", t_{name} AS (SELECT {KEYS}, coalesce(max(n), 0) AS {name} FROM {every} LEFT JOIN l_{name} USING ({KEYS}) GROUP BY {KEYS})"
+    column, p, op = _SPELLS[name]
+    source = f"SELECT d.{KEYS.replace(', ', ', d.')}, d.date, coalesce(d.{column} {op} q.threshold, false) AS flag FROM members d LEFT JOIN lim_{name} q USING (model, cell_id, doy) WHERE doy IS NOT NULL"
+    return _named(limits_sql(column, p, "history", "model, cell_id"), name) + ", " + _islands(source, name) + f", t_{name} AS (SELECT {KEYS}, coalesce(sum(n), 0)::BIGINT AS {name} FROM {every} LEFT JOIN (SELECT * FROM l_{name} WHERE n >= 6) USING ({KEYS}) GROUP BY {KEYS})"
 
-@query("i9_cwd", _longest("pr > 25", "cwd"))
-def _(spark, sf):
-    return windows.longest_run(_days(spark, sf), F.col("pr") > 25, indicators.BY, "cwd")
 
+def indicators_sql(names: list[str]) -> str:
+    masked = ", ".join(f"CASE WHEN NOT ({' OR '.join(f'no_{v}' for v in indicators.VARIABLES[n])}) THEN {n} END AS {n}" for n in names)
+    joined = " ".join(f"JOIN t_{n} USING ({KEYS})" for n in names[1:])
+    return sql(f"WITH {HISTORY}, {FIRST}, {', '.join(map(table_sql, names))} SELECT {KEYS}, {masked} FROM t_{names[0]} {joined} JOIN first_day USING ({S})", "members")
 
-@query("i10_cdd", _longest("pr < 25", "cdd"))
-def _(spark, sf):
-    return windows.longest_run(_days(spark, sf), F.col("pr") < 25, indicators.BY, "cdd")
 
+for _name, _number in _NUMBERS.items():
 
-@query("i11_wsdi", _spell("tasmax", 0.6, ">", "wsdi", 3))
-def _(spark, sf):
-    d = _days(spark, sf)
-    return indicators.spell_index(d, d, "tasmax", 0.6, True, "wsdi", least=3)
-
-
-@query("i12_csdi", _spell("tasmin", 0.4, "<", "csdi", 3))
-def _(spark, sf):
-    d = _days(spark, sf)
-    return indicators.spell_index(d, d, "tasmin", 0.4, False, "csdi", least=3)
+    @query(f"{_number}_{_name}", indicators_sql([_name]))
+    def _(spark, sf, name=_name):
+        out = indicators.run_indicators(members(spark, sf), [name])
+        return six(out, name) if name == "dpi" else out
 
 
-@query("i15_tx90p", sql(f"WITH {limits_sql('tasmax', 0.9)} SELECT d.cell_id, d.year, d.month, count(CASE WHEN d.tasmax > lim.threshold THEN 1 END) AS tx90p FROM dated d JOIN lim USING (cell_id, doy) GROUP BY 1, 2, 3", "dated"))
+@query("i15_tx90p", sql(f"WITH {HISTORY}, {limits_sql('tasmax', 0.9, 'history', 'model, cell_id')} SELECT d.model, d.scenario, d.cell_id, d.year, d.month, count(CASE WHEN d.tasmax > lim.threshold THEN 1 END) AS tx90p FROM members d JOIN lim USING (model, cell_id, doy) GROUP BY ALL", "members"))
 def _(spark, sf):
-    d = _days(spark, sf)
+    d = members(spark, sf)
     return indicators.tx90p(d, d)
 
 
-@query("i19_max_consecutive_warm_days", _longest("tasmax > 25", "max_consecutive_warm_days"))
-def _(spark, sf):
-    return indicators.BUILT["max_consecutive_warm_days"](_days(spark, sf), None)
-
-
-@query("i20_run_indicators", sql("WITH a AS (SELECT cell_id, year, max(pr) AS rx1day, count(CASE WHEN tasmax > 25 THEN 1 END) AS su, count(CASE WHEN tasmin < -30 THEN 1 END) AS dw, count(CASE WHEN pr > 10 THEN 1 END) AS r10mm, list_sort(list(tasmax), 'DESC')[6] AS hd FROM dated GROUP BY 1, 2), b AS (SELECT cell_id, year, max(s) AS rx5day FROM (SELECT cell_id, year, CASE WHEN count(pr) OVER w = 5 THEN sum(pr) OVER w END AS s FROM dated WINDOW w AS (PARTITION BY cell_id ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) GROUP BY 1, 2) SELECT a.*, rx5day FROM a JOIN b USING (cell_id, year)", "dated"))
+@query("i20_run_indicators", indicators_sql(list(_NUMBERS)))
 def _(spark, sf):
-    return indicators.run_indicators(_days(spark, sf), ["rx1day", "su", "dw", "r10mm", "hd", "rx5day"])
+    return six(indicators.run_indicators(members(spark, sf), list(_NUMBERS)), "dpi")
 
 
-@query("i21_indicator_delta", sql("WITH a AS (SELECT cell_id, year, max(pr) AS rx1day FROM dated GROUP BY 1, 2) SELECT cell_id, round(avg(CASE WHEN year BETWEEN 1999 AND 2001 THEN rx1day END) - avg(CASE WHEN year BETWEEN 1995 AND 1998 THEN rx1day END), 6) AS delta FROM a GROUP BY 1", "dated"))
+@query("i21_indicator_delta", sql("WITH a AS (SELECT model, cell_id, year, max(pr) AS rx1day FROM members GROUP BY ALL) SELECT model, cell_id, round(avg(CASE WHEN year BETWEEN 1999 AND 2001 THEN rx1day END) - avg(CASE WHEN year BETWEEN 1995 AND 1998 THEN rx1day END), 6) AS delta FROM a GROUP BY ALL", "members"))
 def _(spark, sf):
-    return six(indicators.indicator_delta(indicators.run_indicators(_days(spark, sf), ["rx1day"]), "rx1day", (1995, 1998), (1999, 2001)), "delta")
+    yearly = indicators.run_indicators(members(spark, sf), ["rx1day"], mask=False)
+    return six(indicators.indicator_delta(yearly, "rx1day", (1995, 1998), (1999, 2001)), "delta")
 
 
-@query("u1_register_indicator", sql("SELECT cell_id, year, count(CASE WHEN tasmax - tasmin > 30 THEN 1 END) AS wide_days FROM dated GROUP BY 1, 2", "dated"))
+@query("u1_register_indicator", sql(f"SELECT {KEYS}, count(CASE WHEN tasmax - tasmin > 30 THEN 1 END) AS wide_days FROM members GROUP BY {KEYS}", "members"))
 def _(spark, sf):
-    indicators.register_indicator("wide_days", lambda: F.count_if(F.col("tasmax") - F.col("tasmin") > 30))
-    return indicators.run_indicators(_days(spark, sf), ["wide_days"])
+    indicators.register_indicator("wide_days", lambda: F.count_if(F.col("tasmax") - F.col("tasmin") > 30), ["tasmax", "tasmin"])
+    return indicators.run_indicators(members(spark, sf), ["wide_days"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import Albers
 from ..operators import regrid
 from .catalogue import query
-from .inputs import daily, grid, series, sql
+from .inputs import BIG_DST, daily, grid, grids, series, sites, sql
 from .q_select import six
 
 KM = "2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians(s.lat - d.lat) / 2), 2) + cos(radians(d.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - d.lon) / 2), 2))))"
@@ -28,7 +28,7 @@ CONSERVATIVE = (
     + ", px AS (SELECT dx.v AS t, sx.i AS ix, (least(sx.hi, dx.hi) - greatest(sx.lo, dx.lo)) / (dx.hi - dx.lo) AS wx FROM dx JOIN sx ON least(sx.hi, dx.hi) > greatest(sx.lo, dx.lo))"
     + ", w AS (SELECT g.cell_id AS src_cell, dst.cell_id AS dst_cell, wy * wx AS w FROM dst JOIN py ON py.t = dst.lat JOIN px ON px.t = dst.lon JOIN grid g ON g.iy = py.iy AND g.ix = px.ix)"
 )
-NEAREST = f"{DST}, w AS (SELECT arg_min(s.cell_id, (round({KM}, 9), s.cell_id)) AS src_cell, d.cell_id AS dst_cell, 1e0 AS w FROM dst d, grid s GROUP BY d.cell_id)"
+NEAREST = f"w AS (SELECT arg_min(s.cell_id, (round({KM}, 6), s.cell_id)) AS src_cell, d.cell_id AS dst_cell, 1e0 AS w FROM site_targets d, grid s GROUP BY d.cell_id)"
 
 
 def dst(spark):
@@ -37,24 +37,24 @@ def dst(spark):
     return spark.range(16).select(F.col("id").alias("cell_id"), iy.alias("iy"), ix.alias("ix"), (52.0 + iy * 5.5).alias("lat"), (-168.0 + ix * 11.25).alias("lon"))
 
 
-@query("r1_weights_nearest", sql(f"WITH {NEAREST} SELECT src_cell, dst_cell, w FROM w", "grid"))
+@query("r1_weights_nearest", sql(f"SELECT arg_min(s.cell_id, (round({KM}, 6), s.cell_id)) AS src_cell, d.cell_id AS dst_cell, 1e0 AS w FROM site_targets d, sites s GROUP BY d.cell_id", "sites", "site_targets"))
 def _(spark, sf):
-    return regrid.weights_nearest(grid(spark, sf), dst(spark))
+    return regrid.weights_nearest(*sites(spark, sf))
 
 
-@query("r2_weights_nearest_d2s", sql(f"WITH {DST}, b AS (SELECT s.cell_id AS src_cell, arg_min(d.cell_id, (round({KM}, 9), d.cell_id)) AS dst_cell FROM dst d, grid s GROUP BY 1) SELECT src_cell, dst_cell, round(1e0 / count(*) OVER (PARTITION BY dst_cell), 9) AS w FROM b", "grid"))
+@query("r2_weights_nearest_d2s", sql(f"WITH b AS (SELECT s.cell_id AS src_cell, arg_min(d.cell_id, (round({KM}, 6), d.cell_id)) AS dst_cell FROM site_targets d, sites s GROUP BY 1) SELECT src_cell, dst_cell, round(1e0 / count(*) OVER (PARTITION BY dst_cell), 9) AS w FROM b", "sites", "site_targets"))
 def _(spark, sf):
-    return regrid.weights_nearest_d2s(grid(spark, sf), dst(spark)).withColumn("w", F.round("w", 9))
+    return regrid.weights_nearest_d2s(*sites(spark, sf)).withColumn("w", F.round("w", 9))
 
 
-@query("r3_weights_bilinear", sql(f"WITH {BILINEAR} SELECT src_cell, dst_cell, round(w, 9) AS w FROM w", "grid"))
+@query("r3_weights_bilinear", sql(f"WITH {BILINEAR.replace(DST, BIG_DST)} SELECT src_cell, dst_cell, round(w, 9) AS w FROM w", "big_grid"))
 def _(spark, sf):
-    return regrid.weights_bilinear(grid(spark, sf), dst(spark)).withColumn("w", F.round("w", 9))
+    return regrid.weights_bilinear(*grids(spark, sf)).withColumn("w", F.round("w", 9))
 
 
-@query("r4_weights_conservative", sql(f"WITH {CONSERVATIVE} SELECT src_cell, dst_cell, round(w, 9) AS w FROM w", "grid"))
+@query("r4_weights_conservative", sql(f"WITH {CONSERVATIVE.replace(DST, BIG_DST)} SELECT src_cell, dst_cell, round(w, 9) AS w FROM w", "big_grid"))
 def _(spark, sf):
-    return regrid.weights_conservative(grid(spark, sf), dst(spark)).withColumn("w", F.round("w", 9))
+    return regrid.weights_conservative(*grids(spark, sf)).withColumn("w", F.round("w", 9))
 
 
 APPLY = "s AS (SELECT dst_cell, date, count(pr) AS have, sum(w * pr) AS value FROM daily JOIN w ON daily.cell_id = w.src_cell GROUP BY 1, 2), need AS (SELECT dst_cell, count(*) AS need FROM w GROUP BY 1)"
@@ -72,10 +72,10 @@ def _(spark, sf):
     return six(regrid.apply_weights(pr, regrid.weights_conservative(grid(spark, sf), dst(spark))), "value")
 
 
-@query("r6_cascade", sql(f"WITH {BILINEAR}, n AS (SELECT arg_min(s.cell_id, (round({KM}, 9), s.cell_id)) AS mid, d.cell_id AS dst_cell FROM grid d, dst s GROUP BY d.cell_id) SELECT src_cell, n.dst_cell, round(sum(w), 9) AS w FROM w JOIN n ON n.mid = w.dst_cell GROUP BY 1, 2", "grid"))
+@query("r6_cascade", sql(f"WITH {BILINEAR.replace(DST, BIG_DST)}, n AS (SELECT arg_min(s.cell_id, (round({KM}, 6), s.cell_id)) AS mid, d.cell_id AS dst_cell FROM site_targets d, dst s GROUP BY d.cell_id) SELECT src_cell, n.dst_cell, round(sum(w), 9) AS w FROM w JOIN n ON n.mid = w.dst_cell GROUP BY 1, 2", "big_grid", "site_targets"))
 def _(spark, sf):
-    first = regrid.weights_bilinear(grid(spark, sf), dst(spark))
-    return regrid.cascade(first, regrid.weights_nearest(dst(spark), grid(spark, sf))).withColumn("w", F.round("w", 9))
+    src, mid = grids(spark, sf)
+    return regrid.cascade(regrid.weights_bilinear(src, mid), regrid.weights_nearest(mid, sites(spark, sf)[1])).withColumn("w", F.round("w", 9))
 
 
 @query("r7_make_latlon_grid", sql("SELECT m.lat AS lat, m.lon AS lon, d.cell_id AS nearest_row, d.lat = m.lat AS same_lat FROM (SELECT 50e0 + i * (25e0 / 10) AS lat, -170e0 + j * (40e0 / 16) AS lon FROM range(11) a(i), range(17) b(j)) m JOIN grid d ON d.lat = m.lat AND d.lon = m.lon", "grid"))
@@ -84,9 +84,9 @@ def _(spark, sf):
     return m.join(grid(spark, sf).select(F.col("cell_id").alias("nearest_row"), "lat", "lon"), ["lat", "lon"]).withColumn("same_lat", F.lit(True))
 
 
-@query("r8_refine_grid", sql("WITH y AS (SELECT lat, row_number() OVER (ORDER BY lat) - 1 AS k, lead(lat) OVER (ORDER BY lat) AS b FROM (SELECT DISTINCT lat FROM grid)), x AS (SELECT lon, row_number() OVER (ORDER BY lon) - 1 AS k, lead(lon) OVER (ORDER BY lon) AS b FROM (SELECT DISTINCT lon FROM grid)), fy AS (SELECT 2 * k AS iy, lat FROM y UNION ALL SELECT 2 * k + 1, (lat + b) / 2 FROM y WHERE b IS NOT NULL), fx AS (SELECT 2 * k AS ix, lon FROM x UNION ALL SELECT 2 * k + 1, (lon + b) / 2 FROM x WHERE b IS NOT NULL) SELECT (iy * (SELECT count(*) FROM fx) + ix)::BIGINT AS cell_id, lat, lon FROM fy, fx", "grid"))
+@query("r8_refine_grid", sql("WITH y AS (SELECT lat, row_number() OVER (ORDER BY lat) - 1 AS k, lead(lat) OVER (ORDER BY lat) AS b FROM (SELECT DISTINCT lat FROM grid)), x AS (SELECT lon, row_number() OVER (ORDER BY lon) - 1 AS k, lead(lon) OVER (ORDER BY lon) AS b FROM (SELECT DISTINCT lon FROM grid)), fy AS (SELECT 2 * k AS iy, lat FROM y UNION ALL SELECT 2 * k + 1, (lat + b) / 2 FROM y WHERE b IS NOT NULL), fx AS (SELECT 2 * k AS ix, lon FROM x UNION ALL SELECT 2 * k + 1, (lon + b) / 2 FROM x WHERE b IS NOT NULL) SELECT (iy * (SELECT count(*) FROM fx) + ix)::BIGINT AS cell_id, lat, lon FROM fy, fx", "big_grid"))
 def _(spark, sf):
-    return regrid.refine_grid(grid(spark, sf)).select(F.col("cell_id").cast("long").alias("cell_id"), "lat", "lon")
+    return regrid.refine_grid(grids(spark, sf)[0]).select(F.col("cell_id").cast("long").alias("cell_id"), "lat", "lon")
 
 
 def _albers_sql() -> str:
@@ -139,9 +139,9 @@ def _land(spark, sf):
     return grid(spark, sf).select("cell_id", (25.0 * F.col("region") - 25).alias("sftlf"))
 
 
-@query("r13_landmask", sql(f"WITH {NEAREST} SELECT w.dst_cell AS cell_id, 25e0 * region - 25 > 0 AS is_land FROM w JOIN grid g ON g.cell_id = w.src_cell", "grid"))
+@query("r13_landmask", sql(f"WITH {NEAREST} SELECT w.dst_cell AS cell_id, 25e0 * region - 25 > 0 AS is_land FROM w JOIN grid g ON g.cell_id = w.src_cell", "grid", "site_targets"))
 def _(spark, sf):
-    return regrid.landmask(_land(spark, sf), regrid.weights_nearest(grid(spark, sf), dst(spark)))
+    return regrid.landmask(_land(spark, sf), regrid.weights_nearest(grid(spark, sf), sites(spark, sf)[1]))
 
 
 @query("r14_prep_landsea", sql(f"WITH {BILINEAR}, sl AS (SELECT cell_id FROM grid WHERE region > 1), dl AS (SELECT cell_id FROM dst WHERE cell_id % 3 <> 0), l AS (SELECT * FROM w WHERE src_cell IN (FROM sl) AND dst_cell IN (FROM dl)), a AS (SELECT dst_cell, sum(w) AS whole FROM w GROUP BY 1), p AS (SELECT dst_cell, sum(w) AS part FROM l GROUP BY 1) SELECT src_cell, dst_cell, round(w * whole / part, 9) AS w FROM l JOIN a USING (dst_cell) JOIN p USING (dst_cell)", "grid"))
@@ -166,9 +166,9 @@ def _measures(source: str, name: str) -> str:
     return " UNION ALL ".join(f"SELECT '{a}' AS axis, unnest(['size', 'min', 'max', 'step']) AS measure, unnest([count(DISTINCT {a})::DOUBLE, min({a}), max({a}), (max({a}) - min({a})) / (count(DISTINCT {a}) - 1)]) AS {name} FROM {source}" for a in ("lat", "lon"))
 
 
-@query("r16_grid_compare", sql(f"WITH {DST}, a AS ({_measures('grid', 'a')}), b AS ({_measures('dst', 'b')}) SELECT axis, measure, round(a, 6) AS a, round(b, 6) AS b, abs(a - b) < 0.01e0 AS same FROM a JOIN b USING (axis, measure)", "grid"))
+@query("r16_grid_compare", sql(f"WITH {BIG_DST}, a AS ({_measures('grid', 'a')}), b AS ({_measures('dst', 'b')}) SELECT axis, measure, round(a, 6) AS a, round(b, 6) AS b, abs(a - b) < 0.01e0 AS same FROM a JOIN b USING (axis, measure)", "big_grid"))
 def _(spark, sf):
-    return six(regrid.grid_compare(grid(spark, sf), dst(spark)), "a", "b")
+    return six(regrid.grid_compare(*grids(spark, sf)), "a", "b")
 
 
 @query("r17_bbox_of", sql("SELECT region, min(lon) AS west, min(lat) AS south, max(lon) AS east, max(lat) AS north FROM grid GROUP BY 1", "grid"))

@@ -16,8 +16,11 @@ KEYS = "model, scenario, variable, cell_id, date"
 
 
 def shared_path(spark, label: str) -> str:
-    """A new path in the folder that driver and executors share (a temporary one where none is set)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    """A new path in the folder that driver and executors share; a temporary one where none is set and all run on one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    base = base or tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -44,15 +47,20 @@ def _(spark, sf):
     return fields.conflicts(fields.concat_members([pr, pr.where("year = 1996"), f.where("variable = 'tasmax'")]))
 
 
-@query("s4_write_by_year", sql("SELECT year, count(DISTINCT date) AS n_dates, year >= 1997 AND count(DISTINCT date) <> 1 AS written FROM dated GROUP BY year", "dated"))
+@query("s4_write_by_year", sql("SELECT year, count(DISTINCT date) AS n_dates, year >= 1997 AND count(DISTINCT date) <> 1 AS written, CASE WHEN year >= 1997 AND count(DISTINCT date) <> 1 THEN count(*) END AS n_rows FROM dated GROUP BY year", "dated"))
 def _(spark, sf):
-    return fields.year_status(dated(daily(spark, sf)), 1997)
+    path = shared_path(spark, "years")
+    status = fields.write_by_year(dated(daily(spark, sf)), path, 1997, by=("year",))
+    there = spark.read.parquet(path).groupBy("year").agg(F.count("*").alias("n_rows"))
+    return status.join(there, "year", "left")
 
 
-@query("s5_no_clobber", sql("SELECT DISTINCT variable, model, year FROM field WHERE NOT (variable = 'pr' AND year < 1999)", "field"))
+@query("s5_no_clobber", sql("SELECT variable, model, year, count(*) AS n, round(sum(CASE WHEN variable = 'pr' AND year < 1999 THEN -1 ELSE value END), 4) AS total FROM field GROUP BY ALL", "field"))
 def _(spark, sf):
-    f = field(spark, sf)
-    return fields.new_keys(f, ["variable", "model", "year"], f.where("variable = 'pr' and year < 1999"))
+    path, keys, f = shared_path(spark, "outputs"), ["variable", "model", "year"], field(spark, sf)
+    f.where("variable = 'pr' and year < 1999").withColumn("value", F.lit(-1.0)).write.partitionBy(*keys).parquet(path)
+    fields.write_missing(f, path, keys, spark.read.parquet(path))
+    return spark.read.parquet(path).groupBy(*keys).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query("s6_tiles", sql("SELECT cell_id, year, count(*) AS n, sum(value) AS total, min(doy) AS first_doy, max(doy) AS last_doy FROM (SELECT cell_id, year, doy, pr AS value FROM dated WHERE doy IS NOT NULL) GROUP BY 1, 2", "dated"))
@@ -61,15 +69,20 @@ def _(spark, sf):
     return fields.to_series_layout(back.withColumn("date", F.col("doy"))).groupBy("cell_id", "year").agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.min("doy").alias("first_doy"), F.max("doy").alias("last_doy"))
 
 
-@query("s7_holdings_names", sql("SELECT model, variable, count(*) AS n FROM catalog GROUP BY ALL", "catalog"))
+@query("s7_holdings_names", sql("SELECT model, variable, count(*) AS n, min(filename) AS first FROM catalog GROUP BY ALL", "catalog"))
 def _(spark, sf):
-    text = catalog(spark, sf).groupBy("model", "variable").agg(F.concat(F.lit("['"), F.concat_ws("', '", F.collect_list("filename")), F.lit("', 'x.nc4', 'y.txt']")).alias("filenames"))
-    return fields.parse_filenames(text).select("model", "variable", F.size("filenames").cast("long").alias("n"))
+    path = shared_path(spark, "holdings")
+    text = F.concat(F.lit("['"), F.concat_ws("', '", F.collect_list("filename")), F.lit("', 'x.nc4', 'y.txt']"))
+    catalog(spark, sf).groupBy("model", "variable").agg(text.alias("filenames")).write.option("header", True).option("escape", '"').csv(path)
+    return fields.read_holdings_csv(spark, path).select("model", "variable", F.size("filenames").cast("long").alias("n"), F.array_min("filenames").alias("first"))
 
 
-@query("s8_path_list", "SELECT split_part(url, '?', 1) AS src, CASE WHEN url LIKE '%?%' THEN split_part(url, '?', 2) END AS dst FROM pages WHERE split_part(url, '?', 1) LIKE '%example.net%'")
+@query("s8_path_list", sql("SELECT 'src/' || path AS src, CASE WHEN file_no % 2 = 0 THEN 'dst/' || path END AS dst FROM catalog WHERE path LIKE '%/ssp585/%'", "catalog"))
 def _(spark, sf):
-    return fields.parse_paths(table(spark, sf, "pages").select(F.regexp_replace("url", r"^([^?]*)\?(?s:(.*))$", "$1 $2").alias("value")), "example.net")
+    path = shared_path(spark, "paths")
+    both = F.when(F.col("file_no") % 2 == 0, F.concat(F.lit("dst/"), F.col("path")))
+    catalog(spark, sf).select(F.concat_ws(" ", F.concat(F.lit("  src/"), F.col("path")), both).alias("value")).write.text(path)
+    return fields.read_path_list(spark, path, "/ssp585/")
 
 
 @query("s9_batches", sql("SELECT variable, table_id, count(*) AS n, min('src/' || path || ' dst/' || path) AS first FROM catalog GROUP BY 1, 2", "catalog"))
@@ -122,7 +135,7 @@ def _(spark, sf):
 POINTS = [("fairbanks", 64.8, -147.7), ("juneau", 58.3, -134.4), ("kotzebue", 66.9, -162.6), ("null island", 0.0, 0.0)]
 
 
-@query("p8_sel_nearest", sql("SELECT name, arg_min(cell_id, (round(km, 9), cell_id)) AS cell_id, round(min(km), 6) AS km FROM (SELECT name, cell_id, 2 * 6371e0 * asin(sqrt(pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2))) AS km FROM grid, (VALUES ('fairbanks', 64.8e0, -147.7e0), ('juneau', 58.3e0, -134.4e0), ('kotzebue', 66.9e0, -162.6e0)) p(name, plat, plon)) GROUP BY name", "grid"))
+@query("p8_sel_nearest", sql("SELECT name, arg_min(cell_id, (round(km, 9), cell_id)) AS cell_id, round(min(km), 6) AS km FROM (SELECT name, cell_id, 2 * 6371e0 * asin(sqrt(pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2))) AS km FROM grid, (VALUES ('fairbanks', 64.8e0, -147.7e0), ('juneau', 58.3e0, -134.4e0), ('kotzebue', 66.9e0, -162.6e0), ('null island', 0e0, 0e0)) p(name, plat, plon)) GROUP BY name", "grid"))
 def _(spark, sf):
     return six(select.sel_nearest(grid(spark, sf), spark.createDataFrame(POINTS, "name string, plat double, plon double")), "km")
 
@@ -198,9 +211,10 @@ def _var(spark, sf, v):
     return daily(spark, sf).select("cell_id", "date", F.col(v).alias("value"))
 
 
-@query("e5_difference", sql("SELECT cell_id, date, 'dtr' AS variable, round(tasmax - tasmin, 6) AS value FROM daily", "daily"))
+@query("e5_difference", sql("SELECT cell_id, date, 'dtr' AS variable, round(tasmax - tasmin, 6) AS value, 'degC' AS unit FROM daily", "daily"))
 def _(spark, sf):
-    return six(units.difference(_var(spark, sf, "tasmax"), _var(spark, sf, "tasmin"), ["cell_id", "date"], "dtr"), "value")
+    a, b = (_var(spark, sf, v).withColumn("unit", F.lit("degC")) for v in ("tasmax", "tasmin"))
+    return six(units.difference(a, b, ["cell_id", "date"], "dtr"), "value")
 
 
 @query("e6_dtr", sql("SELECT cell_id, date, round(CASE WHEN tasmax - (tasmin + 25) < 0 THEN 0.0000999e0 ELSE tasmax - (tasmin + 25) END, 7) AS dtr FROM daily", "daily"))
@@ -251,13 +265,19 @@ def _(spark, sf):
     return daily(spark, sf).where(d > 30).select("cell_id", "date", F.round(d, 6).alias("d"), F.round(units.ratio(F.col("tasmax"), F.col("tasmin")), 6).alias("r"))
 
 
-@query("e15_resolution_km", sql("SELECT cell_id, round(abs(lat) / 40 * 110) AS lat_km, round(abs(lon) / 100 * 111.32e0 * cos(radians(65e0))) AS lon_km FROM grid", "grid"))
+@query("e15_resolution_km", sql("SELECT cell_id, round(abs(lat) / 40 * 110) AS lat_km, round(abs(lon) / 100 * 111.32e0 * cos(radians(65e0))) AS lon_km, round(2 * 6371e0 * asin(abs(cos(radians(lat)) * sin(radians(0.25e0)))), 6) AS width_km FROM grid", "grid"))
 def _(spark, sf):
     y, x = units.resolution_km(F.abs("lat") / 40, F.abs("lon") / 100)
-    return grid(spark, sf).select("cell_id", y.alias("lat_km"), x.alias("lon_km"))
+    return grid(spark, sf).select("cell_id", y.alias("lat_km"), x.alias("lon_km"), F.round(units.step_width_km(F.lit(0.5), F.col("lat")), 6).alias("width_km"))
+
+
+_ENTRIES = ["model", "scenario", "variable", "table_id"]
 
 
-@query("e5_common_attrs", sql("""SELECT cell_id, '{"model":"x","cell":"' || cell_id || '"}' AS attrs FROM grid""", "grid"))
+@query("e5_common_attrs", sql(f"WITH a AS (SELECT variant, arg_min(({', '.join(_ENTRIES)}), file_no) AS a FROM catalog GROUP BY 1) SELECT file_no, array_to_string([x for x in [{', '.join(f"CASE WHEN {e} = a[{i + 1}] THEN '{e}=' || {e} END" for i, e in enumerate(_ENTRIES))}] if x IS NOT NULL], ';') AS attrs FROM catalog JOIN a USING (variant)", "catalog"))
 def _(spark, sf):
-    own = lambda u: F.create_map(F.lit("model"), F.lit("x"), F.lit("unit"), F.lit(u), F.lit("cell"), F.col("cell_id").cast("string"))
-    return grid(spark, sf).select("cell_id", F.to_json(units.common_attrs(own("K"), own("C"))).alias("attrs"))
+    c = catalog(spark, sf)
+    attrs = F.create_map(*(x for e in _ENTRIES for x in (F.lit(e), F.col(e))))
+    first = c.groupBy("variant").agg(F.min_by(F.struct(*_ENTRIES), "file_no").alias("f")).select("variant", F.create_map(*(x for e in _ENTRIES for x in (F.lit(e), F.col("f")[e]))).alias("a"))
+    shared = units.common_attrs(attrs, F.col("a"))
+    return c.join(first, "variant").select("file_no", F.array_join(F.transform(F.map_entries(shared), lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias("attrs"))

@@ -6,75 +6,83 @@ from pyspark.sql import functions as F
 
 from ..operators import rank, windows
 from .catalogue import query
-from .inputs import catalog, daily, series, simulated, sql
-from .q_indicators import limits_sql, pool_sql
+from .inputs import catalog, member, members, series, simulations, sql
+from .q_indicators import S, limits_sql, pool_sql
 from .q_select import six
 
+SERIES = ["model", "scenario", "cell_id"]
 
-@query("w1_rolling_sum", sql("SELECT cell_id, date, CASE WHEN count(pr) OVER w = 3 THEN sum(pr) OVER w END AS rolled FROM daily WINDOW w AS (PARTITION BY cell_id ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)", "daily"))
+
+@query("w1_rolling_sum", sql(f"SELECT {S}, date, CASE WHEN count(pr) OVER w = 3 THEN sum(pr) OVER w END AS rolled FROM members WINDOW w AS (PARTITION BY {S} ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)", "members"))
 def _(spark, sf):
-    return windows.rolling_sum(series(spark, sf, "pr"), 3).select("cell_id", "date", "rolled")
+    return windows.rolling_sum(member(spark, sf, "pr"), 3).select(*SERIES, "date", "rolled")
 
 
-@query("w2_runs", sql("WITH r AS (SELECT cell_id, date, pr > 30 AS flag, row_number() OVER (PARTITION BY cell_id ORDER BY date) - row_number() OVER (PARTITION BY cell_id, pr > 30 ORDER BY date) AS island FROM daily) SELECT cell_id, n AS length, count(*) AS n_runs FROM (SELECT cell_id, island, count(*) AS n FROM r WHERE flag GROUP BY 1, 2) GROUP BY 1, 2", "daily"))
+@query("w2_runs", sql(f"WITH r AS (SELECT {S}, date, coalesce(pr > 5, false) AS flag, row_number() OVER (PARTITION BY {S} ORDER BY date) - row_number() OVER (PARTITION BY {S}, coalesce(pr > 5, false) ORDER BY date) AS island FROM members) SELECT {S}, n AS length, count(*) AS n_runs FROM (SELECT {S}, island, count(*) AS n FROM r WHERE flag GROUP BY ALL) GROUP BY ALL", "members"))
 def _(spark, sf):
-    return windows.runs(daily(spark, sf), F.col("pr") > 30, ["cell_id"]).groupBy("cell_id", "length").agg(F.count("*").alias("n_runs"))
+    return windows.runs(members(spark, sf), F.col("pr") > 5, SERIES).groupBy(*SERIES, "length").agg(F.count("*").alias("n_runs"))
 
 
-@query("w3_percentile_doy", sql(f"WITH {limits_sql('tasmax', 0.9)} SELECT cell_id, doy, round(threshold + 1e-9, 6) AS threshold FROM lim", "dated"))
+@query("w3_percentile_doy", sql(f"WITH {limits_sql('tasmax', 0.9, 'members', S)} SELECT {S}, doy, round(threshold + 1e-9, 6) AS threshold FROM lim", "members"))
 def _(spark, sf):
-    return six(windows.percentile_doy(series(spark, sf, "tasmax"), 0.9).withColumn("threshold", F.col("threshold") + 1e-9), "threshold")
+    return six(windows.percentile_doy(member(spark, sf, "tasmax"), 0.9).withColumn("threshold", F.col("threshold") + 1e-9), "threshold")
 
 
-_Q = "SELECT cell_id, doy, unnest(range(5))::INT AS q_idx, unnest(quantile_cont(value, [0.1, 0.3, 0.5, 0.7, 0.9])) AS value FROM pool GROUP BY 1, 2"
+_Q = f"SELECT {S}, doy, unnest(range(5))::INT AS q_idx, unnest(quantile_cont(value, [0.1, 0.3, 0.5, 0.7, 0.9])) AS value FROM pool GROUP BY {S}, doy"
 
 
-@query("w4_doy_window_quantiles", sql(f"WITH {pool_sql('dated', 'pr', 7)} SELECT cell_id, doy, q_idx, round(value, 6) AS value FROM ({_Q})", "dated"))
+@query("w4_doy_window_quantiles", sql(f"WITH {pool_sql('members', 'pr', 7, S)} SELECT {S}, doy, q_idx, round(value, 6) AS value FROM ({_Q})", "members"))
 def _(spark, sf):
-    return six(windows.doy_window_quantiles(series(spark, sf, "pr"), 5, 15), "value").select("cell_id", "doy", "q_idx", "value")
+    return six(windows.doy_window_quantiles(member(spark, sf, "pr"), 5, 15), "value").select(*SERIES, "doy", "q_idx", "value")
 
 
-@query("w4_doy_window_quantiles_per_cell", sql(f"WITH {pool_sql('dated', 'pr', 7)} SELECT cell_id, doy, q_idx, round(value, 6) AS value FROM ({_Q})", "dated"))
+@query("w4_doy_window_quantiles_per_cell", sql(f"WITH {pool_sql('members', 'pr', 7, S)} SELECT {S}, doy, q_idx, round(value, 6) AS value FROM ({_Q})", "members"))
 def _(spark, sf):
-    return six(windows.doy_window_quantiles_per_cell(series(spark, sf, "pr"), 5, 15), "value").select("cell_id", "doy", "q_idx", "value")
+    return six(windows.doy_window_quantiles_per_cell(member(spark, sf, "pr"), 5, 15), "value").select(*SERIES, "doy", "q_idx", "value")
 
 
-def rank_sql(half: int) -> str:
-    """CTEs that end in `ranked`: cell_id, doy, value and its scaled rank in the pool of `pool`."""
-    return "g AS (SELECT cell_id, doy, value, count(*) AS k FROM pool GROUP BY 1, 2, 3), ranked AS (SELECT cell_id, doy, value, CASE WHEN sum(k) OVER (PARTITION BY cell_id, doy) > 1 THEN (coalesce(sum(k) OVER (PARTITION BY cell_id, doy ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (k + 1) / 2e0 - 1) / (sum(k) OVER (PARTITION BY cell_id, doy) - 1) ELSE 0e0 END AS q FROM g)"
+def rank_sql(pool: str = "pool", keys: str = S, out: str = "ranked") -> str:
+    """A CTE of keys, doy, value and its scaled rank in the pool."""
+    whole = f"PARTITION BY {keys}, doy"
+    return f"{out} AS (SELECT {keys}, doy, value, CASE WHEN sum(k) OVER ({whole}) > 1 THEN (coalesce(sum(k) OVER ({whole} ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (k + 1) / 2e0 - 1) / (sum(k) OVER ({whole}) - 1) ELSE 0e0 END AS q FROM (SELECT {keys}, doy, value, count(*) AS k FROM {pool} GROUP BY ALL))"
 
 
-@query("w5_rank_in_doy_window", sql(f"WITH {pool_sql('dated', 'pr', 7)}, {rank_sql(7)} SELECT d.cell_id, d.date, round(q, 6) AS q FROM dated d LEFT JOIN ranked r ON d.cell_id = r.cell_id AND d.doy = r.doy AND d.pr = r.value", "dated"))
+@query("w5_rank_in_doy_window", sql(f"WITH {pool_sql('members', 'pr', 7, S)}, {rank_sql()} SELECT {S}, d.date, round(q, 6) AS q FROM members d LEFT JOIN (SELECT * RENAME (value AS pr) FROM ranked) r USING ({S}, doy, pr)", "members"))
 def _(spark, sf):
-    return six(windows.rank_in_doy_window(series(spark, sf, "pr"), 15), "q").select("cell_id", "date", "q")
+    return six(windows.rank_in_doy_window(member(spark, sf, "pr"), 15), "q").select(*SERIES, "date", "q")
 
 
-@query("w6_ecdf", sql("SELECT cell_id, date, round(cume_dist() OVER (PARTITION BY cell_id ORDER BY pr), 9) AS cdf FROM daily", "daily"))
+@query("w6_ecdf", sql(f"SELECT {S}, date, round(cume_dist() OVER (PARTITION BY {S} ORDER BY pr), 9) AS cdf FROM members WHERE pr IS NOT NULL", "members"))
 def _(spark, sf):
-    return windows.ecdf(series(spark, sf, "pr"), ["cell_id"]).select("cell_id", "date", F.round("cdf", 9).alias("cdf"))
+    return windows.ecdf(member(spark, sf, "pr"), SERIES).select(*SERIES, "date", F.round("cdf", 9).alias("cdf"))
 
 
-@query("w7_argmax_doy", sql("SELECT cell_id, arg_max(doy, (pr, -(date - DATE '1970-01-01'))) AS centre FROM dated WHERE doy IS NOT NULL GROUP BY 1", "dated"))
+@query("w7_argmax_doy", sql(f"SELECT {S}, arg_max(doy, (pr, -(date - DATE '1970-01-01'))) AS centre FROM members WHERE doy IS NOT NULL AND pr IS NOT NULL GROUP BY ALL", "members"))
 def _(spark, sf):
-    return windows.argmax_doy(series(spark, sf, "pr"))
+    return windows.argmax_doy(member(spark, sf, "pr"))
 
 
-@query("w8_extreme_cells", sql("WITH s AS (SELECT cell_id, max(pr) AS max, min(pr) AS min, avg(pr) AS mean, sum(pr) AS total FROM daily GROUP BY 1), t AS (UNPIVOT s ON max, min, mean, total INTO NAME statistic VALUE v) SELECT statistic, arg_max(cell_id, (v, -cell_id)) AS most_cell, round(max(v), 6) AS most, arg_min(cell_id, (v, cell_id)) AS least_cell, round(min(v), 6) AS least FROM t GROUP BY 1", "daily"))
+@query("w8_extreme_cells", sql("WITH s AS (SELECT model, scenario, cell_id, max(pr) AS max, min(pr) AS min, avg(pr) AS mean, sum(pr) AS total FROM members GROUP BY ALL), t AS (UNPIVOT s ON max, min, mean, total INTO NAME statistic VALUE v) SELECT model, scenario, statistic, arg_max(cell_id, (v, -cell_id)) AS most_cell, round(max(v), 6) AS most, arg_min(cell_id, (v, cell_id)) AS least_cell, round(min(v), 6) AS least FROM t GROUP BY ALL", "members"))
 def _(spark, sf):
-    return six(windows.extreme_cells(series(spark, sf, "pr")), "most", "least")
+    return six(windows.extreme_cells(member(spark, sf, "pr")), "most", "least")
 
 
-_CVM = "b AS (SELECT cell_id, pr AS value, 1 AS s FROM daily UNION ALL SELECT cell_id, value, 2 FROM simulated), m AS (SELECT cell_id, s, rank() OVER (PARTITION BY cell_id ORDER BY value) + (count(*) OVER (PARTITION BY cell_id, value) - 1) / 2e0 - rank() OVER (PARTITION BY cell_id, s ORDER BY value) - (count(*) OVER (PARTITION BY cell_id, s, value) - 1) / 2e0 AS d FROM b), g AS (SELECT cell_id, count(CASE WHEN s = 1 THEN 1 END)::DOUBLE AS n, count(CASE WHEN s = 2 THEN 1 END)::DOUBLE AS m, sum(CASE WHEN s = 1 THEN d * d END) AS d1, sum(CASE WHEN s = 2 THEN d * d END) AS d2 FROM m GROUP BY 1)"
+_CVM = f"k AS (SELECT DISTINCT {S} FROM simulations), b AS (SELECT {S}, pr AS value, 1 AS s FROM daily JOIN k USING (cell_id) UNION ALL SELECT {S}, value, 2 FROM simulations), m AS (SELECT {S}, s, rank() OVER (PARTITION BY {S} ORDER BY value) + (count(*) OVER (PARTITION BY {S}, value) - 1) / 2e0 - rank() OVER (PARTITION BY {S}, s ORDER BY value) - (count(*) OVER (PARTITION BY {S}, s, value) - 1) / 2e0 AS d FROM b), g AS (SELECT {S}, count(CASE WHEN s = 1 THEN 1 END)::DOUBLE AS n, count(CASE WHEN s = 2 THEN 1 END)::DOUBLE AS m, sum(CASE WHEN s = 1 THEN d * d END) AS d1, sum(CASE WHEN s = 2 THEN d * d END) AS d2 FROM m GROUP BY ALL), t AS (SELECT {S}, n, m, (n * d1 + m * d2) / (n * m * (n + m)) - (4 * n * m - 1) / (6 * (n + m)) AS statistic FROM g WHERE n > 0 AND m > 0)"
+#: The p-value in SQL: the series of the limit law, the Bessel function of order 1/4 by its cosh integral.
+_PVALUE = """x AS (SELECT *, greatest(1e-6, 1 / 6e0 + (statistic - (1 + 1 / (n + m)) / 6) / sqrt(45 * ((n + m + 1) * (4 * m * n * (n + m) - 3 * (m * m + n * n) - 2 * m * n) / (45 * (n + m) ** 2 * 4 * m * n)))) AS x FROM t),
+u AS (SELECT list(i * 0.01e0) AS us FROM range(1, 1200) r(i)),
+p AS (SELECT *, 1 - list_sum([exp(lgamma(k + 0.5e0) - lgamma(k + 1e0)) / pi() ** 1.5 / sqrt(x) * sqrt(4 * k + 1e0) * exp(-1 * pow(4 * k + 1e0, 2) / (16 * x)) * 0.01e0 * (0.5e0 * exp(-1 * pow(4 * k + 1e0, 2) / (16 * x)) + list_sum([exp(-1 * pow(4 * k + 1e0, 2) / (16 * x) * (exp(a) + exp(-a)) / 2) * (exp(a / 4) + exp(-a / 4)) / 2 for a in us])) for k in range(0, 12)]) AS tail FROM x, u)"""
 
 
-@query("w9_cvm_statistic", sql(f"WITH {_CVM} SELECT cell_id, n, m, round((n * d1 + m * d2) / (n * m * (n + m)) - (4 * n * m - 1) / (6 * (n + m)), 6) AS statistic FROM g WHERE n > 0 AND m > 0", "daily", "simulated"))
+@query("w9_cvm_statistic", sql(f"WITH {_CVM}, {_PVALUE} SELECT {S}, n, m, round(statistic, 6) AS statistic, round(CASE WHEN statistic < 0.003 THEN 1 ELSE greatest(0, least(1, tail)) END, 5) + 0e0 AS pvalue FROM p", "daily", "simulations"))
 def _(spark, sf):
-    return six(windows.cvm_2samp(series(spark, sf, "pr"), simulated(spark, sf)), "statistic").drop("pvalue")
+    out = six(windows.cvm_2samp(series(spark, sf, "pr"), simulations(spark, sf)), "statistic")
+    return out.withColumn("pvalue", F.round("pvalue", 5) + 0.0)
 
 
-@query("w10_q_ratio", sql("SELECT cell_id, round(r / h, 6) AS ratio FROM (SELECT cell_id, quantile_cont(pr, 0.9) AS r FROM dated WHERE doy BETWEEN 105 AND 135 GROUP BY 1) JOIN (SELECT cell_id, quantile_cont(value, 0.9) AS h FROM simulated WHERE doy BETWEEN 105 AND 135 GROUP BY 1) USING (cell_id)", "dated", "simulated"))
+@query("w10_q_ratio", sql(f"SELECT {S}, round(r / h, 6) AS ratio FROM (SELECT cell_id, quantile_cont(pr, 0.9) AS r FROM dated WHERE doy BETWEEN 105 AND 135 GROUP BY 1) JOIN (SELECT {S}, quantile_cont(value, 0.9) AS h FROM simulations WHERE doy BETWEEN 105 AND 135 GROUP BY ALL) USING (cell_id)", "dated", "simulations"))
 def _(spark, sf):
-    return six(windows.q_ratio(series(spark, sf, "pr"), simulated(spark, sf), 120, 0.9), "ratio")
+    return six(windows.q_ratio(series(spark, sf, "pr"), simulations(spark, sf), 120, 0.9), "ratio")
 
 
 @query("k1_top_cells", sql("SELECT cell_id, count(CASE WHEN pr > 60 THEN 1 END) AS n_days FROM daily GROUP BY 1 ORDER BY n_days DESC, cell_id LIMIT 6", "daily"))

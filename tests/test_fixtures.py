@@ -41,10 +41,9 @@ def test_spells_and_sums(spark):
     assert one(windows.days_in_runs(d, F.col("value") == 1, ["cell_id", "year"], 6, "n")) == [(1, 2001, 7)]
     assert one(indicators.rx5day(daily(spark, range(1, 11), dt.date(2001, 5, 1), name="pr")).select("rx5day")) == [(40.0,)]
     ten = daily(spark, range(1, 11), dt.date(2001, 5, 1), name="tasmax").withColumn("tasmin", F.col("tasmax"))
-    assert one(indicators.nth_value(ten, "tasmax", 6, True, "hd").select("hd")) == [(5.0,)]
-    assert one(indicators.nth_value(ten, "tasmin", 6, False, "cd").select("cd")) == [(6.0,)]
+    assert one(indicators.run_indicators(ten, ["hd", "cd"]).select("hd", "cd")) == [(5.0, 6.0)]
     pairs = spark.createDataFrame([(1, 2001, 1.0, 0.0), (1, 2001, 1.0, 1.0), (1, 2001, 0.0, -1.0), (1, 2001, 2.0, -3.0)], "cell_id long, year int, tasmax double, tasmin double")
-    assert one(indicators.ftc(pairs, whole_years=False).select("ftc")) == [(2,)] and one(indicators.ftc(pairs).select("ftc")) == [(None,)]
+    assert one(pairs.agg(indicators._freeze_thaw(False), indicators.SIMPLE["ftc"]())) == [(2, None)]
     wet = daily(spark, [10, 10.1], dt.date(2001, 5, 1), name="pr").withColumns({"tasmax": F.lit(0.0), "tasmin": F.lit(0.0)})
     assert one(indicators.run_indicators(wet, ["r10mm"]).select("r10mm")) == [(1,)]
     with pytest.raises(ValueError):
@@ -133,6 +132,14 @@ def test_calendar_of_360_days(spark):
     assert out[1] == 1.0 and out[365] == 360.0
 
 
+def test_inserted_day_with_one_neighbour(spark):
+    rows = [(1, 1990, d, None if d == 2 else float(d)) for d in range(1, 361) if d not in (117, 155, 156)]
+    out = {r["doy"]: r["value"] for r in calendar.cal360_to_noleap(spark.createDataFrame(rows, "cell_id long, year int, doy360 int, value double"), 1990, 1990).collect()}
+    # r = 1 lies between days 2 and 3, r = 115 between 116 and 117, r = 154 between 155 and 156.
+    assert out[2] is None or out[2] == 3.0
+    assert [v for v in (out.get(2), out.get(3)) if v is not None] == [3.0] and out[117] == 116.0 and 157 not in out
+
+
 def test_boxes():
     assert select.orient_bbox(-170, 50, 20, 70) == [(0, 50, 20, 70), (190, 50, 359.9, 70)]
     assert select.orient_bbox(-170, 50, -100, 70) == [(190, 50, 260, 70)]
@@ -221,3 +228,79 @@ def test_cramer_von_mises(spark):
     far = windows.cvm_2samp(a, b).first()
     same = windows.cvm_2samp(a, daily(spark, [x + 0.5 for x in range(20)])).first()
     assert far["pvalue"] < 1e-4 and same["pvalue"] > 0.9
+
+
+def test_models_are_not_pooled(spark):
+    a, b = (daily(spark, [v] * 10, dt.date(2001, 5, 1), name="pr").withColumn("model", F.lit(m)) for m, v in (("a", 2), ("b", 0)))
+    d = a.unionByName(b).withColumns({"tasmax": F.lit(1.0), "tasmin": F.lit(0.0)})
+    got = {r["model"]: (r["cwd"], r["rx5day"], r["cdd"]) for r in indicators.run_indicators(d, ["cwd", "rx5day", "cdd"]).collect()}
+    assert got == {"a": (10, 10.0, 0), "b": (0, 0.0, 10)}
+
+
+def test_cells_without_data_have_no_counts(spark):
+    d = daily(spark, [None, 30, 30], dt.date(2001, 1, 1), name="tasmax").unionByName(daily(spark, [30, None, 30], dt.date(2001, 1, 1), cell=2, name="tasmax"))
+    later = daily(spark, [30, 30], dt.date(2002, 1, 1), name="tasmax")
+    out = indicators.run_indicators(d.unionByName(later), ["su", "max_consecutive_warm_days"])
+    assert sorted(one(out)) == [(1, 2001, None, None), (1, 2002, None, None), (2, 2001, 2, 1)]
+    assert sorted(one(indicators.run_indicators(d, ["su"], mask=False))) == [(1, 2001, 2), (2, 2001, 2)]
+
+
+def test_maps_serve_all_scenarios_of_a_model(spark):
+    s = series(spark, 2, 1).where("doy is not null")
+    sim = s.withColumn("model", F.lit("a")).unionByName(s.withColumns({"model": F.lit("b"), "value": F.col("value") + 5}))
+    hist, later = sim.withColumn("scenario", F.lit("historical")), sim.withColumn("scenario", F.lit("ssp585"))
+    qmap = bias.qdm_train(s, hist, "+", 10, 31)
+    assert qmap.select("model").distinct().count() == 2 and "scenario" not in qmap.columns
+    for adjust in (bias.qdm_adjust(qmap, later, "+", 10, 31), bias.eqm_adjust(qmap, later), bias.dqm_adjust(s, hist, later, "+", 10, 31)):
+        assert adjust.count() == later.count()
+        both = adjust.join(s.select("cell_id", "date", F.col("value").alias("v")), ["cell_id", "date"])
+        assert both.where("value is null or (model = 'b' and abs(value - v) > 3.5)").count() == 0
+    assert bias.sliding_year_adjust(qmap, later, "+", 10, 31, 1).count() == later.count()
+
+
+def test_analogs_on_one_pool(spark):
+    """Five days of one year, window 1: each day is a pool of its own, so the analog is the day itself."""
+    coarse, fine = daily(spark, [1, 2, 3, 4, 5], dt.date(2001, 5, 1)), daily(spark, [2, 4, 6, 8, 10], dt.date(2001, 5, 1))
+    out = bias.qplad_adjust(bias.qplad_train(fine, coarse, 1), coarse, 1)
+    assert [r["value"] for r in out.orderBy("date").collect()] == [2, 4, 6, 8, 10]
+    wide = bias.qplad_train(fine, coarse.withColumn("value", -F.col("value")), 31).where("doy = 123").orderBy("rank").collect()
+    assert [(r["n"], r["af"]) for r in wide] == [(5, 15.0), (5, 12.0), (5, 9.0), (5, 6.0), (5, 3.0)]
+
+
+def test_nearest_anywhere(spark):
+    cells = "cell_id long, lat double, lon double"
+    far = spark.createDataFrame([(1, 29.9, 44.9), (2, 0.1, -31.0)], cells)
+    dst = spark.createDataFrame([(7, 0.1, 0.5), (8, -80.0, 10.0), (9, None, 1.0)], cells)
+    assert sorted(one(regrid.weights_nearest(far, dst))) == [(2, 7, 1.0), (2, 8, 1.0)]
+    point = spark.createDataFrame([("p", 0.1, 0.0)], "name string, plat double, plon double")
+    assert one(select.sel_nearest(spark.createDataFrame([(1, 4.0, 170.0), (2, 11.0, 0.0)], cells), point).select("cell_id")) == [(2,)]
+    rng = np.random.default_rng(3)
+    place = lambda n, south, north: list(zip(np.degrees(np.arcsin(rng.uniform(np.sin(np.radians(south)), np.sin(np.radians(north)), n))).tolist(), rng.uniform(-180, 180, n).tolist()))
+    for src, own in ((place(800, -90, 90), place(60, -90, 90)), ([(60 + i / 50, -150 + j / 50) for i in range(30) for j in range(30)], place(60, -90, 90)), ([(5.0, 5.0)] * 3, place(5, -90, 90))):
+        got = dict(one(regrid.weights_nearest(spark.createDataFrame([(i, *p) for i, p in enumerate(src)], cells), spark.createDataFrame([(i, *p) for i, p in enumerate(own)], cells)).select("dst_cell", "src_cell")))
+        s, d = np.radians(np.array(src)), np.radians(np.array(own))
+        a = np.sin((s[None, :, 0] - d[:, None, 0]) / 2) ** 2 + np.cos(s[None, :, 0]) * np.cos(d[:, None, 0]) * np.sin((s[None, :, 1] - d[:, None, 1]) / 2) ** 2
+        assert [got[i] for i in range(len(own))] == a.argmin(axis=1).tolist()
+    assert regrid.weights_nearest(far.where("false"), dst).count() == 0
+
+
+def test_long_dimension_tables(spark):
+    """More than ten thousand rows on the small side of a join."""
+    n = 10_001
+    ids = spark.range(n).select(F.concat(F.lit("v"), F.col("id")).alias("variable"), F.lit("day").alias("table_id"))
+    models = spark.createDataFrame([("m", ["r1"])], "model string, variants array<string>")
+    assert catalog.expand_requests(models, ids, ["historical"]).count() == n
+    assert joins.expected_vs_existing([ids.select("variable"), ids.select("table_id").distinct()], ids.limit(1)).count() == n - 1
+    named = ids.select(F.col("variable").alias("indicator"))
+    assert qc.qc_ranges(named.withColumn("value", F.lit(2.0)), named.withColumns({"min": F.lit(0.0), "max": F.lit(1.0)})).agg(F.sum("n_outside")).first()[0] == n
+    own = named.withColumn("units", F.lit("K"))
+    assert qc.qc_units(own, own).where("ok").count() == n
+    boxes = spark.range(n).select(F.col("id").alias("region"), F.col("id").cast("double").alias("x1"), (F.col("id") + 0.5).alias("x2"), F.lit(0.0).alias("y1"), F.lit(1.0).alias("y2"))
+    assert select.sel_regions(spark.range(n).select((F.col("id") + 0.25).alias("x"), F.lit(0.5).alias("y")), boxes).select("region").distinct().count() == n
+
+
+def test_difference_needs_equal_units(spark):
+    a = spark.createDataFrame([(1, 3.0, "K")], "cell_id long, value double, unit string")
+    assert one(units.difference(a, a, ["cell_id"], "d")) == [(1, "d", 0.0, "K")]
+    with pytest.raises(Exception, match="units differ"):
+        units.difference(a, a.withColumn("unit", F.lit("degC")), ["cell_id"], "d").collect()
