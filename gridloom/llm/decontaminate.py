@@ -4,21 +4,23 @@ A document is contaminated by an item if a window of as many words as the item h
 whole item if it is shorter) with a weighted Jaccard similarity of at least `similarity`, weights being multiplicities. A document
 shorter than the item is one window.
 
-For each document the item-sized windows that could reach the bound are fingerprinted by SimHash; a multi-index of the item
-fingerprints, cut into radius + 1 blocks of bits, gives all items within the radius (two fingerprints that differ in at most
-`radius` bits agree in a block), and the exact similarity decides. Windows that hold too few of the items' shingles for the bound can't reach
-it with any item and are left out beforehand, which loses nothing and keeps fingerprints to a few windows a passage. The radius is wide
-because a similarity of 0.8 leaves ten bits of 64 apart on average; beyond 24 is rarer than one window in a million.
+Item-sized windows and items are fingerprinted by SimHash of 128 bits. A multi-index of the items' fingerprints in eight blocks of 16
+bits gives all of them within `radius`: two fingerprints that differ in at most 31 bits have a block in which they differ in at most three, so
+a lookup probes the 697 values of each block within three bits. A random fingerprint meets 8.5 % of the items that way. The exact similarity
+decides. At a similarity of 0.8 fingerprints differ in 19.4 bits on average with a deviation of 4, so about one such pair in 800 lies outside the radius.
 
-The benchmark is taken in blocks of bounded size, one after the other, so what is broadcast doesn't follow its size.
+Only windows that hold enough shingles of the items of their length to reach the bound with any of them are fingerprinted; this
+says nothing about which item, and loses none.
+
+The benchmark is taken in blocks of bounded size. More than one block is looked up block after block, each in a job of its own that writes what it found,
+so neither memory nor what is broadcast follows the benchmark's size.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import written
+
 #: bytes.translate table: A-Z to lower case, ASCII punctuation and controls to blanks.
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 HITS = T.ArrayType(T.StructType().add("item_id", "long").add("similarity", "double").add("start", "integer").add("words", "integer"))
 _HIT = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("start", pa.int32()), ("words", pa.int32())]))
+_BLOCKS = 8
 
 
 def plain_words(text: str | None) -> list[bytes]:
@@ -37,137 +42,166 @@ def plain_words(text: str | None) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN).split() if text else []
 
 
-def _hashes(shingles: list[bytes]) -> np.ndarray:
-    import xxhash
+def shingles(words: list[bytes], size: int) -> list[bytes]:
+    if len(words) <= size:
+        return [b" ".join(words)]
+    return list(map(b" ".join, zip(*(words[i:] for i in range(size)))))
 
-    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, len(shingles))
 
+def fingerprints(words: list[bytes], size: int, starts: np.ndarray, windows: int) -> np.ndarray:
+    """SimHash fingerprints, rows of eight 16-bit blocks, of the `windows` shingles from each of the starts (in order)."""
+    import xxhash
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    out, cuts = np.zeros((len(starts), _BLOCKS), np.uint16), np.flatnonzero(np.diff(starts, prepend=starts[:1] - windows - 1) > windows).tolist()
+    for a, b in zip(cuts, [*cuts[1:], len(starts)]):
+        # Starts in reach of each other: every shingle is hashed once, and sums of bits along them give all windows.
+        for c in range(a, b, 4096):
+            own = starts[c : min(b, c + 4096)]
+            span = words[int(own[0]) : int(own[-1]) + windows + size - 1]
+            hashed = np.frombuffer(b"".join(map(xxhash.xxh128_digest, shingles(span, size))), np.uint8).reshape(-1, 16)
+            sums = np.cumsum(np.unpackbits(hashed, axis=1), axis=0, dtype=np.int32)
+            last = own - own[0] + windows - 1
+            ones = sums[last] - np.where((own == own[0])[:, None], 0, sums[last - windows])
+            out[c : c + len(own)] = np.packbits(2 * ones > windows, axis=1).view(np.uint16)
+    return out
 
 
-def _pack(ones: np.ndarray, n: int) -> list[int]:
-    return np.packbits(2 * ones > n, axis=-1, bitorder="little").view("<u8").ravel().tolist()
+class BlockIndex:
+    """Fingerprints by the value of each 16-bit block: within() misses none in the radius."""
 
+    def __init__(self, prints: np.ndarray, radius: int):
+        self.prints, self.radius = prints, radius
+        self.order = np.argsort(prints, axis=0, kind="stable")
+        held = np.take_along_axis(prints, self.order, axis=0)
+        self.first = np.stack([np.searchsorted(held[:, b], np.arange((1 << 16) + 1)) for b in range(_BLOCKS)])
+        self.masks = np.array([sum(1 << i for i in c) for k in range(radius // _BLOCKS + 1) for c in combinations(range(16), k)], np.uint16)
 
-class BlockIndex:
-    """Fingerprints by the value of each of radius + 1 blocks of bits: within() misses none in the radius."""
+    def candidates(self, fp: np.ndarray) -> np.ndarray:
+        probes = (fp[:, None] ^ self.masks).astype(np.int64)
+        block, at = np.nonzero(self.first[np.arange(_BLOCKS)[:, None], probes + 1] > self.first[np.arange(_BLOCKS)[:, None], probes])
+        value = probes[block, at]
+        found = [self.order[self.first[b, v] : self.first[b, v + 1], b] for b, v in zip(block.tolist(), value.tolist())]
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+    def within(self, fp: np.ndarray) -> np.ndarray:
+        near = self.candidates(fp)
+        return near[np.bitwise_count(self.prints[near] ^ fp).sum(axis=1) <= self.radius]
 
-    def __init__(self, fingerprints: list[int], radius: int):
-        self.fingerprints, self.radius = fingerprints, radius
-        edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-        self.blocks = [(low, (1 << (high - low)) - 1) for low, high in zip(edges, edges[1:])]
-        self.tables: list[dict[int, list[int]]] = [defaultdict(list) for _ in self.blocks]
-        for i, fp in enumerate(fingerprints):
-            for table, (low, mask) in zip(self.tables, self.blocks):
-                table[fp >> low & mask].append(i)
 
-    def within(self, fp: int) -> list[int]:
-        found = {i for table, (low, mask) in zip(self.tables, self.blocks) for i in table.get(fp >> low & mask, ())}
-        return sorted(i for i in found if (fp ^ self.fingerprints[i]).bit_count() <= self.radius)
+def _rows_by_key(keys: np.ndarray, n: int) -> np.ndarray:
+    return np.searchsorted(keys, np.arange(n + 1))
 
 
 class Index:
-    """A block of benchmark items, ready to be looked up."""
+    """A block of benchmark items, ready to be looked up. All is kept in arrays but the numbers of the words."""
 
     def __init__(self, items: list[tuple[int | None, str]], size: int, similarity: float, radius: int):
         self.similarity, self.size = similarity, size
         texts = [(k, w) for k, w in ((k, plain_words(t)) for k, t in items) if w]
-        self.ids = [k for k, _ in texts]
-        self.lengths = [len(w) for _, w in texts]
+        self.ids, self.lengths = [k for k, _ in texts], np.array([len(w) for _, w in texts], np.int64)
         self.vocabulary: dict[bytes, int] = {}
-        for _, w in texts:
-            for x in w:
-                self.vocabulary.setdefault(x, len(self.vocabulary) + 1)
-        owners: dict[bytes, list[int]] = defaultdict(list)
-        self.counts = []
-        by_length: dict[int, list[int]] = defaultdict(list)
-        prints = []
+        self.factors = np.random.default_rng(1).integers(1, 1 << 63, size, dtype=np.uint64) | np.uint64(1)
+        by_size: dict[int, tuple[list[np.ndarray], list[np.ndarray]]] = {}
+        prints = np.zeros((len(texts), _BLOCKS), np.uint16)
         for i, (_, w) in enumerate(texts):
-            own = shingles(w, size)
-            self.counts.append(Counter(own))
-            for s in self.counts[-1]:
-                owners[s].append(i)
-            by_length[len(w)].append(i)
-            prints.append(_pack(_bits(_hashes(own)).sum(axis=0, dtype=np.int64), len(own))[0])
-        self.near = {m: (own, BlockIndex([prints[i] for i in own], radius)) for m, own in by_length.items()}
-        # Shingles by their length in words: codes sorted, with the word numbers to tell equal codes apart and the items that hold each.
-        self.lookups = {}
-        rng = np.random.default_rng(1)
-        self.factors = rng.integers(1, 1 << 63, size, dtype=np.uint64) | np.uint64(1)
-        for g in sorted({min(size, m) for m in self.lengths}):
-            own = [s for s in owners if s.count(b" ") == g - 1]
-            numbers = np.array([[self.vocabulary[x] for x in s.split(b" ")] for s in own], np.uint64)
-            codes = self._codes(numbers)
+            numbers = np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in w], np.uint64)
+            g = min(size, len(w))
+            rows, owners = by_size.setdefault(g, ([], []))
+            rows.append(np.lib.stride_tricks.sliding_window_view(numbers, g))
+            owners.append(np.full(len(w) - g + 1, i))
+            prints[i] = fingerprints(w, g, np.zeros(1, np.int64), len(w) - g + 1)[0]
+        self.index = BlockIndex(prints, radius) if texts else None
+        # By shingle length: codes in order, the word numbers that tell equal codes apart, and where the shingles' numbers begin.
+        self.lookups, owner, shingle, total = {}, [], [], 0
+        for g, (rows, owners) in sorted(by_size.items()):
+            distinct, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
+            codes = self._codes(distinct)
             order = np.argsort(codes, kind="stable")
-            self.lookups[g] = (codes[order], numbers[order], [owners[own[i]] for i in order.tolist()])
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            self.lookups[g] = (codes[order], distinct[order], total)
+            owner.append(np.concatenate(owners))
+            shingle.append(total + place[which.ravel()])
+            total += len(order)
+        owner, shingle = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (owner, shingle))
+        # Shingles of each item with their multiplicities, and lengths of the items that hold each shingle.
+        pairs, self.counts = np.unique(np.stack([owner, shingle]), axis=1, return_counts=True)
+        self.item_first, self.item_shingles = _rows_by_key(pairs[0], len(texts)), pairs[1]
+        lengths = np.unique(np.stack([shingle, self.lengths[owner]]), axis=1) if len(owner) else np.zeros((2, 0), np.int64)
+        self.length_first, self.shingle_lengths = _rows_by_key(lengths[0], total), lengths[1]
 
     def _codes(self, numbers: np.ndarray) -> np.ndarray:
         return (numbers * self.factors[: numbers.shape[1]]).sum(axis=1, dtype=np.uint64)
 
+    def _shingles(self, numbers: np.ndarray, g: int) -> np.ndarray:
+        """The shingle at each place of a text, -1 for those of no item."""
+        codes, own, first = self.lookups[g]
+        sliding = np.lib.stride_tricks.sliding_window_view(numbers, g)
+        out = np.full(len(sliding), -1, np.int64)
+        at = np.flatnonzero(sliding.all(axis=1))
+        if len(at):
+            code = self._codes(sliding[at])
+            place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            ok = (codes[place] == code) & (own[place] == sliding[at]).all(axis=1)
+            out[at[ok]] = first + place[ok]
+        return out
+
+    def _similarity(self, window: np.ndarray, item: int) -> float:
+        own = slice(self.item_first[item], self.item_first[item + 1])
+        held, counts = self.item_shingles[own], self.counts[own]
+        here, times = np.unique(window[window >= 0], return_counts=True)
+        at = np.minimum(np.searchsorted(held, here), len(held) - 1)
+        both = int(np.where(held[at] == here, np.minimum(counts[at], times), 0).sum())
+        return both / (len(window) + int(counts.sum()) - both)
+
     def hits(self, text: str | None) -> list[dict]:
         """For each item the best window of the text at or over the similarity, the first of equals."""
         found = plain_words(text)
         if not found or not self.ids:
             return []
-        numbers = np.fromiter(map(self.vocabulary.get, found, repeat(0)), np.uint64, len(found))
-        places: dict[int, list[int]] = defaultdict(list)
-        for g, (codes, own, owners) in self.lookups.items():
+        numbers = np.fromiter(map(self.vocabulary.get, found, [0] * len(found)), np.uint64, len(found))
+        best: dict[int, tuple[float, int, int]] = {}
+        for g in self.lookups:
             if len(found) < g:
                 continue
-            sliding = np.lib.stride_tricks.sliding_window_view(numbers, g)
-            at = np.flatnonzero(sliding.all(axis=1)) if g > 1 else np.flatnonzero(numbers)
-            if not len(at):
+            at_place = self._shingles(numbers, g)
+            places = np.flatnonzero(at_place >= 0)
+            if not len(places):
                 continue
-            code = self._codes(sliding[at])
-            place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            ok = (codes[place] == code) & (own[place] == sliding[at]).all(axis=1)
-            for p, s in zip(at[ok].tolist(), place[ok].tolist()):
-                for i in owners[s]:
-                    places[i].append(p)
-        starts: dict[int, set[int]] = defaultdict(set)
-        for i, held in places.items():
-            m = self.lengths[i]
-            g, length = min(self.size, m), min(m, len(found))
-            k, windows = m - g + 1, length - g + 1
-            need = math.ceil(self.similarity * (k + windows) / (1 + self.similarity) - 1e-9)
-            if windows < 1 or len(held) < need:
-                continue
-            marks = np.zeros(len(found) - g + 2, np.int32)
-            marks[np.array(held) + 1] = 1
-            total = np.cumsum(marks)
-            ok = total[windows:] - total[: len(total) - windows] >= need
-            starts[m].update(np.flatnonzero(ok[: len(found) - length + 1]).tolist())
-        best: dict[int, tuple[float, int, int]] = {}
-        for m, own_starts in starts.items():
-            own, index = self.near[m]
-            length = min(m, len(found))
-            for s in sorted(own_starts):
-                window = shingles(found[s : s + length], min(self.size, m))
-                fp = _pack(_bits(_hashes(window)).sum(axis=0, dtype=np.int64), len(window))[0]
-                here = None
-                for j in index.within(fp):
-                    i = own[j]
-                    here = here or Counter(window)
-                    both = sum((here & self.counts[i]).values())
-                    value = both / (len(window) + self.counts[i].total() - both)
-                    if value >= self.similarity - 1e-12 and value > best.get(i, (0.0, 0, 0))[0]:
-                        best[i] = (value, s, length)
+            first, last = self.length_first[at_place[places]], self.length_first[at_place[places] + 1]
+            n = last - first
+            lengths = self.shingle_lengths[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            places = np.repeat(places, n)
+            for m in np.unique(lengths).tolist():
+                self._windows(found, at_place, places[lengths == m], m, g, best)
         return [{"item_id": self.ids[i], "similarity": v, "start": s, "words": n} for i, (v, s, n) in sorted(best.items())]
 
-
-def shingles(words: list[bytes], size: int) -> list[bytes]:
-    if len(words) <= size:
-        return [b" ".join(words)]
-    return list(map(b" ".join, zip(*(words[i:] for i in range(size)))))
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 5, similarity: float = 0.8, radius: int = 24, block_bytes: int = 8 << 20, out: str = "leaks") -> DataFrame:
+    def _windows(self, found: list[bytes], at_place: np.ndarray, marked: np.ndarray, m: int, g: int, best: dict[int, tuple[float, int, int]]) -> None:
+        """Looks the windows for items of m words up that hold enough of the marked places."""
+        length = min(m, len(found))
+        windows, k = length - g + 1, m - g + 1
+        need = math.ceil(self.similarity * (k + windows) / (1 + self.similarity) - 1e-9)
+        if windows < 1 or len(marked) < need:
+            return
+        marks = np.zeros(len(at_place) + 1, np.int32)
+        marks[marked + 1] = 1
+        total = np.cumsum(marks)
+        starts = np.flatnonzero(total[windows:] - total[: len(total) - windows] >= need)
+        if not len(starts):
+            return
+        for s, fp in zip(starts.tolist(), fingerprints(found, g, starts, windows)):
+            near = self.index.within(fp)
+            for i in near[self.lengths[near] == m].tolist():
+                value = self._similarity(at_place[s : s + windows], i)
+                if value >= self.similarity - 1e-12 and value > best.get(i, (0.0, 0, 0))[0]:
+                    best[i] = (value, s, length)
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 5, similarity: float = 0.8, radius: int = 31, block_bytes: int = 4 << 20, out: str = "leaks") -> DataFrame:
     """docs with a column of leaks: item_id, similarity, first word and number of words of the best window, for each item found.
 
     An input column named like the new one is replaced. Null, empty and blank texts leak nothing, items without a word are never
-    found; equal items are found alike. Empty tables give no leaks.
+    found; equal items are found alike, and so are repeated rows. Texts are taken whole, however long. Empty tables give no leaks.
     """
     sc = docs.sparkSession.sparkContext
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
@@ -175,12 +209,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     blocks = max(1, -(-total // block_bytes))
     kept = [c for c in docs.columns if c.lower() != out.lower()]
     now = docs.select(*(docs[f"`{c}`"] for c in kept))
-    for b in range(blocks):
+
+    def shared(b: int):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        shared = sc.broadcast(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
-        now = _look_up(now, shared, text_col, size, similarity, radius, f"__leaks_{b}")
-    found = F.concat(*(F.col(f"__leaks_{b}") for b in range(blocks)))
-    return now.select(*(F.col(f"`{c}`") for c in kept), found.alias(out))
+        return sc.broadcast(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+
+    if blocks == 1:
+        return _look_up(now, shared(0), text_col, size, similarity, radius, out)
+    # A text is known by two hashes, and what each block finds in it is written.
+    keys = [F.xxhash64(text_col).alias("__h1"), F.xxhash64(F.lit("second"), F.col(text_col)).alias("__h2")]
+    texts, found = now.select(*keys, F.col(text_col).alias("text")), None
+    for b in range(blocks):
+        block = shared(b)
+        hits = _look_up(texts, block, "text", size, similarity, radius, "leaks").where(F.size("leaks") > 0)
+        one = written(hits.groupBy("__h1", "__h2").agg(F.first("leaks").alias("leaks")), "leaks")
+        block.destroy()
+        found = one if found is None else found.unionByName(one)
+    found = found.groupBy("__h1", "__h2").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("__leaks"))
+    named = now.withColumns({"__h1": keys[0], "__h2": keys[1]}).join(found, ["__h1", "__h2"], "left")
+    return named.select(*(F.col(f"`{c}`") for c in kept), F.coalesce("__leaks", F.array().cast(HITS)).alias(out))
 
 
 def _look_up(docs: DataFrame, shared, text_col: str, size: int, similarity: float, radius: int, name: str) -> DataFrame:

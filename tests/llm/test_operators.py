@@ -408,12 +408,43 @@ def test_leaks(spark, docs, hard, none, sf):
 
 
 def test_block_index():
+    """within() against all fingerprints, at and about the radius; a random fingerprint meets less than a tenth of them."""
     rng = np.random.default_rng(5)
-    prints = [int(x) for x in rng.integers(0, 1 << 63, 300)]
-    for radius in (3, 10, 24):
+    prints = rng.integers(0, 1 << 16, (3000, 8), dtype=np.uint16)
+    asked = [*prints[:5], *rng.integers(0, 1 << 16, (20, 8), dtype=np.uint16)]
+    for n in (1, 20, 31, 32, 40):
+        for base in prints[:10]:
+            bits = np.zeros(128, np.uint8)
+            bits[rng.choice(128, n, replace=False)] = 1
+            asked.append(base ^ np.packbits(bits).view(np.uint16))
+    for radius in (3, 31):
         index = decontaminate.BlockIndex(prints, radius)
-        for fp in [*prints[:5], prints[7] ^ 0b1110001, *map(int, rng.integers(0, 1 << 63, 20))]:
-            assert index.within(fp) == [i for i, p in enumerate(prints) if (p ^ fp).bit_count() <= radius]
+        for fp in asked:
+            assert index.within(fp).tolist() == np.flatnonzero(np.bitwise_count(prints ^ fp).sum(axis=1) <= radius).tolist()
+    share = np.mean([len(index.candidates(fp)) / len(prints) for fp in rng.integers(0, 1 << 16, (50, 8), dtype=np.uint16)])
+    assert 0.07 < share < 0.1
+
+
+def test_window_fingerprints():
+    """Sums along the text against each window by itself."""
+    found = [f"w{i * i % 37}".encode() for i in range(400)]
+    starts = np.array([0, 1, 2, 30, 31, 200, 260, 330])
+    for size, windows in ((5, 20), (1, 3), (5, 66)):
+        whole = decontaminate.fingerprints(found, size, starts, windows)
+        for s, fp in zip(starts.tolist(), whole):
+            own = [xxhash.xxh128_intdigest(b" ".join(found[i : i + size])) for i in range(s, s + windows)]
+            expected = [2 * sum(h >> (127 - k) & 1 for h in own) > windows for k in range(128)]
+            assert np.packbits(expected).view(np.uint16).tolist() == fp.tolist()
+
+
+def test_items_that_share_a_shingle(spark):
+    """A shingle of every item, and a document of it alone: work follows the items' lengths, not the items."""
+    shared = "terms of use apply here"
+    items = spark.range(3000).select(F.col("id").alias("item_id"), F.concat_ws(" ", F.lit(shared), *(F.concat(F.lit(c), F.col("id")) for c in "abcdefghij")).alias("text"))
+    index = decontaminate.Index([(r["item_id"], r["text"]) for r in items.collect()], 5, 0.8, 31)
+    assert len(index.shingle_lengths) == len(index.length_first) - 1
+    docs = spark.createDataFrame([(1, " ".join([shared] * 2000)), (2, shared + " a7 b7 c7 d7 e7 f7 g7 h7 i7 j7 " + shared)], "doc_id long, text string")
+    assert {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in rows(decontaminate.find_leaks(docs, items))} == {1: [], 2: [7]}
 
 
 # 9: shards
