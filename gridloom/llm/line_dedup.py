@@ -6,14 +6,14 @@ dropped if an equal or near line comes earlier, by (id, line number), anywhere i
 
 Variants. A line emits a key for each word left out, hashed with the number of words and the place left out: lines with a common
 key of this kind differ in that word alone. It also emits the keys without the place, and one for itself whole: a
-line whose variant equals another whole line has one word more. The hash of a variant is a sum of hashes of (word, place), so running
-sums make all variants of a line in time linear in its length. Groups link to their earliest member or to the whole line, never
-all to all, and each link's edit distance is verified on the words.
+line whose variant equals another whole line has one word more. The hash of a variant is the XOR of 64-bit hashes of (word, place), so running
+XORs make all variants of a line in time linear in its length. Groups link to their earliest member or to the whole line, never
+all to all, by one place for a pair, and each link's edit distance is verified on the words.
 
 Most lines have no near line. Two near lines share their first or last p words, where p is the largest power of two up to half
 their length, so only lines that share such an end with another distinct line emit variants, and only for the words outside a
-shared end; this leaves no pair out. Shared ends are marked in a bit table of fixed size, which is broadcast: it may let lines through that
-share nothing, but none that do are lost, and only the lines let through are shuffled with their words.
+shared end; this leaves no pair out. Up to four million shared ends are marked in a bit table that is broadcast, its size following their number: it may
+let lines through that share nothing, but none that do are lost. More of them are joined instead.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, written
 
 
-#: Rows of the broadcast bit table, 63 bits each: at most 2**18 rows whatever the corpus.
-_MARKS = 1 << 18
+#: As many keys are marked in a bit table, of 63 bits a row and a row for every four keys; more are joined.
+_MOST_MARKED = 1 << 22
 _BLANKS = " \t\r\x0b\x0c"
 
 
@@ -37,11 +37,6 @@ def normal(line: Column) -> Column:
     return F.lower(F.when(odd, F.regexp_replace(F.regexp_replace(line, SPACE, " "), "^ | $", "")).otherwise(line))
 
 
-def _part(*of: Column) -> Column:
-    """40 bits of a hash, so that sums over any line stay in 64."""
-    return F.shiftrightunsigned(F.xxhash64(*of), 24)
-
-
 def _lines(docs: DataFrame, least_words: int) -> DataFrame:
     """A row per non-blank line: id, no, line, two hashes of it, its number of words n, p, and ends: keys of its first and last p
     words, and of twice as many if a line with a word more would take those."""
@@ -62,43 +57,47 @@ def _lines(docs: DataFrame, least_words: int) -> DataFrame:
     return lines.withColumn("ends", ends)
 
 
-def _marks(keys: DataFrame) -> DataFrame:
-    """The bit table of keys(key): mark, bits."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("key", 32), F.lit(63)).cast("int"))
-    return F.broadcast(keys.groupBy(F.pmod("key", F.lit(_MARKS)).alias("mark")).agg(F.bit_or(bit).alias("bits")))
-
-
-def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
-    """The rows whose key may be in the table."""
+def _among(rows: DataFrame, keys: DataFrame, most: int = _MOST_MARKED) -> DataFrame:
+    """The rows whose key is in keys(key), and maybe some others."""
+    keys = written(keys.select("key"), "keys")
+    n = keys.count()
+    if n > most:
+        return rows.join(keys.distinct(), "key", "left_semi")
+    size = F.lit(1 << max(4, (n // 4).bit_length()))
     bit = F.pmod(F.shiftright("key", 32), F.lit(63)).cast("int")
+    marks = keys.groupBy(F.pmod("key", size).alias("mark")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
     hit = F.call_function("shiftright", F.col("bits"), bit).bitwiseAND(F.lit(1).cast("long")) == 1
-    return rows.withColumn("mark", F.pmod("key", F.lit(_MARKS))).join(marks, "mark").where(hit).drop("mark", "bits")
+    return rows.withColumn("mark", F.pmod("key", size)).join(F.broadcast(marks), "mark").where(hit).drop("mark", "bits")
 
 
 def near_places(docs: DataFrame, first: DataFrame, least_words: int) -> DataFrame:
     """first(id, no, ends), distinct lines: places (id, no) of those that have an earlier near line."""
     shared = first.select(F.explode("ends").alias("key")).groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
     ends = _lines(docs, least_words).select("id", "no", "line", "h1", "h2", "n", "p", F.posexplode_outer("ends").alias("end", "key"))
-    own = _marked(ends, _marks(shared)).groupBy("h1", "h2").agg(
+    own = _among(ends, shared).groupBy("h1", "h2").agg(
         F.min(F.struct("id", "no")).alias("place"), F.first("line").alias("line"), F.first("n").alias("n"), F.first("p").alias("p"), F.max(F.col("end") == 0).alias("front"), F.max(F.col("end") == 1).alias("rear")
     )
     own = written(own.select("place.id", "place.no", "n", "p", "front", "rear", F.split("line", " ").alias("words")), "candidates")
 
     placed = own.repartition("id", "no").select("id", "no", "n", "p", "front", "rear", F.posexplode("words").alias("at", "word"))
-    placed = placed.select("id", "no", "n", "at", ((F.col("front") & (F.col("at") >= F.col("p"))) | (F.col("rear") & (F.col("at") < F.col("n") - F.col("p")))).alias("open"), _part(F.col("word"), F.col("at")).alias("here"), _part(F.col("word"), F.col("at") - 1).alias("left"))
-    line = Window.partitionBy("id", "no").orderBy("at")
-    along, behind = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(1, Window.unboundedFollowing)
+    placed = placed.select("id", "no", "n", "at", ((F.col("front") & (F.col("at") >= F.col("p"))) | (F.col("rear") & (F.col("at") < F.col("n") - F.col("p")))).alias("open"), F.xxhash64("word", "at").alias("here"), F.xxhash64(F.col("word"), F.col("at") - 1).alias("left"))
+    # What lies behind a place is all of the line less what lies up to it, so no frame shrinks.
+    line = Window.partitionBy("id", "no")
+    along = line.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    upto = lambda c: F.bit_xor(c).over(along)
+    rest = upto("here").bitwiseXOR(F.col("here")).bitwiseXOR(F.bit_xor("left").over(line)).bitwiseXOR(upto("left"))
     zero = F.lit(0).cast("long")
-    sums = placed.select("id", "no", "n", "at", "open", (F.coalesce(F.sum("here").over(along), zero) + F.coalesce(F.sum("left").over(behind), zero)).alias("sum")).where("open")
-    sums = written(sums.select("id", "no", "at", F.xxhash64(F.lit("swap"), "n", "at", "sum").alias("swap"), F.xxhash64(F.lit("in"), F.col("n") - 1, F.col("sum")).alias("in")), "variants")
-    whole_sum = F.aggregate(F.transform("words", lambda w, i: _part(w, i)), zero, lambda s, x: s + x)
-    whole = own.select(F.col("id").alias("wid"), F.col("no").alias("wno"), F.xxhash64(F.lit("in"), "n", whole_sum).alias("key"))
+    sums = placed.select("id", "no", "n", "at", "open", rest.alias("rest")).where("open")
+    sums = written(sums.select("id", "no", "at", F.xxhash64(F.lit("swap"), "n", "at", "rest").alias("swap"), F.xxhash64(F.lit("in"), F.col("n") - 1, F.col("rest")).alias("in")), "variants")
+    whole_rest = F.aggregate(F.transform("words", lambda w, i: F.xxhash64(w, i)), zero, lambda s, x: s.bitwiseXOR(x))
+    whole = own.select(F.col("id").alias("wid"), F.col("no").alias("wno"), F.xxhash64(F.lit("in"), "n", whole_rest).alias("key"))
 
     swapped = sums.select("id", "no", "at", F.col("swap").alias("key"))
     centre = swapped.groupBy("key").agg(F.min(F.struct("id", "no")).alias("with"), F.count("*").alias("m")).where("m > 1").select("key", F.col("with.id").alias("wid"), F.col("with.no").alias("wno"))
-    swaps = _marked(swapped, _marks(centre.select("key"))).join(centre, "key").where("id <> wid or no <> wno").withColumn("swap", F.lit(True))
-    inserted = _marked(sums.select("id", "no", "at", F.col("in").alias("key")), _marks(whole.select("key"))).join(whole, "key").withColumn("swap", F.lit(False))
-    links = swaps.unionByName(inserted).drop("key").distinct()
+    swaps = _among(swapped, centre).join(centre, "key").where("id <> wid or no <> wno").withColumn("swap", F.lit(True))
+    inserted = _among(sums.select("id", "no", "at", F.col("in").alias("key")), whole).join(whole, "key").withColumn("swap", F.lit(False))
+    # A pair may meet at many places, as in a line of one word repeated; any of them tells.
+    links = swaps.unionByName(inserted).groupBy("id", "no", "wid", "wno", "swap").agg(F.min("at").alias("at"))
     a, b = own.select("id", "no", F.col("words").alias("a")), own.select(F.col("id").alias("wid"), F.col("no").alias("wno"), F.col("words").alias("b"))
     both = links.join(a, ["id", "no"]).join(b, ["wid", "wno"])
     cut = lambda w: F.concat(F.slice(w, F.lit(1), F.col("at")), F.slice(w, F.col("at") + 2, F.size(w)))

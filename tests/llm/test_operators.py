@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontaminate, graph, langid, line_dedup, mixing, quality, queries, sharding, simhash, token_store, warc
+from gridloom.llm import chat, decontaminate, graph, langid, line_dedup, mixing, quality, queries, sharding, similar, simhash, token_store, warc
 from gridloom.llm.common import new_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -221,11 +221,11 @@ def test_components_of_a_long_path(spark):
     assert rows(graph.components(path.where("u < 0"))) == []
 
 
-def test_simhash_keep_first(hard, none):
-    kept = rows(simhash.keep_first(hard))
-    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 2, 3, 6, 7, 9, 10]
+def test_keep_first(hard, none):
+    kept = rows(similar.keep_first(hard))
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 3, 6, 7, 9, 10]
     assert sum(r["doc_id"] is None for r in kept) == 1
-    assert rows(simhash.keep_first(none)) == []
+    assert rows(similar.keep_first(none)) == []
 
 
 # 4: lines
@@ -272,6 +272,19 @@ def test_lines(spark, docs, hard, none):
         assert Counter(map(tuple, line_dedup.dedup_lines(table).collect())) == lines_expected(rows(table))
 
 
+def test_lines_with_many_shared_ends(spark, docs, monkeypatch):
+    """Keys beyond the bit table are joined, with the same result."""
+    marked = Counter(map(tuple, line_dedup.dedup_lines(docs).collect()))
+    monkeypatch.setattr(line_dedup._among, "__defaults__", (0,))
+    assert Counter(map(tuple, line_dedup.dedup_lines(docs).collect())) == marked
+
+
+def test_long_line_of_one_word(spark):
+    n = 20_000
+    got = line_dedup.dedup_lines(spark.createDataFrame([(1, " ".join(["ha"] * n)), (2, " ".join(["ha"] * (n - 1))), (3, " ".join(["ha"] * (n - 3)))], "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["n_near"]) for r in got.collect()) == [(1, 0), (2, 1), (3, 0)]
+
+
 # 5: quality
 
 
