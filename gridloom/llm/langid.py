@@ -27,8 +27,9 @@ from pyspark.sql import types as T
 
 from .common import by_size
 
-#: Runs of letters.
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of word characters but digits and underscores: letters, and a few that are numeric only (superscripts, fractions, circled or Roman numbers).
+_WORDS = re.compile(r"[^\W\d_]+")
+_NO_WORD = re.compile(r"[\W\d_]+")
 #: First and last code point of script ranges, by name; letters outside them are script "other".
 SCRIPTS = [
     ("latin", 0x41, 0x24F), ("latin", 0x1E00, 0x1EFF), ("greek", 0x370, 0x3FF), ("greek", 0x1F00, 0x1FFF), ("cyrillic", 0x400, 0x52F),
@@ -67,6 +68,16 @@ def grams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return owner[order], np.concatenate(found)[order], scripts_of(codes[np.flatnonzero(first) + 1])
 
 
+def letter_runs(text: str) -> list[str]:
+    """The runs of letters (Unicode category L) of a text."""
+    found = _WORDS.findall(text)
+    return found if all(map(str.isalpha, found)) else [w for f in found for w in ([f] if f.isalpha() else _only_letters(f).split())]
+
+
+def _only_letters(run: str) -> str:
+    return "".join(c if c.isalpha() else " " for c in run)
+
+
 class Model:
     """Languages, log-odds of the hashed n-grams (buckets x languages) and which scripts each language uses."""
 
@@ -125,14 +136,15 @@ class Model:
 
 def viterbi(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
     """Best labels of many word sequences at once. scores: words x languages; sequences lie one after the other."""
-    labels = np.zeros(len(scores), np.uint8)
+    kind = np.uint8 if scores.shape[1] <= 256 else np.uint16
+    labels = np.zeros(len(scores), kind)
     if not len(scores):
         return labels
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[order], lengths[order]
     steps = int(lengths[0])
     active = np.searchsorted(-lengths, -np.arange(steps + 1), side="left").tolist()  # sequences longer than each step, first in order
-    back, every = np.zeros(scores.shape, np.uint8), np.arange(scores.shape[1], dtype=np.uint8)
+    back, every = np.zeros(scores.shape, kind), np.arange(scores.shape[1], dtype=kind)
     now = scores[starts].astype(np.float64)
     for t in range(steps):
         n, at = active[t], starts[: active[t]] + t
@@ -168,7 +180,7 @@ def steady(scores: np.ndarray, penalty: float) -> int:
 
 def label(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
     """viterbi(), with steady sequences settled beforehand."""
-    labels, moving = np.zeros(len(scores), np.uint8), []
+    labels, moving = np.zeros(len(scores), np.uint8 if scores.shape[1] <= 256 else np.uint16), []
     for i, (s, n) in enumerate(zip(starts.tolist(), lengths.tolist())):
         k = steady(scores[s : s + n], penalty)
         if k < 0:
@@ -183,8 +195,8 @@ def label(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, penalty:
 
 
 def spans_of(text: str, model: Model, penalty: float = 4.0) -> list[tuple[int, int, str]]:
-    """(start, stop, language) of the single-language spans of a text, in code points."""
-    found = list(_LETTERS.finditer(text))
+    """(start, stop, language) of the single-language spans of a text, in code points; none where there is no letter."""
+    found = list(re.finditer(r"\S+", _WORDS.sub(lambda m: m[0] if m[0].isalpha() else _only_letters(m[0]), _NO_WORD.sub(lambda m: " " * len(m[0]), text))))
     if not found or not model.languages:
         return []
     rows = model.rows([m[0] for m in found])
@@ -200,8 +212,8 @@ def spans_of(text: str, model: Model, penalty: float = 4.0) -> list[tuple[int, i
 
 
 def predict(texts: list[str | None], model: Model, penalty: float = 4.0) -> tuple[list[str], list[float]]:
-    """Language and score of each text."""
-    found = [_LETTERS.findall(t) if t else [] for t in texts]
+    """Language and score of each text; 'und' and 0 for null and for texts without a letter, and throughout if the model knows no language."""
+    found = [letter_runs(t) if t else [] for t in texts]
     lengths = np.array([len(f) for f in found], np.int64)
     if not model.languages or not lengths.sum():
         return ["und"] * len(texts), [0.0] * len(texts)
@@ -227,7 +239,7 @@ def evidence(texts: list[str | None], model: Model, penalty: float = 4.0) -> tup
     level: the mean log likelihood of the n-grams of its other words, in the languages that they are labelled with, less that of those
     languages' training texts, and three standard errors more, as short texts vary. Without such words 0."""
     foreign, level = np.zeros(len(texts)), np.zeros(len(texts))
-    found = [_LETTERS.findall(t) if t else [] for t in texts]
+    found = [letter_runs(t) if t else [] for t in texts]
     lengths = np.array([len(f) for f in found], np.int64)
     if not model.languages or not lengths.sum():
         return foreign.tolist(), level.tolist()
@@ -244,20 +256,20 @@ def evidence(texts: list[str | None], model: Model, penalty: float = 4.0) -> tup
     return foreign.tolist(), level.tolist()
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 20_000, buckets: int = 1 << 15, most_languages: int = 64, seed: int = 5) -> Model:
-    """Fit on a seeded sample of at most about train_rows rows with text and language.
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 20_000, least_rows: int = 200, buckets: int = 1 << 15, seed: int = 5) -> Model:
+    """Fit on a seeded sample of about train_rows rows with text and language, and of about least_rows at least (or all) of each language.
 
-    The sample keeps rows whose hashed id falls under train_rows / (labelled rows). Counters are summed by (language, bucket); the driver
-    gets at most most_languages x buckets of them: the languages with the most labelled rows, ties by name.
+    The sample keeps rows whose hashed id falls under their language's share. Every labelled language is learned; counters are summed by
+    (language, bucket), so the driver gets buckets of them a language at most (half a megabyte in memory). No labelled rows: a model without languages.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    by = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
-    languages = sorted(r["lang"] for r in by)
-    total = sum(r["n"] for r in by)
+    held = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    languages, total = sorted(held), sum(held.values())
     if not total:
         return Model([], np.zeros((1, 1), np.float32), np.ones((len(_NAMES), 1), bool))
-    share = min(1.0, train_rows / total)
-    sample = rows.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    share = {x: min(1.0, max(train_rows / total, least_rows / n)) for x, n in held.items()}
+    bounds = F.create_map(*(F.lit(v) for x, p in share.items() for v in (x, int(p * (1 << 30)))))
+    sample = rows.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < bounds[F.col("lang")])
     place = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +278,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             words: dict[int, Counter] = {}
             for text, lang in zip(b.column(0), b.column(1).to_pylist()):
                 if (k := place.get(lang)) is not None:
-                    words.setdefault(k, Counter()).update(_LETTERS.findall(text.as_py().lower()))
+                    words.setdefault(k, Counter()).update(letter_runs(text.as_py().lower()))
             for k, own in words.items():
                 every, n = list(own), np.fromiter(own.values(), np.int64, len(own))
                 for at in range(0, len(every), 100_000):
