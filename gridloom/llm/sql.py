@@ -21,7 +21,8 @@ FROM h"""
 def op2(block: int = 16, shard_words: int = 1 << 20, seed: int = 11) -> str:
     draw = lambda x: f"('0x' || md5({x})[1:15])::BIGINT"
     weights = ", ".join(map(str, mixing.WEIGHTS))
-    near = lambda sign: f"coalesce(floor(CASE WHEN total <> 0 THEN target * (seats {sign} n / 2e0) / total END + 0.5e0), 0)"
+    near = lambda shift: f"coalesce(floor(CASE WHEN total <> 0 THEN target * (seats {shift}e0 * n) / total END + 0.5e0), 0)"
+    upto = lambda words: f"floor(quota * coalesce(({words})::DOUBLE / nullif(source_size, 0), 0) + 0.5e0)"
     return f"""
 WITH d0 AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
 k AS (SELECT greatest(1, ceil(sum(size) / {shard_words}.0))::BIGINT AS k FROM d0),
@@ -33,13 +34,14 @@ w AS (SELECT *, ([{weights}])[((row_number() OVER (ORDER BY source NULLS LAST) -
 l AS (SELECT *, cap / weight AS ratio, (1.5e0 * sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w WINDOW o AS (ORDER BY cap / weight, source NULLS LAST)),
 f AS (SELECT arg_min(level, ratio) AS level FROM l WHERE level < ratio),
 t AS (SELECT l.source, source_size, CASE WHEN f.level IS NULL THEN cap ELSE least(cap, f.level * weight) END AS target FROM l LEFT JOIN f ON true),
-q0 AS (SELECT shard, p.source, words, coalesce(t.target * (words::DOUBLE / nullif(source_size, 0)), 0e0) AS target FROM parts p JOIN t ON t.source IS NOT DISTINCT FROM p.source),
-q1 AS (SELECT *, sum(target) OVER g AS total, count(*) OVER g AS n, floor(sum(target) OVER g / {block} + 0.5e0) AS seats, (ceil(words / {block}.0) * 2)::BIGINT AS cap FROM q0 WINDOW g AS (PARTITION BY shard)),
-q2 AS (SELECT *, greatest(0, least({near('-')} - 1, cap))::BIGINT AS low, least({near('+')} + 1, cap)::BIGINT AS high FROM q1),
-q3 AS (SELECT *, seats - sum(low) OVER (PARTITION BY shard) AS left_ FROM q2),
-c AS (SELECT shard, source, left_, target / (2 * k - 1) AS quotient, k FROM (SELECT *, unnest(range(low + 1, high + 1)) AS k FROM q3 WHERE high > low)),
-m AS (SELECT shard, source, count(*) AS more FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY quotient DESC, source NULLS LAST, k) AS place FROM c) WHERE place <= left_ GROUP BY 1, 2),
-p AS (SELECT q3.shard, q3.source, ceil(words / {block}.0)::BIGINT AS blocks, low + coalesce(more, 0) AS quota FROM q3 LEFT JOIN m ON m.shard = q3.shard AND m.source IS NOT DISTINCT FROM q3.source),
+q1 AS (SELECT *, sum(target) OVER () AS total, count(*) OVER () AS n, floor(sum(target) OVER () / {block} + 0.5e0) AS seats, (ceil(source_size / {block}.0) * 2)::BIGINT AS cap FROM t),
+q2 AS (SELECT *, greatest(0, least({near('- 0.5')} - 1, cap))::BIGINT AS low, least({near('+ 1.5')} + 1, cap)::BIGINT AS high FROM q1),
+q3 AS (SELECT *, seats - sum(low) OVER () AS left_ FROM q2),
+c AS (SELECT source, left_, target / (2 * k - 1) AS quotient, k FROM (SELECT *, unnest(range(low + 1, high + 1)) AS k FROM q3 WHERE high > low)),
+m AS (SELECT source, count(*) AS more FROM (SELECT *, row_number() OVER (ORDER BY quotient DESC, source NULLS LAST, k) AS place FROM c) WHERE place <= left_ GROUP BY 1),
+q AS (SELECT q3.source, source_size, low + coalesce(more, 0) AS quota FROM q3 LEFT JOIN m ON m.source IS NOT DISTINCT FROM q3.source),
+u AS (SELECT parts.*, source_size, quota, sum(words) OVER (PARTITION BY parts.source ORDER BY shard) AS upto FROM parts JOIN q ON q.source IS NOT DISTINCT FROM parts.source),
+p AS (SELECT shard, source, ceil(words / {block}.0)::BIGINT AS blocks, least({upto('upto')} - {upto('upto - words')}, 2 * ceil(words / {block}.0))::BIGINT AS quota FROM u),
 b AS (SELECT *, coalesce(quota // nullif(blocks, 0), 0) AS passes, {draw(f"'{seed}:begin:' || shard || ':' || coalesce(source, 'null')")} % greatest(blocks, 1) AS begin_ FROM p),
 a AS (SELECT r.*, b.blocks, b.passes, b.begin_, b.begin_ + b.quota - b.passes * b.blocks AS end_, sum(size) OVER (PARTITION BY r.shard, r.source ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) AS stop FROM r JOIN b ON b.shard = r.shard AND b.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, size, source_size, target, (passes * size + greatest(0, least(stop, end_ * {block}) - greatest(stop - size, begin_ * {block})) + greatest(0, least(stop, (end_ - blocks) * {block}) - (stop - size)))::BIGINT AS taken

@@ -141,13 +141,29 @@ def test_mixing(docs, hard, how):
         assert sum(len(words(r["text"])) for r in made) == sum(taken.values())
 
 
-def test_quotas_are_highest_quotients(spark):
+@pytest.mark.parametrize("capped", [False, True])
+def test_quotas_are_highest_quotients(spark, capped):
     rng = np.random.default_rng(0)
-    parts = [(0, f"s{i}", 10_000, float(t)) for i, t in enumerate(rng.integers(1, 3000, 30))]
-    got = {r["source"]: r["quota"] for r in rows(mixing.quotas(spark.createDataFrame(parts, "shard int, source string, words long, target double"), 16))}
-    seats = int(sum(p[3] for p in parts) / 16 + 0.5)
-    quotients = sorted(((-t / (2 * k - 1), s) for _, s, _, t in parts for k in range(1, 300)))[:seats]
-    assert got == {p[1]: 0 for p in parts} | Counter(s for _, s in quotients)
+    sources = [(f"s{i}", int(t) // 2 if capped and i % 3 == 0 else 10_000, float(int(t) // 2 * 2)) for i, t in enumerate(rng.integers(1, 3000, 30))]
+    got = {r["source"]: r["quota"] for r in rows(mixing.quotas(spark.createDataFrame(sources, "source string, source_size long, target double"), 16))}
+    left, expected = int(sum(t for *_, t in sources) / 16 + 0.5), {s: 0 for s, *_ in sources}
+    for _, s, k in sorted((-t / (2 * k - 1), s, k) for s, n, t in sources for k in range(1, -(-n // 16) * 2 + 1)):
+        if left and expected[s] == k - 1:
+            expected[s], left = k, left - 1
+    assert got == expected and (not capped or any(got[s] == -(-n // 16) * 2 for s, n, _ in sources))
+
+
+def test_shard_quotas_add_up(spark):
+    """A source of a few words in each of many shards still gets its share."""
+    parts = [(shard, s, n) for shard in range(200) for s, n in (("big", 9000), ("small", 5), ("tiny", 1 if shard % 50 == 0 else 0))]
+    sizes = {"big": 9000 * 200, "small": 1000, "tiny": 4}
+    whole = spark.createDataFrame([(s, n, 1.5 * n) for s, n in sizes.items()], "source string, source_size long, target double")
+    plan = rows(mixing.shard_quotas(spark.createDataFrame(parts, "shard int, source string, words long"), mixing.quotas(whole, 16), 16))
+    quota = Counter()
+    for r in plan:
+        quota[r["source"]] += r["quota"]
+        assert 0 <= r["quota"] <= 2 * -(-r["words"] // 16)
+    assert all(abs(16 * quota[s] - 1.5 * n) <= 16 for s, n in sizes.items())
 
 
 def test_mixing_empty(none):
