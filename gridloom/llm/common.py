@@ -19,9 +19,11 @@ ASCII_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a new temporary one where it is unset and all run on one machine (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import written
+
 END = "\r\n"
 _FACTS = "id long, url string, strong string, digest string, bytes long, second long"
 
@@ -58,14 +60,15 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 
     Of records with equal payloads of at least least_bytes, that with the largest id is the response and the others revisit it;
     smaller ones are all responses. Rows that repeat an id and its payload are copies of one record and have its type. A null id
-    is smaller than any other. An empty table makes an empty archive. Other columns are ignored.
+    is smaller than any other. Payloads are taken whole, however long. An empty table makes an empty archive. Other columns are ignored.
     """
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit("").cast("binary"))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     facts = _digested(rows, False)
     one = facts.groupBy("strong").agg(F.max(F.struct("id", "url")).alias("first"), F.min("bytes").alias("b0"), F.max("bytes").alias("b1"), F.min("second").alias("s0"), F.max("second").alias("s1"))
     clash = F.when((F.col("b0") != F.col("b1")) | (F.col("s0") != F.col("s1")), F.raise_error(F.lit("two payloads have one digest")).cast("string"))
-    one = one.select("strong", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"), clash.alias("clash"))
+    # Written, so that the records of a frequent digest join a plain table and Spark can split them.
+    one = written(one.select("strong", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"), clash.alias("clash")), "digests")
 
     packed = _digested(rows, True)
     stored = packed.join(one.select("strong", "first_id"), (packed["strong"] == one["strong"]) & packed["id"].eqNullSafe(one["first_id"]), "left_semi")
@@ -104,7 +107,8 @@ def _header(name: str) -> Column:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """A row per record, read from the stored bytes: page_id, payload_bytes, payload_digest, record_type, refers_to, target_uri.
 
-    Length and digest are taken from the stored payload, which must match the digest that it is stored under.
+    Length and digest are taken from the stored payload, which must match the digest that it is stored under. Null ids and urls come back as null;
+    repeated records come as often as they were written; an empty archive gives no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +139,8 @@ def _unpacked(strong: list[str], packed: pa.Array) -> Iterator[bytes]:
 
 
 def reconstruct(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload and record: the exact bytes of each WARC record, headers, block and closing blank lines."""
+    """page_id, payload and record: the exact bytes of each WARC record, headers, block and closing blank lines. A revisit has its response's payload
+    and an empty block; an empty archive gives no row."""
     heads = spark.read.parquet(f"{path}/headers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
