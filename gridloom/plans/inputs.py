@@ -85,11 +85,11 @@ def sites(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def grids(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Two rectilinear grids: fifty columns of a cell per customer, and ten columns of one per supplier inside it."""
+    """Two rectilinear grids: fifty columns of a cell per customer, and five columns of one per supplier inside it."""
     k, j = F.col("c_custkey"), F.col("s_suppkey")
     src = table(spark, sf, "customer").select(k.cast("long").alias("cell_id"), F.floor(k / 50).cast("int").alias("iy"), (k % 50).cast("int").alias("ix"))
-    dst = table(spark, sf, "supplier").select(j.cast("long").alias("cell_id"), F.floor(j / 10).cast("int").alias("iy"), (j % 10).cast("int").alias("ix"))
-    return src.withColumns({"lat": -70 + F.col("iy") * 0.25, "lon": -170 + F.col("ix") * 2.5}), dst.withColumns({"lat": -69.9375 + F.col("iy") * 0.6875, "lon": -168.75 + F.col("ix") * 10.625})
+    dst = table(spark, sf, "supplier").select(j.cast("long").alias("cell_id"), F.floor(j / 5).cast("int").alias("iy"), (j % 5).cast("int").alias("ix"))
+    return src.withColumns({"lat": -70 + F.col("iy") * 0.25, "lon": -170 + F.col("ix") * 2.5}), dst.withColumns({"lat": -69.9375 + F.col("iy") * 0.6875, "lon": -168.75 + F.col("ix") * 21.25})
 
 
 def hourly(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,7 +142,7 @@ _NEEDS = {"members": ["member_days"], "dated": ["daily"], "field": ["daily", "da
 
 
 #: The destination of big_grid.
-BIG_DST = "dst AS (SELECT *, -69.9375e0 + iy * 0.6875e0 AS lat, -168.75e0 + ix * 10.625e0 AS lon FROM (SELECT s_suppkey::BIGINT AS cell_id, (s_suppkey // 10)::INT AS iy, (s_suppkey % 10)::INT AS ix FROM supplier))"
+BIG_DST = "dst AS (SELECT *, -69.9375e0 + iy * 0.6875e0 AS lat, -168.75e0 + ix * 21.25e0 AS lon FROM (SELECT s_suppkey::BIGINT AS cell_id, (s_suppkey // 5)::INT AS iy, (s_suppkey % 5)::INT AS ix FROM supplier))"
 
 
 def sql(body: str, *ctes: str) -> str:
