@@ -36,7 +36,11 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     if not words:
         return 0
     shingles = map(b" ".join, zip(*(words[i:] for i in range(size)))) if len(words) >= size else [b" ".join(words)]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 8192):
         bits = np.unpackbits(hashes[at : at + 8192].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -76,6 +80,22 @@ def _differing(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def within_ring(a: Column, b: Column, radius: int, segments: int = 8) -> Column:
+    """Whether two fingerprints differ in at most `radius` bits, by pigeonring: round the ring of equal segments there must be a start from
+    which l consecutive ones differ in at most l * radius / segments bits, for every l. That is tested first, then the whole distance."""
+    width = 64 // segments
+    part = F.lit((1 << width) - 1).cast("long")
+    away = [_differing(F.shiftrightunsigned(a, width * s).bitwiseAND(part), F.shiftrightunsigned(b, width * s).bitwiseAND(part)) for s in range(segments)]
+    chains = F.lit(False)
+    for s in range(segments):
+        total, chain = F.lit(0), F.lit(True)
+        for k in range(segments - 1):
+            total = total + away[(s + k) % segments]
+            chain = chain & (total <= (k + 1) * radius // segments)
+        chains = chains | chain
+    return chains & (_differing(a, b) <= radius)
+
+
 def _chain(a: Column, b: Column, key: Column) -> Column:
     """The cumulative budgets of the chain at the key's start."""
     start = F.floor(F.shiftright(key, 32) / 5)
@@ -129,14 +149,3 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = placed.join(least, "root").select("fp", "component_id")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return fps.join(named, "fp").select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
-
-
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """docs with one row of each group of simhash_groups: that with the group's smallest id (repeated rows of it: one of them).
-
-    Rows without an id can't be named by a group and are kept as they are.
-    """
-    groups = simhash_groups(docs.where(F.col(id_col).isNotNull()), id_col, text_col, size)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(first, docs[id_col] == first["__id"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))

@@ -2,9 +2,19 @@
 
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline
 import __spark_entry__
-from gridloom.llm import decontaminate, queries, simhash
+from gridloom.llm import decontaminate, queries, sharding
+
+from .test_operators import DOCS, HARD, leaks_expected, rows, target_expected, words, words_of_letters
+from .test_similar import groups_expected
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    return spark.createDataFrame([(*r, "x", "y", "z", "w", "v") for r in HARD], DOCS)
 
 
 def test_registered():
@@ -14,16 +24,63 @@ def test_registered():
     assert all("documents" in sql or "pages" in sql for sql in queries.SQL.values())
 
 
-def test_stages(spark, sf):
+def keys(df):
+    return Counter((r["doc_id"], r["text"]) for r in rows(df))
+
+
+def test_language_id(spark, sf, hard):
     docs = queries.table(spark, sf, "documents")
     kept = corpus_pipeline.language_id(spark, docs, sf)
     assert kept.columns == docs.columns and kept.count() >= 0.95 * docs.count()
-    first = corpus_pipeline.near_duplicates(spark, docs, sf)
-    groups = simhash.simhash_groups(docs).collect()
-    assert sorted(r["doc_id"] for r in first.collect()) == sorted({r["component_id"] for r in groups})
-    clean = corpus_pipeline.benchmark_leaks(spark, docs, sf)
-    leaks = {r["doc_id"] for r in decontaminate.find_leaks(docs, queries.table(spark, sf, "benchmark")).where("size(leaks) > 0").collect()}
-    assert leaks and Counter(r["doc_id"] for r in clean.collect()) == Counter(r["doc_id"] for r in docs.collect() if r["doc_id"] not in leaks)
+    odd = corpus_pipeline.language_id(spark, hard, sf)
+    assert odd.columns == hard.columns and not keys(odd) - keys(hard)
+    assert all(words_of_letters(t) for _, t in keys(odd)) and keys(odd)[6, HARD[5][1]] == 2
+    assert corpus_pipeline.language_id(spark, hard.where("false"), sf).count() == 0
+
+
+def test_near_duplicates(spark, sf, hard):
+    kept = corpus_pipeline.near_duplicates(spark, hard, sf)
+    given = [(r[0], r[1]) for r in HARD if r[0] is not None]
+    assert kept.columns == hard.columns
+    assert keys(kept) == Counter({(i, t): 1 for i, t in given if groups_expected(given)[i] == i} | {(None, HARD[8][1]): 1})
+    assert corpus_pipeline.near_duplicates(spark, hard.where("false"), sf).count() == 0
+
+
+def test_benchmark_leaks(spark, sf, hard):
+    items = rows(queries.table(spark, sf, "benchmark"))
+    docs = queries.table(spark, sf, "documents").where("length(text) < 4000").limit(120)
+    for table in (docs, hard, hard.where("false")):
+        leaks = {i for i, _ in leaks_expected(rows(table), items)}
+        clean = corpus_pipeline.benchmark_leaks(spark, table, sf)
+        assert clean.columns == table.columns
+        assert Counter(r["doc_id"] for r in rows(clean)) == Counter(r["doc_id"] for r in rows(table) if r["doc_id"] not in leaks)
+    all_docs = queries.table(spark, sf, "documents")
+    leaks = {r["doc_id"] for r in decontaminate.find_leaks(all_docs, queries.table(spark, sf, "benchmark")).where("size(leaks) > 0").collect()}
+    assert leaks and Counter(r["doc_id"] for r in rows(corpus_pipeline.benchmark_leaks(spark, all_docs, sf))) == Counter(r["doc_id"] for r in rows(all_docs) if r["doc_id"] not in leaks)
+
+
+def test_mix(spark, sf, hard):
+    for table in (queries.table(spark, sf, "documents"), hard, hard.where("false")):
+        made = corpus_pipeline.mix_sources(spark, table, sf)
+        sizes, taken, longest = Counter(), Counter(), Counter()
+        for r in rows(table):
+            sizes[r["source"]] += len(words(r["text"]))
+            longest[r["doc_id"]] += 2 * len(words(r["text"]))
+        for r in rows(made):
+            taken[r["source"]] += len(words(r["text"]))
+            longest[r["doc_id"]] -= len(words(r["text"]))
+        assert made.columns == table.columns and min(longest.values(), default=0) >= 0
+        assert all(abs(taken[s] - t) <= 32 for s, t in target_expected(sizes).items()) if sizes else not taken
+
+
+def test_shard(spark, sf, hard):
+    for table in (queries.table(spark, sf, "documents"), hard, hard.where("false")):
+        out = rows(corpus_pipeline.shards(spark, table, sf))
+        kept = [c for c in table.columns if c not in sharding.OUT]
+        assert Counter(tuple(r[c] for c in kept) for r in out) == Counter(tuple(r[c] for c in kept) for r in rows(table))
+        for s in {r["shard"] for r in out}:
+            own = sorted(r["slot"] for r in out if r["shard"] == s)
+            assert own == list(range(len(own)))
 
 
 def test_run(spark, sf):

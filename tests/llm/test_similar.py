@@ -4,9 +4,10 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridloom.llm import similar
+from gridloom.llm import similar, simhash
 
 
 def groups_expected(given, size=5):
@@ -39,7 +40,7 @@ def family(rng, n, words, edits):
     return out
 
 
-@pytest.mark.parametrize("dense", [64, 2])
+@pytest.mark.parametrize("dense", [8, 2])
 def test_groups(spark, dense):
     rng = random.Random(5)
     texts = [None, "", " \t", "a", "A", "a b c", *family(rng, 25, 60, 3), *family(rng, 25, 120, 9), *family(rng, 8, 9, 1), *family(rng, 90, 200, 12)]
@@ -55,3 +56,23 @@ def test_stage_on_tables(spark, sf):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(expected.values()))
     assert similar.keep_first(docs.where("false")).count() == 0
+
+
+def test_repeated_ids(spark):
+    given = [(1, "alpha beta gamma delta"), (1, "wholly other words stand here now"), (1, "wholly other words stand here now"), (None, "no id"), (None, "no id"), (2, "alpha beta gamma delta")]
+    kept = similar.keep_first(spark.createDataFrame(given, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == [(0, "no id"), (0, "no id"), (1, "alpha beta gamma delta"), (1, "wholly other words stand here now")]
+
+
+def test_ring(spark):
+    """The ring and Hamming check against the plain distance: chains lose no pair."""
+    rng = random.Random(7)
+    pairs = []
+    for _ in range(3000):
+        a = rng.getrandbits(64)
+        b = a
+        for i in rng.sample(range(64), rng.randrange(40)):
+            b ^= 1 << i
+        pairs.append((a - (1 << 63), b - (1 << 63)))
+    got = spark.createDataFrame(pairs, "a long, b long").select("a", "b", simhash.within_ring(F.col("a"), F.col("b"), similar.RADIUS).alias("near")).collect()
+    assert [r["near"] for r in got] == [((r["a"] ^ r["b"]) & (2**64 - 1)).bit_count() <= similar.RADIUS for r in got]
