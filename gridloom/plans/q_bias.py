@@ -141,16 +141,16 @@ def _(spark, sf):
     return six(bias.eqm_adjust(qmap(spark, sf), later(spark, sf)), "value").select(*OUT)
 
 
-@query("b5_dqm_adjust", sql(f"WITH {HIST}, {qmap_sql()}, {dqm_sql()}, {dqm_out('mean')} SELECT {S}, date, round(value + trend, 5) AS value FROM m_mean", "dated", "simulations"))
+@query("b5_dqm_adjust", sql(f"WITH {HIST}, {qmap_sql()}, {dqm_sql()}, {dqm_out('mean')} SELECT {S}, date, value + trend AS value FROM m_mean", "dated", "simulations"))
 def _(spark, sf):
-    return bias.dqm_adjust(obs(spark, sf), hist(spark, sf), later(spark, sf), "+", NQ, W, "mean").select(*OUT[:-1], F.round("value", 5).alias("value"))
+    return bias.dqm_adjust(obs(spark, sf), hist(spark, sf), later(spark, sf), "+", NQ, W, "mean").select(*OUT)
 
 
 for _trend in TRENDS:
 
-    @query(f"b6_detrend_{_trend}", sql(f"WITH scaled AS (SELECT * FROM simulations WHERE doy IS NOT NULL), {_poly()}, t AS ({trend_sql(_trend)}) SELECT {S}, date, round(trend + 1e-7, 4) AS trend FROM t", "simulations"))
+    @query(f"b6_detrend_{_trend}", sql(f"WITH scaled AS (SELECT * FROM simulations WHERE doy IS NOT NULL), {_poly()}, t AS ({trend_sql(_trend)}) SELECT {S}, date, trend FROM t", "simulations"))
     def _(spark, sf, trend=_trend):
-        return bias.detrend(simulations(spark, sf).where("doy is not null"), trend).select(*OUT[:-1], F.round(F.col("trend") + 1e-7, 4).alias("trend"))
+        return bias.detrend(simulations(spark, sf).where("doy is not null"), trend).select(*OUT[:-1], "trend")
 
 
 @query("b7_qplad", sql(f"WITH later AS (SELECT * FROM members WHERE scenario = 'ssp585'), both_ AS (SELECT h.model, cell_id, date, h.doy, d.pr AS f, h.pr AS c FROM members h JOIN daily d USING (cell_id, date) WHERE h.scenario = 'historical'), ok AS (SELECT * FROM both_ WHERE f IS NOT NULL AND c IS NOT NULL), {pool_sql('both_', '(date, f, c)', W // 2, M)}, a AS (SELECT {M}, doy, row_number() OVER (PARTITION BY {M}, doy ORDER BY value[3], value[1]) - 1 AS rank, count(*) OVER (PARTITION BY {M}, doy) AS n, value[2] - value[3] AS af FROM pool WHERE value[2] IS NOT NULL AND value[3] IS NOT NULL), l_src AS (SELECT {S}, date, doy, pr AS value FROM later), {ranked('l_src', 'l')}, n AS (SELECT {M}, doy, max(n) AS n FROM a GROUP BY ALL), p AS (SELECT {S}, date, doy, value, least(n - 1, greatest(0, round(q * (n - 1)))) AS rank FROM l_src LEFT JOIN l_ranked USING ({S}, doy, value) LEFT JOIN n USING ({M}, doy)) SELECT {S}, date, value + af AS value FROM p LEFT JOIN a USING ({M}, doy, rank)", "members", "daily"))
@@ -162,9 +162,9 @@ def _(spark, sf):
 _METHODS = " UNION ALL ".join([*(f"SELECT 'dqm_{t}' AS method, {S}, date, value + trend AS value FROM m_{t}" for t in TRENDS), f"SELECT 'qdm', {S}, date, value FROM a", f"SELECT 'qm', {S}, date, value FROM q"])
 
 
-@query("b8_adjust_methods", sql(f"WITH {HIST}, {qmap_sql()}, {ranked('later', 'l')}, {adjusted('later', 'a', '+')}, {eqm('later', 'q')}, {dqm_sql()}, {_poly()}, {', '.join(map(dqm_out, TRENDS))} SELECT method, {S}, date, round(value, 4) AS value FROM ({_METHODS})", "dated", "simulations"))
+@query("b8_adjust_methods", sql(f"WITH {HIST}, {qmap_sql()}, {ranked('later', 'l')}, {adjusted('later', 'a', '+')}, {eqm('later', 'q')}, {dqm_sql()}, {_poly()}, {', '.join(map(dqm_out, TRENDS))} SELECT method, {S}, date, value FROM ({_METHODS})", "dated", "simulations"))
 def _(spark, sf):
-    return bias.adjust_methods(obs(spark, sf), hist(spark, sf), later(spark, sf), "+", NQ, W).select("method", *OUT[:-1], F.round("value", 4).alias("value"))
+    return bias.adjust_methods(obs(spark, sf), hist(spark, sf), later(spark, sf), "+", NQ, W).select("method", *OUT)
 
 
 _SWEEP = [(w, nq) for w in (W, 31) for nq in (NQ, 10)]

@@ -52,4 +52,4 @@ def test_query(spark, sf, db, name):
 
 def test_entry(spark):
     df = __spark_entry__.entry(spark)
-    assert df.count() > 0 and df.columns[:2] == ["cell_id", "year"]
+    assert df.count() > 0 and df.columns[:4] == ["model", "scenario", "cell_id", "year"]
