@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, line_dedup, mixing, quality, sharding, simhash, token_store, warc
+from . import chat, decontaminate, fim, langid, line_dedup, mixing, quality, sharding, simhash, token_store, warc
 from .common import new_path
 from .sql import SQL  # noqa: F401
 
@@ -73,5 +73,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_simhash, op4_line_dedup, op5_quality, op6_tokens, op7_chat, op8_decontaminate, op9_sharding, op10_langid)}
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "pieces")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", F.sha2(fim.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_simhash, op4_line_dedup, op5_quality, op6_tokens, op7_chat, op8_decontaminate, op9_sharding, op10_langid, op13_fim)}
 

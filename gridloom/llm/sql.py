@@ -107,4 +107,17 @@ SELECT doc_id, size, text_crc32, 'key' AS law, r.shard, (base + r.rank // {chunk
 FROM r JOIN f ON f.shard = r.shard AND f.bucket = r.bucket AND f.chunk = r.rank // {chunk} AND f.i = 0"""
 
 
-SQL = {"op1_warc": OP1, "op2_mixing": op2(), "op4_line_dedup": OP4, "op5_quality": op5(), "op8_decontaminate": OP8, "op9_sharding": op9()}
+OP13 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT *, len(units) AS n, [('0x' || x[8 * k + 1 : 8 * k + 8])::BIGINT for k in range(4)] AS h FROM d),
+c AS (SELECT *, h[1] % (n + 1) AS a, h[2] % (n + 1) AS b, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT doc_id, n, form, text, array_to_string(units[1 : least(a, b)], '') AS prefix, array_to_string(units[least(a, b) + 1 : greatest(a, b)], '') AS middle, array_to_string(units[greatest(a, b) + 1 : n], '') AS suffix FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output FROM p),
+i AS (SELECT *, strpos(output, '<P>') AS ip, strpos(output, '<S>') AS s, strpos(output, '<M>') AS m FROM o)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars, sha256(output) AS output_sha256,
+    sha256(CASE form WHEN 'plain' THEN output WHEN 'psm' THEN substring(output, 4, s - 4) || substring(output, m + 3) || substring(output, s + 3, m - s - 3)
+        ELSE substring(output, ip + 3, m - ip - 3) || substring(output, m + 3) || substring(output, 4, ip - 4) END) AS restored_sha256
+FROM i"""
+
+
+SQL = {"op1_warc": OP1, "op2_mixing": op2(), "op4_line_dedup": OP4, "op5_quality": op5(), "op8_decontaminate": OP8, "op9_sharding": op9(), "op13_fim": OP13}
