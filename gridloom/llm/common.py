@@ -42,6 +42,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Take away a table in the shared folder that nothing reads any more."""
+    gone = spark._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+
+
 def words(text: Column) -> Column:
     """Array of the words of text; null and blank texts give an empty array."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

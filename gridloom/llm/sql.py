@@ -120,4 +120,17 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefi
 FROM i"""
 
 
-SQL = {"op1_warc": OP1, "op2_mixing": op2(), "op4_line_dedup": OP4, "op5_quality": op5(), "op8_decontaminate": OP8, "op9_sharding": op9(), "op13_fim": OP13}
+def op12(k: int = 8, rounds: int = 10, seed: int = 3, dim: int = 64, scale: int = 1024) -> str:
+    """A pair of CTEs a round: vectors' clusters, and centroids."""
+    kept = f"v AS MATERIALIZED (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor({scale} * x)) AS v FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim})"
+    first = f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS cluster, v AS c FROM v ORDER BY cluster LIMIT {k})"
+    ctes = [kept, first]
+    for r in range(rounds + 1):
+        ctes.append(f"a{r} AS MATERIALIZED (SELECT vec_id, v, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (SELECT n, vec_id, v, cluster, list_dot_product(v, v) - 2 * list_dot_product(v, c) + list_dot_product(c, c) AS d FROM (SELECT *, row_number() OVER () AS n FROM v), c{r}) GROUP BY n, vec_id, v)")
+        if r < rounds:
+            means = f"SELECT cluster, list(x ORDER BY i) AS c FROM (SELECT cluster, i, floor(sum(x) / count(*)) AS x FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY ALL) GROUP BY ALL"
+            ctes.append(f"c{r + 1} AS MATERIALIZED (SELECT o.cluster, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN ({means}) m USING (cluster))")
+    return f"WITH {', '.join(ctes)} SELECT vec_id, cluster::INT AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(c, lambda x: x::BIGINT), ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} USING (cluster)"
+
+
+SQL = {"op1_warc": OP1, "op2_mixing": op2(), "op4_line_dedup": OP4, "op5_quality": op5(), "op8_decontaminate": OP8, "op9_sharding": op9(), "op12_centroids": op12(), "op13_fim": OP13}

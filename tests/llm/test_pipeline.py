@@ -21,7 +21,7 @@ def test_registered():
     names = set(__spark_entry__.queries())
     assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= names
-    assert all("documents" in sql or "pages" in sql for sql in queries.SQL.values())
+    assert all("documents" in sql or "pages" in sql or "embeddings" in sql for sql in queries.SQL.values())
 
 
 def keys(df):
