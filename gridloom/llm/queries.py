@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chat, decontaminate, fim, langid, line_dedup, mixing, quality, sharding, simhash, token_store, warc
+from . import centroids, chat, decontaminate, fim, langid, line_dedup, mixing, quality, repeats, sharding, simhash, token_store, warc
 from .common import new_path
 from .sql import SQL  # noqa: F401
 
@@ -73,6 +73,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["size"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     state, final = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
     facts = centroids.cluster_facts(state, final).withColumn("centroid_sha256", F.sha2(centroids.spelled(F.col("centroid")).cast("binary"), 256)).drop("centroid")
@@ -84,5 +90,5 @@ def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", F.sha2(fim.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_simhash, op4_line_dedup, op5_quality, op6_tokens, op7_chat, op8_decontaminate, op9_sharding, op10_langid, op12_centroids, op13_fim)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_simhash, op4_line_dedup, op5_quality, op6_tokens, op7_chat, op8_decontaminate, op9_sharding, op10_langid, op11_repeats, op12_centroids, op13_fim)}
 
