@@ -11,7 +11,7 @@ against its other places: if two neighbouring suffixes are preceded by the same
 one byte more in common; so every match is seen, at its left end, at an edge of a run, and from there its length falls by one from place to place. One sweep over the run
 ends gives the statistic at each place; where it reaches `length`, the window is repeated.
 
-Hot keys. A key with more than `most` different pieces (a common line in many contexts) is taken apart by longer grams, which tell contexts apart that the
+Hot keys. A key whose different pieces have more than `most` bytes (a common line in many contexts) is taken apart by longer grams, which tell contexts apart that the
 first did not, and at last by grams as long as windows, for which all pieces of a key are equal.
 """
 
@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 from .common import by_size, without, written
 
 OUT = ["n_bytes", "spans", "kept"]
-#: Windows that are cut at once, the most windows of a piece, and the bytes of an index.
-_CHUNK, _PIECE, _BUCKET = 1 << 20, 4096, 1 << 20
+#: Windows that are cut at once, and the most windows of a piece.
+_CHUNK, _PIECE = 1 << 20, 4096
 #: An odd factor for the hash of grams.
 _BASE = 0x9E3779B97F4A7C15
 _CODES = "start long, size int, key long, h long, again boolean"
@@ -247,16 +247,25 @@ def _fetched(variants: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "key long, h long, n long, doc long, th binary, base long, text binary")
 
 
-def _indexed(found: DataFrame, buckets: int, length: int) -> DataFrame:
-    """(key, h, spans): what repeats of each variant, by an index of each bucket. Variants that came several times repeat wholly."""
+def _indexed(found: DataFrame, buckets: int, length: int, most: int) -> DataFrame:
+    """(key, h, spans): what repeats of each variant. A bucket's keys are indexed together as far as they have no more than `most` bytes. Variants that came
+    several times repeat wholly."""
 
     def run(table: pa.Table) -> pa.Table:
         seen = {}
-        for key, h, n, text in zip(*(table.column(c).to_pylist() for c in ("key", "h", "n", "text"))):
+        for key, h, n, text in sorted(zip(*(table.column(c).to_pylist() for c in ("key", "h", "n", "text")))):
             seen[key, h] = (n, text)
-        spans = repeated_spans([t for _, t in seen.values()], length)
-        spans = [[(0, len(t))] if n > 1 else s for (n, t), s in zip(seen.values(), spans)]
-        held = [(*k, [{"start": a, "size": b} for a, b in s]) for k, s in zip(seen, spans) if s]
+        sizes = np.array([len(t) for _, t in seen.values()])
+        keys = np.array([k for k, _ in seen])
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        part = np.cumsum(np.add.reduceat(sizes, first)) // most
+        cuts = [*first[np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))].tolist(), len(keys)]
+        held, every = [], list(seen.items())
+        for a, b in zip(cuts, cuts[1:]):
+            own = every[a:b]
+            for (k, (n, t)), s in zip(own, repeated_spans([t for _, (_, t) in own], length)):
+                if n > 1 or s:
+                    held.append((*k, [{"start": x, "size": y} for x, y in ([(0, len(t))] if n > 1 else s)]))
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32())]))]
         return pa.Table.from_arrays([pa.array([r[i] for r in held], k) for i, k in enumerate(kinds)], names=["key", "h", "spans"])
 
@@ -277,10 +286,10 @@ def _repeats(texts: DataFrame, item: list[str], docs: DataFrame, length: int, gr
     n, size = variants.agg(F.count("*"), F.sum("at.size")).first()
     if not n:
         return whole
-    many = written(variants.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > most).select("key"), "hot-keys") if len(grams) > 1 else None
+    many = written(variants.groupBy("key").agg(F.sum("at.size").alias("held")).where(F.col("held") > most).select("key"), "hot-keys") if len(grams) > 1 else None
     hot = many is not None and not many.isEmpty()
     few = variants.join(many, "key", "left_anti") if hot else variants
-    spans = _indexed(_fetched(few, docs), -(-size // _BUCKET), length)
+    spans = _indexed(_fetched(few, docs), -(-size // most), length, most)
     if hot:
         inner = _fetched(variants.join(many, "key", "left_semi"), docs).select(F.col("key").alias("key0"), F.col("h").alias("h0"), "doc", "th", "base", "text")
         found = _repeats(inner, ["key0", "h0"], docs, length, grams[1:], most, first=False)
@@ -293,12 +302,12 @@ def _repeats(texts: DataFrame, item: list[str], docs: DataFrame, length: int, gr
     return whole.union(inside.select(*item, (F.col("start") + F.col("s.start")).alias("start"), F.col("s.size").alias("size")))
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", most: int = 256) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", most: int = 1 << 20) -> DataFrame:
     """docs with n_bytes, spans (start and size of the removed runs of bytes, in order, none touching) and kept (the other bytes).
 
     Texts are UTF-8 bytes; a null text is empty. A byte goes if a string of `length` bytes over it also starts anywhere else in the table, in the same document too, overlapping or not. Strings
     never go on into another document, and are judged on the table as given, so of equal texts of `length` bytes or more nothing stays. Shorter texts
-    stay whole. Texts are taken whole, however long: a part of a million places at a time. Ids only help to find texts again and may be null or repeated. Repeated rows are
+    stay whole. most: the bytes of an index. Texts are taken whole, however long: a part of a million places at a time. Ids only help to find texts again and may be null or repeated. Repeated rows are
     documents of their own, so each other's repeats. kept is binary, as a cut may go through a character. Input columns of the added names are replaced; others pass
     through. An empty table gives an empty result. Keys and pieces are told apart by 64-bit hashes each (128 together), texts by MD5.
     """
