@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .select import COMPARE
-from .windows import series_keys
+from .windows import common_keys, member_keys, series_keys
 
 
 def doy_stats(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -22,24 +22,27 @@ def period_mean(df: DataFrame, first: int, last: int, keys: list[str] | None = N
 
 
 def doy_deltas(adjusted: DataFrame, simulated: DataFrame) -> DataFrame:
-    """Series keys, doy, delta and proportion of two DOY means."""
-    keys = series_keys(adjusted)
-    a, s = (doy_stats(d, keys).withColumnRenamed("mean", n) for d, n in ((adjusted, "a"), (simulated, "s")))
-    return a.join(s, [*keys, "doy"]).select(*keys, "doy", (F.col("a") - F.col("s")).alias("delta"), F.try_divide(F.col("a") - F.col("s"), F.col("s")).alias("proportion"))
+    """Series keys of both, doy, delta and proportion of two DOY means. A table without models serves all models of the other."""
+    a, s = (doy_stats(d).withColumnRenamed("mean", n) for d, n in ((adjusted, "a"), (simulated, "s")))
+    both = a.join(s, [*common_keys(adjusted, simulated), "doy"])
+    keys = series_keys(both)
+    return both.select(*keys, "doy", (F.col("a") - F.col("s")).alias("delta"), F.try_divide(F.col("a") - F.col("s"), F.col("s")).alias("proportion"))
 
 
 def domain_summary(deltas: DataFrame) -> DataFrame:
+    """A row for each member, over all its cells and days."""
     d, p = F.col("delta"), F.abs(F.col("proportion"))
-    return deltas.agg(F.min(d).alias("min"), F.max(d).alias("max"), F.avg(d).alias("mean"), F.stddev_pop(d).alias("std"), F.avg(p).alias("mean_proportion"), F.max(p).alias("max_proportion"))
+    return deltas.groupBy(*member_keys(deltas)).agg(F.min(d).alias("min"), F.max(d).alias("max"), F.avg(d).alias("mean"), F.stddev_pop(d).alias("std"), F.avg(p).alias("mean_proportion"), F.max(p).alias("max_proportion"))
 
 
 def delta_maps(deltas: DataFrame) -> DataFrame:
-    return deltas.groupBy("cell_id").agg(F.min("delta").alias("min"), F.max("delta").alias("max"), F.avg("delta").alias("mean"))
+    return deltas.groupBy(*series_keys(deltas)).agg(F.min("delta").alias("min"), F.max("delta").alias("max"), F.avg("delta").alias("mean"))
 
 
 def count_exceed(df: DataFrame, threshold: float) -> DataFrame:
-    """Days over the threshold by cell, and over the domain in the row without a cell."""
-    return df.rollup("cell_id").agg(F.count_if(F.col("value") > threshold).alias("n_days"))
+    """Days over the threshold by series, and over each member's domain in its row without a cell."""
+    own = [F.col(k) for k in member_keys(df)]
+    return df.groupingSets([[*own, F.col("cell_id")], own], *own, "cell_id").agg(F.count_if(F.col("value") > threshold).alias("n_days"))
 
 
 def count_out_of_range(df: DataFrame, low: float, high: float, keys: list[str]) -> DataFrame:
@@ -80,7 +83,10 @@ def grid_signature(grid: DataFrame, keys: list[str]) -> DataFrame:
         own = grid.select(*keys, axis).distinct().groupBy(*keys).agg(F.min(axis).alias("a"), F.max(axis).alias("b"), F.count(axis).alias("n"), F.slice(F.array_sort(F.collect_set(axis)), 1, 2).alias("two"))
         step = F.get("two", 1) - F.get("two", 0)
         parts.append(own.select(*keys, F.concat_ws("_", *(F.format_number(c, 2) for c in ("a", "b")), "n", F.format_number(step, 2)).alias(axis)))
-    return parts[0].join(parts[1], keys).select(*keys, F.concat_ws("|", "lat", "lon").alias("signature"))
+    signed = parts[0].join(parts[1], keys).select(*keys, F.concat_ws("|", "lat", "lon").alias("signature"))
+    # Distinct grids are few (one or two a model), so that their order is a small matter.
+    ranks = signed.select("signature").distinct().withColumn("grid", F.concat(F.lit("gr"), F.row_number().over(Window.orderBy("signature")) - 1))
+    return signed.join(ranks, "signature").select(*keys, "signature", "grid")
 
 
 def value_counts(df: DataFrame, by: list[str]) -> DataFrame:
@@ -111,7 +117,7 @@ def strict_total(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def mask_fraction(df: DataFrame, land: DataFrame, tolerance: float = 0.2) -> DataFrame:
-    """Share of cells without data at their first time against the share that isn't land: land(cell_id, is_land)."""
-    first = df.groupBy("cell_id").agg(F.min_by(F.struct("value"), "date")["value"].isNull().cast("double").alias("empty"))
-    both = first.join(land, "cell_id").agg(F.avg("empty").alias("masked"), F.avg((~F.col("is_land")).cast("double")).alias("expected"))
+    """For each member the share of cells without data at their first time against the share that isn't land: land(cell_id, is_land)."""
+    first = df.groupBy(*series_keys(df)).agg(F.min_by(F.struct("value"), "date")["value"].isNull().cast("double").alias("empty"))
+    both = first.join(land, "cell_id").groupBy(*member_keys(df)).agg(F.avg("empty").alias("masked"), F.avg((~F.col("is_land")).cast("double")).alias("expected"))
     return both.withColumn("good", F.abs(F.col("masked") - F.col("expected")) < tolerance)

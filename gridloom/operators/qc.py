@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .aggregate import pct_condition
 from .joins import align_inner
+from .windows import common_keys, series_keys
 
 
 def qc_ranges(df: DataFrame, ranges: DataFrame, nodata: float = -9999) -> DataFrame:
@@ -23,10 +24,13 @@ def qc_units(df: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def qc_nodata_match(out: DataFrame, source: DataFrame) -> DataFrame:
-    """cell_id, year of output rows whose nulls differ from the source's at its first time; cells of one side only, too."""
-    first = source.groupBy("cell_id").agg(F.min_by(F.struct("value"), "date")["value"].isNull().alias("a"))
-    both = out.select("cell_id", "year", F.col("value").isNull().alias("b")).join(first, "cell_id", "full")
-    return both.where(~F.col("a").eqNullSafe(F.col("b"))).select("cell_id", "year")
+    """Series keys and year of output rows whose nulls differ from those of the source series at its first time; series of one side only, too, and every source
+    variable or member where the output doesn't tell them apart."""
+    on = common_keys(source, out)
+    first = source.groupBy(*series_keys(source)).agg(F.min_by(F.struct("value"), "date")["value"].isNull().alias("a"))
+    own = [k for k in series_keys(out) if k not in on]
+    both = out.select(*on, *own, "year", F.col("value").isNull().alias("b")).join(first, on, "full")
+    return both.where(~F.col("a").eqNullSafe(F.col("b"))).select(*series_keys(both), "year")
 
 
 def qc_names(files: DataFrame, path: str = "path") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import Albers, polar_xy
 from .nearest import nearest_cells
 from .units import shift_longitude
+from .windows import member_keys, on_members, series_keys
 
 
 def weights_nearest(src: DataFrame, dst: DataFrame) -> DataFrame:
@@ -40,8 +41,13 @@ def _linear(src: DataFrame, dst: DataFrame, axis: str, index: str, period: float
         s = s.unionByName(ends.select((F.col("a.v") + period).alias("v"), F.col("a.i").alias("i"))).unionByName(ends.select((F.col("b.v") - period).alias("v"), F.col("b.i").alias("i")))
     order = Window.orderBy("v")  # an axis: thousands of rows at most
     cells = s.withColumn("v2", F.lead("v").over(order)).withColumn("i2", F.lead("i").over(order))
-    t = dst.select(F.col(axis).alias("t")).distinct()
-    inside = t.join(F.broadcast(cells.where("v2 is not null")), (F.col("t") >= F.col("v")) & (F.col("t") <= F.col("v2")))
+    cells = cells.where("v2 is not null")
+    # Destinations meet intervals in bins of the widest interval, which each reaches into two at most.
+    widest = cells.agg(F.coalesce(F.max(F.col("v2") - F.col("v")), F.lit(1.0))).first()[0]
+    at = lambda c: F.floor(F.col(c) / F.lit(widest))
+    t = dst.select(F.col(axis).alias("t")).distinct().withColumn("bin", at("t"))
+    binned = cells.withColumn("bin", F.explode(F.sequence(at("v"), at("v2"))))
+    inside = t.join(binned, "bin").where((F.col("t") >= F.col("v")) & (F.col("t") <= F.col("v2"))).drop("bin").distinct()
     f = (F.col("t") - F.col("v")) / (F.col("v2") - F.col("v"))
     pairs = inside.select("t", "v", F.explode(F.array(F.struct(F.col("i").alias("i"), (1 - f).alias("wt")), F.struct(F.col("i2").alias("i"), f.alias("wt")))).alias("p"))
     return pairs.select("t", F.col("p.i").alias("i"), F.col("p.wt").alias("wt")).where("wt > 0").groupBy("t", "i").agg(F.max("wt").alias("wt"))
@@ -87,31 +93,56 @@ def weights_conservative(src: DataFrame, dst: DataFrame) -> DataFrame:
     return d.join(src.select(F.col("cell_id").alias("src_cell"), "iy", "ix"), ["iy", "ix"]).select("src_cell", "dst_cell", (F.col("wy") * F.col("wx")).alias("w"))
 
 
-def _weighted(field: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
-    """What each source adds: dst_cell, keys, need (cells of the stencil), have and part."""
-    whole = weights.withColumn("need", F.count("*").over(Window.partitionBy("dst_cell")))
-    both = field.select(F.col("cell_id").alias("src_cell"), *keys, "value").join(whole, "src_cell")
-    return both.select("dst_cell", *keys, "need", F.col("value").isNotNull().cast("int").alias("have"), (F.col("w") * F.col("value")).alias("part"))
+def year_tiles(field: DataFrame) -> DataFrame:
+    """Member keys, cell_id, year, values and days: a row a cell and year with its values by day of the calendar year, 366 of them; days without data are null. days:
+    those that the cell has a row for. Tiles stay with their cell's partition, as the field is dealt by cells alone, once."""
+    keys, day = member_keys(field), F.dayofyear("date")
+    dealt = field.select(*keys, "cell_id", F.year("date").alias("year"), day.alias("d"), "value").repartition("cell_id")
+    tiles = dealt.groupBy(*keys, "cell_id", "year").agg(F.map_from_entries(F.collect_list(F.struct("d", "value"))).alias("m"))
+    return tiles.select(*keys, "cell_id", "year", F.transform(F.sequence(F.lit(1), F.lit(366)), lambda d: F.try_element_at("m", d)).alias("values"), F.map_keys("m").alias("days"))
 
 
-def _summed(parts: DataFrame, keys: list[str]) -> DataFrame:
-    out = parts.groupBy("dst_cell", *keys).agg(F.max("need").alias("need"), F.sum("have").alias("have"), F.sum("part").alias("sum"))
-    return out.select(F.col("dst_cell").alias("cell_id"), *keys, F.when(F.col("have") == F.col("need"), F.col("sum")).alias("value"))
+def _tiled_sums(tiles: DataFrame, weights: DataFrame) -> DataFrame:
+    """Member keys, dst_cell, year, values and days (of any source): tiles times weights, summed day by day. A day is null if any source of the stencil is, or has no tile."""
+    keys = [*member_keys(tiles), "dst_cell", "year"]
+    stencil = weights.groupBy("dst_cell").agg(F.collect_list(F.struct("src_cell", "w")).alias("of"))
+    whole = stencil.select("dst_cell", F.size("of").alias("need"), F.explode("of").alias("s")).select("dst_cell", "need", F.col("s.src_cell").alias("cell_id"), F.col("s.w").alias("w"))
+    parts = tiles.join(whole, "cell_id").groupBy(*keys).agg(F.max("need").alias("need"), F.array_sort(F.collect_list(F.struct("cell_id", "w", "values"))).alias("parts"), F.array_distinct(F.flatten(F.collect_list("days"))).alias("days"))
+    zero = F.array_repeat(F.lit(0.0), 366).cast("array<double>")  # whose elements may become null
+    total = F.aggregate("parts", zero, lambda sums, p: F.zip_with(sums, p["values"], lambda x, v: x + p["w"] * v))
+    return parts.select(*keys, F.when(F.size("parts") == F.col("need"), total).alias("values"), "days")
 
 
-def apply_weights(field: DataFrame, weights: DataFrame, keys: list[str] = ("date",)) -> DataFrame:
-    """cell_id (of the destination), keys and value: the weighted sum, null if any source of the stencil is null or missing."""
-    return _summed(_weighted(field, weights, keys), keys)
+def _long(tiles: DataFrame, keys: list[str]) -> DataFrame:
+    """cell_id, keys, date and value of destination tiles on their days."""
+    day = tiles.select(F.col("dst_cell").alias("cell_id"), *keys, "year", "values", F.explode("days").alias("d"))
+    return day.select("cell_id", *keys, F.date_add(F.make_date("year", F.lit(1), F.lit(1)), F.col("d") - 1).alias("date"), F.get("values", F.col("d") - 1).alias("value"))
 
 
-def apply_regrid(field: DataFrame, weights: DataFrame, dst: DataFrame, keys: list[str] = ("date",)) -> DataFrame:
-    """apply_weights with a row for every destination cell at every time; unmapped cells are null. Every cell's empty row at each time is
-    summed with what the sources add, so there is one shuffle."""
-    empty = dst.select(F.col("cell_id").alias("dst_cell")).crossJoin(field.select(*keys).distinct())
-    empty = empty.select("dst_cell", *keys, F.lit(None).cast("long").alias("need"), F.lit(0).alias("have"), F.lit(None).cast("double").alias("part"))
-    # Weights may map to cells that dst doesn't ask for.
-    own = weights.join(dst.select(F.col("cell_id").alias("dst_cell")), "dst_cell", "left_semi")
-    return _summed(_weighted(field, own, keys).unionByName(empty), keys)
+def apply_weights(field: DataFrame, weights: DataFrame) -> DataFrame:
+    """cell_id (of the destination), member keys, date and value: the weighted sum, null if any source of the stencil is null or missing. There is a row for each
+    mapped cell on each day that a source of it has.
+
+    The field is shuffled once, as a row a day; from there on tiles of a year are: weights meet tiles, and tiles are summed element by element.
+    """
+    return _long(_tiled_sums(year_tiles(field), weights), member_keys(field))
+
+
+def apply_regrid(field: DataFrame, weights: DataFrame, dst: DataFrame) -> DataFrame:
+    """apply_weights with a row for every destination cell on every day that a member has; unmapped cells are null.
+
+    Members' years (some thousand rows at most: the catalogue's models, scenarios and years) are numbered on the driver; each cell meets them by number.
+    """
+    keys, cells = member_keys(field), dst.select(F.col("cell_id").alias("dst_cell"))
+    days = field.groupBy(*keys, F.year("date").alias("year")).agg(F.collect_set(F.dayofyear("date")).alias("days"))
+    found = days.select(*keys, "year").orderBy(*keys, "year").collect()
+    schema = days.select(*keys, "year").schema.add("number", "integer")
+    spans = field.sparkSession.createDataFrame([(*r, i) for i, r in enumerate(found)], schema)
+    every = cells.select("dst_cell", F.explode(F.sequence(F.lit(0), F.lit(len(found) - 1))).alias("number")) if found else cells.select("dst_cell", F.lit(0).alias("number"))
+    every = every.join(spans, "number").drop("number").join(days, [*keys, "year"])
+    sums = _tiled_sums(year_tiles(field), weights.join(cells, "dst_cell", "left_semi"))
+    same = [every[k].eqNullSafe(sums[k]) for k in (*keys, "dst_cell", "year")]
+    return _long(every.join(sums, same, "left").select(*(every[k] for k in (*keys, "dst_cell", "year")), "values", every["days"]), keys)
 
 
 def cascade(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -171,9 +202,9 @@ def wrf_xy(grid: DataFrame, spacing: float = 4000.0) -> DataFrame:
     return at.select("cell_id", (cx + (F.col("ix") - F.col("mx") / 2) * spacing).alias("wx"), (cy + (F.col("iy") - F.col("my") / 2) * spacing).alias("wy"))
 
 
-def reproject(field: DataFrame, src: DataFrame, target: DataFrame, keys: list[str] = ("date",)) -> DataFrame:
+def reproject(field: DataFrame, src: DataFrame, target: DataFrame) -> DataFrame:
     """Nearest source value for targets given in projected coordinates: target(cell_id, px, py)."""
-    return apply_weights(field, weights_nearest(src, unproject(target)), keys)
+    return apply_weights(field, weights_nearest(src, unproject(target)))
 
 
 def mosaic(west: DataFrame, east: DataFrame) -> DataFrame:
@@ -208,12 +239,12 @@ def prep_landsea(weights: DataFrame, src_land: DataFrame, dst_land: DataFrame) -
 
 
 def source_mask(field: DataFrame, sftlf_land: DataFrame, tolerance: float = 0.2) -> DataFrame:
-    """The field's own first-time nulls as its land mask if their share fits the land share, else the land fraction's."""
+    """Series keys and is_land: each member's own first-time nulls as its land mask if their share fits the land share, else the land fraction's."""
     from .aggregate import mask_fraction
 
-    good = F.broadcast(mask_fraction(field, sftlf_land, tolerance).select("good"))
-    own = field.groupBy("cell_id").agg(F.min_by(F.struct("value"), "date")["value"].isNotNull().alias("own"))
-    return own.join(sftlf_land, "cell_id").join(good, how="cross").select("cell_id", F.when(F.col("good"), F.col("own")).otherwise(F.col("is_land")).alias("is_land"))
+    good = mask_fraction(field, sftlf_land, tolerance).select(*member_keys(field), "good")
+    own = field.groupBy(*series_keys(field)).agg(F.min_by(F.struct("value"), "date")["value"].isNotNull().alias("own"))
+    return on_members(own.join(sftlf_land, "cell_id"), good).select(*series_keys(field), F.when(F.col("good"), F.col("own")).otherwise(F.col("is_land")).alias("is_land"))
 
 
 def order_axes(field: DataFrame, grid: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .nearest import nearest_cells
+from .windows import common_keys, series_keys
 
 COMPARE = {">": operator.gt, "<": operator.lt, ">=": operator.ge, "<=": operator.le, "==": operator.eq, "!=": operator.ne}
 
@@ -70,32 +71,40 @@ def sel_months(df: DataFrame, months: list[int]) -> DataFrame:
 
 
 def sel_doys_around(df: DataFrame, centres: DataFrame, half: int = 15) -> DataFrame:
-    """Days [d - half, d + half) around each cell's centre day d, without wrapping."""
-    return df.join(centres, "cell_id").where((F.col("doy") >= F.col("centre") - half) & (F.col("doy") < F.col("centre") + half))
+    """Days [d - half, d + half) around the centre day d of each series, without wrapping; centres without models serve them all."""
+    return df.join(centres, common_keys(df, centres)).where((F.col("doy") >= F.col("centre") - half) & (F.col("doy") < F.col("centre") + half))
 
 
 def where_condition(df: DataFrame, op: str, value: float, col: str = "value") -> DataFrame:
     return df.where(COMPARE[op](F.col(col), value))
 
 
-def no_data_cells(df: DataFrame, keys: list[str] = ("cell_id",)) -> DataFrame:
-    """keys and masked: the value at the first time is null."""
-    return df.groupBy(*keys).agg(F.min_by(F.struct("value"), "date")["value"].isNull().alias("masked"))
+def no_data_cells(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """keys (the series, unless others are given) and masked: the value at their first time is null."""
+    return df.groupBy(*(keys or series_keys(df))).agg(F.min_by(F.struct("value"), "date")["value"].isNull().alias("masked"))
 
 
-def mask_first_slice(df: DataFrame, keys: list[str] = ("cell_id",)) -> DataFrame:
-    """Null out every value of a cell that has none at its first time."""
-    return df.join(no_data_cells(df, keys), list(keys)).withColumn("value", F.when(~F.col("masked"), F.col("value"))).drop("masked")
+def mask_first_slice(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Null out every value of a series that has none at its first time."""
+    return df.join(no_data_cells(df, keys), keys or series_keys(df)).withColumn("value", F.when(~F.col("masked"), F.col("value"))).drop("masked")
 
 
 def sel_regions(df: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Rows of grid cells in named x/y boxes: boxes(region, x1, x2, y1, y2). Cells and boxes meet in squares of the boxes' mean side."""
-    side = F.broadcast(boxes.agg(F.greatest(F.avg((F.col("x2") - F.col("x1") + F.col("y2") - F.col("y1")) / 2), F.lit(1e-9)).alias("__side")))
-    at = lambda c: F.floor(F.col(c) / F.col("__side"))
-    b = boxes.where("x1 <= x2 and y1 <= y2").join(side, how="cross").withColumn("__bx", F.explode(F.sequence(at("x1"), at("x2")))).withColumn("__by", F.explode(F.sequence(at("y1"), at("y2")))).drop("__side")
-    d = df.join(side, how="cross").withColumns({"__bx": at("x"), "__by": at("y")}).drop("__side")
+    """Rows of grid cells in named x/y boxes: boxes(region, x1, x2, y1, y2).
+
+    A box's class is the power of two next above its longer side, so it lies in four squares of that side at most, however different the boxes are. Cells go
+    into a square of each class that a box has: sixty classes or so at most, and one collected row.
+    """
+    boxes = boxes.where("x1 <= x2 and y1 <= y2")
+    side = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.lit(1e-9)).cast("double")
+    sized = boxes.withColumn("__class", F.ceil(F.log2(side)).cast("int"))
+    at = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("__class")))
+    across = lambda a, b: F.explode(F.sequence(at(a), at(b)))
+    b = sized.withColumn("__bx", across("x1", "x2")).withColumn("__by", across("y1", "y2"))
+    classes = sized.agg(F.array_sort(F.collect_set("__class"))).first()[0]
+    d = df.withColumn("__class", F.explode(F.array(*map(F.lit, classes)).cast("array<int>"))).withColumns({"__bx": at("x"), "__by": at("y")})
     inside = F.col("x").between(F.col("x1"), F.col("x2")) & F.col("y").between(F.col("y1"), F.col("y2"))
-    return d.join(b, ["__bx", "__by"]).where(inside).drop("x1", "x2", "y1", "y2", "__bx", "__by")
+    return d.join(b, ["__class", "__bx", "__by"]).where(inside).drop("x1", "x2", "y1", "y2", "__class", "__bx", "__by")
 
 
 def crop_domain(df: DataFrame, south: float = 50.0) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import days_in_month, haversine_km
-from .windows import series_keys
+from .windows import member_keys, on_members, series_keys
 
 #: What a negative temperature range becomes: just above no range at all.
 LEAST_DTR = 0.0000999
@@ -81,27 +81,28 @@ def clamp_report(df: DataFrame, low: float, high: float, keys: list[str]) -> Dat
     return df.groupBy(*keys).agg(F.count_if(v < low).alias("n_below"), F.count_if(v > high).alias("n_above"), F.count("value").alias("n"))
 
 
-def histogram(df: DataFrame, bins: int) -> DataFrame:
-    """bin, n, low and width of equal-width bins between the global extremes; a constant series is one bin of width 0."""
-    v = df.where("value is not null").select("value")
-    ends = v.agg(F.min("value").alias("low"), F.max("value").alias("high")).withColumn("width", (F.col("high") - F.col("low")) / bins)
+def histogram(df: DataFrame, bins: int, keys: list[str] | None = None) -> DataFrame:
+    """keys (those of a member, unless others are given), bin, n, low and width of equal-width bins between each member's extremes; a constant one is one bin of width 0."""
+    keys = member_keys(df) if keys is None else keys
+    v = df.where("value is not null").select(*keys, "value")
+    ends = v.groupBy(*keys).agg(F.min("value").alias("low"), F.max("value").alias("high")).withColumn("width", (F.col("high") - F.col("low")) / bins)
     at = F.least(F.lit(bins - 1), F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("low"), F.col("width"))), F.lit(0)).cast("int"))
-    return v.join(F.broadcast(ends), how="cross").groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.first("low").alias("low"), F.first("width").alias("width"))
+    return on_members(v, ends).groupBy(*keys, at.alias("bin")).agg(F.count("*").alias("n"), F.first("low").alias("low"), F.first("width").alias("width"))
 
 
 def quantile_bounds(df: DataFrame, low_q: float, high_q: float, bins: int = 10_000) -> DataFrame:
-    """lower and upper: the edges of the first bins whose cumulative share reaches the two quantiles. At most `bins` rows are ordered."""
-    h = histogram(df, bins)
-    order = Window.orderBy("bin")
-    h = h.withColumn("cdf", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("n").over(Window.partitionBy()))
+    """Member keys, lower and upper: the edges of the first bins whose cumulative share reaches the two quantiles. At most `bins` rows a member are ordered."""
+    keys, h = member_keys(df), histogram(df, bins)
+    whole = Window.partitionBy(*keys)
+    h = h.withColumn("cdf", F.sum("n").over(whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("n").over(whole))
     low, high = F.min(F.when(F.col("cdf") >= low_q, F.col("bin"))), F.min(F.when(F.col("cdf") >= high_q, F.col("bin")))
-    return h.agg((F.first("low") + low * F.first("width")).alias("lower"), (F.first("low") + (high + 1) * F.first("width")).alias("upper"))
+    return h.groupBy(*keys).agg((F.first("low") + low * F.first("width")).alias("lower"), (F.first("low") + (high + 1) * F.first("width")).alias("upper"))
 
 
 def clamp_quantile_hist(df: DataFrame, low_q: float = 2e-7, high_q: float = 1 - 2e-7, bins: int = 10_000) -> DataFrame:
-    b = F.broadcast(quantile_bounds(df, low_q, high_q, bins))
+    """Values outside the bounds of their member's own distribution become the bound."""
     v = F.col("value")
-    return df.join(b, how="cross").withColumn("value", F.when(v < F.col("lower"), F.col("lower")).when(v > F.col("upper"), F.col("upper")).otherwise(v)).drop("lower", "upper")
+    return on_members(df, quantile_bounds(df, low_q, high_q, bins), how="left").withColumn("value", F.when(v < F.col("lower"), F.col("lower")).when(v > F.col("upper"), F.col("upper")).otherwise(v)).drop("lower", "upper")
 
 
 def round_negative(v: Column) -> Column:

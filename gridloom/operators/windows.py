@@ -27,6 +27,17 @@ def common_keys(a: DataFrame, b: DataFrame) -> list[str]:
     return [k for k in series_keys(a) if k in b.columns]
 
 
+def member_keys(df: DataFrame) -> list[str]:
+    """The series columns without the cell: what tells whole fields apart."""
+    return [k for k in series_keys(df) if k != "cell_id"]
+
+
+def on_members(a: DataFrame, b: DataFrame, *on: str, how: str = "inner") -> DataFrame:
+    """a and a table with a row for each of its members (or one for all of them), joined on what member columns both have."""
+    keys = [*(k for k in member_keys(a) if k in b.columns), *on]
+    return a.join(b, keys, how) if keys else a.join(b, how="cross")
+
+
 def rolling_sum(df: DataFrame, days: int, keys: list[str] | None = None) -> DataFrame:
     """Adds rolled: the sum of a row and the days - 1 before it, null unless all have data."""
     w = Window.partitionBy(*(keys or series_keys(df))).orderBy("date").rowsBetween(-(days - 1), 0)

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate
 from .catalogue import query
-from .inputs import catalog, field, grid, series, simulated, sql
+from .inputs import catalog, field, grid, member, series, simulated, simulations, sql
 from .q_select import six
 
 SIM = "SELECT cell_id, doy, min(value) AS mn, avg(value) AS mean, max(value) AS mx FROM simulated WHERE doy IS NOT NULL GROUP BY 1, 2"
 REF = "SELECT cell_id, doy, min(pr) AS mn, avg(pr) AS mean, max(pr) AS mx FROM dated WHERE doy IS NOT NULL GROUP BY 1, 2"
+MS = "model, scenario"
+SIMS = "SELECT model, scenario, cell_id, doy, avg(value) AS mean FROM simulations WHERE doy IS NOT NULL GROUP BY ALL"
+DELTA_MAPS = f"d AS (SELECT {MS}, cell_id, doy, r.mean - s.mean AS delta FROM ({REF}) r JOIN ({SIMS}) s USING (cell_id, doy))"
 DELTAS = f"d AS (SELECT cell_id, doy, r.mean - s.mean AS delta, CASE WHEN s.mean <> 0 THEN (r.mean - s.mean) / s.mean END AS proportion FROM ({REF}) r JOIN ({SIM}) s USING (cell_id, doy))"
 
 
@@ -33,19 +36,23 @@ def deltas(spark, sf):
     return aggregate.doy_deltas(series(spark, sf, "pr"), simulated(spark, sf))
 
 
+def member_deltas(spark, sf):
+    return aggregate.doy_deltas(series(spark, sf, "pr"), simulations(spark, sf))
+
+
 @query("a4_domain_summary", sql(f"WITH {DELTAS} SELECT round(min(delta), 6) AS min, round(max(delta), 6) AS max, round(avg(delta), 6) AS mean, round(stddev_pop(delta), 6) AS std, round(avg(abs(proportion)), 6) AS mean_proportion, round(max(abs(proportion)), 6) AS max_proportion FROM d", "dated", "simulated"))
 def _(spark, sf):
     return six(aggregate.domain_summary(deltas(spark, sf)), "min", "max", "mean", "std", "mean_proportion", "max_proportion")
 
 
-@query("a5_delta_maps", sql(f"WITH {DELTAS} SELECT cell_id, round(min(delta), 6) AS min, round(max(delta), 6) AS max, round(avg(delta), 6) AS mean FROM d GROUP BY 1", "dated", "simulated"))
+@query("a5_delta_maps", sql(f"WITH {DELTA_MAPS} SELECT {MS}, cell_id, round(min(delta), 6) AS min, round(max(delta), 6) AS max, round(avg(delta), 6) AS mean FROM d GROUP BY ALL", "dated", "simulations"))
 def _(spark, sf):
-    return six(aggregate.delta_maps(deltas(spark, sf)), "min", "max", "mean")
+    return six(aggregate.delta_maps(member_deltas(spark, sf)), "min", "max", "mean")
 
 
-@query("a6_count_exceed", sql("SELECT cell_id, count(CASE WHEN pr > 60 THEN 1 END) AS n_days FROM daily GROUP BY ROLLUP (cell_id)", "daily"))
+@query("a6_count_exceed", sql(f"SELECT {MS}, cell_id, count(CASE WHEN pr > 20 THEN 1 END) AS n_days FROM members GROUP BY GROUPING SETS (({MS}, cell_id), ({MS}))", "members"))
 def _(spark, sf):
-    return aggregate.count_exceed(series(spark, sf, "pr"), 60)
+    return aggregate.count_exceed(member(spark, sf, "pr"), 20)
 
 
 @query("a7_count_out_of_range", sql("SELECT variable, count(CASE WHEN value < 0 OR value > 100 THEN 1 END) AS n_out FROM field GROUP BY 1", "field"))
@@ -83,7 +90,7 @@ def _(spark, sf):
     return aggregate.value_counts(catalog(spark, sf), ["model", "grid_type"])
 
 
-@query("a14_grid_signature", sql("WITH y AS (SELECT region, list_sort(list(DISTINCT lat)) AS v FROM grid GROUP BY 1), x AS (SELECT region, list_sort(list(DISTINCT lon)) AS v FROM grid GROUP BY 1) SELECT y.region, format('{:.2f}_{:.2f}_{}', y.v[1], y.v[-1], len(y.v)) || CASE WHEN len(y.v) > 1 THEN format('_{:.2f}', y.v[2] - y.v[1]) ELSE '' END || '|' || format('{:.2f}_{:.2f}_{}', x.v[1], x.v[-1], len(x.v)) || CASE WHEN len(x.v) > 1 THEN format('_{:.2f}', x.v[2] - x.v[1]) ELSE '' END AS signature FROM y JOIN x USING (region)", "grid"))
+@query("a14_grid_signature", sql("WITH y AS (SELECT region, list_sort(list(DISTINCT lat)) AS v FROM grid GROUP BY 1), x AS (SELECT region, list_sort(list(DISTINCT lon)) AS v FROM grid GROUP BY 1), t AS (SELECT y.region, format('{:.2f}_{:.2f}_{}', y.v[1], y.v[-1], len(y.v)) || CASE WHEN len(y.v) > 1 THEN format('_{:.2f}', y.v[2] - y.v[1]) ELSE '' END || '|' || format('{:.2f}_{:.2f}_{}', x.v[1], x.v[-1], len(x.v)) || CASE WHEN len(x.v) > 1 THEN format('_{:.2f}', x.v[2] - x.v[1]) ELSE '' END AS signature FROM y JOIN x USING (region)) SELECT region, signature, 'gr' || (dense_rank() OVER (ORDER BY signature) - 1) AS grid FROM t", "grid"))
 def _(spark, sf):
     return aggregate.grid_signature(grid(spark, sf), ["region"])
 
@@ -116,9 +123,9 @@ def _(spark, sf):
     return six(aggregate.strict_total(pr, ["cell_id", "year"]), "mean")
 
 
-@query("a20_mask_fraction", sql("WITH f AS (SELECT cell_id, (arg_min_null(v, date) IS NULL)::INT::DOUBLE AS empty FROM (SELECT cell_id, date, CASE WHEN pr <= 30 THEN pr END AS v FROM daily) GROUP BY 1), m AS (SELECT avg(empty) AS masked, avg((NOT region > 1)::INT::DOUBLE) AS expected FROM f JOIN grid USING (cell_id)) SELECT round(masked, 6) AS masked, round(expected, 6) AS expected, abs(masked - expected) < 0.2e0 AS good FROM m", "daily", "grid"))
+@query("a20_mask_fraction", sql(f"WITH f AS (SELECT {MS}, cell_id, (arg_min_null(v, date) IS NULL)::INT::DOUBLE AS empty FROM (SELECT {MS}, cell_id, date, CASE WHEN pr <= 10 THEN pr END AS v FROM members) GROUP BY ALL), m AS (SELECT {MS}, avg(empty) AS masked, avg((NOT region > 1)::INT::DOUBLE) AS expected FROM f JOIN grid USING (cell_id) GROUP BY ALL) SELECT {MS}, round(masked, 6) AS masked, round(expected, 6) AS expected, abs(masked - expected) < 0.2e0 AS good FROM m", "members", "grid"))
 def _(spark, sf):
-    pr = series(spark, sf, "pr").withColumn("value", F.when(F.col("value") <= 30, F.col("value")))
+    pr = member(spark, sf, "pr").withColumn("value", F.when(F.col("value") <= 10, F.col("value")))
     land = grid(spark, sf).select("cell_id", (F.col("region") > 1).alias("is_land"))
     return six(aggregate.mask_fraction(pr, land), "masked", "expected")
 

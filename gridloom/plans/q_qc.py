@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import catalog as paths
 from ..operators import indicators, qc, units
 from .catalogue import query
-from .inputs import catalog, daily, dated, field, series, simulated, sql, table
+from .inputs import catalog, daily, dated, field, member, series, simulated, sql, table
 from .q_select import six
 
 
@@ -31,10 +31,10 @@ def _(spark, sf):
     return qc.qc_units(named, spark.createDataFrame([("rx1day", "mm"), ("su", "d")], "indicator string, units string"))
 
 
-@query("q3_nodata_match", sql("WITH f AS (SELECT cell_id, arg_min_null(v, date) IS NULL AS a FROM (SELECT cell_id, date, CASE WHEN pr < 40 THEN pr END AS v FROM daily) GROUP BY 1) SELECT d.cell_id, d.year FROM (SELECT DISTINCT cell_id, year FROM dated) d JOIN f USING (cell_id) WHERE a <> (cell_id % 3 = 0)", "dated"))
+@query("q3_nodata_match", sql("WITH f AS (SELECT model, scenario, cell_id, arg_min_null(v, date) IS NULL AS a FROM (SELECT model, scenario, cell_id, date, CASE WHEN pr < 20 THEN pr END AS v FROM members) GROUP BY ALL) SELECT model, scenario, cell_id, d.year FROM (SELECT DISTINCT model, scenario, cell_id, year FROM members) d JOIN f USING (model, scenario, cell_id) WHERE a <> (cell_id % 3 = 0)", "members"))
 def _(spark, sf):
-    src = series(spark, sf, "pr").withColumn("value", F.when(F.col("value") < 40, F.col("value")))
-    out = dated(daily(spark, sf)).select("cell_id", "year", F.when(F.col("cell_id") % 3 != 0, F.lit(1.0)).alias("value")).distinct()
+    src = member(spark, sf, "pr").withColumn("value", F.when(F.col("value") < 20, F.col("value")))
+    out = src.select("model", "scenario", "cell_id", "year", F.when(F.col("cell_id") % 3 != 0, F.lit(1.0)).alias("value")).distinct()
     return qc.qc_nodata_match(out, src)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import Albers
 from ..operators import regrid
 from .catalogue import query
-from .inputs import BIG_DST, daily, grid, grids, series, sites, sql
+from .inputs import BIG_DST, daily, grid, grids, member, series, sites, sql
 from .q_select import six
 
 KM = "2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians(s.lat - d.lat) / 2), 2) + cos(radians(d.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - d.lon) / 2), 2))))"
@@ -57,18 +57,19 @@ def _(spark, sf):
     return regrid.weights_conservative(*grids(spark, sf)).withColumn("w", F.round("w", 9))
 
 
-APPLY = "s AS (SELECT dst_cell, date, count(pr) AS have, sum(w * pr) AS value FROM daily JOIN w ON daily.cell_id = w.src_cell GROUP BY 1, 2), need AS (SELECT dst_cell, count(*) AS need FROM w GROUP BY 1)"
+MS = "model, scenario"
+APPLY = f"s AS (SELECT {MS}, dst_cell, date, count(pr) AS have, sum(w * pr) AS value FROM members JOIN w ON members.cell_id = w.src_cell GROUP BY ALL), need AS (SELECT dst_cell, count(*) AS need FROM w GROUP BY 1)"
 
 
-@query("r5_apply_regrid", sql(f"WITH {BILINEAR}, {APPLY} SELECT d.cell_id, t.date, round(CASE WHEN have = need THEN value END, 6) AS value FROM dst d CROSS JOIN (SELECT DISTINCT date FROM daily) t LEFT JOIN s ON s.dst_cell = d.cell_id AND s.date = t.date LEFT JOIN need ON need.dst_cell = d.cell_id", "daily", "grid"))
+@query("r5_apply_regrid", sql(f"WITH {BILINEAR}, {APPLY} SELECT {MS}, d.cell_id, t.date, round(CASE WHEN have = need THEN value END, 6) AS value FROM dst d CROSS JOIN (SELECT DISTINCT {MS}, date FROM members) t LEFT JOIN s ON s.dst_cell = d.cell_id AND s.date = t.date AND s.model = t.model AND s.scenario = t.scenario LEFT JOIN need ON need.dst_cell = d.cell_id", "members", "grid").replace("SELECT model, scenario, d.cell_id", "SELECT t.model, t.scenario, d.cell_id"))
 def _(spark, sf):
-    pr = series(spark, sf, "pr").select("cell_id", "date", "value")
+    pr = member(spark, sf, "pr").select("model", "scenario", "cell_id", "date", "value")
     return six(regrid.apply_regrid(pr, regrid.weights_bilinear(grid(spark, sf), dst(spark)), dst(spark)), "value")
 
 
-@query("j8_apply_weights", sql(f"WITH {CONSERVATIVE}, {APPLY} SELECT s.dst_cell AS cell_id, s.date, round(CASE WHEN have = need THEN value END, 6) AS value FROM s JOIN need USING (dst_cell)", "daily", "grid"))
+@query("j8_apply_weights", sql(f"WITH {CONSERVATIVE}, {APPLY} SELECT {MS}, s.dst_cell AS cell_id, s.date, round(CASE WHEN have = need THEN value END, 6) AS value FROM s JOIN need USING (dst_cell)", "members", "grid"))
 def _(spark, sf):
-    pr = series(spark, sf, "pr").select("cell_id", "date", "value")
+    pr = member(spark, sf, "pr").select("model", "scenario", "cell_id", "date", "value")
     return six(regrid.apply_weights(pr, regrid.weights_conservative(grid(spark, sf), dst(spark))), "value")
 
 
@@ -151,9 +152,9 @@ def _(spark, sf):
     return regrid.prep_landsea(w, regrid.landmask(_land(spark, sf)), dl).withColumn("w", F.round("w", 9))
 
 
-@query("r14_source_mask", sql("WITH f AS (SELECT cell_id, arg_min_null(v, date) IS NOT NULL AS own FROM (SELECT cell_id, date, CASE WHEN pr <= 30 THEN pr END AS v FROM daily) GROUP BY 1), g AS (SELECT abs(avg((NOT own)::INT::DOUBLE) - avg((region <= 1)::INT::DOUBLE)) < 0.2e0 AS good FROM f JOIN grid USING (cell_id)) SELECT cell_id, CASE WHEN good THEN own ELSE region > 1 END AS is_land FROM f JOIN grid USING (cell_id), g", "daily", "grid"))
+@query("r14_source_mask", sql(f"WITH f AS (SELECT {MS}, cell_id, arg_min_null(v, date) IS NOT NULL AS own FROM (SELECT {MS}, cell_id, date, CASE WHEN pr <= 10 THEN pr END AS v FROM members) GROUP BY ALL), g AS (SELECT {MS}, abs(avg((NOT own)::INT::DOUBLE) - avg((region <= 1)::INT::DOUBLE)) < 0.2e0 AS good FROM f JOIN grid USING (cell_id) GROUP BY ALL) SELECT {MS}, cell_id, CASE WHEN good THEN own ELSE region > 1 END AS is_land FROM f JOIN grid USING (cell_id) JOIN g USING ({MS})", "members", "grid"))
 def _(spark, sf):
-    pr = series(spark, sf, "pr").withColumn("value", F.when(F.col("value") <= 30, F.col("value")))
+    pr = member(spark, sf, "pr").withColumn("value", F.when(F.col("value") <= 10, F.col("value")))
     return regrid.source_mask(pr, regrid.landmask(_land(spark, sf)))
 
 

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ..operators import select, units
 from ..sources import fields
 from .catalogue import query
-from .inputs import catalog, daily, dated, field, grid, series, sql, table
+from .inputs import catalog, daily, dated, field, grid, member, members, series, sql, table
 
 KEYS = "model, scenario, variable, cell_id, date"
+S = "model, scenario, cell_id"
+MEMBER = ["model", "scenario", "cell_id"]
 
 
 def shared_path(spark, label: str) -> str:
@@ -47,12 +49,16 @@ def _(spark, sf):
     return fields.conflicts(fields.concat_members([pr, pr.where("year = 1996"), f.where("variable = 'tasmax'")]))
 
 
-@query("s4_write_by_year", sql("SELECT year, count(DISTINCT date) AS n_dates, year >= 1997 AND count(DISTINCT date) <> 1 AS written, CASE WHEN year >= 1997 AND count(DISTINCT date) <> 1 THEN count(*) END AS n_rows FROM dated GROUP BY year", "dated"))
+@query("s4_write_by_year", sql("WITH v AS (SELECT model, scenario, cell_id, date, year FROM members WHERE model = 'm0' OR year < 1999 OR (year = 1999 AND date = (SELECT min(date) FROM members WHERE year = 1999 AND model = 'm1'))) SELECT model, scenario, year, count(DISTINCT date) AS n_dates, year >= 1997 AND count(DISTINCT date) <> 1 AS written, CASE WHEN year >= 1997 AND count(DISTINCT date) <> 1 THEN count(*) END AS n_rows FROM v GROUP BY model, scenario, year", "members"))
 def _(spark, sf):
-    path = shared_path(spark, "years")
-    status = fields.write_by_year(dated(daily(spark, sf)), path, 1997, by=("year",))
-    there = spark.read.parquet(path).groupBy("year").agg(F.count("*").alias("n_rows"))
-    return status.join(there, "year", "left")
+    """Model m1 has a single day in 1999, which is not written, while m0's 1999 is."""
+    path, of = shared_path(spark, "years"), member(spark, sf, "pr")
+    first = of.where("model = 'm1' and year = 1999").agg(F.min("date").alias("first"))
+    df = of.join(first, how="cross").where("model = 'm0' or year < 1999 or (year = 1999 and date = first)").drop("first")
+    status = fields.write_by_year(df, path, 1997, rows_a_file=2000)
+    fields.write_by_year(df, path, 1997, rows_a_file=2000)
+    there = spark.read.parquet(path).groupBy("model", "scenario", "year").agg(F.count("*").alias("n_rows"))
+    return status.join(there, ["model", "scenario", "year"], "left")
 
 
 @query("s5_no_clobber", sql("SELECT variable, model, year, count(*) AS n, round(sum(CASE WHEN variable = 'pr' AND year < 1999 THEN -1 ELSE value END), 4) AS total FROM field GROUP BY ALL", "field"))
@@ -63,10 +69,10 @@ def _(spark, sf):
     return spark.read.parquet(path).groupBy(*keys).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query("s6_tiles", sql("SELECT cell_id, year, count(*) AS n, sum(value) AS total, min(doy) AS first_doy, max(doy) AS last_doy FROM (SELECT cell_id, year, doy, pr AS value FROM dated WHERE doy IS NOT NULL) GROUP BY 1, 2", "dated"))
+@query("s6_tiles", sql(f"SELECT {S}, year, count(*) AS n, sum(value) AS total, min(doy) AS first_doy, max(doy) AS last_doy FROM (SELECT {S}, year, doy, pr AS value FROM members WHERE doy IS NOT NULL AND pr IS NOT NULL) GROUP BY ALL", "members"))
 def _(spark, sf):
-    back = fields.from_tiles(fields.to_tiles(series(spark, sf, "pr")))
-    return fields.to_series_layout(back.withColumn("date", F.col("doy"))).groupBy("cell_id", "year").agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.min("doy").alias("first_doy"), F.max("doy").alias("last_doy"))
+    back = fields.from_tiles(fields.to_tiles(member(spark, sf, "pr")))
+    return fields.to_series_layout(back.withColumn("date", F.col("doy"))).groupBy(*MEMBER, "year").agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.min("doy").alias("first_doy"), F.max("doy").alias("last_doy"))
 
 
 @query("s7_holdings_names", sql("SELECT model, variable, count(*) AS n, min(filename) AS first FROM catalog GROUP BY ALL", "catalog"))
@@ -145,12 +151,12 @@ def _(spark, sf):
     return select.sel_months(series(spark, sf, "pr"), [4, 5, 9]).groupBy("cell_id", "month").agg(F.count("*").alias("n"))
 
 
-@query("p10_sel_doys_around", sql("SELECT d.cell_id, count(*) AS n, min(doy) AS first, max(doy) AS last FROM dated d JOIN (SELECT cell_id, arg_max(doy, (pr, -(date - DATE '1970-01-01'))) AS centre FROM dated WHERE doy IS NOT NULL GROUP BY 1) c USING (cell_id) WHERE doy >= centre - 15 AND doy < centre + 15 GROUP BY 1", "dated"))
+@query("p10_sel_doys_around", sql(f"SELECT {S}, count(*) AS n, min(doy) AS first, max(doy) AS last FROM members d JOIN (SELECT {S}, arg_max(doy, (pr, -(date - DATE '1970-01-01'))) AS centre FROM members WHERE doy IS NOT NULL AND pr IS NOT NULL GROUP BY ALL) c USING ({S}) WHERE doy >= centre - 15 AND doy < centre + 15 GROUP BY ALL", "members"))
 def _(spark, sf):
     from ..operators.windows import argmax_doy
 
-    pr = series(spark, sf, "pr")
-    return select.sel_doys_around(pr, argmax_doy(pr)).groupBy("cell_id").agg(F.count("*").alias("n"), F.min("doy").alias("first"), F.max("doy").alias("last"))
+    pr = member(spark, sf, "pr")
+    return select.sel_doys_around(pr, argmax_doy(pr)).groupBy(*MEMBER).agg(F.count("*").alias("n"), F.min("doy").alias("first"), F.max("doy").alias("last"))
 
 
 @query("p11_where_condition", sql("SELECT cell_id, date, tasmax AS value FROM daily WHERE tasmax > 32", "daily"))
@@ -158,10 +164,10 @@ def _(spark, sf):
     return select.where_condition(series(spark, sf, "tasmax"), ">", 32).select("cell_id", "date", "value")
 
 
-@query("p12_mask_first_slice", sql("WITH m AS (SELECT cell_id, arg_min_null(value, date) IS NULL AS masked FROM (SELECT cell_id, date, CASE WHEN pr < 40 THEN pr END AS value FROM daily) GROUP BY 1) SELECT cell_id, count(*) AS n, count(CASE WHEN NOT masked AND pr < 40 THEN 1 END) AS n_valid FROM daily JOIN m USING (cell_id) GROUP BY 1", "daily"))
+@query("p12_mask_first_slice", sql(f"WITH m AS (SELECT {S}, arg_min_null(value, date) IS NULL AS masked FROM (SELECT {S}, date, CASE WHEN pr < 40 THEN pr END AS value FROM members) GROUP BY ALL) SELECT {S}, count(*) AS n, count(CASE WHEN NOT masked AND pr < 40 THEN 1 END) AS n_valid FROM members JOIN m USING ({S}) GROUP BY ALL", "members"))
 def _(spark, sf):
-    pr = series(spark, sf, "pr").withColumn("value", F.when(F.col("value") < 40, F.col("value")))
-    return select.mask_first_slice(pr).groupBy("cell_id").agg(F.count("*").alias("n"), F.count("value").alias("n_valid"))
+    pr = member(spark, sf, "pr").withColumn("value", F.when(F.col("value") < 40, F.col("value")))
+    return select.mask_first_slice(pr).groupBy(*MEMBER).agg(F.count("*").alias("n"), F.count("value").alias("n_valid"))
 
 
 @query("p13_regions", sql("SELECT region_name, count(*) AS n, sum(pr) AS total FROM daily JOIN grid USING (cell_id) JOIN (VALUES ('southcentral', -170, -150, 50, 60), ('interior', -160, -130, 60, 70)) b(region_name, x1, x2, y1, y2) ON x BETWEEN x1 AND x2 AND y BETWEEN y1 AND y2 GROUP BY 1", "daily", "grid"))
@@ -232,9 +238,9 @@ def _(spark, sf):
     return units.clamp_report(field(spark, sf), -10, 30, ["variable"])
 
 
-@query("e8_clamp_quantile_hist", sql("WITH v AS (SELECT cell_id, date, tasmax - tasmin AS value FROM daily), e AS (SELECT min(value) AS low, (max(value) - min(value)) / 100 AS width FROM v), h AS (SELECT least(99, floor((value - low) / width))::INT AS bin, count(*) AS n FROM v, e GROUP BY 1), c AS (SELECT bin, sum(n) OVER (ORDER BY bin) / sum(n) OVER () AS cdf FROM h), q AS (SELECT low + width * min(CASE WHEN cdf >= 0.02 THEN bin END) AS lower, low + width * (min(CASE WHEN cdf >= 0.98 THEN bin END) + 1) AS upper FROM c, e GROUP BY low, width) SELECT cell_id, date, round(CASE WHEN value < lower THEN lower WHEN value > upper THEN upper ELSE value END, 6) AS value FROM v, q", "daily"))
+@query("e8_clamp_quantile_hist", sql("WITH v AS (SELECT model, scenario, cell_id, date, tasmax - tasmin AS value FROM members), e AS (SELECT model, scenario, min(value) AS low, (max(value) - min(value)) / 100 AS width FROM v GROUP BY ALL), h AS (SELECT model, scenario, least(99, floor((value - low) / width))::INT AS bin, count(*) AS n FROM v JOIN e USING (model, scenario) GROUP BY ALL), c AS (SELECT model, scenario, bin, sum(n) OVER (PARTITION BY model, scenario ORDER BY bin) / sum(n) OVER (PARTITION BY model, scenario) AS cdf FROM h), q AS (SELECT model, scenario, any_value(low) + any_value(width) * min(CASE WHEN cdf >= 0.02 THEN bin END) AS lower, any_value(low) + any_value(width) * (min(CASE WHEN cdf >= 0.98 THEN bin END) + 1) AS upper FROM c JOIN e USING (model, scenario) GROUP BY ALL) SELECT model, scenario, cell_id, date, round(CASE WHEN value < lower THEN lower WHEN value > upper THEN upper ELSE value END, 6) AS value FROM v JOIN q USING (model, scenario)", "members"))
 def _(spark, sf):
-    dtr = daily(spark, sf).select("cell_id", "date", (F.col("tasmax") - F.col("tasmin")).alias("value"))
+    dtr = members(spark, sf).select(*MEMBER, "date", (F.col("tasmax") - F.col("tasmin")).alias("value"))
     return six(units.clamp_quantile_hist(dtr, 0.02, 0.98, 100), "value")
 
 

@@ -42,17 +42,32 @@ def conflicts(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def year_status(df: DataFrame, min_year: int = 1950) -> DataFrame:
-    """year, n_dates, written: whether write_by_year writes the year."""
-    n = df.groupBy("year").agg(F.countDistinct("date").alias("n_dates"))
+def year_status(df: DataFrame, min_year: int = 1950, by: tuple[str, ...] | None = None) -> DataFrame:
+    """by (what of model, scenario and variable the table has, and the year), n_dates, written: whether write_by_year writes that year of that member."""
+    n = df.groupBy(*(by or _member_years(df))).agg(F.countDistinct("date").alias("n_dates"))
     return n.withColumn("written", (F.col("year") >= min_year) & (F.col("n_dates") != 1))
 
 
-def write_by_year(df: DataFrame, path: str, min_year: int = 1950, by: tuple[str, ...] = ("variable", "model", "scenario", "year")) -> DataFrame:
-    """Write one partition per series and year; years before min_year and years of a single time are left out. Returns year_status."""
-    status = year_status(df, min_year)
-    keep = F.broadcast(status.where("written").select("year"))
-    df.join(keep, "year", "left_semi").repartition(*by).write.partitionBy(*by).mode("append").parquet(path)
+def _member_years(df: DataFrame) -> tuple[str, ...]:
+    return (*(k for k in ("variable", "model", "scenario") if k in df.columns), "year")
+
+
+def write_by_year(df: DataFrame, path: str, min_year: int = 1950, by: tuple[str, ...] | None = None, rows_a_file: int = 4_000_000, existing: DataFrame | None = None) -> DataFrame:
+    """Write a partition per member and year, and return year_status; years before min_year, and years of a single time of that member, are left out.
+
+    Only partitions that the rows belong to are replaced, and each as a whole when all tasks have ended: a run that is repeated, or was lost half way, leaves the
+    same files as one that wasn't. A large year is written by several tasks (its rows are dealt by a hash of the cell into so many parts that
+    each has about rows_a_file of them), so neither a task nor a file grows with the grid. Members' years that `existing` has already are left alone.
+    """
+    by = by or _member_years(df)
+    status = year_status(df, min_year, by)
+    sizes = df.groupBy(*by).agg(F.count("*").alias("__n"), F.countDistinct("date").alias("__d")).where((F.col("year") >= min_year) & (F.col("__d") != 1))
+    if existing is not None:
+        sizes = sizes.join(existing.select(*by).distinct(), list(by), "left_anti")
+    parts = sizes.select(*by, F.ceil(F.col("__n") / rows_a_file).cast("int").alias("__parts"))
+    spread = F.xxhash64(*(c for c in ("cell_id",) if c in df.columns), "date")
+    rows = df.join(parts, list(by)).withColumn("__part", F.pmod(spread, F.col("__parts"))).repartition(*by, "__part").drop("__part", "__parts")
+    rows.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return status
 
 
@@ -66,15 +81,21 @@ def new_keys(df: DataFrame, keys: list[str], existing: DataFrame) -> DataFrame:
     return df.select(*keys).distinct().join(existing.select(*keys).distinct(), keys, "left_anti")
 
 
-def to_tiles(df: DataFrame, keys: tuple[str, ...] = ("cell_id", "year")) -> DataFrame:
-    """A row per cell and year with its values by day of the year, 365 of them; days without data are null."""
+def _tile_keys(df: DataFrame) -> list[str]:
+    return [k for k in ("model", "scenario", "variable", "cell_id", "year") if k in df.columns]
+
+
+def to_tiles(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """A row per series and year with its values by day of the year, 365 of them; days without data are null."""
+    keys = keys or _tile_keys(df)
     by_day = F.map_from_entries(F.collect_list(F.struct("doy", "value")))
     rows = df.where("doy is not null").groupBy(*keys).agg(by_day.alias("m"))
     return rows.select(*keys, F.transform(F.sequence(F.lit(1), F.lit(365)), lambda d: F.try_element_at("m", d)).alias("values"))
 
 
-def from_tiles(tiles: DataFrame, keys: tuple[str, ...] = ("cell_id", "year")) -> DataFrame:
+def from_tiles(tiles: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The long form again, without days that hold nothing."""
+    keys = keys or _tile_keys(tiles)
     return tiles.select(*keys, F.posexplode("values").alias("p", "value")).where("value is not null").select(*keys, (F.col("p") + 1).alias("doy"), "value")
 
 
