@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from . import windows
 from .aggregate import doy_stats
+from .kernel import Setting, adjust_grid, by_doy, smooth, uniform
 from .units import clamp
 from .windows import common_keys, day_numbers, series_keys
 
@@ -85,29 +86,13 @@ def detrend_linear(df: DataFrame, degree: int = 1) -> DataFrame:
     return df.join(fit, [*keys, "doy"]).withColumn("trend", line).drop("__m", "__a", "__b")
 
 
-def smooth(x: np.ndarray, v: np.ndarray, how: str, share: float) -> np.ndarray:
-    """The cubic or the LOESS curve of v over x at each x; values that are missing don't count."""
-    ok = ~np.isnan(v)
-    if not ok.any():
-        return np.full(len(v), np.nan)
-    if how == "poly3":
-        degree = min(3, len(np.unique(x[ok])) - 1)
-        centre = x[ok].mean()
-        return np.polyval(np.polyfit(x[ok] - centre, v[ok], degree), x - centre)
-    k = max(2, int(np.ceil(share * ok.sum())))
-    d = np.abs(x[:, None] - x[ok][None, :])
-    reach = np.sort(d, axis=1)[:, min(k, d.shape[1]) - 1 : min(k, d.shape[1])]
-    w = np.clip(1 - (d / np.maximum(reach * (1 + 1e-9), 1e-9)) ** 3, 0, None) ** 3
-    return (w * v[ok]).sum(axis=1) / w.sum(axis=1)
-
-
 def detrend_series(df: DataFrame, how: str = "poly3", share: float = 0.2) -> DataFrame:
     """Adds trend per series and day of the year by a cubic ("poly3") or by LOESS of degree 0 with tricube weights ("loess")."""
 
     def make(table: pa.Table) -> np.ndarray:
         doy, year, value = (table[c].to_numpy() for c in ("doy", "year", "value"))
-        trend, order = np.full(len(value), np.nan), np.argsort(doy, kind="stable")
-        for at in np.split(order, np.flatnonzero(np.diff(doy[order])) + 1):
+        trend = np.full(len(value), np.nan)
+        for at in by_doy(doy):
             trend[at] = smooth(year[at].astype(float), value[at], how, share)
         return trend
 
@@ -162,17 +147,13 @@ def dry_excess(ref: DataFrame, hist: DataFrame, threshold: float, window: int =
     return sides[0].cogroup(sides[1]).applyInArrow(run, schema)
 
 
-def _uniform(seed: int, keys: list[str]) -> Column:
-    return (F.pmod(F.xxhash64(F.lit(seed), *keys, "date"), F.lit(1 << 40)).cast("double") + 0.5) / float(1 << 40)
-
-
 def adapt_freq(ref: DataFrame, hist: DataFrame, threshold: float, window: int = 31, seed: int = 0) -> DataFrame:
     """hist with its excess of dry days made wet: where more of its pool than of ref's is under the threshold, as large a share of its dry days
     gets values drawn between the threshold and ref's quantile at hist's dry share. Ties share a rank, so a draw says which of the dry days."""
     keys = series_keys(hist)
     out = _joined(hist, dry_excess(ref, hist, threshold, window), "doy")
-    excess = (F.col("value") < threshold) & (_uniform(seed, keys) < (F.col("hd") - F.col("rd")) / F.col("hd"))
-    wet = threshold + _uniform(seed + 1, keys) * (F.col("top") - threshold)
+    excess = (F.col("value") < threshold) & (uniform(seed, keys) < (F.col("hd") - F.col("rd")) / F.col("hd"))
+    wet = threshold + uniform(seed + 1, keys) * (F.col("top") - threshold)
     return out.withColumn("value", F.when(excess, wet).otherwise(F.col("value"))).select(*hist.columns)
 
 
@@ -206,24 +187,16 @@ def qplad_adjust(analogs: DataFrame, sim: DataFrame, window: int = 31) -> DataFr
 
 
 def adjust_methods(ref: DataFrame, hist: DataFrame, sim: DataFrame, kind: str = "+", nq: int = 20, window: int = 31, trends: tuple[str, ...] = ("mean", "poly1", "poly3", "loess")) -> DataFrame:
-    """Detrended mapping with each trend, delta mapping and plain mapping of one simulation, stacked under method."""
-    qmap = qdm_train(ref, hist, kind, nq, window)
-    made = {f"dqm_{t}": dqm_adjust(ref, hist, sim, kind, nq, window, t) for t in trends} | {"qdm": qdm_adjust(qmap, sim, kind, nq, window), "qm": eqm_adjust(qmap, sim, kind)}
-    out = None
-    for name, df in made.items():
-        one = df.select(F.lit(name).alias("method"), *sim.columns)
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-def param_sweep(ref: DataFrame, hist: DataFrame, sim: DataFrame, kind: str, windows_: list[int], nqs: list[int]) -> DataFrame:
-    """qdm of each window and number of quantiles, stacked under the parameters."""
-    out = None
-    for w in windows_:
-        for nq in nqs:
-            one = qdm_adjust(qdm_train(ref, hist, kind, nq, w), sim, kind, nq, w).select(F.lit(w).alias("window"), F.lit(nq).alias("nq"), *sim.columns)
-            out = one if out is None else out.unionByName(one)
-    return out
+    """Detrended mapping with each trend, delta mapping and plain mapping of one simulation, stacked under method, from one pass over the series."""
+    settings = [*(Setting("dqm", t, window, nq) for t in trends), Setting("qdm", None, window, nq), Setting("qm", None, window, nq)]
+    made = adjust_grid(ref, hist, sim, settings, kind)
+    return made.select(F.concat_ws("_", "method", "trend").alias("method"), *sim.columns)
+
+
+def param_sweep(ref: DataFrame, hist: DataFrame, sim: DataFrame, kind: str, windows_: list[int], nqs: list[int], adapts: tuple[float | None, ...] = (None,), jitters: tuple[float | None, ...] = (None,), seed: int = 0) -> DataFrame:
+    """qdm of each window, number of quantiles, adapt_freq threshold and jitter threshold, stacked under the parameters, from one pass over the series."""
+    settings = [Setting("qdm", None, w, nq, a, j) for w in windows_ for nq in nqs for a in adapts for j in jitters]
+    return adjust_grid(ref, hist, sim, settings, kind, seed).drop("method", "trend")
 
 
 def sweep_matrix(ref: DataFrame, runs: DataFrame, row: str, column: str, values: list) -> DataFrame:

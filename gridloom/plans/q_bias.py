@@ -182,6 +182,12 @@ def _(spark, sf):
     return six(out, "value").select("window", "nq", *OUT)
 
 
+@query("b9_adapt_jitter_sweep")
+def _(spark, sf):
+    """Every adapt_freq threshold with every jitter threshold: random, so tests hold it against the operators one by one."""
+    return bias.param_sweep(obs(spark, sf), hist(spark, sf), later(spark, sf), "+", [W], [NQ], (None, 20.0, 40.0), (None, 0.5)).select("adapt", "jitter", *OUT)
+
+
 @query("b10_sweep_matrix", sql(f"{_sweep().split(' SELECT * FROM (')[0]}, d AS ({' UNION ALL '.join(f'SELECT {w} AS win, {n} AS nq, cell_id, doy, avg(value) AS m FROM a_{w}_{n} WHERE doy IS NOT NULL GROUP BY ALL' for w, n in _SWEEP)}), r AS (SELECT cell_id, doy, avg(pr) AS r FROM dated WHERE doy IS NOT NULL GROUP BY 1, 2) SELECT win::INT AS \"window\", round(max(CASE WHEN nq = {NQ} THEN abs(m - r) END), 5) AS \"{NQ}\", round(max(CASE WHEN nq = 10 THEN abs(m - r) END), 5) AS \"10\" FROM d JOIN r USING (cell_id, doy) GROUP BY 1", "dated", "simulations"))
 def _(spark, sf):
     runs = bias.param_sweep(obs(spark, sf), hist(spark, sf), later(spark, sf), "+", [W, 31], [NQ, 10])
