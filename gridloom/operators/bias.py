@@ -207,20 +207,9 @@ def sweep_matrix(ref: DataFrame, runs: DataFrame, row: str, column: str, values:
     return both.withColumn("d", F.abs(F.col("m") - F.col("r"))).groupBy(row).pivot(column, values).agg(F.max("d"))
 
 
-def sliding_ranks(days: np.ndarray, values: np.ndarray, half: int, years: int) -> np.ndarray:
-    """Each year's days ranked in the pools of the frame of years - years .. + years around it, widened by half a window."""
-    q, year = np.full(len(values), np.nan), (np.datetime64("1970-01-01") + days.astype(int)).astype("datetime64[Y]").astype(int) + 1970
-    for y in np.unique(year):
-        low, high = (int((np.datetime64(f"{e}-01-01") - np.datetime64("1970-01-01")).astype(int)) for e in (y - years, y + years + 1))
-        frame = slice(np.searchsorted(days, low - half), np.searchsorted(days, high + half))
-        own = year[frame] == y
-        q[np.flatnonzero(year == y)] = windows.doy_ranks(days[frame], values[frame], half)[own]
-    return q
-
-
 def sliding_year_adjust(qmap: DataFrame, sim: DataFrame, kind: str = "+", nq: int = 100, window: int = 31, years: int = 10) -> DataFrame:
     """Each year ranked among the years - years .. + years around it."""
-    ranked = windows.with_series_column(sim, lambda t: sliding_ranks(day_numbers(t), t["value"].to_numpy(), window // 2, years), "q")
+    ranked = windows.with_series_column(sim, lambda t: windows.sliding_ranks(day_numbers(t), t["value"].to_numpy(), window // 2, years), "q")
     return _by_rank(ranked, qmap, kind, nq).select(*sim.columns)
 
 

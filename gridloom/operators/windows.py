@@ -168,6 +168,102 @@ def doy_ranks(days: np.ndarray, values: np.ndarray, half: int) -> np.ndarray:
     return q
 
 
+class RankCounts:
+    """Multisets of ranks that values enter and leave one by one, one a lane, with counts by rank and by block of about sqrt(n) ranks. An entry touches two counts, and a question
+    about what lies below a rank adds up the blocks before its own and the ranks before it in its block."""
+
+    def __init__(self, lanes: int, ranks: int):
+        self.width = max(1, int(np.ceil(np.sqrt(ranks))))
+        self.blocks = -(-ranks // self.width) + 1
+        self.count, self.block = np.zeros(lanes * self.blocks * self.width, np.int32), np.zeros(lanes * self.blocks, np.int32)
+
+    def put(self, lane: np.ndarray, rank: np.ndarray, times: int = 1) -> None:
+        np.add.at(self.count, lane * (self.blocks * self.width) + rank, times)
+        np.add.at(self.block, lane * self.blocks + rank // self.width, times)
+
+    def ask(self, lane: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many of a lane are below the rank, of it, and in all."""
+        block, at = np.divmod(rank, self.width)
+        blocks = self.block.reshape(-1, self.blocks)[lane]
+        own = self.count.reshape(-1, self.blocks, self.width)[lane, block]
+        before = np.where(np.arange(self.blocks) < block[:, None], blocks, 0).sum(axis=1)
+        inside = np.where(np.arange(self.width) < at[:, None], own, 0).sum(axis=1)
+        return before + inside, own[np.arange(len(lane)), at], blocks.sum(axis=1)
+
+
+def sliding_ranks(days: np.ndarray, values: np.ndarray, half: int, years: int) -> np.ndarray:
+    """The rank of each day among the days around its day of the year in the years - years .. + years around its own, scaled to 0..1; NaN without data.
+
+    Pools are those of doy_pools over that frame of years, widened by half a window at both ends. Each day of the year has a lane of RankCounts: from one year to the next the windows of one year
+    enter it and those of another leave, so the work follows the years of the series and not the length of the frame. What the frame's two ends add or lack
+    is put in for the year's question and taken out again.
+    """
+    q = np.full(len(values), np.nan)
+    known = ~np.isnan(values)
+    if not known.any():
+        return q
+    distinct, ranks = np.unique(values[known], return_inverse=True)
+    first, last = int(days[0]), int(days[-1])
+    dense = np.full(last - first + 1, -1, np.int64)
+    dense[days[known] - first] = ranks
+    every = np.arange(first, last + 1)
+    doy, year = noleap_days(every), _years(every)
+    jan1 = {y: int(np.searchsorted(year, y)) for y in range(int(year[0]) - 1, int(year[-1]) + 3)}
+    counts, spread = RankCounts(366, len(distinct)), np.arange(-half, half + 1)
+
+    def windows_of(centres: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lanes and ranks of the days around centres (places from first) that lie in low..high."""
+        centres = centres[doy[centres] > 0]
+        at = (centres[:, None] + spread).ravel()
+        lane = np.repeat(doy[centres], len(spread))
+        ok = (at >= low) & (at <= high)
+        at, lane = at[ok], lane[ok]
+        ok = dense[at] >= 0
+        return lane[ok], dense[at[ok]]
+
+    def of_year(y: int) -> tuple[np.ndarray, np.ndarray]:
+        return windows_of(np.arange(jan1.get(y, 0), jan1.get(y + 1, 0)), 0, len(dense) - 1)
+
+    row_place = days - first
+    row_year = year[row_place]
+    entered = range(0)
+    for y in np.unique(row_year).tolist():
+        frame = range(max(y - years, int(year[0])), min(y + years, int(year[-1])) + 1)
+        for k in entered:
+            if k not in frame:
+                counts.put(*of_year(k), -1)
+        for k in frame:
+            if k not in entered:
+                counts.put(*of_year(k))
+        entered = frame
+        # The frame's days with rows, in whole days from first; and its years' days.
+        low, high = max(0, _new_year(y - years) - half - first), min(len(dense), _new_year(y + years + 1) + half - first)
+        rows = row_place[np.searchsorted(row_place, low) : np.searchsorted(row_place, high)]
+        f0, f1 = int(rows[0]), int(rows[-1])
+        a, b = jan1[frame[0]], jan1[frame[-1] + 1]
+        beyond = [np.arange(a, min(f0, b)), np.arange(max(f1 + 1, a), b)]
+        ends = [np.arange(f0, min(a, f1 + 1)), np.arange(max(b, f0), f1 + 1)]
+        extra = [(w, -1) for c in beyond for w in [windows_of(c, 0, len(dense) - 1)]] + [(w, 1) for c in ends for w in [windows_of(c, f0, f1)]]
+        for w, times in extra:
+            counts.put(*w, times)
+        own = np.flatnonzero((row_year == y) & known & (doy[row_place] > 0))
+        if len(own):
+            at = row_place[own]
+            below, equal, total = counts.ask(doy[at], dense[at])
+            q[own] = np.where(total > 1, (below + (equal - 1) / 2) / np.maximum(total - 1, 1), 0.0)
+        for w, times in extra:
+            counts.put(*w, -times)
+    return q
+
+
+def _years(days: np.ndarray) -> np.ndarray:
+    return (np.datetime64("1970-01-01") + days.astype(int)).astype("datetime64[Y]").astype(int) + 1970
+
+
+def _new_year(year: int) -> int:
+    return int((np.datetime64(f"{year:04d}-01-01") - np.datetime64("1970-01-01")).astype(int))
+
+
 def day_numbers(table: pa.Table) -> np.ndarray:
     return table["date"].cast(pa.int32()).to_numpy()
 
