@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import __spark_entry__
@@ -83,6 +84,28 @@ def test_shard(spark, sf, hard):
             assert own == list(range(len(own)))
 
 
+#: Names that stages use themselves.
+CLASHING = ["score", "level", "foreign", "lang_pred", "leaks", "__id", "__mark", "__h1", "__h2", "__leaks", "c0", "row", "spans", "id", "node", "passes", "copy", "once"]
+
+
+def test_clashing_names(spark, sf):
+    """Whole rows come out as they went in, whatever their columns are called."""
+    few = queries.table(spark, sf, "documents").where("length(text) < 3000")
+    docs = few.withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in CLASHING})
+    given = {tuple(r) for r in docs.collect()}
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.near_duplicates, corpus_pipeline.benchmark_leaks):
+        kept = stage(spark, docs, sf)
+        assert kept.columns == docs.columns
+        found = [tuple(r) for r in kept.collect()]
+        assert len(found) > 100 and set(found) <= given and len(set(found)) == len(found)
+    mixed = corpus_pipeline.mix_sources(spark, docs, sf)
+    own = [c for c in docs.columns if c not in ("text", "n_chars")]
+    assert mixed.columns == docs.columns and {tuple(r[c] for c in own) for r in mixed.collect()} <= {tuple(r[docs.columns.index(c)] for c in own) for r in given}
+    sharded = corpus_pipeline.shards(spark, docs.withColumns({"slot": F.lit("mine"), "size": F.lit("mine")}), sf)
+    assert len(sharded.columns) == len(docs.columns) + len(sharding.OUT)
+    assert {tuple(r[c] for c in docs.columns) for r in sharded.collect()} == given and dict(sharded.dtypes)["slot"] == "bigint" and "size" in sharded.columns
+
+
 def test_run(spark, sf):
     out = corpus_pipeline.run(spark, sf).collect()
     slots = Counter((r["shard"], r["slot"]) for r in out)

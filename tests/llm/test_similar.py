@@ -49,6 +49,15 @@ def test_groups(spark, dense):
     assert {r["doc_id"]: r["component_id"] for r in found} == groups_expected(given)
 
 
+def test_many_keys(spark):
+    """Long texts alike, of which each has far more keys than rows carry."""
+    rng = random.Random(9)
+    texts = family(rng, 40, 1500, 260)
+    given = list(enumerate(texts))
+    found = similar.similar_groups(spark.createDataFrame(given, "doc_id long, text string").repartition(3), dense=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == groups_expected(given)
+
+
 def test_stage_on_tables(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     expected = groups_expected([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
