@@ -83,21 +83,22 @@ def rx5day(df: DataFrame, days: int = 5) -> DataFrame:
     return windows.rolling_sum(df.select(*by, "date", F.col("pr").alias("value")), days).groupBy(*by).agg(F.max("rolled").alias("rx5day"))
 
 
-def historical(df: DataFrame) -> DataFrame:
-    """The historical scenario of a table with scenarios, without that column; other tables as they are."""
-    return df.where(F.col("scenario") == "historical").drop("scenario") if "scenario" in df.columns else df
+def historical(df: DataFrame, base: tuple[int, int] | None = None) -> DataFrame:
+    """The historical scenario of a table with scenarios, without that column, and the base period's years of it; other tables as they are."""
+    own = df.where(F.col("scenario") == "historical").drop("scenario") if "scenario" in df.columns else df
+    return own.where(F.year("date").between(*base)) if base else own
 
 
-def day_limits(hist: DataFrame, variable: str, p: float, window: int = 5) -> DataFrame:
-    """Day-of-year percentiles of hist: series keys without the scenario, doy, threshold."""
-    own = historical(hist)
+def day_limits(hist: DataFrame, variable: str, p: float, window: int = 5, base: tuple[int, int] | None = None) -> DataFrame:
+    """Day-of-year percentiles of hist (of its base period): series keys without the scenario, doy, threshold."""
+    own = historical(hist, base)
     return windows.percentile_doy(own.select(*series_keys(own), "date", F.col(variable).alias("value")), p, window)
 
 
-def spell_index(df: DataFrame, hist: DataFrame, variable: str, p: float, above: bool, name: str, least: int = 6, window: int = 5) -> DataFrame:
-    """Days in runs of at least `least` days beyond the day-of-year percentile of hist; 29 February is passed over."""
+def spell_index(df: DataFrame, hist: DataFrame, variable: str, p: float, above: bool, name: str, least: int = 6, window: int = 5, base: tuple[int, int] | None = None) -> DataFrame:
+    """Days in runs of at least `least` days beyond the day-of-year percentile of hist (over its base period: 1985 to 2014 for climate normals); 29 February is passed over."""
     by = by_year(df)
-    both = doy_threshold_join(df.select(*by, "date", "doy", F.col(variable).alias("value")), day_limits(hist, variable, p, window))
+    both = doy_threshold_join(df.select(*by, "date", "doy", F.col(variable).alias("value")), day_limits(hist, variable, p, window, base))
     hit = F.col("value") > F.col("threshold") if above else F.col("value") < F.col("threshold")
     return windows.days_in_runs(both, hit, by, least, name)
 
@@ -119,18 +120,21 @@ def register_indicator(name: str, builder: Callable, variables: list[str] | None
         VARIABLES[name] = variables
 
 
-def _prepared(df: DataFrame, names: list[str], hist: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
-    """df with the columns that the named indicators aggregate, and their aggregates."""
+def _prepared(df: DataFrame, names: list[str], hist: DataFrame, base: tuple[int, int] | None) -> tuple[DataFrame, dict[str, Column]]:
+    """df with the columns that the named indicators aggregate, and their aggregates. Percentiles come first, as an array a series, so that rows are dealt by series once
+    for them and for all that follows."""
     keys, by = series_keys(df), by_year(df)
     aggregates = {n: SIMPLE[n]() for n in names if n in SIMPLE}
+    spells = {n: SPELLS[n] for n in names if n in SPELLS}
+    if spells:
+        limits = windows.doy_percentiles(historical(hist, base), {n: (v, p) for n, (v, p, _) in spells.items()})
+        own = F.get("limits", F.col("doy") - 1)
+        columns = df.columns
+        df = df.join(limits, windows.common_keys(df, limits), "left").select(*columns, *(own[n].alias(f"__limit_{n}") for n in spells))
     if "rx5day" in names:
         along = Window.partitionBy(*keys).orderBy("date").rowsBetween(-4, 0)
         df = df.withColumn("__sum5", F.when(F.count("pr").over(along) == 5, F.sum("pr").over(along)))
         aggregates["rx5day"] = F.max("__sum5")
-    spells = {n: SPELLS[n] for n in names if n in SPELLS}
-    for n, (variable, p, _) in spells.items():
-        limits = day_limits(hist, variable, p).withColumnRenamed("threshold", f"__limit_{n}")
-        df = df.join(limits, [*windows.common_keys(df, limits), "doy"], "left")
     runs = {f"__{n}": RUNS[n]() for n in names if n in RUNS}
     if runs:
         df = windows.with_run_lengths(df, runs, by)
@@ -142,8 +146,8 @@ def _prepared(df: DataFrame, names: list[str], hist: DataFrame) -> tuple[DataFra
     return df, aggregates
 
 
-def run_indicators(df: DataFrame, names: list[str], hist: DataFrame | None = None, mask: bool = True) -> DataFrame:
-    """Series keys, year and a column for each indicator; hist defaults to the table itself.
+def run_indicators(df: DataFrame, names: list[str], hist: DataFrame | None = None, mask: bool = True, base: tuple[int, int] | None = None) -> DataFrame:
+    """Series keys, year and a column for each indicator; hist, of whose base period's years percentiles are taken (all, if there is none), defaults to the table itself.
 
     With mask, a series without data on its first day has none for the indicators of that variable (counts would say 0 there).
     """
@@ -152,7 +156,7 @@ def run_indicators(df: DataFrame, names: list[str], hist: DataFrame | None = Non
         raise ValueError(f"no such indicators: {unknown}")
     hist = df if hist is None else hist
     keys, by = series_keys(df), by_year(df)
-    ready, aggregates = _prepared(df, names, hist)
+    ready, aggregates = _prepared(df, names, hist, base)
     held = {n: VARIABLES.get(n, [v for v in ("pr", "tasmax", "tasmin") if v in df.columns]) for n in names} if mask else {}
     used = sorted({v for own in held.values() for v in own})
     first = [F.min_by(F.struct(*used), "date").alias("__first")] if used else []

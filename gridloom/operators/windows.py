@@ -90,11 +90,42 @@ def pooled(df: DataFrame, half: int) -> DataFrame:
     return inside.select(*keys, noleap_doy(F.col("__at")).alias("doy"), "value").where("doy is not null")
 
 
+def doy_percentiles(df: DataFrame, wanted: dict[str, tuple[str, float]], window: int = 5) -> DataFrame:
+    """Series keys and limits: an array of 365 structs with a field for each wanted percentile, name -> (column, probability), of type 8 over the pool of the days around each
+    day of the year (those that `pooled` makes); null where a pool is empty.
+
+    Each row is shuffled once, to its series, whatever the window and the number of percentiles. A day's values are gathered once and pools are made of a ring of 365 days by
+    its neighbours. Values whose window has a 29 February or an end of the series in it don't fit the ring: they are put to each of their days by themselves.
+    """
+    from ..functions.scalar import noleap_doy
+
+    keys, half, columns = series_keys(df), window // 2, sorted({c for c, _ in wanted.values()})
+    whole = Window.partitionBy(*keys)
+    rows = df.select(*keys, "date", *columns).repartition(*(keys or [F.lit(0)]))
+    rows = rows.withColumns({"__a": F.min("date").over(whole), "__b": F.max("date").over(whole)}).where(F.coalesce(*columns).isNotNull())
+    around = F.filter(F.sequence(F.date_add("date", -half), F.date_add("date", half)), lambda d: d.between(F.col("__a"), F.col("__b")))
+    centres = F.filter(F.transform(around, noleap_doy), lambda d: d.isNotNull())
+    to = lambda d, ring: F.struct(d.alias("doy"), F.lit(ring).alias("ring"))
+    places = F.when(F.size("__centres") == 2 * half + 1, F.array(to(noleap_doy(F.col("date")), True))).otherwise(F.transform("__centres", lambda d: to(d, False)))
+    placed = rows.withColumn("__centres", centres).select(*keys, F.explode(places).alias("p"), F.struct(*columns).alias("v"))
+    days = placed.groupBy(*keys, F.col("p.doy").alias("doy")).agg(F.collect_list(F.when(F.col("p.ring"), F.col("v"))).alias("ring"), F.collect_list(F.when(~F.col("p.ring"), F.col("v"))).alias("own"))
+    series = days.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("doy", F.struct("ring", "own")))).alias("m"))
+    year = F.transform(F.sequence(F.lit(1), F.lit(365)), lambda d: F.try_element_at("m", d))
+    none = F.array().cast(placed.select(F.array("v")).schema[0].dataType)
+
+    def limits(i: Column) -> Column:
+        pool = F.flatten(F.array(*(F.coalesce(F.get("year", F.pmod(i + o, F.lit(365)))["ring"], none) for o in range(-half, half + 1)), F.coalesce(F.get("year", i)["own"], none)))
+        one = lambda c, p: F.get(F.transform(F.array(F.sort_array(F.filter(F.transform(pool, lambda v: v[c]), lambda x: x.isNotNull()))), lambda v: quantile_type8(v, p)), 0)
+        return F.struct(*(one(c, p).alias(n) for n, (c, p) in wanted.items()))
+
+    return series.select(*keys, year.alias("year")).select(*keys, F.transform(F.sequence(F.lit(0), F.lit(364)), limits).alias("limits"))
+
+
 def percentile_doy(df: DataFrame, p: float, window: int = 5) -> DataFrame:
     """Series keys, doy, threshold: type 8 percentile of the pooled window."""
-    values = F.array_sort(F.collect_list("value"))
     keys = series_keys(df)
-    return pooled(df, window // 2).groupBy(*keys, "doy").agg(values.alias("v")).select(*keys, "doy", quantile_type8(F.col("v"), p).alias("threshold"))
+    out = doy_percentiles(df, {"threshold": ("value", p)}, window).select(*keys, F.posexplode("limits").alias("at", "limit"))
+    return out.select(*keys, (F.col("at") + 1).alias("doy"), F.col("limit.threshold").alias("threshold")).where("threshold is not null")
 
 
 def nodes(n: int) -> list[float]:
