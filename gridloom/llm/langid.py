@@ -119,8 +119,8 @@ class Model:
         if new and len(known) + len(new) > self.keep:
             known.clear()
             new, self.used = list(set(found)), 0
-        for at in range(0, len(new), 100_000):
-            part = new[at : at + 100_000]
+        for at in range(0, len(new), 1 << 15):
+            part = new[at : at + (1 << 15)]
             while self.used + len(part) > len(self.table):
                 self.table, self.sizes = np.concatenate([self.table, np.zeros_like(self.table)]), np.concatenate([self.sizes, np.zeros_like(self.sizes)])
             self.table[self.used : self.used + len(part)] = self.scores(part)
@@ -319,7 +319,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for whole in batches:
-            for b in by_size(whole, place):
+            for b in by_size(whole, place, 2 << 20):
                 texts = b.column(place).to_pylist()
                 lang, score = predict(texts, own, penalty)
                 columns = [b.column(i) for i in at] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
