@@ -273,7 +273,7 @@ def _byte_level() -> dict[int, int]:
 _BYTE_LEVEL = _byte_level()
 
 
-STORE = "first_doc long, seq int, n_docs long, n_tokens long, data binary"
+STORE = "part int, seq int, first_doc long, n_docs long, n_tokens long, data binary"
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, shard_tokens: int = 1 << 19, partition_bytes: int = 32 << 20) -> None:
@@ -285,20 +285,22 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // partition_bytes))
-    rows = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = None, None
-        ids, ends, names, total, seq = [], [], [], 0, 0
+        ids, ends, names, total, seq, part_id = [], [], [], 0, 0, 0
 
         def shard() -> pa.RecordBatch:
             data = to_bytes(np.concatenate(ids), ends, names)
-            return pa.RecordBatch.from_arrays([pa.array([names[0]], pa.int64()), pa.array([seq], pa.int32()), pa.array([len(names)], pa.int64()), pa.array([total], pa.int64()), pa.array([data], pa.binary())], names=["first_doc", "seq", "n_docs", "n_tokens", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([part_id], pa.int32()), pa.array([seq], pa.int32()), pa.array([names[0]], pa.int64()), pa.array([len(names)], pa.int64()), pa.array([total], pa.int64()), pa.array([data], pa.binary())], names=["part", "seq", "first_doc", "n_docs", "n_tokens", "data"])
 
         for batch in batches:
             if encoder is None:
                 encoder = Encoder.of(vocabulary)
                 end = np.array([end_id], encoder.dtype)
+            if batch.num_rows:
+                part_id = batch.column(2)[0].as_py()
             for part in by_size(batch, 1):
                 found, counts = encoder.encode(part.column(1))
                 at = 0
@@ -317,22 +319,35 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc
     rows.mapInArrow(run, STORE).write.option("parquet.block.size", 8 << 20).option("compression", "uncompressed").parquet(path)
 
 
+def _bases(shards: DataFrame, group: int = 1024) -> DataFrame:
+    """part, seq and base: the ids in all shards before. Sums go up from shards to parts (a range of documents each) and groups of parts, of which there is one for some
+    32 GB of text, so few enough for the driver; running sums come down again within a group and within a part."""
+    parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("of", F.floor(F.col("part") / group).cast("int"))
+    sums, so_far, bases = sorted((r["of"], r["n"]) for r in parts.groupBy("of").agg(F.sum("n").alias("n")).collect()), 0, []
+    for k, n in sums:
+        bases.append((k, so_far))
+        so_far += n
+    groups = shards.sparkSession.createDataFrame(bases, "of int, begin long")
+    before = lambda by, order: F.coalesce(F.sum("n").over(Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    begins = parts.withColumn("begin_part", before("of", "part")).join(groups, "of").select("part", (F.col("begin") + F.col("begin_part")).alias("begin"))
+    own = shards.select("part", "seq", F.col("n_tokens").alias("n")).withColumn("inside", before("part", "seq"))
+    return own.join(begins, "part").select("part", "seq", (F.col("begin") + F.col("inside")).alias("base"))
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """A row per document from the shards: doc_id, start, n_tokens, ids_crc32. start counts the ids of all documents before it."""
     shards = spark.read.schema(STORE).parquet(path)
-    order = Window.orderBy(F.col("first_doc").asc_nulls_first(), "seq").rowsBetween(Window.unboundedPreceding, -1)
-    base = shards.select("first_doc", "seq", F.coalesce(F.sum("n_tokens").over(order), F.lit(0).cast("long")).alias("base"))
+    base = _bases(shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, seq, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            for part, seq, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 matrix, ends, docs = from_bytes(data.as_py())
                 ids = matrix.decode().astype("<u4", copy=False)
                 starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]]).astype(np.int64)
                 view = memoryview(ids).cast("B")
                 sums = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array([first] * len(docs), pa.int64()), pa.array([seq] * len(docs), pa.int32()), pa.array(docs, pa.int64()), pa.array(starts), pa.array(ends.astype(np.int64) - starts), pa.array(sums, pa.int64())], names=["first", "part", "doc_id", "at", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array([part] * len(docs), pa.int32()), pa.array([seq] * len(docs), pa.int32()), pa.array(docs, pa.int64()), pa.array(starts), pa.array(ends.astype(np.int64) - starts), pa.array(sums, pa.int64())], names=["part", "seq", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    read = shards.select("first_doc", "seq", "data").mapInArrow(run, "first long, part int, doc_id long, at long, n_tokens long, ids_crc32 long")
-    joined = read.join(base, read["first"].eqNullSafe(base["first_doc"]) & (read["part"] == base["seq"]))
-    return joined.select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    read = shards.select("part", "seq", "data").mapInArrow(run, "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    return read.join(base, ["part", "seq"]).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
