@@ -12,8 +12,9 @@ decides. At a similarity of 0.8 fingerprints differ in 19.4 bits on average with
 Only windows that hold enough shingles of the items of their length to reach the bound with any of them are fingerprinted; this
 says nothing about which item, and loses none.
 
-The benchmark is taken in blocks of bounded size. More than one block is looked up block after block, each in a job of its own that writes what it found,
-so neither memory nor what is broadcast follows the benchmark's size.
+The benchmark is taken in blocks of bounded size. Where there is more than one, the corpus is still read once: a bit table of all items' shingles, which tells a few others for
+them and misses none, picks the texts that hold enough of them in a window of some item's length. These alone, written once, are looked up block after
+block. So neither memory nor what is broadcast follows the benchmark's size (the table has at most `TABLE_BITS` bits; beyond some 30 million shingles it lets more texts through).
 """
 
 from __future__ import annotations
@@ -28,13 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import by_size, written
 
 #: bytes.translate table: A-Z to lower case, ASCII punctuation and controls to blanks.
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 HITS = T.ArrayType(T.StructType().add("item_id", "long").add("similarity", "double").add("start", "integer").add("words", "integer"))
 _HIT = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("start", pa.int32()), ("words", pa.int32())]))
 _BLOCKS = 8
+#: Bits of the table of all items' shingles: 16 a shingle, and no more than this.
+TABLE_BITS = 1 << 29
 
 
 def plain_words(text: str | None) -> list[bytes]:
@@ -216,18 +219,79 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
 
     if blocks == 1:
         return _look_up(now, shared(0), text_col, size, similarity, radius, out)
-    # A text is known by two hashes, and what each block finds in it is written.
-    keys = [F.xxhash64(text_col).alias("__h1"), F.xxhash64(F.lit("second"), F.col(text_col)).alias("__h2")]
-    texts, found = now.select(*keys, F.col(text_col).alias("text")), None
+    # A text is known by two hashes, and what each block finds in it is written. Rows are carried whole, under a name of their own.
+    keys = [F.xxhash64(text_col).alias("h1"), F.xxhash64(F.lit("second"), F.col(text_col)).alias("h2")]
+    rows = now.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), *keys)
+    texts, found = _held(now.select(*keys, F.col(text_col).alias("text")), items, size, similarity), None
+    texts = written(texts.groupBy("h1", "h2").agg(F.first("text").alias("text")), "suspects")
     for b in range(blocks):
         block = shared(b)
         hits = _look_up(texts, block, "text", size, similarity, radius, "leaks").where(F.size("leaks") > 0)
-        one = written(hits.groupBy("__h1", "__h2").agg(F.first("leaks").alias("leaks")), "leaks")
+        one = written(hits.select("h1", "h2", "leaks"), "leaks")
         block.destroy()
         found = one if found is None else found.unionByName(one)
-    found = found.groupBy("__h1", "__h2").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("__leaks"))
-    named = now.withColumns({"__h1": keys[0], "__h2": keys[1]}).join(found, ["__h1", "__h2"], "left")
-    return named.select(*(F.col(f"`{c}`") for c in kept), F.coalesce("__leaks", F.array().cast(HITS)).alias(out))
+    found = written(found.groupBy("h1", "h2").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks")), "leaks")
+    named = rows.join(found.hint("merge"), ["h1", "h2"], "left")
+    return named.select(*(F.col("row")[c].alias(c) for c in kept), F.coalesce("leaks", F.array().cast(HITS)).alias(out))
+
+
+def _hashed(words: list[bytes], g: int) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, g)), np.uint64)
+
+
+def _held(texts: DataFrame, items: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The rows of texts(h1, h2, text) that may leak: some window of an item's length has as many of all items' shingles as the similarity needs.
+
+    Shingles that only look like an item's let a few texts more through, and none that leaks is left out. Items' lengths are few, and with the table all that tasks get.
+    """
+
+    def item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column(0):
+                w = plain_words(t.as_py())
+                if w:
+                    g = min(size, len(w))
+                    own = _hashed(w, g)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), len(w), np.int32)), pa.array(own.view(np.int64))], names=["length", "x"])
+
+    every = written(items.select("text").mapInArrow(item_shingles, "length int, x long"), "shingles")
+    lengths = np.array(sorted(r[0] for r in every.select("length").distinct().collect()), np.int64)
+    n = every.agg(F.approx_count_distinct("x")).first()[0]
+    bits = min(TABLE_BITS, 1 << max(6, int(16 * n).bit_length()))
+    at = F.pmod("x", F.lit(bits))
+    words = every.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(x, {bits}) & 63 as int))")).alias("bits")).toPandas()  # a word of the table at most each
+    table = np.zeros(bits >> 6, np.uint64)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    shared = texts.sparkSession.sparkContext.broadcast((table, lengths))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, lengths = shared.value
+        for batch in batches:
+            for b in by_size(batch, 2):
+                yield b.filter(pa.array([may_leak(plain_words(t.as_py()), table, bits, lengths, size, similarity) for t in b.column(2)], pa.bool_()))
+
+    return texts.mapInArrow(run, "h1 long, h2 long, text string")
+
+
+def may_leak(words: list[bytes], table: np.ndarray, bits: int, lengths: np.ndarray, size: int, similarity: float) -> bool:
+    """Whether a window of one of the lengths holds as many shingles of the table as an item of that length needs."""
+    for g in np.unique(np.minimum(lengths, size)).tolist():
+        if len(words) < g:
+            continue
+        x = _hashed(words, g)
+        place = (x.view(np.int64) % bits).astype(np.uint64)
+        held = (table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(held.astype(np.int64))])
+        if not total[-1]:
+            continue
+        for m in lengths[np.minimum(lengths, size) == g].tolist():
+            windows, k = min(m, len(words)) - g + 1, m - g + 1
+            need = math.ceil(similarity * (k + windows) / (1 + similarity) - 1e-9)
+            if total[-1] >= need and (total[windows:] - total[: len(total) - windows]).max() >= need:
+                return True
+    return False
 
 
 def _look_up(docs: DataFrame, shared, text_col: str, size: int, similarity: float, radius: int, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import by_size, written
 
 END = "\r\n"
 _FACTS = "id long, url string, strong string, digest string, bytes long, second long"
@@ -31,7 +31,7 @@ def _digested(pages: DataFrame, pack: bool) -> DataFrame:
         import zstandard
 
         packer = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in (part for batch in batches for part in by_size(batch, 2)):
             bodies = [x.as_py() for x in b.column(2)]
             strong = pa.array([hashlib.sha256(x).hexdigest() for x in bodies], pa.string())
             if pack:
@@ -100,8 +100,9 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 
 
 def _header(name: str) -> Column:
-    value = F.regexp_extract(F.col("header").cast("string"), rf"(?:^|\r\n){name}: ([^\r\n]*)\r\n", 1)
-    return F.when(value != "", value)
+    """The value of a header line, empty too; null without the line."""
+    header, line = F.col("header").cast("string"), rf"(?:^|\r\n){name}: ([^\r\n]*)\r\n"
+    return F.when(header.rlike(line), F.regexp_extract(header, line, 1))
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -113,8 +114,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bodies = list(_unpacked(b.column(0).to_pylist(), b.column(1)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, bodies), pa.int64()), pa.array([base64.b32encode(hashlib.sha1(x).digest()).decode() for x in bodies], pa.string())], names=["strong", "payload_bytes", "payload_digest"])
+            facts = [(len(x), base64.b32encode(hashlib.sha1(x).digest()).decode()) for x in _unpacked(b.column(0), b.column(1))]  # one payload at a time
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([n for n, _ in facts], pa.int64()), pa.array([d for _, d in facts], pa.string())], names=["strong", "payload_bytes", "payload_digest"])
 
     held = spark.read.parquet(f"{path}/payloads").select("strong", "packed").mapInArrow(run, "strong string, payload_bytes long, payload_digest string")
     heads = spark.read.parquet(f"{path}/headers").select(
@@ -127,13 +128,14 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return heads.join(held, "strong").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
 
 
-def _unpacked(strong: list[str], packed: pa.Array) -> Iterator[bytes]:
+def _unpacked(strong: pa.Array, packed: pa.Array) -> Iterator[bytes]:
+    """The payloads of a batch, one after the other, each checked against its digest."""
     import zstandard
 
     opener = zstandard.ZstdDecompressor()
     for digest, x in zip(strong, packed):
         body = opener.decompress(x.as_py())
-        if hashlib.sha256(body).hexdigest() != digest:
+        if hashlib.sha256(body).hexdigest() != digest.as_py():
             raise ValueError("a stored payload does not match its digest")
         yield body
 
@@ -145,8 +147,13 @@ def reconstruct(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bodies = list(_unpacked(b.column(1).to_pylist(), b.column(2)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bodies, pa.binary())], names=["header", "payload"])
+            bodies, size, at = [], 0, 0
+            for i, body in enumerate(_unpacked(b.column(1), b.column(2))):
+                bodies.append(body)
+                size += len(body)
+                if size >= 8 << 20 or i + 1 == b.num_rows:
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(bodies)), pa.array(bodies, pa.binary())], names=["header", "payload"])
+                    bodies, size, at = [], 0, i + 1
 
     packed = heads.join(spark.read.parquet(f"{path}/payloads"), "strong")
     whole = packed.select("header", "strong", "packed").mapInArrow(run, "header binary, payload binary")
@@ -162,7 +169,8 @@ def export_warc(spark: SparkSession, path: str, out: str, rows_per_file: int = 1
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of gzipped WARC files, cut by Content-Length: path, offset, header (STRING), block (BINARY). A file is read in one task."""
+    """Records of gzipped WARC files, cut by Content-Length: path, offset, header (STRING), block (BINARY). A file is read in one task, and whole, as gzip has no
+    places to begin at: export_warc keeps files small. An empty archive gives no row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import gzip

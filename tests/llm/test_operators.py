@@ -95,7 +95,19 @@ def test_warc(spark, sf, least):
 def test_warc_empty(spark):
     path = new_path(spark, "warc")
     warc.write_archive(spark.createDataFrame([], "page_id long, url string, html string, strong int"), path)
-    assert rows(warc.read_archive(spark, path)) == []
+    assert rows(warc.read_archive(spark, path)) == [] and rows(warc.reconstruct(spark, path)) == []
+    files = new_path(spark, "files")
+    warc.export_warc(spark, path, files)
+    assert rows(warc.read_warc(spark, files)) == []
+
+
+def test_warc_large_payloads_and_empty_urls(spark):
+    """Payloads over a slice's size come back whole, one after the other; an empty url isn't a missing one."""
+    path, big = new_path(spark, "warc"), "0123456789abcdef" * 600_000
+    given = [(1, "", big), (2, None, big + "x"), (3, "http://a", big), (4, "http://b", "small")]
+    warc.write_archive(spark.createDataFrame(given, "page_id long, url string, html string").coalesce(1), path)
+    assert {r["page_id"]: (r["target_uri"], r["payload_bytes"], r["record_type"]) for r in rows(warc.read_archive(spark, path))} == {1: ("", len(big), "revisit"), 2: (None, len(big) + 1, "response"), 3: ("http://a", len(big), "response"), 4: ("http://b", 5, "response")}
+    assert {r["page_id"]: bytes(r["payload"]).decode() for r in rows(warc.reconstruct(spark, path))} == {i: t for i, _, t in given}
 
 
 # 2: mixing
@@ -477,6 +489,22 @@ def test_items_that_share_a_shingle(spark):
     assert {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in rows(decontaminate.find_leaks(docs, items))} == {1: [], 2: [7]}
 
 
+def test_suspects_hold_all_leaks(spark, docs, sf):
+    """The bit table of the items' shingles loses no text that leaks, however full it is, and the corpus is read once for it."""
+    items = queries.table(spark, sf, "benchmark")
+    named = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select(F.xxhash64("text").alias("h1"), F.col("doc_id").alias("h2"), "text")
+    leaks = {r["doc_id"] for r in rows(decontaminate.find_leaks(docs, items)) if r["leaks"]}
+    kept = {r["h2"] for r in rows(decontaminate._held(texts, named, 5, 0.8))}
+    assert leaks <= kept and len(kept) < 3 * len(leaks) + 10
+    full = decontaminate.TABLE_BITS
+    try:
+        decontaminate.TABLE_BITS = 1 << 10
+        assert leaks <= {r["h2"] for r in rows(decontaminate._held(texts, named, 5, 0.8))}
+    finally:
+        decontaminate.TABLE_BITS = full
+
+
 # 9: shards
 
 
