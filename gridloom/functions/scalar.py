@@ -20,6 +20,12 @@ def noleap_doy(date: Column) -> Column:
     return F.when(leap & (day == 60), None).otherwise(F.when(leap & (day > 60), day - 1).otherwise(day)).cast("int")
 
 
+def noleap_date(year: Column, doy: Column) -> Column:
+    """The date of a day 1..365 of a year without 29 February."""
+    leap = F.dayofyear(F.make_date(year, F.lit(12), F.lit(31))) == 366
+    return F.date_add(F.make_date(year, F.lit(1), F.lit(1)), doy - F.when(leap & (doy >= 60), 0).otherwise(1))
+
+
 def days_in_month(date: Column) -> Column:
     return F.dayofmonth(F.last_day(date))
 

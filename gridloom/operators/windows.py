@@ -100,9 +100,8 @@ def doy_percentiles(df: DataFrame, wanted: dict[str, tuple[str, float]], window:
     from ..functions.scalar import noleap_doy
 
     keys, half, columns = series_keys(df), window // 2, sorted({c for c, _ in wanted.values()})
-    whole = Window.partitionBy(*keys)
-    rows = df.select(*keys, "date", *columns).repartition(*(keys or [F.lit(0)]))
-    rows = rows.withColumns({"__a": F.min("date").over(whole), "__b": F.max("date").over(whole)}).where(F.coalesce(*columns).isNotNull())
+    whole = Window.partitionBy(*keys)  # which deals rows by series, unless a bucketed table has them so
+    rows = df.select(*keys, "date", *columns).withColumns({"__a": F.min("date").over(whole), "__b": F.max("date").over(whole)}).where(F.coalesce(*columns).isNotNull())
     around = F.filter(F.sequence(F.date_add("date", -half), F.date_add("date", half)), lambda d: d.between(F.col("__a"), F.col("__b")))
     centres = F.filter(F.transform(around, noleap_doy), lambda d: d.isNotNull())
     to = lambda d, ring: F.struct(d.alias("doy"), F.lit(ring).alias("ring"))

@@ -6,20 +6,13 @@ from pyspark.sql import functions as F
 
 from ..operators import indicators
 from .catalogue import query
-from .inputs import NOLEAP, members, sql
+from .inputs import members, pool_sql, sql
 from .q_select import six
 
 S = "model, scenario, cell_id"
 KEYS = f"{S}, year"
 
 
-def pool_sql(source: str, column: str, half: int, keys: str = "cell_id") -> str:
-    """A CTE `pool` of keys, doy, value: values in the pools of the days around them, within the series."""
-    doy = NOLEAP.format("moved")
-    own = ", ".join(f"s.{k}" for k in keys.split(", "))
-    return f"e AS (SELECT {keys}, min(date) AS a, max(date) AS b FROM {source} GROUP BY ALL), o AS (SELECT {own}, (s.date + k.k)::DATE AS moved, {column} AS value, a, b FROM {source} s JOIN e USING ({keys}), (SELECT unnest(range({-half}, {half + 1}))::INT AS k) k), pool AS (SELECT {keys}, {doy} AS doy, value FROM o WHERE moved BETWEEN a AND b AND {doy} IS NOT NULL AND value IS NOT NULL)"
-
-
 def limits_sql(column: str, p: float, source: str = "dated", keys: str = "cell_id") -> str:
     """CTEs that end in `lim`: the type 8 percentile of a five-day pool."""
     return pool_sql(source, column, 2, keys) + f", s8 AS (SELECT {keys}, doy, list_sort(list(value)) AS v, (len(list(value)) + 1e0 / 3) * {p}e0 + 1e0 / 3 AS h FROM pool GROUP BY ALL), i8 AS (SELECT *, greatest(1, least(len(v), floor(h)))::INT AS lo FROM s8), lim AS (SELECT {keys}, doy, v[lo] + greatest(0e0, least(1e0, h - lo)) * (v[least(len(v), lo + 1)] - v[lo]) AS threshold FROM i8)"

@@ -7,10 +7,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import select, units
+from ..operators import select, units, windows
 from ..sources import fields
 from .catalogue import query
-from .inputs import catalog, daily, dated, field, grid, member, members, series, sql, table
+from .inputs import catalog, daily, dated, field, grid, member, members, pool_sql, series, sql, table
 
 KEYS = "model, scenario, variable, cell_id, date"
 S = "model, scenario, cell_id"
@@ -75,6 +75,15 @@ def _(spark, sf):
     return fields.to_series_layout(back.withColumn("date", F.col("doy"))).groupBy(*MEMBER, "year").agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.min("doy").alias("first_doy"), F.max("doy").alias("last_doy"))
 
 
+@query("s6_bucketed_tiles", sql(f"WITH long AS (SELECT {S}, date, doy, pr FROM members WHERE doy IS NOT NULL AND pr IS NOT NULL), {pool_sql('long', 'pr', 7, S)} SELECT {S}, doy, unnest(range(5))::INT AS q_idx, round(unnest(quantile_cont(value, [0.1, 0.3, 0.5, 0.7, 0.9])), 6) AS value FROM pool GROUP BY {S}, doy", "members"))
+def _(spark, sf):
+    """Quantiles of windows from a table of tiles in buckets of cells, without a shuffle after it is written."""
+    name = f"tiles_{uuid.uuid4().hex}"
+    fields.write_tiles(member(spark, sf, "pr"), name, shared_path(spark, "tiles"), 8)
+    long = fields.read_tiles(spark, name)
+    return six(windows.doy_window_quantiles_per_cell(long, 5, 15), "value").select(*MEMBER, "doy", "q_idx", "value")
+
+
 @query("s7_holdings_names", sql("SELECT model, variable, count(*) AS n, min(filename) AS first FROM catalog GROUP BY ALL", "catalog"))
 def _(spark, sf):
     path = shared_path(spark, "holdings")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import noleap_date
+
 FIELD = "model string, scenario string, variable string, cell_id long, date date, year int, month int, doy int, value double"
 SERIES = ["model", "scenario", "variable", "cell_id", "date"]
 
@@ -99,6 +101,23 @@ def from_tiles(tiles: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return tiles.select(*keys, F.posexplode("values").alias("p", "value")).where("value is not null").select(*keys, (F.col("p") + 1).alias("doy"), "value")
 
 
+def write_tiles(df: DataFrame, name: str, path: str, buckets: int) -> None:
+    """Save to_tiles(df) as a table of that name, its files in the shared folder `path`, in buckets of whole cells.
+
+    What works on series (windows, ranks, percentiles, indicators, bias training) then needs no shuffle: a bucket holds all of a cell, whatever model, scenario and variable it is keyed
+    by besides. A bucket should be some hundred megabytes; tables that are used together need the same number of them. Joins on more than the cell (indicators with the limits of their
+    model) find the buckets enough with spark.sql.requireAllClusterKeysForCoPartition set to false.
+    """
+    to_tiles(df).write.format("parquet").option("path", path).bucketBy(buckets, "cell_id").sortBy("cell_id", "year").mode("overwrite").saveAsTable(name)
+
+
+def read_tiles(spark: SparkSession, name: str) -> DataFrame:
+    """The long form of a table of write_tiles: series keys, year, doy, date, month and value, still in its buckets. 29 February and days without data aren't in tiles."""
+    long = from_tiles(spark.table(name))
+    date = noleap_date(F.col("year"), F.col("doy"))
+    return long.withColumn("date", date).withColumn("month", F.month("date"))
+
+
 def to_series_layout(df: DataFrame, key: str = "cell_id") -> DataFrame:
     """Each cell's days together and in order within a partition."""
     return df.repartition(key).sortWithinPartitions(key, "date")
