@@ -40,7 +40,7 @@ def family(rng, n, words, edits):
     return out
 
 
-@pytest.mark.parametrize("dense", [8, 2])
+@pytest.mark.parametrize("dense", [32, 8, 2])
 def test_groups(spark, dense):
     rng = random.Random(5)
     texts = [None, "", " \t", "a", "A", "a b c", *family(rng, 25, 60, 3), *family(rng, 25, 120, 9), *family(rng, 8, 9, 1), *family(rng, 90, 200, 12)]
