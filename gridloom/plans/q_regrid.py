@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import Albers
-from ..operators import regrid
+from ..operators import curvilinear, regrid
 from .catalogue import query
 from .inputs import BIG_DST, daily, grid, grids, member, series, sites, sql
 from .q_select import six
@@ -58,6 +58,42 @@ def _(spark, sf):
 
 
 MS = "model, scenario"
+def _curved_sql() -> str:
+    """Inverse bilinear weights of every destination in every square, by the same equations; the first square that holds it counts."""
+    place = lambda lat, lon: (f"cos(radians({lat})) * cos(radians({lon}))", f"cos(radians({lat})) * sin(radians({lon}))", f"sin(radians({lat}))")
+    xyz = ", ".join(f"{e} AS {a}" for e, a in zip(place("lat2", "lon2"), "xyz"))
+    sides = (("x", "-sin(b)", "cos(b)", "0"), ("y", "-sin(a) * cos(b)", "-sin(a) * sin(b)", "cos(a)"), ("d", "cos(a) * cos(b)", "cos(a) * sin(b)", "sin(a)"))
+    seen = ", ".join(f"c{k}.x * ({e}) + c{k}.y * ({n}) + c{k}.z * ({u}) AS {name}{k}" for k in range(4) for name, e, n, u in sides)
+    lines = ", ".join(f"-{c}0 AS h{c}, {c}1 - {c}0 AS e{c}, {c}3 - {c}0 AS f{c}, {c}0 - {c}1 + {c}2 - {c}3 AS g{c}" for c in "xy")
+    unit = lambda v: f"least(1e0, greatest(0e0, {v}))"
+    w = [f"(1 - {unit('s')}) * (1 - {unit('r')})", f"{unit('s')} * (1 - {unit('r')})", f"{unit('s')} * {unit('r')}", f"(1 - {unit('s')}) * {unit('r')}"]
+    return (
+        f"v AS (SELECT cell_id, iy, ix, {xyz} FROM (SELECT cell_id, iy, ix, lat + 2 * sin(radians(lon * 3)) AS lat2, lon + lat / 10 AS lon2 FROM grid)), "
+        "sq AS (SELECT c0.iy, c0.ix, c0, c1, c2, c3 FROM v c0 JOIN v c1 ON c1.iy = c0.iy AND c1.ix = c0.ix + 1 JOIN v c2 ON c2.iy = c0.iy + 1 AND c2.ix = c0.ix + 1 JOIN v c3 ON c3.iy = c0.iy + 1 AND c3.ix = c0.ix), "
+        f"q AS (SELECT p.cell_id AS dst_cell, iy, ix, c0.cell_id AS i0, c1.cell_id AS i1, c2.cell_id AS i2, c3.cell_id AS i3, {seen} FROM sq, (SELECT cell_id, radians(lat) AS a, radians(lon) AS b FROM dst) p), "
+        f"l AS (SELECT *, {lines} FROM q WHERE greatest(d0, d1, d2, d3) > 0), k AS (SELECT *, gx * fy - gy * fx AS k2, ex * fy - ey * fx + hx * gy - hy * gx AS k1, hx * ey - hy * ex AS k0 FROM l), "
+        "b AS (SELECT *, -(k1 + CASE WHEN k1 < 0 THEN -1 ELSE 1 END * sqrt(greatest(0e0, k1 * k1 - 4 * k0 * k2))) / 2 AS big FROM k), r AS (SELECT *, unnest([CASE WHEN big <> 0 THEN k0 / big END, CASE WHEN k2 <> 0 THEN big / k2 END]) AS r, unnest([1, 2]) AS n FROM b), "
+        "s AS (SELECT *, CASE WHEN abs(ex + gx * r) > abs(ey + gy * r) THEN (hx - fx * r) / nullif(ex + gx * r, 0) ELSE (hy - fy * r) / nullif(ey + gy * r, 0) END AS s FROM r), "
+        f"o AS (SELECT *, [{', '.join(w)}] AS w FROM s WHERE r BETWEEN -1e-9 AND 1 + 1e-9 AND s BETWEEN -1e-9 AND 1 + 1e-9), "
+        "first AS (SELECT *, row_number() OVER (PARTITION BY dst_cell ORDER BY iy, ix, n) AS nth FROM o WHERE w[1] * d0 + w[2] * d1 + w[3] * d2 + w[4] * d3 > 0), u AS (SELECT dst_cell, unnest([i0, i1, i2, i3]) AS src_cell, unnest(w) AS w FROM first WHERE nth = 1)"
+    )
+
+
+@query("r3_curvilinear", sql(f"WITH {BIG_DST}, {_curved_sql()} SELECT src_cell, dst_cell, round(w, 7) AS w FROM u WHERE w > 1e-12", "big_grid"))
+def _(spark, sf):
+    src, dst_ = grids(spark, sf)
+    bent = src.withColumns({"lat": F.col("lat") + 2 * F.sin(F.radians(F.col("lon") * 3)), "lon": F.col("lon") + F.col("lat") / 10})
+    return curvilinear.weights_bilinear_curved(bent, dst_).withColumn("w", F.round("w", 7))
+
+
+@query("r4_projected_cells")
+def _(spark, sf):
+    """Areas on planes that touch each destination have no SQL; tests hold them against arithmetic and conserved totals."""
+    src, dst_ = grids(spark, sf)
+    flat = lambda df, step: df.select("cell_id", "iy", "ix", (F.col("ix") * step - 1.2e6).alias("px"), (F.col("iy") * step + 4e5).alias("py"))
+    return curvilinear.weights_conservative_cells(curvilinear.projected_cells(flat(src, 5e4)), curvilinear.projected_cells(flat(dst_, 1.1e5)))
+
+
 APPLY = f"s AS (SELECT {MS}, dst_cell, date, count(pr) AS have, sum(w * pr) AS value FROM members JOIN w ON members.cell_id = w.src_cell GROUP BY ALL), need AS (SELECT dst_cell, count(*) AS need FROM w GROUP BY 1)"
 
 
