@@ -23,6 +23,22 @@ def parse_path(paths: DataFrame, col: str = "path") -> DataFrame:
     return paths.select(col, *(F.try_element_at(p, F.lit(i - len(PARTS))).alias(n) for i, n in enumerate(PARTS)))
 
 
+def parse_layouts(paths: DataFrame, col: str = "path") -> DataFrame:
+    """path, layout and what the path says, in any of the archive's three layouts, by place from the end.
+
+    mirror: model/scenario/variant/table_id/variable/grid_type/version/file; dtr (its folder is called so) and regrid (its name has `_regrid`):
+    model/scenario/table_id/variable/file, without variant and grid. timeframe: the name's last part.
+    """
+    p = F.split(col, "/")
+    at = lambda i: F.try_element_at(p, F.lit(i))
+    layout = F.when(at(-2) == "dtr", "dtr").when(at(-1).contains("_regrid"), "regrid").otherwise("mirror")
+    short = layout != "mirror"
+    long_at, short_at = {n: i - len(PARTS) for i, n in enumerate(PARTS)}, {"model": -5, "scenario": -4, "table_id": -3, "variable": -2}
+    named = (F.when(short, at(short_at[n]) if n in short_at else F.lit(None)).otherwise(at(long_at[n])).alias(n) for n in PARTS[:6])
+    timeframe = F.regexp_replace(F.element_at(F.split(at(-1), "_"), -1), r"\.nc.*$", "")
+    return paths.select(col, layout.alias("layout"), *named, timeframe.alias("timeframe"))
+
+
 def holdings_table(requests: DataFrame, files: DataFrame) -> DataFrame:
     """For each request the latest version's files by grid: version, n_files, filenames; a null row where there is nothing."""
     keys = ["model", "scenario", "variant", "table_id", "variable"]

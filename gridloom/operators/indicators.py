@@ -12,6 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -181,3 +184,18 @@ def indicator_delta(indicator: DataFrame, name: str, hist: tuple[int, int], proj
 def resample_with(df: DataFrame, keys: list[str], period: str, reducer: Callable[[str], Column], name: str = "value") -> DataFrame:
     """A caller's reducer over the days of each period (year, month, quarter, week)."""
     return df.groupBy(*keys, F.trunc("date", period).alias("period")).agg(reducer("value").alias(name))
+
+
+def resample_series(df: DataFrame, keys: list[str], period: str, make: Callable[[np.ndarray, np.ndarray], float | None], name: str = "value") -> DataFrame:
+    """resample_with for code that no Column says: make(dates, values) gives a number for the days of a period, in order, without those that have no value. Periods without
+    a value are null. A period of a series is one Arrow group, which the calendar bounds."""
+    own = df.select(*keys, F.trunc("date", period).alias("period"), "date", F.col("value").cast("double").alias("value"))
+    schema = own.select(*keys, "period").schema.add(name, "double")
+
+    def run(table: pa.Table) -> pa.Table:
+        first = table.select([*keys, "period"]).slice(0, 1)
+        table = table.filter(pc.is_valid(table["value"])).sort_by("date")
+        found = make(table["date"].to_numpy(), table["value"].to_numpy()) if table.num_rows else None
+        return first.append_column(name, pa.array([None if found is None else float(found)], pa.float64()))
+
+    return own.groupBy(*keys, "period").applyInArrow(run, schema)

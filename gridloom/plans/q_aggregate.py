@@ -135,3 +135,26 @@ def _(spark, sf):
     from ..operators.indicators import resample_with
 
     return six(resample_with(series(spark, sf, "pr"), ["cell_id"], "quarter", F.stddev_pop), "value")
+
+
+@query("u2_resample_series", sql("SELECT model, scenario, cell_id, date_trunc('month', date)::DATE AS period, round(median(pr), 6) AS value FROM members GROUP BY ALL", "members"))
+def _(spark, sf):
+    """A caller's own code: the median of a month's values."""
+    import numpy as np
+
+    from ..operators.indicators import resample_series
+
+    return six(resample_series(member(spark, sf, "pr"), ["model", "scenario", "cell_id"], "month", lambda dates, values: np.median(values)), "value")
+
+
+@query("a9_file_extremes", sql("SELECT variable, model, scenario, year, min(value) AS min, max(value) AS max, count(*) AS n, min(date) AS first, max(date) AS last FROM field GROUP BY ALL", "field"))
+def _(spark, sf):
+    """Extremes and times of each stored file, whose name tells its partition."""
+    from ..sources import fields
+    from .q_select import shared_path
+
+    path = shared_path(spark, "files")
+    fields.write_by_year(field(spark, sf), path)
+    files = fields.read_sources(spark, path).groupBy("source").agg(F.min("value").alias("min"), F.max("value").alias("max"), F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("last"))
+    part = lambda name: F.regexp_extract("source", f"/{name}=([^/]+)/", 1)
+    return files.select(part("variable").alias("variable"), part("model").alias("model"), part("scenario").alias("scenario"), part("year").cast("int").alias("year"), "min", "max", "n", "first", "last")

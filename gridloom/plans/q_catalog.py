@@ -64,6 +64,19 @@ def _(spark, sf):
     return ops.parse_path(catalog(spark, sf))
 
 
+_LAYOUTS = "CASE file_no % 3 WHEN 0 THEN path WHEN 1 THEN 'out/' || model || '/' || scenario || '/' || table_id || '/' || variable || '/' || variable || '_' || model || '_regrid_' || strftime(day, '%Y%m%d') || '.nc' ELSE 'cmip6_dtr/' || model || '/' || scenario || '/day/dtr/dtr_' || model || '_' || strftime(day, '%Y%m') || '.nc' END"
+
+
+@query("t7_layouts", sql(f"WITH p AS (SELECT *, {_LAYOUTS} AS p, file_no % 3 AS k FROM catalog) SELECT p AS path, CASE k WHEN 0 THEN 'mirror' WHEN 1 THEN 'regrid' ELSE 'dtr' END AS layout, model, scenario, CASE WHEN k = 0 THEN variant END AS variant, CASE WHEN k = 2 THEN 'day' ELSE table_id END AS table_id, CASE WHEN k = 2 THEN 'dtr' ELSE variable END AS variable, CASE WHEN k = 0 THEN grid_type END AS grid_type, CASE k WHEN 0 THEN replace(split_part(filename, '_', -1), '.nc', '') WHEN 1 THEN strftime(day, '%Y%m%d') ELSE strftime(day, '%Y%m') END AS timeframe FROM p", "catalog"))
+def _(spark, sf):
+    c = catalog(spark, sf)
+    dated = lambda form: F.date_format("day", form)
+    regrid = F.concat(F.concat_ws("/", F.lit("out"), "model", "scenario", "table_id", "variable", F.concat_ws("_", "variable", "model", F.lit("regrid"), dated("yyyyMMdd"))), F.lit(".nc"))
+    dtr = F.concat(F.concat_ws("/", F.lit("cmip6_dtr"), "model", "scenario", F.lit("day/dtr"), F.concat_ws("_", F.lit("dtr"), "model", dated("yyyyMM"))), F.lit(".nc"))
+    paths = c.select(F.when(F.col("file_no") % 3 == 0, F.col("path")).when(F.col("file_no") % 3 == 1, regrid).otherwise(dtr).alias("path"))
+    return ops.parse_layouts(paths)
+
+
 @query("t8_regrid_name", sql("SELECT filename, regexp_replace(filename, '_g[a-z0-9]+(_[0-9]+-[0-9]+)?\\.nc$', '_regrid\\1.nc') AS name FROM catalog", "catalog"))
 def _(spark, sf):
     return catalog(spark, sf).select("filename", ops.regrid_name(F.col("filename")).alias("name"))

@@ -17,6 +17,11 @@ def read_field(spark: SparkSession, path: str, variable: str, models: list[str],
     return df.where((F.col("variable") == variable) & F.col("model").isin(models) & F.col("scenario").isin(scenarios) & F.col("year").between(*years))
 
 
+def read_sources(spark: SparkSession, path: str) -> DataFrame:
+    """A stored field table with source, the file that each row comes from, so that per-file checks (calendar, extremes, expected outputs) run on what is stored."""
+    return spark.read.schema(FIELD).parquet(path).withColumn("source", F.col("_metadata.file_path"))
+
+
 def missing_years(df: DataFrame, first: int, last: int) -> DataFrame:
     """Years of the closed range that the table lacks."""
     if not 1950 <= first < last <= 2100:

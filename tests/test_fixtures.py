@@ -304,3 +304,29 @@ def test_difference_needs_equal_units(spark):
     assert one(units.difference(a, a, ["cell_id"], "d")) == [(1, "d", 0.0, "K")]
     with pytest.raises(Exception, match="units differ"):
         units.difference(a, a.withColumn("unit", F.lit("degC")), ["cell_id"], "d").collect()
+
+
+def test_a_callers_series_code(spark):
+    """A median as a Column and as a caller's code are equal; the caller's sees dates in order and no nulls."""
+    d = series(spark, 2, 2, 5).withColumn("value", F.when(F.dayofmonth("date") % 7 != 3, F.col("value")))
+    a = indicators.resample_with(d, ["cell_id"], "month", F.median)
+    b = indicators.resample_series(d, ["cell_id"], "month", lambda dates, values: np.median(values))
+    assert a.columns == b.columns
+    left, right = ({tuple(r)[:2]: r["value"] for r in df.collect()} for df in (a, b))
+    assert left.keys() == right.keys() and all(abs(v - right[k]) < 1e-12 for k, v in left.items())
+    span = indicators.resample_series(d, ["cell_id"], "month", lambda dates, values: float((dates[-1] - dates[0]).astype(int)) + (np.diff(dates).min() <= np.timedelta64(0, "D")))
+    assert all(20 <= r["value"] <= 31 for r in span.where("month(period) <> 1 or year(period) < 2001").collect())
+    assert one(indicators.resample_series(daily(spark, [None, None]), ["cell_id"], "year", lambda dates, values: 1.0).select("value")) == [(None,), (None,)][:1]
+
+
+def test_members_keep_to_themselves(spark):
+    """Two models side by side in masks, histograms, tiles, yearly partitions and day-of-year selections."""
+    a = daily(spark, [None, 5, 6], dt.date(2001, 1, 1)).withColumn("model", F.lit("a"))
+    b = daily(spark, [1, 2, 900], dt.date(2000, 12, 31)).withColumn("model", F.lit("b"))
+    both = a.unionByName(b)
+    assert sorted(one(select.mask_first_slice(both).groupBy("model").agg(F.count("value")))) == [("a", 0), ("b", 3)]
+    assert {r["model"]: r["upper"] for r in units.quantile_bounds(both, 0.0, 1.0, 10).collect()} == {"a": 6.0, "b": 900.0}
+    assert sorted(one(fields.from_tiles(fields.to_tiles(both)).groupBy("model").agg(F.sum("value")))) == [("a", 11.0), ("b", 903.0)]
+    centres = both.groupBy("model", "cell_id").agg(F.lit(2).alias("centre"))
+    assert select.sel_doys_around(both, centres, 5).count() == 5
+    assert sorted(one(fields.year_status(both).select("model", "year", "n_dates", "written"))) == [("a", 2001, 3, True), ("b", 2000, 1, False), ("b", 2001, 2, True)]
