@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .select import COMPARE
+from .selection import percentiles
 from .windows import common_keys, member_keys, series_keys
 
 
@@ -94,9 +95,8 @@ def value_counts(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def distribution_summary(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles and the whiskers of the values within 1.5 quartile ranges of them."""
-    q = df.groupBy(*keys).agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    q = q.select(*keys, *(F.col("q")[i].alias(n) for i, n in enumerate(("q1", "q2", "q3"))))
+    """Exact quartiles of groups of any size, and the whiskers of the values within 1.5 quartile ranges of them."""
+    q = percentiles(df, keys, [0.25, 0.5, 0.75]).select(*keys, *(F.col("q")[i].alias(n) for i, n in enumerate(("q1", "q2", "q3"))))
     spread = 1.5 * (F.col("q3") - F.col("q1"))
     inside = df.join(q, keys).where(F.col("value").between(F.col("q1") - spread, F.col("q3") + spread))
     return inside.groupBy(*keys, "q1", "q2", "q3").agg(F.min("value").alias("low"), F.max("value").alias("high"))

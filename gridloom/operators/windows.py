@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import quantile_type8
+from .selection import cumulative
 
 
 #: What tells one daily series of a field table from another, as far as the table has it.
@@ -358,7 +359,8 @@ def rank_in_doy_window(df: DataFrame, window: int = 31) -> DataFrame:
 
 
 def ecdf(df: DataFrame, by: list[str]) -> DataFrame:
-    return df.where("value is not null").withColumn("cdf", F.cume_dist().over(Window.partitionBy(*by).orderBy("value")))
+    """Rows with data and cdf: the share of their group's values that are no greater, for groups of any size."""
+    return cumulative(df, by)
 
 
 def argmax_doy(df: DataFrame) -> DataFrame:
@@ -426,7 +428,8 @@ def cvm_2samp(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def q_ratio(ref: DataFrame, hist: DataFrame, doy: int, q: float, half: int = 15) -> DataFrame:
-    """Series keys of hist and ratio of the two series' quantiles over the days around one day of the year, without wrapping."""
+    """Series keys of hist and ratio of the two series' quantiles over the days around one day of the year, without wrapping. A series has as
+    many of these days as the calendar, so its quantile is a plain aggregate."""
     near = F.col("doy").between(doy - half, doy + half)
     r, h = (d.where(near).groupBy(*series_keys(d)).agg(F.percentile("value", F.lit(q)).alias(n)) for d, n in ((ref, "r"), (hist, "h")))
     return r.join(h, common_keys(ref, hist)).select(*series_keys(hist), F.try_divide("r", "h").alias("ratio"))

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from ..functions.shared import shared_path
 from ..operators import select, units, windows
 from ..sources import fields
 from .catalogue import query
@@ -17,15 +15,6 @@ S = "model, scenario, cell_id"
 MEMBER = ["model", "scenario", "cell_id"]
 
 
-def shared_path(spark, label: str) -> str:
-    """A new path in the folder that driver and executors share; a temporary one where none is set and all run on one machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    base = base or tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def six(df, *names):
     return df.withColumns({n: F.round(n, 6) for n in names})
 
