@@ -7,6 +7,9 @@ any grids come from `nearest`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -202,9 +205,44 @@ def wrf_xy(grid: DataFrame, spacing: float = 4000.0) -> DataFrame:
     return at.select("cell_id", (cx + (F.col("ix") - F.col("mx") / 2) * spacing).alias("wx"), (cy + (F.col("iy") - F.col("my") / 2) * spacing).alias("wy"))
 
 
-def reproject(field: DataFrame, src: DataFrame, target: DataFrame) -> DataFrame:
-    """Nearest source value for targets given in projected coordinates: target(cell_id, px, py)."""
-    return apply_weights(field, weights_nearest(src, unproject(target)))
+@dataclass(frozen=True)
+class Axes:
+    """Regular axes of a plane: cell iy * nx + ix has its centre at x0 + ix * dx, y0 + iy * dy."""
+
+    x0: float
+    y0: float
+    dx: float
+    dy: float
+    nx: int
+    ny: int
+
+
+def wrf_axes(grid: DataFrame, spacing: float = 4000.0) -> Axes:
+    """The axes of an index grid on the plane of wrf_xy, read from one row of extremes and means; cells must be numbered by rows."""
+    found = grid.agg(F.max("ix").alias("mx"), F.max("iy").alias("my"), F.avg("lat").alias("clat"), F.avg("lon").alias("clon"))
+    cx, cy = polar_xy(F.col("clat"), F.col("clon"))
+    mx, my, x, y = found.select("mx", "my", cx, cy).first()
+    if mx is None:
+        raise ValueError("a grid without cells has no axes")
+    if not grid.where(F.col("cell_id") != F.col("iy").cast("long") * (mx + 1) + F.col("ix")).isEmpty():
+        raise ValueError("cells aren't numbered by rows")
+    return Axes(x - mx / 2 * spacing, y - my / 2 * spacing, spacing, spacing, mx + 1, my + 1)
+
+
+def weights_warp(axes: Axes, target: DataFrame, of: Albers | None = None, onto: Callable[[Column, Column], tuple[Column, Column]] = polar_xy) -> DataFrame:
+    """The source cell whose square on its own plane holds each target(cell_id, px, py), by arithmetic alone: no join finds it. On an edge the cell
+    of greater index has it; targets without coordinates or outside the plane's cells are unmapped."""
+    x, y = onto(F.col("lat"), F.col("lon"))
+    ix, iy = (F.floor((v - start) / step + 0.5) for v, start, step in ((x, axes.x0, axes.dx), (y, axes.y0, axes.dy)))
+    found = unproject(target, of).select(F.col("cell_id").alias("dst_cell"), ix.alias("ix"), iy.alias("iy"))
+    inside = found.where(F.col("ix").between(0, axes.nx - 1) & F.col("iy").between(0, axes.ny - 1))
+    return inside.select((F.col("iy") * axes.nx + F.col("ix")).alias("src_cell"), "dst_cell", F.lit(1.0).alias("w"))
+
+
+def reproject(field: DataFrame, src: DataFrame | Axes, target: DataFrame) -> DataFrame:
+    """Nearest source value for targets given in projected coordinates: target(cell_id, px, py). A source given by the axes of its plane is warped; any
+    other grid's nearest cells are looked up."""
+    return apply_weights(field, weights_warp(src, target) if isinstance(src, Axes) else weights_nearest(src, unproject(target)))
 
 
 def mosaic(west: DataFrame, east: DataFrame) -> DataFrame:

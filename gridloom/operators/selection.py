@@ -92,7 +92,9 @@ def percentiles(df: DataFrame, keys: list[str], probabilities: list[float], valu
     ranks = F.array(*(f(a).cast("long") for a in at for f in (F.floor, F.ceil)))
     found = _ranked(values, sizes, own, ranks, bound).groupBy(*own, "total").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("by_rank"))
     by = lambda r: F.element_at("by_rank", r.cast("long"))
-    q = F.array(*(by(F.floor(a)) + (a - F.floor(a)) * (by(F.ceil(a)) - by(F.floor(a))) for a in at))
+    # Written as the built-in percentile does, so that both ways round alike.
+    between = lambda a: (F.ceil(a) - a) * by(F.floor(a)) + (a - F.floor(a)) * by(F.ceil(a))
+    q = F.array(*(F.when(F.floor(a) == F.ceil(a), by(F.floor(a))).otherwise(between(a)) for a in at))
     return found.select(*own, q.alias("q")).unionByName(small).select(*keys, "q")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregate
+from ..operators import aggregate, selection
 from .catalogue import query
 from .inputs import catalog, field, grid, member, series, simulated, simulations, sql
 from .q_select import six
@@ -107,6 +107,13 @@ def _(spark, sf):
     return six(aggregate.distribution_summary(series(spark, sf, "pr"), ["cell_id"]), "q1", "q2", "q3")
 
 
+@query("a16_domain_quartiles", sql("SELECT model, scenario, round(quantile_cont(pr, 0.25), 6) AS q1, round(quantile_cont(pr, 0.5), 6) AS q2, round(quantile_cont(pr, 0.75), 6) AS q3 FROM members WHERE pr IS NOT NULL GROUP BY ALL", "members"))
+def _(spark, sf):
+    """All cells of a member are one group: taken apart, as the bound of a thousand values asks."""
+    q = selection.percentiles(member(spark, sf, "pr"), ["model", "scenario"], [0.25, 0.5, 0.75], bound=1000)
+    return q.select("model", "scenario", *(F.round(F.col("q")[i], 6).alias(n) for i, n in enumerate(("q1", "q2", "q3"))))
+
+
 @query("a17_total_size", sql("SELECT scenario, count(*) AS n_files, round(sum(bytes) / 1e12, 9) AS terabytes FROM catalog GROUP BY 1", "catalog"))
 def _(spark, sf):
     return aggregate.total_size(catalog(spark, sf), ["scenario"]).withColumn("terabytes", F.round("terabytes", 9))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import Albers
 from ..operators import curvilinear, regrid
 from .catalogue import query
-from .inputs import BIG_DST, daily, grid, grids, member, series, sites, sql
+from .inputs import BIG_DST, daily, grid, grids, member, series, sites, sql, table
 from .q_select import six
 
 KM = "2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians(s.lat - d.lat) / 2), 2) + cos(radians(d.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - d.lon) / 2), 2))))"
@@ -161,6 +161,23 @@ def _(spark, sf):
     return regrid.reproject(series(spark, sf, "pr").select("cell_id", "date", "value"), grid(spark, sf), moved)
 
 
+#: Supplier places on a fifty-column polar plane that has a cell per customer: 80 km wide, as high as 2800 km allow.
+_WARP = (
+    "p AS (SELECT s_suppkey::BIGINT AS dst_cell, 50 + (s_suppkey * 6151) % 2500 / 100e0 AS lat, (s_suppkey * 98317) % 6000 / 100e0 - 180 AS lon FROM supplier), "
+    "n AS (SELECT max(c_custkey) // 50 + 1 AS ny FROM customer), "
+    "q AS (SELECT dst_cell, 6370000e0 * (1 + sin(radians(64e0))) * tan(pi() / 4 - radians(lat) / 2) AS rho, radians(lon + 152) AS theta FROM p), "
+    "i AS (SELECT dst_cell, ny, floor((rho * sin(theta) + 2e6) / 8e4 + 0.5)::BIGINT AS ix, floor((4.4e6 - rho * cos(theta)) / (2.8e6 / ny) + 0.5)::BIGINT AS iy FROM q, n)"
+)
+
+
+@query("r10_warp", sql(f"WITH {_WARP} SELECT iy * 50 + ix AS src_cell, dst_cell, 1e0 AS w FROM i WHERE ix BETWEEN 0 AND 49 AND iy BETWEEN 0 AND ny - 1", "grid"))
+def _(spark, sf):
+    rows = grids(spark, sf)[0].agg(F.max("iy") + 1).first()[0]
+    j = F.col("s_suppkey")
+    places = table(spark, sf, "supplier").select(j.cast("long").alias("cell_id"), (50 + (j * 6151) % 2500 / 100).alias("lat"), ((j * 98317) % 6000 / 100 - 180).alias("lon"))
+    return regrid.weights_warp(regrid.Axes(-2e6, -4.4e6, 8e4, 2.8e6 / rows, 50, rows), regrid.project(places).select("cell_id", "px", "py"))
+
+
 @query("r11_mosaic", sql("SELECT cell_id, lat, lon FROM grid", "grid"))
 def _(spark, sf):
     g = grid(spark, sf).select("cell_id", "lat", "lon")

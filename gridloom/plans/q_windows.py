@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import rank, windows
+from ..operators import rank, selection, windows
 from .catalogue import query
 from .inputs import catalog, member, members, series, simulations, sql
 from .q_indicators import S, limits_sql, pool_sql
@@ -57,6 +57,13 @@ def _(spark, sf):
     return windows.ecdf(member(spark, sf, "pr"), SERIES).select(*SERIES, "date", F.round("cdf", 9).alias("cdf"))
 
 
+@query("w6_domain_ecdf", sql("SELECT model, scenario, cell_id, date, round(cume_dist() OVER (PARTITION BY model, scenario ORDER BY pr), 9) AS cdf FROM members WHERE pr IS NOT NULL", "members"))
+def _(spark, sf):
+    """All cells of a member are one group, dealt into intervals of its values."""
+    out = selection.cumulative(member(spark, sf, "pr"), ["model", "scenario"], bound=1000)
+    return out.select(*SERIES, "date", F.round("cdf", 9).alias("cdf"))
+
+
 @query("w7_argmax_doy", sql(f"SELECT {S}, arg_max(doy, (pr, -(date - DATE '1970-01-01'))) AS centre FROM members WHERE doy IS NOT NULL AND pr IS NOT NULL GROUP BY ALL", "members"))
 def _(spark, sf):
     return windows.argmax_doy(member(spark, sf, "pr"))
