@@ -93,8 +93,10 @@ def near_places(docs: DataFrame, first: DataFrame, least_words: int) -> DataFram
     whole = own.select(F.col("id").alias("wid"), F.col("no").alias("wno"), F.xxhash64(F.lit("in"), "n", whole_rest).alias("key"))
 
     swapped = sums.select("id", "no", "at", F.col("swap").alias("key"))
-    centre = swapped.groupBy("key").agg(F.min(F.struct("id", "no")).alias("with"), F.count("*").alias("m")).where("m > 1").select("key", F.col("with.id").alias("wid"), F.col("with.no").alias("wno"))
-    swaps = _among(swapped, centre).join(centre, "key").where("id <> wid or no <> wno").withColumn("swap", F.lit(True))
+    # Most keys come once. Which do not is counted on bare keys; places are shuffled for those alone.
+    again = _among(swapped, swapped.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"))
+    centre = again.groupBy("key").agg(F.min(F.struct("id", "no")).alias("with"), F.count("*").alias("m")).where("m > 1").select("key", F.col("with.id").alias("wid"), F.col("with.no").alias("wno"))
+    swaps = again.join(centre, "key").where("id <> wid or no <> wno").withColumn("swap", F.lit(True))
     inserted = _among(sums.select("id", "no", "at", F.col("in").alias("key")), whole).join(whole, "key").withColumn("swap", F.lit(False))
     # A pair may meet at many places, as in a line of one word repeated; any of them tells.
     links = swaps.unionByName(inserted).groupBy("id", "no", "wid", "wno", "swap").agg(F.min("at").alias("at"))
