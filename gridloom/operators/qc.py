@@ -75,8 +75,8 @@ def presence_matrix(df: DataFrame, scenarios: list[str]) -> DataFrame:
 
 
 def validate_attrs(parsed: DataFrame, claimed: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """key and column of each claim that differs from what the path says."""
-    p = parsed.select(key, *(F.col(c).cast("string").alias(f"__{c}") for c in columns))
+    """key and column of each claim that differs from what the path says. A path that is listed or claimed several times is read once, so each claim counts for itself."""
+    p = parsed.select(key, *(F.col(c).cast("string").alias(f"__{c}") for c in columns)).distinct()
     both = claimed.select(key, *columns).join(p, key)
     wrong = F.array_compact(F.array(*(F.when(~F.col(c).cast("string").eqNullSafe(F.col(f"__{c}")), F.lit(c)) for c in columns)))
     return both.select(key, F.explode(wrong).alias("column"))
