@@ -72,9 +72,9 @@ def qdm_adjust(qmap: DataFrame, sim: DataFrame, kind: str = "+", nq: int = 100,
 
 
 def eqm_adjust(qmap: DataFrame, sim: DataFrame, kind: str = "+") -> DataFrame:
-    """sim adjusted by the factor of the trained quantile whose value is nearest (the lower of two)."""
+    """sim adjusted by the factor of the trained quantile whose value is nearest, to nine decimals (the lower of two)."""
     arrays = qmap.groupBy(*series_keys(qmap), "doy").agg(F.array_sort(F.collect_list(F.struct("q_idx", "hist_q", "af"))).alias("map"))
-    near = F.array_min(F.transform("map", lambda m: F.struct(F.abs(m["hist_q"] - F.col("value")).alias("d"), m["q_idx"].alias("i"), m["af"].alias("af"))))["af"]
+    near = F.array_min(F.transform("map", lambda m: F.struct(F.round(F.abs(m["hist_q"] - F.col("value")), 9).alias("d"), m["q_idx"].alias("i"), m["af"].alias("af"))))["af"]
     return _joined(sim, arrays, "doy").withColumn("value", adjusted(F.col("value"), near, kind)).select(*sim.columns)
 
 

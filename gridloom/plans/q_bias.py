@@ -52,7 +52,7 @@ def adjusted(source: str, name: str, op: str, ranks: str = "l_ranked", qmap: str
 def eqm(source: str, name: str, qmap: str = "qmap", keep: str = "") -> str:
     """A CTE of source's rows adjusted by the factor of the nearest quantile."""
     more = f", any_value({keep}) AS {keep}" if keep else ""
-    return f"{name} AS (SELECT s.model, s.scenario, s.cell_id, s.date, any_value(s.value) + arg_min(m.af, (abs(m.hist_q - s.value), m.q_idx)) AS value{more} FROM {source} s LEFT JOIN {qmap} m ON m.model = s.model AND m.cell_id = s.cell_id AND m.doy = s.doy GROUP BY ALL)"
+    return f"{name} AS (SELECT s.model, s.scenario, s.cell_id, s.date, any_value(s.value) + arg_min(m.af, (round(abs(m.hist_q - s.value), 9), m.q_idx)) AS value{more} FROM {source} s LEFT JOIN {qmap} m ON m.model = s.model AND m.cell_id = s.cell_id AND m.doy = s.doy GROUP BY ALL)"
 
 
 #: Trends of `scaled` by series and day of the year: the mean; the line and the cubic by polynomials orthogonal over a group's years; LOESS of
