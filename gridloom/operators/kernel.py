@@ -156,11 +156,11 @@ class Kernel:
         return value - of if self.kind == "+" else _divided(value, of)
 
     def _nearest(self, found: tuple[np.ndarray, np.ndarray], doy: np.ndarray, value: np.ndarray) -> np.ndarray:
-        """value adjusted by the factor of the quantile whose value is nearest, the lower of two."""
+        """value adjusted by the factor of the quantile whose value is nearest, to nine decimals, the lower of two."""
         hist_q, af = found
         out = np.full(len(value), np.nan)
         for at in np.array_split(np.arange(len(value)), max(1, len(value) // 20_000)):
-            away = np.abs(hist_q[doy[at]] - value[at, None])
+            away = np.round(np.abs(hist_q[doy[at]] - value[at, None]), 9)
             k = np.where(np.isnan(away), np.inf, away).argmin(axis=1)
             out[at] = self.adjusted(value[at], np.where(np.isnan(away[np.arange(len(at)), k]), np.nan, af[doy[at], k]))
         return out
