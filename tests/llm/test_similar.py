@@ -85,3 +85,19 @@ def test_ring(spark):
         pairs.append((a - (1 << 63), b - (1 << 63)))
     got = spark.createDataFrame(pairs, "a long, b long").select("a", "b", simhash.within_ring(F.col("a"), F.col("b"), similar.RADIUS).alias("near")).collect()
     assert [r["near"] for r in got] == [((r["a"] ^ r["b"]) & (2**64 - 1)).bit_count() <= similar.RADIUS for r in got]
+
+
+def test_pairs_of_a_family(spark, monkeypatch):
+    """A family of which many members are pairwise under 0.8: pairs that are listed follow its size and not its square."""
+    rng, listed, compared = random.Random(11), [], similar._compared
+    texts = family(rng, 150, 200, 24)
+    given = list(enumerate(texts))
+
+    def counted(pairs, nodes, sets):
+        listed.append(pairs.distinct().count())
+        return compared(pairs, nodes, sets)
+
+    monkeypatch.setattr(similar, "_compared", counted)
+    found = similar.similar_groups(spark.createDataFrame(given, "doc_id long, text string").repartition(3), dense=8).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == groups_expected(given)
+    assert sum(listed) < 20 * len(texts), listed
