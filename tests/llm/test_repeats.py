@@ -116,3 +116,21 @@ def test_query(spark, sf):
     got = queries.op11_repeats(spark, sf).collect()
     assert {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
     assert sum(n > 0 for n, *_ in want.values()) > 3
+
+
+def test_spans_of_hot_keys_are_runs(spark, monkeypatch):
+    """Parts of a key that is taken apart repeat window by window: what is joined to its places has them as runs."""
+    rng, kept, written = random.Random(3), [], repeats.written
+
+    def seen(df, label):
+        out = written(df, label)
+        if label == "spans":
+            kept.extend([(s["start"], s["start"] + s["size"]) for s in r["spans"]] for r in out.collect())
+        return out
+
+    monkeypatch.setattr(repeats, "written", seen)
+    line = "".join(rng.choice("abcdefgh") for _ in range(60))
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(9)) + line[rng.randrange(8) :] + "".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    repeats.remove_repeats(docs, length=24, most=400).collect()
+    assert kept and all(repeats.merged(x) == sorted(x) for x in kept)
