@@ -88,7 +88,7 @@ def test_ring(spark):
 
 
 def test_pairs_of_a_family(spark, monkeypatch):
-    """A family of which many members are pairwise under 0.8: pairs that are listed follow its size and not its square."""
+    """A family of which many members are pairwise under 0.8: pairs are listed for hubs alone, so they follow its size and not its square."""
     rng, listed, compared = random.Random(11), [], similar._compared
     texts = family(rng, 150, 200, 24)
     given = list(enumerate(texts))
@@ -100,4 +100,5 @@ def test_pairs_of_a_family(spark, monkeypatch):
     monkeypatch.setattr(similar, "_compared", counted)
     found = similar.similar_groups(spark.createDataFrame(given, "doc_id long, text string").repartition(3), dense=8).collect()
     assert {r["doc_id"]: r["component_id"] for r in found} == groups_expected(given)
-    assert sum(listed) < 20 * len(texts), listed
+    # Those of keys with few members and of three hubs; what the hubs leave over is compared without a list.
+    assert len(listed) <= 4 and sum(listed) < 20 * len(texts), listed
