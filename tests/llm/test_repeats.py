@@ -134,3 +134,26 @@ def test_spans_of_hot_keys_are_runs(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     repeats.remove_repeats(docs, length=24, most=400).collect()
     assert kept and all(repeats.merged(x) == sorted(x) for x in kept)
+
+
+def test_windows_of_hot_keys_are_packed(spark, monkeypatch):
+    """A key that stays hot is settled without a row for each of its windows: lines repeated over and over, a passage in many contexts, near copies."""
+    rng, rows, written = random.Random(4), [], repeats.written
+    word = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+
+    def seen(df, label):
+        out = written(df, label)
+        rows.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(repeats, "written", seen)
+    line, passage, near = word(7), word(60), word(80)
+    texts = [word(3) + line * rng.randint(20, 60) + word(3) for _ in range(40)]
+    texts += [word(20) + passage + word(20) for _ in range(40)]
+    texts += [near[:at] + word(1) + near[at + 1 :] for at in (rng.randrange(80) for _ in range(40))]
+    docs = spark.createDataFrame([(None if i % 7 == 3 else i, t) for i, t in enumerate(texts + texts[:9])], "doc_id long, text string")
+    got = repeats.remove_repeats(docs, length=24, most=600).collect()
+    want = Counter((t, *w) for t, w in zip(texts + texts[:9], expected(texts + texts[:9], 24)))
+    assert Counter((r["text"], sum(s["size"] for s in r["spans"]), len(r["spans"]), bytes(r["kept"])) for r in got) == want
+    windows = sum(len(t) - 23 for t in texts)
+    assert windows > 15_000 and max(n for _, n in rows) < windows / 8
