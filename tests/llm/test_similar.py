@@ -1,7 +1,9 @@
 """The pipeline's near duplicates against all pairs of shingle sets."""
 
+import glob
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +104,32 @@ def test_pairs_of_a_family(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in found} == groups_expected(given)
     # Those of keys with few members and of three hubs; what the hubs leave over is compared without a list.
     assert len(listed) <= 4 and sum(listed) < 20 * len(texts), listed
+
+
+def test_pairs_by_chance(spark, monkeypatch):
+    """Texts that share a run of words and no more: a pair is compared only if the keys that it shares may be enough."""
+    rng, listed, compared = random.Random(3), [], similar._compared
+    line = lambda i: " ".join(f"l{i}x{k}" for k in range(12))
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) + f" {line(i // 2)}" for i in range(200)] + family(rng, 6, 60, 2)
+    given = list(enumerate(texts))
+
+    def counted(pairs, nodes, sets):
+        listed.append((pairs.distinct().count(), sets.count()))
+        return compared(pairs, nodes, sets)
+
+    monkeypatch.setattr(similar, "_compared", counted)
+    found = similar.similar_groups(spark.createDataFrame(given, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == groups_expected(given)
+    assert len(listed) == 1 and listed[0][0] <= 15 and listed[0][1] <= 6, listed
+
+
+def test_shuffle_files_go(spark, sf):
+    """What a query shuffled is gone when the next begins, so the disk doesn't hold all of them."""
+    folders = [f.getPath() for f in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    there = lambda: {p for d in folders for p in glob.glob(f"{d}/*/shuffle_*.data")}
+    before = there()
+    similar.keep_first(spark.read.parquet(f"{sf}/documents.parquet"))
+    ends = time.time() + 10
+    while there() - before and time.time() < ends:
+        time.sleep(0.2)
+    assert not there() - before
