@@ -123,6 +123,19 @@ def test_pairs_by_chance(spark, monkeypatch):
     assert len(listed) == 1 and listed[0][0] <= 15 and listed[0][1] <= 6, listed
 
 
+def test_far_fingerprints(spark):
+    """Similar texts whose fingerprints are outside the radius are linked as well."""
+    lines = [
+        "w778150 w472420 w173432 w622206 w617256 w391258 w54088 w881562 w761160",
+        "w129273 w962266 w167661 w10347 w914682 w824488 w807165 w537155 w918136",
+    ]
+    given = list(enumerate(t for line in lines for t in (line, line.rpartition(" ")[0])))
+    prints = [simhash.majority(similar.shingles(t)) for _, t in given]
+    assert [(prints[i] ^ prints[i + 1]).bit_count() for i in (0, 2)] == [26, 27] and similar.RADIUS < 26
+    found = similar.similar_groups(spark.createDataFrame(given, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == groups_expected(given) == {0: 0, 1: 0, 2: 2, 3: 2}
+
+
 def test_shuffle_files_go(spark, sf):
     """What a query shuffled is gone when the next begins, so the disk doesn't hold all of them."""
     folders = [f.getPath() for f in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
